@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from panelkit.functions.text import Col, as_col, lookup, rule_chain, squeeze
+from panelkit.functions.text import Col, as_col, let, lookup, rule_chain, squeeze
 
 # --- fixed values ----------------------------------------------------------------------------------
 NOT_FINAL_RULES = [
@@ -47,12 +47,13 @@ DRIVER_RULES = [
 
 
 def header_status(c: Col) -> Column:
-    return rule_chain(F.lower(squeeze(F.coalesce(as_col(c).cast("string"), F.lit("")))), STATUS_RULES, "unknown")
+    text = F.lower(squeeze(F.coalesce(as_col(c).cast("string"), F.lit(""))))
+    return let(text, lambda t: rule_chain(t, STATUS_RULES, "unknown"))
 
 
 def explicit_not_final(c: Column) -> Column:
     """preliminary / estimate / projection when the text says so, else NULL."""
-    return rule_chain(F.lower(squeeze(c)), NOT_FINAL_RULES)
+    return let(F.lower(squeeze(c)), lambda t: rule_chain(t, NOT_FINAL_RULES))
 
 
 def status_of(c: Col) -> Column:
@@ -65,9 +66,10 @@ def answer_status(reason: Col) -> Column:
 
 def label_category(label: Col, rules=None, exclude: str | None = FLOW_PLACEHOLDER, default: str = "Other") -> Column:
     """Category of a label. The exclusion is tested first; no match (or no label) gives the default."""
-    low = F.lower(F.coalesce(as_col(label), F.lit("")))
-    ruled = rule_chain(low, rules or FLOW_RULES, default)
-    return F.when(low.rlike(exclude), F.lit(default)).otherwise(ruled) if exclude else ruled
+    def of(low: Column) -> Column:
+        ruled = rule_chain(low, rules or FLOW_RULES, default)
+        return F.when(low.rlike(exclude), F.lit(default)).otherwise(ruled) if exclude else ruled
+    return let(F.lower(F.coalesce(as_col(label), F.lit(""))), of)
 
 
 def driver_category(label: Col, rules=None, missing: str = "No sub-item reported",

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from panelkit.functions.text import Col, as_col, lookup, strip
+from panelkit.functions.text import Col, as_col, let, lookup, strip
 
 # --- fixed values ----------------------------------------------------------------------------------
 CATEGORIES = ["change_in_debt", "identified_flows", "primary_balance",
@@ -40,11 +40,10 @@ def slug(label: Col, max_len: int = 40) -> Column:
     s = F.regexp_replace(s, r"^\s*\d+\.?\s+", "")
     s = F.regexp_replace(s, r"^\s*(?:of which|o/w)\s*:?\s*", "")
     s = F.regexp_replace(F.regexp_replace(s, "[^a-z0-9]+", "_"), "^_+|_+$", "")
-    cut = F.substring(s, 1, max_len + 1)
-    cut = F.when(cut.contains("_"), F.regexp_replace(cut, "_[^_]*$", "")).otherwise(cut)
-    s = F.when(F.length(s) > max_len, cut).otherwise(s)
-    s = F.regexp_replace(s, "^_+|_+$", "")
-    return F.when(s == "", "item").otherwise(s)
+    def shorten(t: Column) -> Column:
+        return F.when(F.length(t) <= max_len, t).otherwise(let(F.substring(t, 1, max_len + 1), lambda cut: F.when(
+            cut.contains("_"), F.regexp_replace(cut, "_[^_]*$", "")).otherwise(cut)))
+    return let(F.regexp_replace(let(s, shorten), "^_+|_+$", ""), lambda t: F.when(t == "", "item").otherwise(t))
 
 
 def column_name(hid: Col, category: Col, label: Col) -> Column:

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelkit.functions.text import Col, as_col, found, label_key, lookup, squeeze, strip
+from panelkit.functions.text import Col, as_col, found, label_key, let, lookup, squeeze, strip
 
 # --- fixed values: official or older names -> the name used in the panel ---------------------------
 ALIASES = {
@@ -60,32 +60,31 @@ UNIONS = ["Euro Area", "Central African Economic and Monetary Community",
 
 
 def normalize_entity(c: Col, aliases: dict[str, str] | None = None) -> Column:
-    aliases = ALIASES if aliases is None else aliases
-    s = F.replace(strip(c), F.lit("’"), F.lit("'"))
-    s = F.replace(F.replace(s, F.lit("İ"), F.lit("I")), F.lit("̇"), F.lit(""))
+    table = ALIASES if aliases is None else aliases
+    s = F.translate(strip(c), "’İ̇", "'I")
     s = F.regexp_replace(s, r"\bSt\.(?=\S)", "St. ")
     s = F.regexp_replace(F.regexp_replace(s, "[–—]+", "-"), r"\s*-\s*", "-")
     s = F.regexp_replace(s, r"(?i)^the\s+", "")
-    low = F.lower(s)
-    china = found(low, r"^people's republic of china-(.+)$", 1)
-    kingdom = found(low, r"^kingdom of (?:the )?netherlands?-(.+)$", 1)
-    part = F.regexp_replace(kingdom, r"^the\s+", "")
-    republic = F.trim(found(s, r"(?i)^republic of (.+)$", 1))
-    return (
-        F.when(china.contains("hong kong"), F.lit("Hong Kong SAR, China"))
-        .when(china.isNotNull(), F.lit("Macao SAR, China"))
-        .when(part == "netherlands", F.lit("Netherlands"))
-        .when(part == "aruba", F.lit("Aruba"))
-        .when(part.isNotNull(), F.lit("Curaçao and Sint Maarten"))
-        .when(low.rlike(r"^kingdom of (?:the )?netherlands?$"), F.lit("Netherlands"))
-        .otherwise(F.coalesce(lookup(aliases, low), lookup(aliases, F.lower(republic)), republic, s))
-    )
+
+    def named(n: Column) -> Column:
+        low = n["low"]
+        of_china = low.startswith("people's republic of china-") & (F.length(low) > 27)
+        crown = low.startswith("kingdom of ") & low.contains("netherland")
+        part = F.regexp_replace(found(low, r"^kingdom of (?:the )?netherlands?-(.+)$", 1), r"^the\s+", "")
+        return (
+            F.when(of_china, F.when(low.contains("hong kong"), "Hong Kong SAR, China").otherwise("Macao SAR, China"))
+            .when(crown & low.rlike(r"^kingdom of (?:the )?netherlands?$"), "Netherlands")
+            .when(crown & low.rlike(r"^kingdom of (?:the )?netherlands?-."), let(part, lambda p: F.when(p == "netherlands", "Netherlands")
+                  .when(p == "aruba", "Aruba").otherwise("Curaçao and Sint Maarten")))
+            .otherwise(F.coalesce(lookup(table, low), F.when(low.startswith("republic of "), let(
+                F.trim(F.substring(n["s"], 13, 2147483647)), lambda r: F.when(r != "", F.coalesce(lookup(table, F.lower(r)), r)))), n["s"])))
+    return let(s, lambda t: let(F.struct(t.alias("s"), F.lower(t).alias("low")), named))
 
 
 def entity_key(c: Col) -> Column:
     """Case-insensitive key of the normalised name, with the extra aliases."""
     key = F.replace(F.lower(normalize_entity(c)), F.lit("ß"), F.lit("ss"))
-    return F.coalesce(lookup(KEY_ALIASES, key), key)
+    return let(key, lambda k: F.coalesce(lookup(KEY_ALIASES, k), k))
 
 
 def loose_key(c: Col) -> Column:
@@ -105,11 +104,8 @@ def is_regional(c: Col) -> Column:
 
 def is_union(stem: Col, unions: list[str] | None = None) -> Column:
     """The report belongs to a union of countries (prefix match on the label key)."""
-    key = label_key(stem)
-    out = F.lit(False)
-    for name in (unions or UNIONS):
-        out = out | key.startswith(label_key(F.lit(name)))
-    return out
+    prefixes = F.array(*[label_key(F.lit(name)) for name in (unions or UNIONS)])
+    return let(label_key(stem), lambda key: F.exists(prefixes, lambda p: F.startswith(key, p)))
 
 
 def split_reports(reports: DataFrame, entities: DataFrame, raw: str = "entity_raw", key: str = "entity_key") -> DataFrame:

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from panelkit.functions.text import Col, as_col, found, missing_to_null, squeeze, strip
+from panelkit.functions.text import Col, as_col, let, missing_to_null, squeeze, strip
 
 # try_cast alone would accept '1d' and 'nan', so the text has to look like a number first
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -11,7 +11,7 @@ MINUS_SIGNS = "−–"
 
 
 def _number(text: Column) -> Column:
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return let(text, lambda t: F.when(t.rlike(NUMBER), t.try_cast("double")))
 
 
 def strict_number(c: Col) -> Column:
@@ -31,9 +31,9 @@ def any_minus_number(c: Col) -> Column:
 
 def comparable(c: Col) -> Column:
     """struct(num, txt): a number if it reads as one, else the cleaned text; both NULL when missing."""
-    s = missing_to_null(c)
-    num = any_minus_number(s)
-    return F.struct(num.alias("num"), F.when(num.isNull(), F.lower(squeeze(s))).alias("txt"))
+    def of(p: Column) -> Column:
+        return F.struct(p["num"].alias("num"), F.when(p["num"].isNull(), F.lower(squeeze(p["s"]))).alias("txt"))
+    return let(missing_to_null(c), lambda s: let(F.struct(s.alias("s"), any_minus_number(s).alias("num")), of))
 
 
 def same(a: Column, b: Column, tolerance: float = 1e-9) -> Column:
@@ -46,11 +46,9 @@ def same(a: Column, b: Column, tolerance: float = 1e-9) -> Column:
 
 
 def tri_state(c: Col) -> Column:
-    s = F.upper(strip(as_col(c).cast("string")))
-    return F.when(s == "TRUE", F.lit(True)).when(s == "FALSE", F.lit(False))
+    return let(F.upper(strip(as_col(c).cast("string"))), lambda s: F.when(s == "TRUE", F.lit(True)).when(s == "FALSE", F.lit(False)))
 
 
 def int_text(c: Col) -> Column:
     """'65.0' -> '65'; missing -> NULL; anything else unchanged."""
-    s = missing_to_null(c)
-    return F.coalesce(found(s, r"^(-?\d+)\.0+$", 1), s)
+    return F.regexp_replace(missing_to_null(c), r"^(-?\d+)\.0+$", "$1")

@@ -1,6 +1,7 @@
 """Text normalisers as Column expressions (no UDF, so they stay inside code generation)."""
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -13,6 +14,15 @@ def as_col(c: Col) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is evaluated once.
+
+    A Column used in several branches is copied into each of them; nested normalisers would then grow
+    beyond what code generation accepts and repeat their regular expressions.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Col) -> Column:
     """Trim every kind of white space, not only blanks."""
     return F.regexp_replace(as_col(c), r"(?U)^\s+|\s+$", "")
@@ -29,8 +39,7 @@ def blank_to_null(c: Col) -> Column:
 
 def missing_to_null(c: Col) -> Column:
     """NULL, blank and the text `nan` all mean missing."""
-    s = strip(c)
-    return F.when((s != "") & (F.lower(s) != "nan"), s)
+    return let(strip(c), lambda s: F.when((s != "") & (F.lower(s) != "nan"), s))
 
 
 def found(c: Col, pattern: str, group: int = 0) -> Column:
@@ -71,13 +80,20 @@ def percent_text(part: Col, whole: Col) -> Column:
 
 
 def general_number_text(c: Col) -> Column:
-    """Shortest text with six significant digits: 1.5 -> 1.5, 1e-05 stays exponential, 1234567 -> 1.23457e+06."""
+    """Shortest text with six significant digits: 1.5 -> 1.5, 1e-05 stays exponential, 1234567 -> 1.23457e+06.
+
+    A number whose shortest decimal form ends in a 5 right after the sixth digit is rounded up.
+    """
     v = as_col(c).cast("double")
-    sci = F.format_string("%.5e", v)
-    power = F.regexp_extract(sci, r"e([+-]\d+)$", 1).cast("int")
-    mantissa = F.regexp_replace(F.regexp_extract(sci, r"^(-?\d\.\d+)e", 1), r"\.?0+$", "")
-    exp_text = F.concat(mantissa, F.regexp_extract(sci, r"(e[+-]\d+)$", 1))
-    plain = reduce(lambda acc, p: acc.when(power == p, F.format_string(f"%.{5 - p}f", v)),
-                   range(-3, 6), F.when(power == -4, F.format_string("%.9f", v)))
-    plain = F.when(plain.contains("."), F.regexp_replace(plain, r"\.?0+$", "")).otherwise(plain)
-    return F.when(v == 0, F.lit("0")).when((power < -4) | (power >= 6), exp_text).otherwise(plain)
+
+    def fixed(e: Column) -> Column:
+        plain = reduce(lambda acc, p: acc.when(e["power"] == p, F.format_string(f"%.{5 - p}f", e["v"])),
+                       range(-3, 6), F.when(e["power"] == -4, F.format_string("%.9f", e["v"])))
+        return let(plain, lambda t: F.when(t.contains("."), F.regexp_replace(t, r"\.?0+$", "")).otherwise(t))
+
+    def of(sci: Column) -> Column:
+        return let(F.struct(v.alias("v"), F.regexp_extract(sci, r"e([+-]\d+)$", 1).cast("int").alias("power"),
+                            F.regexp_replace(F.regexp_extract(sci, r"^(-?\d\.\d+)e", 1), r"\.?0+$", "").alias("digits"),
+                            F.regexp_extract(sci, r"(e[+-]\d+)$", 1).alias("tail")),
+                   lambda e: F.when((e["power"] < -4) | (e["power"] >= 6), F.concat(e["digits"], e["tail"])).otherwise(fixed(e)))
+    return F.when(v == 0, F.lit("0")).otherwise(let(F.format_string("%.5e", v), of))

@@ -3,52 +3,62 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from panelkit.functions.text import Col, as_col, blank_to_null, found, missing_to_null, squeeze
+from panelkit.functions.text import Col, as_col, blank_to_null, found, let, squeeze
 
 TWO_PART = r"(?i)^(?:FY\s?)?(\d{4})\s*[/-]\s*(\d{2}|\d{4})$"
 ONE_PART = r"(?i)^(?:FY\s?)?(\d{4})$"
 
 
-def _parts(text: Column) -> tuple[Column, Column]:
-    """First and second year of a two-part label; a two-digit second part takes the first one's century."""
-    first = found(text, TWO_PART, 1)
-    second = found(text, TWO_PART, 2)
-    full = F.when(F.length(second) == 4, second).otherwise(F.concat(F.substring(first, 1, 2), second))
-    return first.cast("int"), full.cast("int")
+def _label_parts(t: Column) -> Column:
+    """struct(t, a, b, one): the label, its first and second year, or its only year.
+
+    A two-digit second part takes the first one's century.
+    """
+    two = F.struct(found(t, TWO_PART, 1).alias("a"), found(t, TWO_PART, 2).alias("b"))
+    return let(two, lambda p: F.struct(
+        t.alias("t"), p["a"].cast("int").alias("a"),
+        F.when(F.length(p["b"]) == 4, p["b"]).otherwise(F.concat(F.substring(p["a"], 1, 2), p["b"])).cast("int").alias("b"),
+        F.when(p["a"].isNull(), found(t, ONE_PART, 1)).alias("one")))
+
+
+def _cleaned(c: Col) -> Column:
+    return let(squeeze(as_col(c).cast("string")), lambda s: F.when((s != "") & (F.lower(s) != "nan"), s))
 
 
 def parse_year_label(c: Col) -> Column:
     """struct(kind, y0, y1, note); kind is single, range or invalid."""
-    text = missing_to_null(squeeze(c))
-    a, b = _parts(text)
-    one = found(text, ONE_PART, 1).cast("int")
-    inside = F.array_distinct(F.regexp_extract_all(text, F.lit(r"\b(\d{4})\b"), F.lit(1)))
-    only = F.when(F.size(inside) == 1, F.get(inside, F.lit(0)).cast("int"))
 
     def out(kind: str, y0: Column, y1: Column, note: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), y0.cast("int").alias("y0"), y1.cast("int").alias("y1"), note.alias("note"))
 
+    def noted(prefix: str, t: Column) -> Column:
+        return F.concat(F.lit(prefix), t)
+
     none = F.lit(None)
-    unparsed = out("invalid", none, none, F.concat(F.lit("unparsed_"), text))
-    return (
-        F.when(text.isNull(), out("invalid", none, none, F.lit("missing")))
-        .when(a.isNotNull() & (b - a == 1), out("single", b, b, F.concat(F.lit("fiscal_year_end_of_"), text)))
-        .when(a.isNotNull() & (b > a), out("range", a, b, F.concat(F.lit("multi_year_range_"), text)))
-        .when(a.isNotNull(), unparsed)
-        .when(one.isNotNull(), out("single", one, one,
-                                   F.when(F.upper(text).startswith("FY"), F.lit("fy_label")).otherwise(F.lit(""))))
-        .when(only.isNotNull(), out("single", only, only, F.concat(F.lit("extracted_from_text_"), text)))
-        .otherwise(unparsed)
-    )
+
+    def inside(t: Column) -> Column:
+        """A label that holds exactly one year somewhere in its text."""
+        seen = F.array_distinct(F.regexp_extract_all(t, F.lit(r"\b(\d{4})\b"), F.lit(1)))
+        return let(seen, lambda y: F.when(F.size(y) == 1, let(F.get(y, F.lit(0)).cast("int"), lambda n: out(
+            "single", n, n, noted("extracted_from_text_", t)))).otherwise(out("invalid", none, none, noted("unparsed_", t))))
+
+    def of(p: Column) -> Column:
+        t, a, b = p["t"], p["a"], p["b"]
+        one = p["one"].cast("int")
+        return (
+            F.when(t.isNull(), out("invalid", none, none, F.lit("missing")))
+            .when(b - a == 1, out("single", b, b, noted("fiscal_year_end_of_", t)))
+            .when(b > a, out("range", a, b, noted("multi_year_range_", t)))
+            .when(a.isNotNull(), out("invalid", none, none, noted("unparsed_", t)))
+            .when(p["one"].isNotNull(), out("single", one, one, F.when(F.upper(t).startswith("FY"), "fy_label").otherwise("")))
+            .otherwise(inside(t)))
+    return let(_cleaned(c), lambda t: let(_label_parts(t), of))
 
 
 def year_for_comparison(c: Col) -> Column:
     """Text two runs are compared on: the fiscal end year, the plain year, or the lower-case label."""
-    text = missing_to_null(squeeze(c))
-    a, b = _parts(text)
-    return (F.when(a.isNotNull() & (b - a == 1), b.cast("string"))
-            .when(a.isNotNull(), F.lower(text))
-            .otherwise(F.coalesce(found(text, ONE_PART, 1), F.lower(text))))
+    return let(_cleaned(c), lambda t: let(_label_parts(t), lambda p: F.when(p["b"] - p["a"] == 1, p["b"].cast("string"))
+                                          .when(p["a"].isNotNull(), F.lower(p["t"])).otherwise(F.coalesce(p["one"], F.lower(p["t"])))))
 
 
 def year_token(c: Col) -> Column:
@@ -63,8 +73,8 @@ def leftmost_year_token(c: Col) -> Column:
 
 def label_agreement(year: Col, label: Col) -> Column:
     """Yes / No / Unknown: do the chosen year and its column label carry the same token?"""
-    y, l = year_token(year), year_token(label)
-    return F.when(y.isNull() | l.isNull(), "Unknown").when(y == l, "Yes").otherwise("No")
+    both = F.struct(year_token(year).alias("y"), year_token(label).alias("l"))
+    return let(both, lambda t: F.when(t["y"].isNull() | t["l"].isNull(), "Unknown").when(t["y"] == t["l"], "Yes").otherwise("No"))
 
 
 def effective_label(columns: list[str], year_first: bool = True) -> Column:
