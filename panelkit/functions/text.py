@@ -48,9 +48,10 @@ def found(c: Col, pattern: str, group: int = 0) -> Column:
 
 
 def lookup(table: dict[str, str], key: Column) -> Column:
-    """Value of a fixed literal table, NULL for an unknown key."""
-    pairs = [F.lit(x) for kv in table.items() for x in kv]
-    return F.try_element_at(F.create_map(*pairs), key)
+    """Value of a fixed literal table, NULL for an unknown key. The map folds to one constant."""
+    def quoted(t: str) -> str:
+        return "'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return F.try_element_at(F.expr("map(" + ", ".join(quoted(x) for kv in table.items() for x in kv) + ")"), key)
 
 
 def rule_chain(c: Column, rules: list[tuple[str, str]], default: str | None = None) -> Column:
@@ -74,9 +75,18 @@ def label_key(c: Col) -> Column:
 
 
 def percent_text(part: Col, whole: Col) -> Column:
+    """Share in percent with one decimal, `n/a` of nothing.
+
+    Rounded half to even on the exact value of the double: a coarse part that is exact in decimal is split
+    off, so the remainder keeps the digits that decide a near tie.
+    """
     part, whole = as_col(part), as_col(whole)
-    return F.when(whole == 0, F.lit("n/a")).otherwise(
-        F.concat(F.format_string("%.1f", F.try_divide(F.lit(100.0) * part, whole)), F.lit("%")))
+
+    def rounded(v: Column) -> Column:
+        coarse = F.floor(v * 1024) / 1024
+        return F.bround(coarse.cast("decimal(14,10)") + (v - coarse).cast("decimal(30,26)"), 1).cast("string")
+    share = let(F.try_divide(F.lit(100.0) * part, whole), rounded)
+    return F.when(whole == 0, F.lit("n/a")).otherwise(F.concat(share, F.lit("%")))
 
 
 def general_number_text(c: Col) -> Column:

@@ -16,7 +16,7 @@ from panelkit.functions.numbers import comparable, same, tri_state
 from panelkit.functions.text import percent_text, strip
 from panelkit.functions.years import year_for_comparison
 from panelkit.operators.pick import majority_of
-from panelkit.operators.spread import salted_join
+from panelkit.operators.spread import split_join
 
 # --- fixed values: the groups of reports and the categories of the re-check list --------------------
 GROUPS = ["fully_match", "partial_match", "table_found_differs", "last_actual_year_differs",
@@ -50,10 +50,13 @@ def _all(conditions: list[Column]) -> Column:
 
 def align_reports(rows: DataFrame, n: int, run: str, order: str) -> DataFrame:
     """One row per report: its facts in every run (first row of the run) and the report-level group."""
-    fact = F.struct(F.col("pdf_file_name").alias("pdf"), F.col("country").alias("country"),
-                    tri_state("table_found").alias("found"), year_for_comparison("last_actual_year").alias("year"))
+    fact = F.struct("pdf_file_name", "country", "table_found", "last_actual_year")
     facts = rows.groupBy("json_file").agg(*[
         F.min_by(fact, F.when(F.col(run) == r, F.col(order))).alias(f"f{r}") for r in range(1, n + 1)])
+    # normalised once per report and run, after the rows were reduced
+    facts = facts.withColumns({f"f{r}": F.when(F.col(f"f{r}").isNotNull(), F.struct(
+        F.col(f"f{r}.pdf_file_name").alias("pdf"), F.col(f"f{r}.country").alias("country"), tri_state(f"f{r}.table_found").alias("found"),
+        year_for_comparison(f"f{r}.last_actual_year").alias("year"))) for r in range(1, n + 1)})
     f = [F.col(f"f{r}") for r in range(1, n + 1)]
     present = _all([x.isNotNull() for x in f])
     found_same = _all([x["found"].isNotNull() & (x["found"] == f[0]["found"]) for x in f])
@@ -67,10 +70,12 @@ def align_reports(rows: DataFrame, n: int, run: str, order: str) -> DataFrame:
 
 def align_items(rows: DataFrame, n: int, run: str, order: str) -> DataFrame:
     """One row per (report, line item): the item in every run (the last row of a run wins)."""
-    item = F.struct(F.col("top_category").alias("top"), F.col("label_verbatim").alias("label"),
-                    F.col("value").alias("raw"), comparable("value").alias("val"))
+    item = F.struct("top_category", "label_verbatim", "value")
     items = rows.filter(F.col("top_category").isNotNull()).groupBy("json_file", "hierarchy_id").agg(*[
         F.max_by(item, F.when(F.col(run) == r, F.col(order))).alias(f"r{r}") for r in range(1, n + 1)])
+    items = items.withColumns({f"r{r}": F.when(F.col(f"r{r}").isNotNull(), F.struct(
+        F.col(f"r{r}.top_category").alias("top"), F.col(f"r{r}.label_verbatim").alias("label"), F.col(f"r{r}.value").alias("raw"),
+        comparable(f"r{r}.value").alias("val"))) for r in range(1, n + 1)})
     x = [F.col(f"r{r}") for r in range(1, n + 1)]
     present = _all([c.isNotNull() for c in x])
     one_top = _all([c["top"] == x[0]["top"] for c in x[1:]])
@@ -86,15 +91,17 @@ def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str =
             "hierarchy_id", "label_verbatim", "value", run, order]
     rows = rows.select(*cols)
     facts = align_reports(rows, n_runs, run, order)
-    aligned = salted_join(align_items(rows, n_runs, run, order), facts, ["json_file"])
-    aligned = aligned.filter(~F.col("report_group").eqNullSafe(F.lit("no_table_in_all_runs")))
+    items = align_items(rows, n_runs, run, order)
+    aligned = split_join(items, facts, ["json_file"]).filter(
+        ~F.col("report_group").eqNullSafe(F.lit("no_table_in_all_runs")))
     is_match = F.col("row_type").isNull() & F.col("report_group").isNull()
 
-    counts = aligned.groupBy("json_file").agg(
-        F.count("*").alias("rows_compared"), F.count_if(is_match).alias("rows_matching"),
-        F.count_if(~is_match).alias("rows_differing"))
+    # the report's own counts need no facts, so they are reduced to one row per report before the join
+    counts = items.groupBy("json_file").agg(F.count("*").alias("n_rows"), F.count_if(F.col("row_type").isNull()).alias("n_equal"))
+    n_rows = F.when(F.col("report_group").eqNullSafe(F.lit("no_table_in_all_runs")), 0).otherwise(F.coalesce("n_rows", F.lit(0)))
+    n_match = F.when(F.col("report_group").isNull(), F.coalesce("n_equal", F.lit(0))).otherwise(0)
     f = [F.col(f"f{r}") for r in range(1, n_runs + 1)]
-    group = F.coalesce(F.col("report_group"), F.when(F.coalesce(F.col("rows_differing"), F.lit(0)) == 0, "fully_match")
+    group = F.coalesce(F.col("report_group"), F.when(n_rows == n_match, "fully_match")
                        .otherwise("partial_match"))
     # booleans are written True / False
     shown = [F.coalesce(F.initcap(x["found"].cast("string")), F.lit("")) for x in f]
@@ -105,7 +112,7 @@ def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str =
         F.concat_ws("|", *[F.when(x.isNotNull(), "yes").otherwise("no") for x in f]).alias("runs_present"),
         F.concat_ws("|", *shown).alias("table_found_by_run"),
         F.concat_ws("|", *[F.coalesce(x["year"], F.lit("")) for x in f]).alias("last_actual_year_by_run"),
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("rows_compared", "rows_matching", "rows_differing")],
+        n_rows.alias("rows_compared"), n_match.alias("rows_matching"), (n_rows - n_match).alias("rows_differing"),
         F.lit("").alias("error_by_run"))
 
     matched = aligned.filter(is_match).select("json_file", "hierarchy_id")
@@ -138,7 +145,7 @@ def _diff_rows(aligned: DataFrame, n: int) -> DataFrame:
 def matched_rows(rows: DataFrame, comparison: RunComparison, source_run: int = 1, run: str = "run_no") -> DataFrame:
     """Full rows of the source run whose key matched in every run (semi join, hot reports spread)."""
     source = rows.filter(F.col(run) == source_run)
-    return salted_join(source, comparison.matched, ["json_file", "hierarchy_id"], "left_semi")
+    return split_join(source, comparison.matched, ["json_file", "hierarchy_id"], "left_semi")
 
 
 def failed_everywhere(errors: DataFrame, known: DataFrame, n_runs: int) -> DataFrame:

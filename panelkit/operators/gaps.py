@@ -15,7 +15,7 @@ from panelkit.functions.numbers import comma_number
 from panelkit.functions.text import Col, as_col, found
 from panelkit.functions.years import effective_label, parse_year_label
 from panelkit.operators import pick
-from panelkit.operators.spread import number_rows, salted_join
+from panelkit.operators.spread import number_rows, split_join
 from panelkit.operators.waterfall import OFFSETS, candidate_reports
 
 MULTI_ENTITY = "Multi-Country Report"
@@ -124,7 +124,7 @@ def mark_superseded(reports: DataFrame, kept: DataFrame) -> DataFrame:
     obs = reports.filter("report_status = 'observation'")
     rest = reports.filter("report_status <> 'observation'")
     lost = F.col("__k") != F.struct("json_file", "year_label")
-    marked = salted_join(obs, k, ["country", "obs_year"]).withColumn(
+    marked = split_join(obs, k, ["country", "obs_year"]).withColumn(
         "report_status", F.when(lost, "observation_superseded_by_later_report").otherwise(F.col("report_status"))).drop("__k")
     return marked.select(*reports.columns).unionByName(rest)
 
@@ -312,10 +312,10 @@ def children_of_kept(rows: DataFrame, kept: DataFrame) -> DataFrame:
     """Line items of levels 1 to 3 of the observations that were kept."""
     child = (rows.withColumn("year_label", effective_label(rows.columns, year_first=False))
              .filter(F.col("level").cast("string").isin("1", "1.0", "2", "2.0", "3", "3.0"))
-             .select("json_file", "year_label", "pdf_file_name", "top_category", "hierarchy_id", "level", "parent_label",
-                     "label_verbatim", "value"))
+             .select(*[c for c in ("json_file", "year_label", "pdf_file_name", "top_category", "hierarchy_id", "level", "parent_label",
+                                   "label_verbatim", "value") if c == "year_label" or c in rows.columns]))
     key = kept.select("json_file", "year_label", "country", "year")
-    return salted_join(child, key, ["json_file", "year_label"]).drop("json_file", "year_label")
+    return split_join(child, key, ["json_file", "year_label"]).drop("json_file", "year_label")
 
 
 def drop_identified(gaps: DataFrame, prior: DataFrame, entity: str = "country", year: str = "gap_year") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelkit.functions.text import Col, as_col
 from panelkit.operators import pick
-from panelkit.operators.spread import running_sum, salted_join
+from panelkit.operators.spread import running_sum, split_join
 
 # --- fixed values: phrases of the default ranking ---------------------------------------------------
 PHRASE_WEIGHTS = {
@@ -117,7 +117,7 @@ def context_pages(pages: DataFrame, doc: str, phrases: list[str] = CONTEXT_PHRAS
     near = (pages.filter(_hits(_lower("text"), phrases) > 0).select(doc, "page_no")
             .withColumn("page_no", F.explode(F.sequence(F.col("page_no") - around, F.col("page_no") + around)))
             .distinct().withColumn("__near", F.lit(True)))
-    sized = salted_join(pages, page_counts(pages, doc), [doc])
+    sized = split_join(pages, page_counts(pages, doc), [doc])
     return (sized.join(near, [doc, "page_no"], "left")
             .filter((F.col("page_no") <= first) | (F.col("page_no") > F.col("n_pages") - last) | F.col("__near"))
             .select(doc, "page_no", "text"))

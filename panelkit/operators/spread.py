@@ -5,35 +5,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelkit.session import materialise
 
-HOT_ROWS = 1_000_000      # a key with fewer rows is ordinary work for one task
-HOT_KEYS = 1_000          # at most this many keys are salted; any other key then has < 1/1000 of the rows
-SALTS = 256
-
-
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys (at most HOT_KEYS rows, so the result may always be broadcast)."""
-    return (df.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") >= min_rows)
-            .orderBy(F.desc("__n"), *keys).limit(HOT_KEYS).select(*keys, F.lit(True).alias("__hot")))
-
-
-def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-                min_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
-    """Equi join whose hot keys are spread: rows of a hot key on the big side get one of `salts` salts, and
-    the small side repeats only its hot-key rows once per salt. Same result as a plain join for
-    inner, left, left_semi and left_anti. `small` is unique (or nearly so) on the key.
+def split_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi join whose hot keys adaptive execution can split, whatever the inputs were computed from.
+
+    A side that was just aggregated on the join key arrives already partitioned by it, and then the planner adds
+    no exchange that could be split at run time: all rows of a hot key would meet in one task. Joining on the key
+    and its hash asks for a fresh exchange of both sides; a partition that turns out too large is cut by its map
+    outputs and the matching part of `small` is read by every piece. Nothing is computed twice and nothing is
+    replicated unless a key really is hot. `small` holds few rows per key.
     """
-    columns = big.columns
-    hot = F.broadcast(hot_keys(big, on, min_rows))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(salts)).cast("int")
-    no_key = F.lit(False)
-    for c in on:
-        no_key = no_key | F.col(c).isNull()
-    b = (big.join(hot, on, "left")
-         .withColumn("__salt", F.when(F.col("__hot") | no_key, spread).otherwise(F.lit(0))).drop("__hot"))
-    s = (small.join(hot, on, "left")
-         .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                         .otherwise(F.array(F.lit(0))))).drop("__hot"))
-    return b.join(s, [*on, "__salt"], how).drop("__salt")
+    key = F.xxhash64(*[F.col(c) for c in on])
+    return big.withColumn("__h", key).join(small.withColumn("__h", key), [*on, "__h"], how).drop("__h")
 
 
 def number_rows(df: DataFrame, order: list[str | Column], name: str = "position") -> DataFrame:
@@ -57,7 +39,7 @@ def number_within(df: DataFrame, keys: list[str], order: list[Column], name: str
     """row_number() per key for keys of any size: global position minus the position the key starts at."""
     rows = number_rows(df, [*[F.col(k) for k in keys], *order], "__pos")
     start = rows.groupBy(*keys).agg(F.min("__pos").alias("__start"))
-    return (salted_join(rows, start, keys).withColumn(name, (F.col("__pos") - F.col("__start") + 1).cast("long"))
+    return (split_join(rows, start, keys).withColumn(name, (F.col("__pos") - F.col("__start") + 1).cast("long"))
             .drop("__pos", "__start"))
 
 

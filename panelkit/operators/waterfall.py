@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelkit.functions.text import blank_to_null, found
 from panelkit.operators import pick
-from panelkit.operators.spread import number_within, salted_join
+from panelkit.operators.spread import number_within, split_join
 
 # --- fixed values ----------------------------------------------------------------------------------
 OFFSETS = (2, 3, 4)
@@ -31,7 +31,7 @@ def candidate_reports(targets: DataFrame, reports: DataFrame, skip: DataFrame |
         reports = reports.join(skip.select("pdf_file_name").distinct(), "pdf_file_name", "left_anti")
     due = targets.withColumn("offset", F.explode(F.array(*[F.lit(o) for o in offsets]))) \
                  .withColumn("pub_year", F.col("gap_year") + F.col("offset"))
-    return salted_join(reports, due, ["country", "pub_year"])
+    return split_join(reports, due, ["country", "pub_year"])
 
 
 def candidate_map(targets: DataFrame, reports: DataFrame, skip: DataFrame | None = None, offsets=OFFSETS) -> DataFrame:
@@ -53,7 +53,7 @@ def candidate_map(targets: DataFrame, reports: DataFrame, skip: DataFrame | None
     before = sizes.groupBy(*TARGET).agg(F.collect_list(F.struct("offset", "n")).alias("sizes"))
     due = sizes.join(before, TARGET).withColumn("before", F.aggregate(
         F.filter("sizes", lambda s: s["offset"] < F.col("offset")), F.lit(0).cast("long"), lambda a, s: a + s["n"]))
-    ranked = salted_join(placed, due.select(*TARGET, "pub_year", "offset", "before"), ["country", "pub_year"]).select(
+    ranked = split_join(placed, due.select(*TARGET, "pub_year", "offset", "before"), ["country", "pub_year"]).select(
         *TARGET, (F.col("before") + F.col("place")).alias("rank"), F.col("pdf_file_name").alias("candidate_report"),
         F.col("offset").alias("offset_years"), F.col("report_date").alias("publication_date"))
     return targets.join(ranked, TARGET, "left").select(
@@ -122,7 +122,7 @@ def resolve(candidates: DataFrame, outcomes: DataFrame, errors_are_open: bool =
     per = tried.groupBy(*TARGET).agg(
         F.min_by(info, F.when(ends, F.col("rank"))).alias("end"), F.max_by(info, "rank").alias("last"),
         F.count("*").alias("n_candidates"))
-    attempts = (salted_join(tried, per.select(*TARGET, F.col("end.rank").alias("__end")), TARGET)
+    attempts = (split_join(tried, per.select(*TARGET, F.col("end.rank").alias("__end")), TARGET)
                 .filter(F.col("__end").isNull() | (F.col("rank") <= F.col("__end")))
                 .select(*keys, F.col("rank").alias("attempt_no"), F.col("candidate_report").alias("report"),
                         F.col("offset_years").alias("offset"), "status", *extra))
@@ -166,7 +166,7 @@ def fill_report_facts(rows: DataFrame, panel: DataFrame, facts: list[str], order
     order = F.col(order) if isinstance(order, str) else order
     known = (panel.filter(F.col("report_title").isNotNull()).groupBy("json_file")
              .agg(F.min_by(F.struct(*facts), order).alias("__k")))
-    j = salted_join(rows, known, ["json_file"], "left")
+    j = split_join(rows, known, ["json_file"], "left")
     return j.select(*[F.coalesce(blank_to_null(c), F.col(f"__k.{c}")).alias(c) if c in facts else F.col(c) for c in rows.columns])
 
 

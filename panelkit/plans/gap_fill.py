@@ -9,6 +9,7 @@ from panelkit.functions.files import json_name
 from panelkit.functions.items import CATEGORIES
 from panelkit.operators import gaps as G, waterfall as W
 from panelkit.operators.tree import flatten_tree, role_value
+from panelkit.session import materialise
 from panelkit.schema import PANEL_LAYOUT, to_panel, to_pregap, union_layout
 
 FACTS = ["publication_date", "consultation_type", "report_title", "country_report_number"]
@@ -33,8 +34,10 @@ def find_gaps(rows: DataFrame, order: str, full_range: tuple[int, int] | None =
     """
     rep = G.report_table(rows, order).join(G.top_values(rows, order), ["json_file", "year_label"], "left") \
         .withColumn("report_status", G.usage_status())
-    kept = G.kept_observations(rep)
-    rep = G.mark_superseded(rep, kept)
+    # one row per report feeds seven consumers: written once to the checkpoint folder, not computed seven times
+    rep = materialise(rep)
+    kept = materialise(G.kept_observations(rep))
+    rep = materialise(G.mark_superseded(rep, kept))
     universe = None
     if full_range is not None:
         universe = rep.select("country").filter(F.col("country").isNotNull() & (F.col("country") != G.MULTI_ENTITY))
@@ -43,7 +46,7 @@ def find_gaps(rows: DataFrame, order: str, full_range: tuple[int, int] | None =
         universe = universe.distinct()
     spans = G.span_ids(G.gap_spans(kept, "country", "year", full_range, universe), "country")
     spans = G.span_causes(spans, rep).withColumn("gap_span", G.span_label())
-    years = G.gap_years(spans)
+    years = materialise(G.gap_years(spans))
     has_audit = "column_header_audit_json" in rows.columns
     years = years.join(G.fill_preview(years, rep, has_audit), ["country", "gap_year"], "left")
     to_fill = G.drop_identified(years, already) if already is not None else years

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from panelkit.functions import items as I
 from panelkit.functions.text import blank_to_null
-from panelkit.operators.spread import salted_join
+from panelkit.operators.spread import split_join
 from panelkit.schema import PREGAP_LAYOUT, REPORT_LEVEL, ROUND_LAYOUT, SELECTION, align, layout_problems, to_pregap, union_layout
 
 
@@ -61,7 +61,7 @@ def reviewed_rows(reviews: DataFrame, items: DataFrame) -> DataFrame:
     labels = items.select("json_file", F.col("hierarchy_id").alias("__p"), F.col("label_verbatim").alias("parent_label")) \
         .groupBy("json_file", "__p").agg(F.max("parent_label").alias("parent_label"))
     rows = items.withColumn("__p", I.parent_id("hierarchy_id")).join(labels, ["json_file", "__p"], "left")
-    rows = salted_join(rows, head, ["json_file"])
+    rows = split_join(rows, head, ["json_file"])
     fixed = {"table_found": "True", "extraction_method": "human_review", "actual_column_validation_status": "human_review",
              "manual_review_required": "No"}
     rows = rows.withColumns({k: F.lit(v) for k, v in fixed.items()}).withColumns({

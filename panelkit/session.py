@@ -31,6 +31,8 @@ def local_session(app: str = "panelkit", cores: str = "8", shuffle_partitions: i
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # no call-site capture for every column expression: large plans are built several times faster
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

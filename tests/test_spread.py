@@ -8,14 +8,33 @@ from panelkit.operators import pick, spread
 from panelkit.operators.quantiles import exact_quantiles
 
 
-def test_salted_join_equals_a_plain_join(spark):
+def test_split_join_equals_a_plain_join(spark):
     rnd = random.Random(1)
     big = spark.createDataFrame([(rnd.choice([1, 1, 1, 2, 3, None]), i) for i in range(500)], "k int, v int")
     small = spark.createDataFrame([(1, "a"), (2, "b"), (9, "z")], "k int, w string")
     for how in ("inner", "left", "left_semi", "left_anti"):
         plain = sorted(map(str, big.join(small, "k", how).collect()))
-        salted = sorted(map(str, spread.salted_join(big, small, ["k"], how, min_rows=50, salts=7).collect()))
-        assert plain == salted, how
+        assert plain == sorted(map(str, spread.split_join(big, small, ["k"], how).collect())), how
+
+
+def test_a_hot_key_is_split_even_next_to_an_aggregate(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "60KB"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        big = spark.range(0, 60000, 1, 8).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        small = big.groupBy("k").agg(F.max("v").alias("m"))
+        out = spread.split_join(big, small, ["k"]).groupBy("k").agg(F.count("*").alias("n"), F.max("m").alias("m"))
+        assert out.filter("k = 7").collect()[0]["n"] == 20001
+        out = spread.split_join(big, small, ["k"])
+        assert len(out.collect()) == 60000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_number_rows_is_a_global_order(spark):

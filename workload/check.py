@@ -44,7 +44,7 @@ def main() -> None:
             rows = df.collect()
         except Exception as e:
             bad += 1
-            print(f"ERROR {n}: {str(e)[:600]}")
+            print(f"ERROR {n}: {str(e)[:400]}")
             continue
         took = time.time() - t0
         if n not in oracle:
