@@ -47,10 +47,15 @@ def audit_from_json(c: Col) -> Column:
 
 # ---- one row per (report, year label) ----------------------------------------------------------------
 
-def report_table(rows: DataFrame, order: str) -> DataFrame:
+def _is_top() -> Column:
+    return F.col("level").cast("string").isin("0", "0.0") & F.col("top_category").isin(CATEGORIES)
+
+
+def report_table(rows: DataFrame, order: str, with_values: bool = False) -> DataFrame:
     """Long rows -> one row per (json_file, effective year label) with the facts the gap work needs.
 
-    Columns a slim file lacks get their default: table found, year certain, no audit.
+    Columns a slim file lacks get their default: table found, year certain, no audit. with_values adds the six
+    category values in the same aggregate.
     """
     have = set(rows.columns)
 
@@ -59,13 +64,17 @@ def report_table(rows: DataFrame, order: str) -> DataFrame:
 
     base = rows.withColumn("year_label", effective_label(rows.columns, year_first=False))
     keys = ["json_file", "year_label"]
+    if with_values:
+        base = base.withColumn("__v", F.when(_is_top(), comma_number("value")))
+    tops = {c: F.col("top_category") == c for c in CATEGORIES} if with_values else {}
     facts = base.groupBy(*keys).agg(F.min_by(F.struct(
         F.col("pdf_file_name"), text("table_found", "TRUE").alias("table_found"),
         text("manual_review_required", "").alias("manual_review_required"),
         text("actual_column_validation_status", "").alias("actual_column_validation_status"),
         text("source_round").alias("source_round"), text("confidence").alias("confidence"),
-        text("framework").alias("framework"), text("column_header_audit_json").alias("column_header_audit_json")), order).alias("f"))
-    r = facts.select(*keys, "f.*").withColumn("file", report_file("pdf_file_name")).withColumn("y", parse_year_label("year_label"))
+        text("framework").alias("framework"), text("column_header_audit_json").alias("column_header_audit_json")), order).alias("f"),
+        *[F.min_by("__v", F.when(mine & F.col("__v").isNotNull(), F.col(order))).alias(c) for c, mine in tops.items()])
+    r = facts.select(*keys, "f.*", *tops).withColumn("file", report_file("pdf_file_name")).withColumn("y", parse_year_label("year_label"))
     return r.select(
         *keys, "pdf_file_name", normalize_entity(found("pdf_file_name", r"^(.*?)_(\d{4}-\d{2}-\d{2})", 1)).alias("country"),
         F.col("file.date").alias("report_date"), F.col("y.kind").alias("year_kind"), F.col("y.y0").alias("obs_year"),
@@ -74,13 +83,12 @@ def report_table(rows: DataFrame, order: str) -> DataFrame:
         F.coalesce((F.col("manual_review_required") == "Yes") | (F.col("actual_column_validation_status") == "manual_review"),
                    F.lit(False)).alias("year_uncertain"),
         F.coalesce(F.col("y.y0") > F.year("file.date"), F.lit(False)).alias("year_after_report_year"),
-        "source_round", "confidence", "framework", "column_header_audit_json")
+        "source_round", "confidence", "framework", "column_header_audit_json", *tops)
 
 
 def top_values(rows: DataFrame, order: str) -> DataFrame:
     """(json_file, year label) x the six category values: first value of each top line item."""
-    top = rows.filter(F.col("level").cast("string").isin("0", "0.0") & F.col("top_category").isin(CATEGORIES))
-    return (top.withColumn("year_label", effective_label(rows.columns, year_first=False))
+    return (rows.filter(_is_top()).withColumn("year_label", effective_label(rows.columns, year_first=False))
             .withColumn("v", comma_number("value")).groupBy("json_file", "year_label")
             .pivot("top_category", CATEGORIES).agg(F.min_by("v", F.when(F.col("v").isNotNull(), F.col(order)))))
 

@@ -32,8 +32,7 @@ def find_gaps(rows: DataFrame, order: str, full_range: tuple[int, int] | None =
 
     `order` is the row's place in its file; `panel_countries` (country) adds entities without any report.
     """
-    rep = G.report_table(rows, order).join(G.top_values(rows, order), ["json_file", "year_label"], "left") \
-        .withColumn("report_status", G.usage_status())
+    rep = G.report_table(rows, order, with_values=True).withColumn("report_status", G.usage_status())
     # one row per report feeds seven consumers: written once to the checkpoint folder, not computed seven times
     rep = materialise(rep)
     kept = materialise(G.kept_observations(rep))

@@ -17,8 +17,7 @@ VALUE_ID = {1: "change_in_debt", 2: "identified_flows", 3: "primary_balance", 4:
 def report_table(spark, sf, audit=False, reuse=False):
     """(long rows, one row per report with its values and usage); reuse: written once for several consumers."""
     rows = R.long_rows(spark, sf, audit)
-    rep = G.report_table(rows, "row_no").join(G.top_values(rows, "row_no"), ["json_file", "year_label"], "left")
-    rep = rep.withColumn("report_status", G.usage_status())
+    rep = G.report_table(rows, "row_no", with_values=True).withColumn("report_status", G.usage_status())
     return rows, materialise(rep) if reuse else rep
 
 
@@ -57,6 +56,12 @@ def report_latest_wins(spark, sf):
     return G.kept_observations(rep).select("country", "year", "json_file", *CATEGORIES, "n_reports", "values_agree")
 
 
+@query("top_values_wide", f"""WITH {USE} SELECT json_file, {", ".join(CATEGORIES)} FROM rep WHERE table_found AND k IN (SELECT k FROM itm WHERE level = '0')""")
+def top_values_wide(spark, sf):
+    """The six category values of every report and year, long to wide."""
+    return G.top_values(R.long_rows(spark, sf), "row_no").select("json_file", *CATEGORIES)
+
+
 @query("superseded_reports", f"""WITH {USE} SELECT o.country, o.obs_year AS year, kept.json_file AS kept_report, o.json_file AS superseded_report FROM obs o JOIN kept USING (country, obs_year) WHERE o.rn > 1""")
 def superseded_reports(spark, sf):
     """The reports behind every superseded list, one row each."""
