@@ -7,7 +7,7 @@ from panelkit.functions import items as I
 from panelkit.functions.headers import ELIGIBLE, NOT_FINAL, answer_status, explicit_not_final, status_of
 from panelkit.functions.items import CATEGORIES
 from panelkit.functions.numbers import any_minus_number
-from panelkit.functions.text import Col, as_col, blank_to_null, label_key, strip
+from panelkit.functions.text import Col, as_col, blank_to_null, label_key, let, strip
 from panelkit.functions.years import leftmost_year_token, parse_year_label
 from panelkit.operators.gaps import audit_years
 from panelkit.operators.pick import most_common
@@ -33,9 +33,12 @@ def _identity(total: Column, parts: list[Column], tolerance: float) -> tuple[Col
     return F.coalesce(F.abs(total - s) > tolerance, F.lit(False)), s
 
 
-def identity_problems(tree: Col, tolerance: float = TOLERANCE) -> Column:
-    """array<struct(code, message)> of the two accounting identities."""
-    v = {r: role_value(tree, r) for r in CATEGORIES}
+def role_values(tree: Col) -> Column:
+    """struct of the six categories' own numbers."""
+    return F.struct(*[role_value(tree, r).alias(r) for r in CATEGORIES])
+
+
+def _identity_problems(v: Column, tolerance: float = TOLERANCE) -> Column:
     chg, chg_sum = _identity(v["change_in_debt"], [v["identified_flows"], v["residual"]], tolerance)
     idf, idf_sum = _identity(v["identified_flows"], [v["primary_balance"], v["automatic_debt_dynamics"],
                                                      v["other_identified_flows"]], 1.5 * tolerance)
@@ -46,62 +49,77 @@ def identity_problems(tree: Col, tolerance: float = TOLERANCE) -> Column:
                                               v["identified_flows"], " vs ", F.round(idf_sum, 3)))))
 
 
+def identity_problems(tree: Col, tolerance: float = TOLERANCE) -> Column:
+    """array<struct(code, message)> of the two accounting identities."""
+    return let(role_values(tree), lambda v: _identity_problems(v, tolerance))
+
+
 def validate_target(target: Col, audit_columns: Col) -> Column:
     """struct(status, errors, warnings) of one answer for one target year.
 
     resolved when nothing is wrong; needs_independent_audit when only the answer's own column audit is missing
     or disagrees; otherwise rejected. An answer that is not extractable gets the status of its reason.
     """
-    t, cols = as_col(target), audit_years(as_col(audit_columns))
-    year = t["target_year"]
-    status = status_of(t["column_status"])
-    label = parse_year_label(t["matched_year_label"])
+    t = as_col(target)
     header = F.concat_ws(" ", F.coalesce(t["column_header_verbatim"], F.lit("")), F.coalesce(t["matched_year_label"], F.lit("")))
-    explicit = explicit_not_final(header)
-    mine = F.filter(cols, lambda c: (c["kind"] == "single") & (c["y0"] == year))
-    mine_status = F.get(mine, F.lit(0))["status"]
-    earlier = F.filter(cols, lambda c: (c["kind"] == "single") & (c["y0"] < year) & c["status"].isin(NOT_FINAL))
-    first_earlier = F.get(earlier, F.lit(0))
-    tree = t["decomposition"]
-    some_value = F.coalesce(*[role_value(tree, r) for r in CATEGORIES]).isNotNull()
-    one = F.size(mine) == 1
-    errors = F.array_compact(F.array(
-        _problem(~status.isin(ELIGIBLE), "status",
-                 _text("column_status is '", F.when(status == "", "missing").otherwise(status), "', not actual/historical")),
-        _problem(~((label["kind"] == "single") & label["y0"].eqNullSafe(year)), "label",
-                 _text("matched_year_label '", t["matched_year_label"], "' is not target year ", year)),
-        _problem(explicit.isNotNull(), "header_text", _text("header text is explicitly ", explicit, ": ", F.trim(header))),
-        _problem(~one, "audit_missing", _text("column audit lists ", F.size(mine), " single-year columns for ", year)),
-        _problem(one & ~mine_status.isin(ELIGIBLE), "audit_status", _text("column audit says ", year, " is '", mine_status, "'")),
-        _problem(F.size(earlier) > 0, "monotonic",
-                 _text("year ", year, " is called actual but an earlier column (", first_earlier["label"], ") is ", first_earlier["status"])),
-        _problem(~some_value, "no_values", F.lit("no numeric value found in any of the six decomposition roles"))))
-    differs = one & mine_status.isin(ELIGIBLE) & status.isin(ELIGIBLE) & (mine_status != status)
-    warnings = F.concat(
-        F.array_compact(F.array(F.when(F.coalesce(differs, F.lit(False)), _text(
-            "column_status '", status, "' differs from audit status '", mine_status, "' (both eligible)")))),
-        F.when(some_value, F.transform(identity_problems(tree), lambda p: p["message"])).otherwise(F.array().cast("array<string>")))
-    audit_only = F.forall(errors, lambda e: e["code"].isin("audit_missing", "audit_status")) & status.isin(ELIGIBLE)
-    verdict = F.when(F.size(errors) == 0, "resolved").when(audit_only, "needs_independent_audit").otherwise("rejected_not_actual")
-    asked = F.coalesce(t["extractable"], F.lit(False))
-    no_errors = F.array().cast("array<struct<code:string,message:string>>")
-    return F.struct(F.when(asked, verdict).otherwise(answer_status(t["not_extractable_reason"])).alias("status"),
-                    F.when(asked, errors).otherwise(no_errors).alias("errors"),
-                    F.when(asked, warnings).otherwise(F.array().cast("array<string>")).alias("warnings"))
+
+    def singles(cols: Column) -> Column:
+        year = t["target_year"]
+        return F.struct(F.filter(cols, lambda c: (c["kind"] == "single") & (c["y0"] == year)).alias("mine"),
+                        F.filter(cols, lambda c: (c["kind"] == "single") & (c["y0"] < year) & c["status"].isin(NOT_FINAL)).alias("earlier"))
+    # every fact is worked out once; the checks below only look at the facts
+    facts = F.struct(
+        t["target_year"].alias("year"), status_of(t["column_status"]).alias("status"), t["matched_year_label"].alias("label"),
+        parse_year_label(t["matched_year_label"]).alias("parsed"), F.trim(header).alias("header"), explicit_not_final(header).alias("explicit"),
+        let(audit_years(as_col(audit_columns)), singles).alias("audit"), role_values(t["decomposition"]).alias("values"))
+
+    def verdict(f: Column) -> Column:
+        year, status, mine, earlier = f["year"], f["status"], f["audit"]["mine"], f["audit"]["earlier"]
+        mine_status, first = F.get(mine, F.lit(0))["status"], F.get(earlier, F.lit(0))
+        one, eligible = F.size(mine) == 1, status.isin(ELIGIBLE)
+        some_value = F.coalesce(*[f["values"][c] for c in CATEGORIES]).isNotNull()
+        errors = F.array_compact(F.array(
+            _problem(~eligible, "status", _text("column_status is '", F.when(status == "", "missing").otherwise(status), "', not actual/historical")),
+            _problem(~((f["parsed"]["kind"] == "single") & f["parsed"]["y0"].eqNullSafe(year)), "label",
+                     _text("matched_year_label '", f["label"], "' is not target year ", year)),
+            _problem(f["explicit"].isNotNull(), "header_text", _text("header text is explicitly ", f["explicit"], ": ", f["header"])),
+            _problem(~one, "audit_missing", _text("column audit lists ", F.size(mine), " single-year columns for ", year)),
+            _problem(one & ~mine_status.isin(ELIGIBLE), "audit_status", _text("column audit says ", year, " is '", mine_status, "'")),
+            _problem(F.size(earlier) > 0, "monotonic",
+                     _text("year ", year, " is called actual but an earlier column (", first["label"], ") is ", first["status"])),
+            _problem(~some_value, "no_values", F.lit("no numeric value found in any of the six decomposition roles"))))
+        differs = F.coalesce(one & mine_status.isin(ELIGIBLE) & eligible & (mine_status != status), F.lit(False))
+        warnings = F.concat(
+            F.array_compact(F.array(F.when(differs, _text("column_status '", status, "' differs from audit status '", mine_status, "' (both eligible)")))),
+            F.when(some_value, F.transform(_identity_problems(f["values"]), lambda p: p["message"])).otherwise(F.array().cast("array<string>")))
+
+        def ranked(e: Column) -> Column:
+            audit_only = F.forall(e, lambda x: x["code"].isin("audit_missing", "audit_status")) & eligible
+            return F.struct(F.when(F.size(e) == 0, "resolved").when(audit_only, "needs_independent_audit").otherwise("rejected_not_actual").alias("status"),
+                            e.alias("errors"), warnings.alias("warnings"))
+        return let(errors, ranked)
+    refused = F.struct(answer_status(t["not_extractable_reason"]).alias("status"),
+                       F.array().cast("array<struct<code:string,message:string>>").alias("errors"), F.array().cast("array<string>").alias("warnings"))
+    return F.when(F.coalesce(t["extractable"], F.lit(False)), let(facts, verdict)).otherwise(refused)
 
 
 def audit_confirms(audit_columns: Col, year: Col) -> Column:
     """struct(confirmed, reason): is the year one single, actual or historical column of a second reading?"""
-    year, cols = as_col(year), audit_years(as_col(audit_columns))
-    mine = F.filter(cols, lambda c: (c["kind"] == "single") & (c["y0"] == year))
-    status = F.get(mine, F.lit(0))["status"]
-    earlier = F.exists(cols, lambda c: (c["kind"] == "single") & F.coalesce(c["y0"] < year, F.lit(False)) & c["status"].isin(NOT_FINAL))
-    reason = (F.when(F.size(mine) != 1, _text("independent audit lists ", F.size(mine), " single-year columns for ", year))
-              .when(~status.isin(ELIGIBLE), _text("independent audit says ", year, " is '", status, "'"))
-              .when(earlier, F.lit("independent audit shows an earlier year that is estimate/projection"))
-              .otherwise(_text("independent audit confirms ", year, " as ", status)))
-    return F.struct(((F.size(mine) == 1) & F.coalesce(status.isin(ELIGIBLE), F.lit(False)) & ~earlier).alias("confirmed"),
-                    reason.alias("reason"))
+    year = as_col(year)
+
+    def facts(cols: Column) -> Column:
+        mine = F.filter(cols, lambda c: (c["kind"] == "single") & (c["y0"] == year))
+        earlier = F.exists(cols, lambda c: (c["kind"] == "single") & F.coalesce(c["y0"] < year, F.lit(False)) & c["status"].isin(NOT_FINAL))
+        return F.struct(F.size(mine).alias("n"), F.get(mine, F.lit(0))["status"].alias("status"), earlier.alias("earlier"))
+
+    def verdict(f: Column) -> Column:
+        ok = F.coalesce(f["status"].isin(ELIGIBLE), F.lit(False))
+        reason = (F.when(f["n"] != 1, _text("independent audit lists ", f["n"], " single-year columns for ", year))
+                  .when(~ok, _text("independent audit says ", year, " is '", f["status"], "'"))
+                  .when(f["earlier"], F.lit("independent audit shows an earlier year that is estimate/projection"))
+                  .otherwise(_text("independent audit confirms ", year, " as ", f["status"])))
+        return F.struct(((f["n"] == 1) & ok & ~f["earlier"]).alias("confirmed"), reason.alias("reason"))
+    return let(audit_years(as_col(audit_columns)), lambda cols: let(facts(cols), verdict))
 
 
 # ---- self-check of a chosen column, and the second reading --------------------------------------------
@@ -119,35 +137,38 @@ def selection_problems(source: Col, check_later: bool = True, token=leftmost_yea
     """
     s = as_col(source)
     audit = s["column_header_audit"]
-    year, label = token(s["last_actual_year"]), token(s["actual_column_label"])
     header = F.lower(F.concat_ws(" ", F.coalesce(s["actual_column_label"], F.lit("")),
                                  F.coalesce(s["actual_column_header_verbatim"], F.lit(""))))
-    explicit = explicit_not_final(header)
-    chosen = _selected(audit["columns"])
-    has = chosen.isNotNull()
-    audit_year, selected_year = token(chosen["year_label"]), token(audit["selected_year"])
-    problems = [
-        _problem(year.isNull(), "no_year", F.lit("last_actual_year is missing or has no recognizable year")),
-        _problem(label.isNull(), "no_label", F.lit("actual_column_label is missing or has no recognizable year")),
-        _problem(year != label, "year_label", _text("last_actual_year ", year, " differs from actual_column_label ", label)),
-        _problem(~status_of(s["actual_column_status"]).isin(ELIGIBLE), "status", _text(
-            "actual_column_status is not eligible: ", F.coalesce(s["actual_column_status"], F.lit("missing")))),
-        _problem(explicit.isNotNull(), "header_text", _text("selected header is explicitly ", explicit)),
-        _problem(~has, "not_one_selected", F.lit("column_header_audit must contain exactly one selected column")),
-        _problem(has & ~status_of(chosen["status"]).isin(ELIGIBLE), "audit_status", _text(
-            "selected audit column has ineligible status: ", F.coalesce(chosen["status"], F.lit("missing")))),
-        _problem(has & (audit_year != year), "audit_year", _text("column_header_audit selects ", audit_year, ", last_actual_year is ", year)),
-        _problem(has & (selected_year != year), "selected_year",
-                 _text("column_header_audit selects ", selected_year, ", last_actual_year is ", year)),
-    ]
-    if check_later:
-        at = chosen["position"].try_cast("double")
-        later = F.filter(audit["columns"], lambda c: (F.coalesce(c["position"].try_cast("double"), F.lit(0.0)) > at)
-                         & status_of(c["status"]).isin(ELIGIBLE))
-        problems.append(_problem(has & (F.size(later) > 0), "later_column", _text(
-            "column_header_audit lists later eligible column(s) not selected: ",
-            F.array_join(F.transform(later, lambda c: c["year_label"]), ", "))))
-    return F.array_compact(F.array(*problems))
+    facts = F.struct(token(s["last_actual_year"]).alias("year"), token(s["actual_column_label"]).alias("label"),
+                     s["actual_column_status"].alias("status"), explicit_not_final(header).alias("explicit"),
+                     _selected(audit["columns"]).alias("chosen"), token(audit["selected_year"]).alias("selected"), audit["columns"].alias("columns"))
+
+    def check(f: Column) -> Column:
+        year, chosen, has = f["year"], f["chosen"], f["chosen"].isNotNull()
+        audit_year = token(chosen["year_label"])
+        problems = [
+            _problem(year.isNull(), "no_year", F.lit("last_actual_year is missing or has no recognizable year")),
+            _problem(f["label"].isNull(), "no_label", F.lit("actual_column_label is missing or has no recognizable year")),
+            _problem(year != f["label"], "year_label", _text("last_actual_year ", year, " differs from actual_column_label ", f["label"])),
+            _problem(~status_of(f["status"]).isin(ELIGIBLE), "status", _text(
+                "actual_column_status is not eligible: ", F.coalesce(f["status"], F.lit("missing")))),
+            _problem(f["explicit"].isNotNull(), "header_text", _text("selected header is explicitly ", f["explicit"])),
+            _problem(~has, "not_one_selected", F.lit("column_header_audit must contain exactly one selected column")),
+            _problem(has & ~status_of(chosen["status"]).isin(ELIGIBLE), "audit_status", _text(
+                "selected audit column has ineligible status: ", F.coalesce(chosen["status"], F.lit("missing")))),
+            _problem(has & (audit_year != year), "audit_year", _text("column_header_audit selects ", audit_year, ", last_actual_year is ", year)),
+            _problem(has & (f["selected"] != year), "selected_year",
+                     _text("column_header_audit selects ", f["selected"], ", last_actual_year is ", year)),
+        ]
+        if check_later:
+            at = chosen["position"].try_cast("double")
+            later = F.filter(f["columns"], lambda c: (F.coalesce(c["position"].try_cast("double"), F.lit(0.0)) > at)
+                             & status_of(c["status"]).isin(ELIGIBLE))
+            problems.append(_problem(has & (F.size(later) > 0), "later_column", _text(
+                "column_header_audit lists later eligible column(s) not selected: ",
+                F.array_join(F.transform(later, lambda c: c["year_label"]), ", "))))
+        return F.array_compact(F.array(*problems))
+    return let(facts, check)
 
 
 def reconcile(first_year: Col, problems: Col, audit_columns: Col, checked: Col) -> Column:
@@ -155,10 +176,13 @@ def reconcile(first_year: Col, problems: Col, audit_columns: Col, checked: Col)
 
     checked = the second reading took place. accepted, accepted_with_warning or manual_review.
     """
-    first, n = as_col(first_year), F.size(as_col(problems))
-    chosen = _selected(as_col(audit_columns))
-    audited, status = leftmost_year_token(chosen["year_label"]), status_of(chosen["status"])
-    ok = as_col(checked)
+    first, ok = as_col(first_year), as_col(checked)
+    facts = let(_selected(as_col(audit_columns)), lambda c: F.struct(
+        F.size(as_col(problems)).alias("n"), leftmost_year_token(c["year_label"]).alias("audited"), status_of(c["status"]).alias("status")))
+    return let(facts, lambda f: _reconciled(first, f["n"], f["audited"], f["status"], ok))
+
+
+def _reconciled(first: Column, n: Column, audited: Column, status: Column, ok: Column) -> Column:
     confirmed = F.coalesce((audited == first) & status.isin(ELIGIBLE), F.lit(False))
     verdict = (F.when(~ok, F.when(n > 0, "manual_review").otherwise("accepted"))
                .when(confirmed, F.when(n > 0, "accepted_with_warning").otherwise("accepted")).otherwise("manual_review"))
@@ -174,11 +198,11 @@ def numeric_reread(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
     first, second: (key, label_verbatim, value). A label that occurs twice in the first reading keeps its last
     value, so `first` may carry an `ord` column.
     """
-    named = first.filter(F.coalesce("label_verbatim", F.lit("")) != "").withColumn("k", label_key("label_verbatim"))
+    named = first.filter(F.coalesce("label_verbatim", F.lit("")) != "").withColumn("__l", label_key("label_verbatim"))
     order = F.col("ord") if "ord" in first.columns else F.col("value")
-    a = named.groupBy(key, "k").agg(F.max_by(F.struct(F.col("value").alias("first_value")), order).alias("a"))
-    b = second.withColumn("k", label_key("label_verbatim"))
-    return b.join(a, [key, "k"]).groupBy(key).agg(
+    a = named.groupBy(key, "__l").agg(F.max_by(F.struct(F.col("value").alias("first_value")), order).alias("a"))
+    b = second.withColumn("__l", label_key("label_verbatim"))
+    return b.join(a, [key, "__l"]).groupBy(key).agg(
         F.count("*").alias("rows_compared"), F.count_if(~F.col("a.first_value").eqNullSafe(F.col("value"))).alias("disagreements"))
 
 
