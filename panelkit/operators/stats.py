@@ -131,7 +131,7 @@ def over_representation(sample: DataFrame, part: DataFrame, group: str) -> DataF
 
 def crosstab(df: DataFrame, row: str, column: str, values: list[str]) -> DataFrame:
     """Counts of row x column for an explicit list of column values."""
-    return df.groupBy(row).pivot(column, values).agg(F.count("*")).na.fill(0)
+    return df.groupBy(row).pivot(column, values).agg(F.count(F.lit(1))).na.fill(0)
 
 
 # ---- contributions ----------------------------------------------------------------------------------------
