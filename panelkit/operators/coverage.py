@@ -34,15 +34,19 @@ def load_values(rows: DataFrame, ids: list[str] | None = None, keep: list[str] =
     if ids is not None:
         df = df.filter(F.col("hierarchy_id").isin(list(ids)))
     df = (df.withColumn("effective_year", effective_year(effective_label(df.columns)))
-          .withColumn("value_num", strict_number("value")).filter("effective_year is not null and value_num is not null")
-          .withColumn("country_norm", normalize_entity("country")).withColumn("country_key", F.lower("country_norm")))
-    labels = pick.most_common(df, ["country_key"], "country_norm", "country_label")
-    return df.join(labels, "country_key").drop("country_norm", "year", "last_actual_year")
+          .withColumn("value_num", strict_number("value")).filter("effective_year is not null and value_num is not null"))
+    # names are normalised once per spelling, not once per row
+    spellings = df.groupBy("country").agg(F.count("*").alias("__n")).withColumn("__norm", normalize_entity("country")) \
+        .withColumn("country_key", F.lower("__norm"))
+    labels = spellings.groupBy("country_key", "__norm").agg(F.sum("__n").alias("__n")).groupBy("country_key").agg(
+        F.min_by("__norm", F.struct(-F.col("__n"), F.col("__norm"))).alias("country_label"))
+    names = spellings.select("country", "country_key").join(labels, "country_key")
+    return df.join(names, "country").drop("year", "last_actual_year")
 
 
 def universe(rows: DataFrame, key=entity_key) -> DataFrame:
     """Every entity of the file, also one without any usable value."""
-    return rows.filter("country is not null").select(key("country").alias("country_key")).distinct()
+    return rows.filter("country is not null").select("country").distinct().select(key("country").alias("country_key")).distinct()
 
 
 def year_grid(entities: DataFrame, first: int, last: int, year: str = "year") -> DataFrame:
@@ -168,7 +172,7 @@ def duplicate_detail(values: DataFrame, tolerance: float = 0.05) -> DataFrame:
 def observed_reports(rows: DataFrame) -> DataFrame:
     """(country_key, year) with a report of rounds 1 to 3, whatever was read from it."""
     # a missing source is not gap fill
-    return (rows.filter(~F.col("source_round").eqNullSafe(F.lit("gapfill")))
+    return (rows.filter(~F.col("source_round").eqNullSafe(F.lit("gapfill"))).select("country", "last_actual_year").distinct()
             .select(F.lower(normalize_entity("country")).alias("country_key"),
                     effective_year(F.coalesce(blank_to_null("last_actual_year"), F.lit(""))).alias("year"))
             .filter("year is not null").distinct())
@@ -244,7 +248,8 @@ def later_report_by_year(cells: DataFrame, report_years: DataFrame, k: int) -> D
 def panel_stats(rows: DataFrame, year: str = "year") -> DataFrame:
     """(measure, item, n): rows, reports, entities, country-years, rows by source and by origin."""
     from panelkit.functions.names import report_entity
-    cy = rows.select(report_entity("pdf_file_name", "country").alias("c"), F.coalesce(year, F.lit("")).alias("y")).distinct()
+    cy = rows.select("pdf_file_name", "country", F.coalesce(year, F.lit("")).alias("y")).distinct() \
+        .select(report_entity("pdf_file_name", "country").alias("c"), "y").distinct()
 
     def count(df: DataFrame, measure: str) -> DataFrame:
         return df.agg(F.count("*").alias("n")).select(F.lit(measure).alias("measure"), F.lit(None).cast("string").alias("item"), "n")

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelkit.functions.text import Col, as_col
+from panelkit.functions.text import Col, as_col, let
 from panelkit.operators import pick
 from panelkit.operators.spread import running_sum, split_join
 
@@ -60,15 +60,14 @@ def _hits(low: Column, phrases: list[str]) -> Column:
     return reduce(lambda a, b: a + b, [F.contains(low, F.lit(p)).cast("int") for p in phrases], F.lit(0))
 
 
-def matched_phrases(text: Col, phrases: list[str]) -> Column:
-    low = _lower(text)
+def matched_phrases(low: Column, phrases: list[str]) -> Column:
+    """The phrases found in a lower-case text."""
     return F.array_compact(F.array(*[F.when(F.contains(low, F.lit(p)), F.lit(p)) for p in phrases]))
 
 
-def phrase_score(text: Col, weights: dict[str, int] = PHRASE_WEIGHTS, title: list[str] = TITLE_PHRASES,
+def phrase_score(low: Column, weights: dict[str, int] = PHRASE_WEIGHTS, title: list[str] = TITLE_PHRASES,
                  rows: list[str] = ROW_PHRASES) -> Column:
-    """Sum of the weights of the phrases on a page + title bonus + bonus for two row phrases."""
-    low = _lower(text)
+    """Sum of the weights of the phrases in a lower-case text + title bonus + bonus for two row phrases."""
     base = reduce(lambda a, b: a + b, [F.when(F.contains(low, F.lit(p)), w).otherwise(0) for p, w in weights.items()])
     return (base + F.when(_hits(low, title) > 0, TITLE_BONUS).otherwise(0) + F.when(_hits(low, rows) >= 2, ROW_BONUS).otherwise(0))
 
@@ -91,11 +90,14 @@ def _top(scored: DataFrame, doc: str, order: list[Column], n: int) -> DataFrame:
 def keyword_pages(pages: DataFrame, doc: str, weights=PHRASE_WEIGHTS, title=TITLE_PHRASES, rows=ROW_PHRASES,
                   min_score: int = MIN_SCORE, top: int = 5, around: int = 2) -> DataFrame:
     """Top pages per document (score desc, page asc) with the page range around each, clipped to the document."""
-    s = pages.select(doc, "page_no", phrase_score("text", weights, title, rows).alias("score"),
-                     looks_like_image("text").alias("likely_image_based"),
-                     matched_phrases("text", list(weights)).alias("matched_phrases"),
-                     (_hits(_lower("text"), rows) > 0).alias("has_row_phrase"))
-    best = _top(s.filter(F.col("score") >= min_score), doc, [F.desc("score"), F.asc("page_no")], top)
+    # the lower-case text is bound once for all phrase tests; the other facts are worked out for hits only
+    score = let(_lower("text"), lambda low: phrase_score(low, weights, title, rows))
+    s = pages.select(doc, "page_no", "text", score.alias("score")).filter(F.col("score") >= min_score)
+    facts = let(_lower("text"), lambda low: F.struct(matched_phrases(low, list(weights)).alias("matched_phrases"),
+                                                     (_hits(low, rows) > 0).alias("has_row_phrase")))
+    s = s.select(doc, "page_no", "score", looks_like_image("text").alias("likely_image_based"), facts.alias("__f")) \
+        .select(doc, "page_no", "score", "likely_image_based", "__f.*")
+    best = _top(s, doc, [F.desc("score"), F.asc("page_no")], top)
     return best.join(page_counts(pages, doc), doc).select(
         doc, "rank", "page_no", "score", F.greatest(F.lit(1), F.col("page_no") - around).alias("start_page"),
         F.least("n_pages", F.col("page_no") + around).alias("end_page"), "likely_image_based", "matched_phrases", "has_row_phrase")
@@ -103,9 +105,9 @@ def keyword_pages(pages: DataFrame, doc: str, weights=PHRASE_WEIGHTS, title=TITL
 
 def keyword_pages_by_count(pages: DataFrame, doc: str, phrases: list[str], bonus_phrase: str, top: int = 5) -> DataFrame:
     """Older ranking: number of phrases, + 5 for one of them; later pages win ties; ranges from -1 to +4."""
-    low = F.lower("text")
-    n = _hits(low, phrases)
-    s = pages.select(doc, "page_no", n.alias("n"), (n + F.when(F.contains(low, F.lit(bonus_phrase)), 5).otherwise(0)).alias("score"))
+    facts = let(F.lower("text"), lambda low: F.struct(
+        _hits(low, phrases).alias("n"), F.when(F.contains(low, F.lit(bonus_phrase)), 5).otherwise(0).alias("bonus")))
+    s = pages.select(doc, "page_no", facts.alias("f")).select(doc, "page_no", "f.n", (F.col("f.n") + F.col("f.bonus")).alias("score"))
     best = _top(s.filter("n > 0"), doc, [F.desc("score"), F.desc("page_no")], top)
     return best.select(doc, "rank", "page_no", "score", F.greatest(F.lit(1), F.col("page_no") - 1).alias("start_page"),
                        (F.col("page_no") + 4).alias("end_page"))
@@ -114,7 +116,7 @@ def keyword_pages_by_count(pages: DataFrame, doc: str, phrases: list[str], bonus
 def context_pages(pages: DataFrame, doc: str, phrases: list[str] = CONTEXT_PHRASES, first: int = 10, last: int = 30,
                   around: int = 2) -> DataFrame:
     """Pages to show as context: the first, the last, and every page near a phrase (doc, page_no, text)."""
-    near = (pages.filter(_hits(_lower("text"), phrases) > 0).select(doc, "page_no")
+    near = (pages.filter(let(_lower("text"), lambda low: _hits(low, phrases) > 0)).select(doc, "page_no")
             .withColumn("page_no", F.explode(F.sequence(F.col("page_no") - around, F.col("page_no") + around)))
             .distinct().withColumn("__near", F.lit(True)))
     sized = split_join(pages, page_counts(pages, doc), [doc])

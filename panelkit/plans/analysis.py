@@ -14,9 +14,13 @@ def country_year_panel(rows: DataFrame, item: str, ties: list[Column], years: tu
     """One value per entity and year of one line item: best source first, then `ties` (smallest wins)."""
     v = C.load_values(rows, [item], keep).withColumn("country_key", entity_key("country"))
     best = pick.by_priority(v, ["country_key", "effective_year"], "source_round", C.PRIORITY, ties)
-    label = pick.most_common(best, ["country_key"], "country_label", "label")
-    out = best.join(label, "country_key").select(F.col("label").alias("country"), "country_key", F.col("effective_year").alias("year"),
-                                                 F.col("value_num").alias("value"), "source_round")
+    # one row per year is left of every entity, so its years fit one row; the label is the most common one among them
+    row = F.struct(F.col("effective_year").alias("year"), F.col("value_num").alias("value"), "source_round", F.col("country_label").alias("l"))
+    per = best.groupBy("country_key").agg(F.collect_list(row).alias("ys"))
+    counted = F.transform(F.array_distinct("ys.l"), lambda l: F.named_struct(
+        F.lit("n"), -F.size(F.filter("ys.l", lambda x: x == l)), F.lit("l"), l))
+    out = per.select("country_key", F.array_min(counted)["l"].alias("country"), F.explode("ys").alias("y")) \
+        .select("country", "country_key", "y.year", "y.value", "y.source_round")
     return out.filter(F.col("year").between(*years)) if years else out
 
 

@@ -12,7 +12,19 @@ from panelkit.functions.items import CATEGORIES
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread_scan(spark.read.parquet(f"{sf}/{name}.parquet"))
+
+
+def spread_scan(df: DataFrame, least_bytes: int = 1 << 20) -> DataFrame:
+    """A file of one row group is read by one task; its rows are dealt out to all cores.
+
+    Only inputs with fewer scan tasks than cores are touched: a table of many files stays as it is. Filters and
+    column pruning still reach the scan.
+    """
+    plan = df._jdf.queryExecution()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    small = int(str(plan.optimizedPlan().stats().sizeInBytes())) < least_bytes
+    return df if small or plan.toRdd().getNumPartitions() >= cores else df.repartition(cores)
 
 
 def text(*parts) -> Column:
