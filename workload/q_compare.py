@@ -78,16 +78,16 @@ def diff_type_counts(spark, sf):
     return C.diff_type_counts(comparison(spark, sf).diffs)
 
 
-ERROR_SQL = """err AS (SELECT r AS run_no, replace(stem, 'Customer', 'Lost') AS stem, CASE WHEN (k + r) % 3 = 0 THEN ' ' ELSE 'error ' || (k % 10) END AS message FROM rpt, (VALUES (1), (2), (3)) t(r) WHERE k % 5 = 0 AND (k + r) % 2 = 0
-  UNION ALL SELECT 1, stem, 'late' FROM rpt WHERE k % 10 = 0)"""
+ERROR_SQL = """err AS (SELECT r AS run_no, replace(stem, 'Customer', 'Lost') AS stem, CASE WHEN (k + r) % 3 = 0 THEN ' ' ELSE 'error ' || (k % 10) END AS message FROM rpt, (VALUES (1), (2), (3)) t(r) WHERE source_round = 'round3' AND (k + r) % 2 = 0
+  UNION ALL SELECT 1, stem, 'late' FROM rpt WHERE framework = 'SRDSF')"""
 
 
 def errors(spark, sf):
     """Error files of three runs: of reports no run could read, and of some that were read elsewhere."""
     r, k = R.reports(spark, sf), F.col("k")
-    lost = r.filter(k % 5 == 0).withColumn("run_no", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))).filter((k + F.col("run_no")) % 2 == 0)
+    lost = r.filter("source_round = 'round3'").withColumn("run_no", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))).filter((k + F.col("run_no")) % 2 == 0)
     lost = lost.select("run_no", F.replace("stem", F.lit("Customer"), F.lit("Lost")).alias("stem"), F.when((k + F.col("run_no")) % 3 == 0, " ").otherwise(R.text("error ", k % 10)).alias("message"))
-    return lost.unionByName(r.filter(k % 10 == 0).select(F.lit(1).alias("run_no"), "stem", F.lit("late").alias("message")))
+    return lost.unionByName(r.filter("framework = 'SRDSF'").select(F.lit(1).alias("run_no"), "stem", F.lit("late").alias("message")))
 
 
 def _m(r):

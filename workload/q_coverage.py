@@ -146,12 +146,12 @@ def duplicate_conflicts(spark, sf):
 
 # ---- availability ----------------------------------------------------------------------------------------------
 TARGETS = """tg AS (SELECT lower(country) AS country_key, CAST(obs + 1 AS INT) AS year, CASE k % 9 WHEN 0 THEN 'resolved' WHEN 1 THEN 'unresolved' WHEN 2 THEN 'pending_api_error' WHEN 3 THEN 'unresolved_no_candidate_reports' WHEN 4 THEN 'resolved_with_warning' ELSE 'pending_not_run' END AS s,
-  'run' || (k % 2 + 1) AS r, 'G' || k AS gap_id FROM rpt WHERE k % 4 = 0), tgb AS (SELECT * FROM tg QUALIFY row_number() OVER (PARTITION BY country_key, year ORDER BY CASE s WHEN 'resolved' THEN 0 WHEN 'resolved_with_warning' THEN 0 WHEN 'unresolved' THEN 1
+  'run' || (k % 2 + 1) AS r, 'G' || k AS gap_id FROM rpt), tgb AS (SELECT * FROM tg QUALIFY row_number() OVER (PARTITION BY country_key, year ORDER BY CASE s WHEN 'resolved' THEN 0 WHEN 'resolved_with_warning' THEN 0 WHEN 'unresolved' THEN 1
   WHEN 'pending_api_error' THEN 2 WHEN 'unresolved_no_candidate_reports' THEN 3 ELSE 4 END, r, s, gap_id) = 1)"""
 
 
 def targets(spark, sf):
-    r, k = R.reports(spark, sf).filter("k % 4 = 0"), F.col("k") % 9
+    r, k = R.reports(spark, sf), F.col("k") % 9
     status = R.case(F.lit("pending_not_run"), (k == 0, F.lit("resolved")), (k == 1, F.lit("unresolved")), (k == 2, F.lit("pending_api_error")), (k == 3, F.lit("unresolved_no_candidate_reports")), (k == 4, F.lit("resolved_with_warning")))
     res = r.select("country", (F.col("obs") + 1).alias("gap_year"), status.alias("final_status"), R.text("run", F.col("k") % 2 + 1).alias("gapfill_run"), R.text("G", F.col("k")).alias("gap_id"))
     return C.best_targets(res, ["run1", "run2"])

@@ -97,14 +97,14 @@ def union_and_region_filter(spark, sf):
     return c.select("c_custkey", names.is_union(s).alias("is_union"), names.is_regional(s).alias("is_regional"))
 
 
-@query("split_reports", f"""WITH {R.REPORTS}, p AS (SELECT DISTINCT lower('Customer ' || c_custkey) AS key FROM customer WHERE c_custkey % 6 <> 0)
+@query("split_reports", f"""WITH {R.REPORTS}, p AS (SELECT DISTINCT lower('Customer ' || c_custkey) AS key FROM customer WHERE c_mktsegment <> 'BUILDING')
 SELECT kept_as, count(*) AS n FROM (SELECT CASE WHEN k % 19 = 0 THEN 'regional' WHEN p.key IS NULL THEN 'outside_panel' ELSE 'kept' END AS kept_as
   FROM rpt LEFT JOIN p ON lower(rpt.country) = p.key) GROUP BY 1""")
 def split_reports(spark, sf):
     """Regional reports, reports of entities outside the panel, kept reports."""
     r = R.reports(spark, sf).select(F.when(F.col("k") % 19 == 0, R.text("Cluster ", F.col("country"))).otherwise(F.col("country")).alias("entity_raw"), "country")
     r = r.withColumn("entity_key", F.lower("country"))
-    ent = R.table(spark, sf, "customer").filter("c_custkey % 6 <> 0").select(F.lower(R.text("Customer ", F.col("c_custkey"))).alias("entity_key"))
+    ent = R.table(spark, sf, "customer").filter("c_mktsegment <> 'BUILDING'").select(F.lower(R.text("Customer ", F.col("c_custkey"))).alias("entity_key"))
     return names.split_reports(r, ent).groupBy("kept_as").agg(F.count("*").alias("n"))
 
 

@@ -84,13 +84,13 @@ def context_text(spark, sf):
 @query("next_candidate_page", f"""WITH {PAGES}, {RANK}, loc AS (SELECT conv_id AS doc, CASE WHEN turn % 4 = 3 THEN NULL ELSE CAST(turn % 4 + 1 AS INT) END AS rank, CAST(turn AS INT) AS ord, CAST(turn AS INT) AS s, CAST(turn + 3 AS INT) AS e FROM conversations),
 lr AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY coalesce(rank, 99), ord) AS r FROM loc), lc AS (SELECT doc, coalesce(rank, 99) AS rank, ord, greatest(1, least(s, n_pages)) AS s, least(n_pages, greatest(greatest(1, least(s, n_pages)), e)) AS e FROM lr JOIN np USING (doc) WHERE r > 1),
 op AS (SELECT doc, 0 AS kind, rank AS place, 0 AS ord, start_page, end_page, page_no AS primary_page FROM kw WHERE hr UNION ALL SELECT doc, 1, rank, ord, s, e, CAST((s + e) // 2 AS INT) FROM lc)
-SELECT doc, kind, place, start_page, end_page, primary_page FROM op WHERE primary_page % 3 > 0 QUALIFY row_number() OVER (PARTITION BY doc ORDER BY kind, place, ord) = 1""")
+SELECT doc, kind, place, start_page, end_page, primary_page FROM op WHERE NOT EXISTS (SELECT 1 FROM conversations v WHERE v.conv_id = doc AND v.turn + 1 = primary_page AND v.role = 'system') QUALIFY row_number() OVER (PARTITION BY doc ORDER BY kind, place, ord) = 1""")
 def next_candidate_page(spark, sf):
     """The next page range that was not sent yet: keyword pages, then the locator's lower ranks."""
     p, c = pages(spark, sf), R.table(spark, sf, "conversations")
     located = c.select(F.col("conv_id").alias("doc"), F.when(F.col("turn") % 4 < 3, F.col("turn") % 4 + 1).cast("int").alias("rank"), F.col("turn").cast("int").alias("ord"),
                        F.col("turn").cast("int").alias("start_page"), (F.col("turn") + 3).cast("int").alias("end_page"))
-    sent = p.filter("page_no % 3 = 0").select("doc", F.col("page_no").alias("primary_page"))
+    sent = c.filter("role = 'system'").select(F.col("conv_id").alias("doc"), (F.col("turn") + 1).cast("int").alias("primary_page"))
     return P.next_candidate(ranked(p), located, sent, P.page_counts(p, "doc"), "doc").select("doc", "kind", "place", "start_page", "end_page", "primary_page")
 
 

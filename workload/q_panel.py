@@ -17,16 +17,17 @@ from workload.registry import query
 
 
 def parts(spark, sf):
-    """(previous panel, new rows of rounds 1 and 2, dropped reports): a third of the reports is on both sides."""
+    """(previous panel, new rows of rounds 1 and 2, dropped reports): the reports of rounds 1 and 2 are on both sides
+    where the previous panel has them."""
     rows = R.long_rows(spark, sf).filter("hierarchy_id is not null")
-    old = rows.filter("k % 3 < 2").withColumn("value", R.text("old ", F.col("value")))
-    r1 = L.to_pregap(rows.filter("k % 3 > 0 and source_round = 'round1'"), "round1")
-    r2 = L.to_pregap(rows.filter("k % 3 > 0 and source_round = 'round2'"), "round2")
-    return old, [r1, r2], R.reports(spark, sf).filter("k % 77 = 0").select("json_file")
+    old = rows.filter("framework <> 'MAC_DSA'").withColumn("value", R.text("old ", F.col("value")))
+    r1 = L.to_pregap(rows.filter("source_round = 'round1'"), "round1")
+    r2 = L.to_pregap(rows.filter("source_round = 'round2'"), "round2")
+    return old, [r1, r2], R.reports(spark, sf).filter("framework = 'SRDSF' and source_round = 'round2'").select("json_file")
 
 
-MERGE = f"""{R.LONG}, itmr AS (SELECT * FROM rws WHERE hierarchy_id IS NOT NULL AND k % 77 <> 0), nw AS (SELECT * FROM itmr WHERE k % 3 > 0 AND source_round IN ('round1', 'round2')),
-od AS (SELECT * FROM itmr WHERE k % 3 < 2 AND source_round <> 'gapfill')"""
+MERGE = f"""{R.LONG}, itmr AS (SELECT * FROM rws WHERE hierarchy_id IS NOT NULL AND NOT (framework = 'SRDSF' AND source_round = 'round2')), nw AS (SELECT * FROM itmr WHERE source_round IN ('round1', 'round2')),
+od AS (SELECT * FROM itmr WHERE framework <> 'MAC_DSA' AND source_round <> 'gapfill')"""
 M_COLS = "json_file, hierarchy_id, last_actual_year, {v} AS value, source_round, '{o}' AS update_origin"
 
 
@@ -43,7 +44,7 @@ def build_panel_keep_previous(spark, sf):
     return B.build_panel(old, new, dropped, replace=False).rows.select("json_file", "hierarchy_id", "last_actual_year", "value", "source_round", "update_origin")
 
 
-@query("duplicate_reports", f"""WITH {MERGE.replace(' AND k % 77 <> 0', '')} SELECT json_file FROM nw INTERSECT SELECT json_file FROM od""")
+@query("duplicate_reports", f"""WITH {MERGE.replace(" AND NOT (framework = 'SRDSF' AND source_round = 'round2')", '')} SELECT json_file FROM nw INTERSECT SELECT json_file FROM od""")
 def duplicate_reports(spark, sf):
     """Reports that are in the previous panel and among the new rows."""
     old, new, _ = parts(spark, sf)
@@ -187,13 +188,13 @@ def second_reading(spark, sf):
 
 
 @query("numeric_reread", f"""WITH {R.LONG}, f AS (SELECT k, trim(regexp_replace(lower(label_verbatim), '[^a-z0-9]+', ' ', 'g')) AS key, arg_max(value, row_no) AS v FROM rws WHERE hierarchy_id IS NOT NULL GROUP BY 1, 2),
-s AS (SELECT k, trim(regexp_replace(lower(label_verbatim), '[^a-z0-9]+', ' ', 'g')) AS key, CASE WHEN row_no % 9 = 0 THEN '1' ELSE value END AS v2 FROM rws WHERE hierarchy_id IS NOT NULL AND row_no % 4 <> 0)
+s AS (SELECT k, trim(regexp_replace(lower(label_verbatim), '[^a-z0-9]+', ' ', 'g')) AS key, CASE WHEN row_no % 9 = 0 THEN '1' ELSE value END AS v2 FROM rws WHERE hierarchy_id IS NOT NULL AND top_category <> 'residual')
 SELECT k, count(*) AS rows_compared, count(*) FILTER (WHERE v IS DISTINCT FROM v2) AS disagreements, CASE WHEN count(*) < 3 OR count(*) FILTER (WHERE v IS DISTINCT FROM v2) > 0 THEN 'manual_review' ELSE 'passed' END AS status FROM s JOIN f USING (k, key) GROUP BY 1""")
 def numeric_reread(spark, sf):
     """A second reading of the values: labels are matched loosely, differing values counted."""
     rows = R.long_rows(spark, sf).filter("hierarchy_id is not null")
     first = rows.select("k", "label_verbatim", "value", F.col("row_no").alias("ord"))
-    second = rows.filter("row_no % 4 <> 0").select("k", F.upper("label_verbatim").alias("label_verbatim"), F.when(F.col("row_no") % 9 == 0, "1").otherwise(F.col("value")).alias("value"))
+    second = rows.filter("top_category <> 'residual'").select("k", F.upper("label_verbatim").alias("label_verbatim"), F.when(F.col("row_no") % 9 == 0, "1").otherwise(F.col("value")).alias("value"))
     return Q.numeric_reread(first, second, "k").withColumn("status", Q.numeric_status(F.lit(9), F.lit(True), F.lit(True), "rows_compared", "disagreements"))
 
 
@@ -262,8 +263,8 @@ def listing(spark, sf):
     batch = R.text(F.col("pub_year") - F.col("pub_year") % 5, "s")
     name = F.when(k % 40 == 0, R.text("notes ", k, ".pdf")).otherwise(F.col("pdf_file_name"))
     two = F.when(k % 10 == 0, F.array(batch, F.lit("extra"))).otherwise(F.array(batch))
-    f = r.select("k", name.alias("name"), F.explode(two).alias("b")).withColumn("path", R.text("/data/in/", F.when(F.col("k") % 33 == 0, "").otherwise(R.text(F.col("b"), "/")), F.col("name")))
-    return f.select("k", "path", base_name("path").alias("name"), (F.col("k") % 1000).alias("size"), F.lit(None).cast("timestamp").alias("modified"))
+    f = r.select("k", "framework", "source_round", name.alias("name"), F.explode(two).alias("b")).withColumn("path", R.text("/data/in/", F.when(F.col("k") % 33 == 0, "").otherwise(R.text(F.col("b"), "/")), F.col("name")))
+    return f.select("k", "framework", "source_round", "path", base_name("path").alias("name"), (F.col("k") % 1000).alias("size"), F.lit(None).cast("timestamp").alias("modified"))
 
 
 LIST = f"""{R.REPORTS}, fl AS (SELECT k, country, pub_year, name, CASE WHEN k % 33 = 0 THEN '' ELSE b || '/' END || name AS rel, CASE WHEN k % 33 = 0 THEN name ELSE b END AS batch FROM (
@@ -286,11 +287,11 @@ def batch_file_counts(spark, sf):
     return V.batch_counts(listing(spark, sf), "/data/in")
 
 
-@query("report_key_setops", f"""WITH {LIST}, a AS (SELECT DISTINCT name FROM fl WHERE k % 3 <> 0), b AS (SELECT DISTINCT name FROM fl WHERE k % 5 <> 0)
+@query("report_key_setops", f"""WITH {LIST}, a AS (SELECT DISTINCT name FROM fl WHERE k IN (SELECT k FROM rpt WHERE framework <> 'SRDSF')), b AS (SELECT DISTINCT name FROM fl WHERE k IN (SELECT k FROM rpt WHERE source_round <> 'round1'))
 SELECT name, 'both' AS found_in FROM (SELECT * FROM a INTERSECT SELECT * FROM b) UNION ALL SELECT name, 'only_a' FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT name, 'only_b' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
 def report_key_setops(spark, sf):
     f = listing(spark, sf)
-    return V.folder_difference(f.filter("k % 3 <> 0"), f.filter("k % 5 <> 0"))
+    return V.folder_difference(f.filter("framework <> 'SRDSF'"), f.filter("source_round <> 'round1'"))
 
 
 def run_files(spark, sf):
@@ -316,14 +317,15 @@ def index_selected_pages(spark, sf):
     return V.index_selected(files, "/out", V.selected_folders(files, "/out"))[0].select("stem", "method", F.col("dir_rank").cast("int").alias("dir_rank"), "name")
 
 
-@query("choose_selected_pages", f"""WITH {R.REPORTS}, f AS (SELECT country AS stem, k AS name, k % 7 AS dir_rank, k % 4 AS method_rank, k % 1000 AS size, k % 50 = 0 AS sent FROM rpt), t AS (SELECT stem, name, 'timing' AS source FROM f WHERE sent QUALIFY row_number() OVER (PARTITION BY stem ORDER BY dir_rank, name) = 1)
+@query("choose_selected_pages", f"""WITH {R.REPORTS}, f AS (SELECT country AS stem, k AS name, k % 7 AS dir_rank, k % 4 AS method_rank, k % 1000 AS size, framework = 'SRDSF' AND source_round = 'round3' AS sent FROM rpt), t AS (SELECT stem, name, 'timing' AS source FROM f WHERE sent QUALIFY row_number() OVER (PARTITION BY stem ORDER BY dir_rank, name) = 1)
 SELECT * FROM t UNION ALL SELECT stem, name, 'filename' FROM (SELECT * FROM f WHERE size <= 700 AND stem NOT IN (SELECT stem FROM t) QUALIFY row_number() OVER (PARTITION BY stem ORDER BY dir_rank, method_rank, name) = 1)""")
 def choose_selected_pages(spark, sf):
     """The file recorded as sent, else the best folder and method under a size limit."""
     from panelkit.operators.pages import choose_selected
     k = F.col("k")
-    f = R.reports(spark, sf).select(F.col("country").alias("stem"), k.alias("name"), (k % 7).cast("string").alias("dir"), (k % 7).alias("dir_rank"), (k % 4).alias("method_rank"), (k % 1000).alias("size"))
-    return choose_selected(f, f.filter("name % 50 = 0"), 700).select("stem", "name", "source")
+    f = R.reports(spark, sf).select(F.col("country").alias("stem"), k.alias("name"), (k % 7).cast("string").alias("dir"), (k % 7).alias("dir_rank"), (k % 4).alias("method_rank"), (k % 1000).alias("size"),
+                                    "framework", "source_round")
+    return choose_selected(f, f.filter("framework = 'SRDSF' and source_round = 'round3'"), 700).select("stem", "name", "source")
 
 
 @query("run_catalogue", f"""WITH {R.REPORTS}, f AS (SELECT CASE WHEN k % 6 = 0 THEN NULL ELSE k % 3 + 1 END AS run, '202' || (ck % 4) || '0101' AS version, k % 6 = 0 AND k % 12 = 0 AND ck % 4 > 0 AS chk FROM rpt)
@@ -365,10 +367,10 @@ def latest_output(spark, sf):
     return V.latest_output(V.version_catalogue(files)).select("kind", "version", "size")
 
 
-@query("gap_run_flags", f"""WITH {R.REPORTS}, s AS (SELECT DISTINCT country AS stamp FROM rpt) SELECT stamp, stamp IN (SELECT country FROM rpt WHERE k % 3 = 0) AS identified, stamp IN (SELECT country FROM rpt WHERE k % 7 = 0) AS filled FROM s""")
+@query("gap_run_flags", f"""WITH {R.REPORTS}, s AS (SELECT DISTINCT country AS stamp FROM rpt) SELECT stamp, stamp IN (SELECT country FROM rpt WHERE framework = 'SRDSF') AS identified, stamp IN (SELECT country FROM rpt WHERE source_round = 'gapfill') AS filled FROM s""")
 def gap_run_flags(spark, sf):
-    r = R.reports(spark, sf).select("k", F.col("country").alias("stamp"))
-    return V.gap_runs(r.select("stamp").distinct(), r.filter("k % 3 = 0"), r.filter("k % 7 = 0"))
+    r = R.reports(spark, sf).select("framework", "source_round", F.col("country").alias("stamp"))
+    return V.gap_runs(r.select("stamp").distinct(), r.filter("framework = 'SRDSF'"), r.filter("source_round = 'gapfill'"))
 
 
 @query("report_list", """SELECT DISTINCT 'rep ' || conv_id || '_' || turn AS stem, CASE WHEN turn % 2 = 0 THEN 'cat_a' ELSE 'cat_b' END AS category FROM conversations WHERE turn % 3 < 2""")

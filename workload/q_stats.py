@@ -146,11 +146,12 @@ def group_by_framework(spark, sf):
 
 
 @query("group_membership", f"""WITH {R.REPORTS}, fw AS (SELECT country, framework, count(*) AS n FROM rpt GROUP BY 1, 2), m AS (SELECT country, framework AS main_framework FROM fw QUALIFY row_number() OVER (PARTITION BY country ORDER BY n DESC, framework) = 1)
-SELECT country, CASE CAST(split_part(country, ' ', 2) AS INT) % 3 WHEN 0 THEN 'AE' WHEN 1 THEN 'LIDC' ELSE 'EMMIE' END AS grp, main_framework FROM m""")
+SELECT country, CASE c_mktsegment WHEN 'BUILDING' THEN 'AE' WHEN 'MACHINERY' THEN 'LIDC' ELSE 'EMMIE' END AS grp, main_framework FROM m JOIN customer ON country = 'Customer ' || c_custkey""")
 def group_membership(spark, sf):
     """Groups from membership lists with a default, and the framework used most."""
     k = F.col("c_custkey")
-    members = R.table(spark, sf, "customer").filter("c_custkey % 3 < 2").select(R.text("Customer ", k).alias("country"), F.when(k % 3 == 0, "AE").otherwise("LIDC").alias("grp"))
+    members = R.table(spark, sf, "customer").filter("c_mktsegment in ('BUILDING', 'MACHINERY')").select(
+        R.text("Customer ", k).alias("country"), F.when(F.col("c_mktsegment") == "BUILDING", "AE").otherwise("LIDC").alias("grp"))
     names = R.reports(spark, sf)
     return S.membership(names.select("country").distinct(), members, "EMMIE", "country").join(pick.most_common(names, ["country"], "framework", "main_framework"), "country")
 
@@ -207,11 +208,11 @@ def _lg(g):
     return f"count(*) FILTER (WHERE {cond}) AS n_rows_{g}, count(*) FILTER (WHERE {cond} AND v <> 0) AS n_nonzero_{g}, coalesce(sum(abs(v)) FILTER (WHERE {cond}), 0) AS gross_{g}"
 
 
-@query("label_check", f"""WITH {CTB} SELECT cat AS category, label_verbatim AS label, {_lg('MACHINERY')}, {_lg('FURNITURE')}, {_lg('unclassified')}, sum(abs(v)) AS gross_total FROM li LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 10 > 0) c ON country_key = 'customer ' || c_custkey
+@query("label_check", f"""WITH {CTB} SELECT cat AS category, label_verbatim AS label, {_lg('MACHINERY')}, {_lg('FURNITURE')}, {_lg('unclassified')}, sum(abs(v)) AS gross_total FROM li LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') c ON country_key = 'customer ' || c_custkey
 WHERE hierarchy_id = '5.1' GROUP BY 1, 2""")
 def label_check(spark, sf):
     """Every sub-item label with its category, and how much it carries in each group."""
     v = C.load_values(R.long_rows(spark, sf), ["5.1"], ["label_verbatim"])
-    g = R.table(spark, sf, "customer").filter("c_custkey % 10 > 0").select(R.text("customer ", F.col("c_custkey")).alias("country_key"), F.col("c_mktsegment").alias("grp"))
+    g = R.table(spark, sf, "customer").filter("c_mktsegment <> 'BUILDING'").select(R.text("customer ", F.col("c_custkey")).alias("country_key"), F.col("c_mktsegment").alias("grp"))
     v = v.join(g, "country_key", "left").withColumn("category", label_category("label_verbatim", RULES, "small bolt")).withColumnRenamed("label_verbatim", "label")
     return S.label_check(v, "category", "label", "grp", ["MACHINERY", "FURNITURE"])

@@ -101,7 +101,7 @@ def target_flags(spark, sf):
     return W.target_flags(t, W.candidate_map(targets, docs, skip))
 
 
-SELECTED = "(k % 5 <> 0)"
+SELECTED = "k IN (SELECT k FROM rpt WHERE framework <> 'SRDSF')"
 
 
 @query("dry_run", f"""WITH {GAPS}, f AS (SELECT DISTINCT candidate_report, k FROM cmap WHERE rank = 1)
@@ -109,7 +109,7 @@ SELECT (SELECT count(*) FROM f) AS first_wave_reports, (SELECT count(*) FROM cma
 def dry_run(spark, sf):
     """First choices, targets without a candidate, and first choices whose pages are not at hand."""
     targets, docs, skip, _ = gap_targets(spark, sf)
-    selected = R.reports(spark, sf).filter("k % 5 <> 0").select("stem")
+    selected = R.reports(spark, sf).filter("framework <> 'SRDSF'").select("stem")
     return W.dry_run(W.candidate_map(targets, docs, skip), selected)
 
 
@@ -118,7 +118,7 @@ def dry_run(spark, sf):
 def target_statistics(spark, sf):
     targets, docs, skip, _ = gap_targets(spark, sf)
     t = targets.withColumn("audit_fill_status", F.when(F.col("gap_year") % 2 == 0, "fillable_actual_column_visible").otherwise("only_projection"))
-    cand = materialise(W.flag_cached(W.candidate_map(targets, docs, skip), R.reports(spark, sf).filter("k % 5 <> 0").select("stem")))
+    cand = materialise(W.flag_cached(W.candidate_map(targets, docs, skip), R.reports(spark, sf).filter("framework <> 'SRDSF'").select("stem")))
     return W.target_statistics(W.target_flags(t, cand), cand)
 
 
@@ -223,17 +223,17 @@ def merge_saved_answers(spark, sf):
     return S.merge_answers(a, F.col("role") == "system", "turn").select("report", "year", "role", "n")
 
 
-@query("remaining_reports", f"""WITH {R.REPORTS} SELECT pdf_file_name FROM rpt WHERE k % 4 <> 1""")
+@query("remaining_reports", f"""WITH {R.REPORTS} SELECT pdf_file_name FROM rpt WHERE framework <> 'MAC_DSA'""")
 def remaining_reports(spark, sf):
     r = R.reports(spark, sf)
-    return S.remaining_reports(r.select("pdf_file_name"), r.filter("k % 4 = 1").select("json_file"))
+    return S.remaining_reports(r.select("pdf_file_name"), r.filter("framework = 'MAC_DSA'").select("json_file"))
 
 
-@query("listed_reports", f"""WITH {R.REPORTS} SELECT stem, true AS found FROM rpt WHERE k % 3 = 0 UNION ALL SELECT 'gone_' || stem, false FROM rpt WHERE k % 50 = 0""")
+@query("listed_reports", f"""WITH {R.REPORTS} SELECT stem, true AS found FROM rpt WHERE framework = 'LIC_DSF' UNION ALL SELECT 'gone_' || stem, false FROM rpt WHERE source_round = 'round3'""")
 def listed_reports(spark, sf):
     """Reports of a list that exist, and the listed ones that do not."""
     r = R.reports(spark, sf)
-    wanted = r.filter("k % 3 = 0").select("stem").unionByName(r.filter("k % 50 = 0").select(R.text("gone_", F.col("stem")).alias("stem")))
+    wanted = r.filter("framework = 'LIC_DSF'").select("stem").unionByName(r.filter("source_round = 'round3'").select(R.text("gone_", F.col("stem")).alias("stem")))
     have, missing = S.listed_reports(r.select("pdf_file_name"), wanted)
     return have.select(F.regexp_replace("pdf_file_name", r"\.pdf$", "").alias("stem"), F.lit(True).alias("found")).unionByName(missing.withColumn("found", F.lit(False)))
 
@@ -248,20 +248,20 @@ def append_run(spark, sf):
     return S.append_run(old, new, "run2").groupBy("source_round", "gapfill_run").agg(F.count("*").alias("n"))
 
 
-@query("fill_report_facts", f"""WITH {R.LONG}, kn AS (SELECT json_file, any_value(report_title) AS t FROM rws WHERE report_title IS NOT NULL AND source_round <> 'gapfill' GROUP BY 1)
-SELECT rws.json_file, hierarchy_id, CASE WHEN k % 2 = 0 THEN coalesce(t, NULL) ELSE 'own title' END AS report_title FROM rws LEFT JOIN kn USING (json_file) WHERE k % 5 = 0""")
+@query("fill_report_facts", f"""WITH {R.LONG}, kn AS (SELECT json_file, any_value(report_title) AS t FROM rws WHERE report_title IS NOT NULL GROUP BY 1)
+SELECT rws.json_file, hierarchy_id, CASE WHEN source_round = 'gapfill' THEN t ELSE 'own title' END AS report_title FROM rws LEFT JOIN kn USING (json_file)""")
 def fill_report_facts(spark, sf):
     """Blank facts of new rows come from the same report's rows in the panel."""
     rows = R.long_rows(spark, sf)
-    new = rows.filter("k % 5 = 0").withColumn("report_title", F.when(F.col("k") % 2 == 0, " ").otherwise("own title"))
-    out = W.fill_report_facts(new, rows.filter("source_round <> 'gapfill'"), ["report_title"], "row_no")
+    new = rows.withColumn("report_title", F.when(F.col("source_round") == "gapfill", " ").otherwise("own title"))
+    out = W.fill_report_facts(new, rows, ["report_title"], "row_no")
     return out.select("json_file", "hierarchy_id", "report_title")
 
 
-@query("report_facts_fallback", f"""WITH {R.REPORTS} SELECT json_file, CASE WHEN k % 3 = 0 THEN 'a' WHEN k % 2 = 0 THEN 'b' ELSE 'c' END AS origin, CASE WHEN k % 3 = 0 THEN framework WHEN k % 2 = 0 THEN report_title ELSE country END AS fact FROM rpt""")
+@query("report_facts_fallback", f"""WITH {R.REPORTS} SELECT json_file, CASE WHEN framework = 'LIC_DSF' THEN 'a' WHEN source_round = 'round1' THEN 'b' ELSE 'c' END AS origin, CASE WHEN framework = 'LIC_DSF' THEN framework WHEN source_round = 'round1' THEN report_title ELSE country END AS fact FROM rpt""")
 def report_facts_fallback(spark, sf):
     """Facts of a report from the first source that knows it."""
     r = R.reports(spark, sf)
-    a = r.filter("k % 3 = 0").select("json_file", F.lit("a").alias("origin"), F.col("framework").alias("fact"))
-    b = r.filter("k % 2 = 0").select("json_file", F.lit("b").alias("origin"), F.col("report_title").alias("fact"))
+    a = r.filter("framework = 'LIC_DSF'").select("json_file", F.lit("a").alias("origin"), F.col("framework").alias("fact"))
+    b = r.filter("source_round = 'round1'").select("json_file", F.lit("b").alias("origin"), F.col("report_title").alias("fact"))
     return W.first_non_empty([a, b, r.select("json_file", F.lit("c").alias("origin"), F.col("country").alias("fact"))], "json_file", ["origin", "fact"])
