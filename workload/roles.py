@@ -12,7 +12,9 @@ from panelkit.functions.items import CATEGORIES
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spread_scan(spark.read.parquet(f"{sf}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    # text is costly per row; the other tables are reduced by an exchange of their own right away
+    return spread_scan(df) if name in ("documents", "conversations") else df
 
 
 def spread_scan(df: DataFrame, least_bytes: int = 1 << 20) -> DataFrame:
