@@ -180,7 +180,7 @@ def diff_type_counts(diffs: DataFrame) -> DataFrame:
     """Differing rows by cause, with their share (total over the few causes, not over the rows)."""
     by = diffs.groupBy("diff_type").agg(F.count("*").alias("n_rows"))
     total = by.agg(F.sum("n_rows").alias("t")).scalar()
-    return by.select("diff_type", "n_rows", percent_text(F.col("n_rows"), total).alias("share"))
+    return by.withColumn("total", total).select("diff_type", "n_rows", percent_text("n_rows", "total").alias("share"))
 
 
 def headline(summary: DataFrame, n_matched: Column, n_diff: Column) -> DataFrame:
