@@ -6,9 +6,10 @@ the probability Jaccard similarity of their weighted shingles. Bands of register
 what cannot reach the threshold, and shingles verify the rest exactly.
 
 Texts with equal weighted shingles are one node from the start, so a group of copies costs one row. In a bucket every
-member is compared with one pivot, not with each other; components of those links are found by spreading least ids.
-Then only members outside their bucket's main component are compared with members of other components, so that no link
-between components is missed and no bucket gives all its pairs.
+member is compared with one pivot, not with each other; components of those links are found by spreading least ids. Then
+members are compared with their bucket's plainest node, and last, members outside their bucket's main component with
+members of other components. Shingles that only one node has bound the similarity of any pair from above, so that no link
+between components is missed and yet no bucket gives all its pairs.
 """
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.common import mix64, prepare, row_blocks, utf8, written
 from panelkit.llm.shingles import WORDS, shingles
+from panelkit.operators.spread import split_join
 
 SIMILARITY = 0.8
 #: A pair of similarity 0.8 shares none of 32 bands of 4 registers with a probability of 5e-8.
@@ -97,8 +99,20 @@ def _signed(words: int, bands: int, rows: int):
                 keep = np.flatnonzero(has)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, n).take(pa.array(keep)), pa.array(key1[keep].view(np.int64)), pa.array(key2[keep].view(np.int64)),
-                     pa.array([short[i].tobytes() for i in keep.tolist()], pa.binary()), pa.array(list(folded[keep].view(np.int64)), pa.list_(pa.int64()))],
-                    ["id", "key1", "key2", "signature", "bands"])
+                     pa.array([short[i].tobytes() for i in keep.tolist()], pa.binary()), pa.array(list(folded[keep].view(np.int64)), pa.list_(pa.int64())),
+                     pa.array(np.bincount(text, weight, n)[keep].astype(np.int64))],
+                    ["id", "key1", "key2", "signature", "bands", "total"])
+
+    return out
+
+
+def _shingle_rows(words: int):
+    def out(batches):
+        for batch in batches:
+            body, offsets = utf8(batch.column(1))
+            for a, b in row_blocks(offsets, SCANNED):
+                text, shingle, weight = shingles(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text + a)), pa.array(shingle.view(np.int64)), pa.array(weight)], ["node", "shingle", "weight"])
 
     return out
 
@@ -149,46 +163,74 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = SIMILARI
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     known = docs.where("id is not null")
-    signed = written(known.mapInArrow(_signed(words, bands, rows), "id long, key1 long, key2 long, signature binary, bands array<long>"))
-    nodes = written(signed.groupBy("key1", "key2").agg(F.min("id").alias("node"), F.first("signature").alias("signature"), F.first("bands").alias("bands")))
+    signed = written(known.mapInArrow(_signed(words, bands, rows), "id long, key1 long, key2 long, signature binary, bands array<long>, total long"))
+    nodes = written(signed.groupBy("key1", "key2").agg(F.min("id").alias("node"), F.first("signature").alias("signature"), F.first("bands").alias("bands"), F.first("total").alias("total")))
     member = signed.select("id", "key1", "key2").join(nodes.select("key1", "key2", "node"), ["key1", "key2"]).select("id", "node")
     marks = nodes.select("node", "signature")
 
     buckets = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     pivots = buckets.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", F.col("band") % 2)).alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
-    shared = written(buckets.join(pivots, "bucket").select("bucket", "node", "pivot"))
+    shared = written(split_join(buckets, pivots, ["bucket"]).select("bucket", "node", "pivot"))
 
     registers = bands * rows
     bound = max(0.0, least - ERRORS * (least * (1 - least) / registers) ** 0.5)
+    slack = 1 / least - 1 + 1e-9
 
     def alike(a: pa.Array, b: pa.Array) -> pa.Array:
         x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(len(c), registers) for c in (a, b))
         return pa.array((x == y).mean(axis=1) >= bound)
 
+    ends = shared.select(F.col("node").alias("id")).distinct()
+    texts = written(known.join(ends, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
+
     def verified(pairs: DataFrame) -> DataFrame:
         """Those of the candidate pairs (a, b) that are links."""
         close = pairs.join(marks.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a").join(
             marks.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b").where(F.arrow_udf(alike, "boolean")("sa", "sb"))
-        close = written(close.select("a", "b"))
-        ends = close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct()
-        texts = written(known.join(ends, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
-        both = close.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(
+        both = close.select("a", "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(
             texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
         return written(both.mapInArrow(_verified(words, least), "a long, b long"))
 
-    tried = written(shared.where("node != pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
+    def pairs_of(frame: DataFrame, x: str, y: str) -> DataFrame:
+        return frame.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+
+    def mixed(labels: DataFrame) -> DataFrame:
+        """Members of the buckets that hold several components, and each bucket's main one."""
+        placed = shared.join(labels.select(F.col("id").alias("node"), "label"), "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+        sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+        main = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1").drop("labels")
+        return written(split_join(placed, main, ["bucket"]))
+
+    # every member with its bucket's pivot
+    tried = written(pairs_of(shared.where("node != pivot"), "node", "pivot"))
     links = verified(tried)
     labels = components(links)
 
-    placed = shared.join(labels.select(F.col("id").alias("node"), "label"), "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1").drop("labels")
-    mixed = written(placed.join(main, "bucket"))
-    outside = mixed.where("label != main").select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"))
-    across = outside.join(mixed, "bucket").where("lx != label and (label = main or x < node)")
-    more = across.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    late = verified(written(more))
-    links = links.union(late)
+    # A node's odds: weight of the shingles that no other node of these buckets has, by the weight of the rest. The
+    # similarity of two nodes is at most 1 / (1 + odds + odds), whatever they share, so most pairs need no look.
+    open_ = mixed(labels)
+    several = open_.select(F.col("node").alias("id")).distinct()
+    sparse = texts.join(several, "id").mapInArrow(_shingle_rows(words), "node long, shingle long, weight long")
+    rare = sparse.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.sum("weight").alias("weight")).where("n = 1")
+    own = rare.groupBy("node").agg(F.sum("weight").alias("own"))
+    total = nodes.select("node", "total")
+    odds = several.select(F.col("id").alias("node")).join(total, "node").join(own, "node", "left").select("node", "total", F.coalesce("own", F.lit(0)).alias("own"))
+    odds = written(odds.where("own < total").select("node", (F.col("own") / (F.col("total") - F.col("own"))).alias("odds")).where(F.col("odds") <= slack))
+
+    # members outside the main component with the bucket's plainest node
+    able = written(open_.join(odds, "node"))
+    plainest = able.groupBy("bucket").agg(F.min_by(F.struct(F.col("node").alias("p"), F.col("label").alias("lp"), F.col("odds").alias("op")), F.struct("odds", "node")).alias("q")).select("bucket", "q.*")
+    second = split_join(able, plainest, ["bucket"]).where((F.col("label") != F.col("lp")) & (F.col("odds") + F.col("op") <= slack))
+    second = written(pairs_of(second, "node", "p").join(tried, ["a", "b"], "left_anti"))
+    links = links.union(verified(second))
+    labels = components(links)
+
+    # what is left: pairs across components that the odds allow
+    able = written(mixed(labels).join(odds, "node"))
+    outside = able.where("label != main").select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("odds").alias("ox"))
+    across = outside.join(able, "bucket").where((F.col("lx") != F.col("label")) & (F.col("ox") + F.col("odds") <= slack) & ((F.col("label") == F.col("main")) | (F.col("x") < F.col("node"))))
+    third = pairs_of(across, "x", "node").join(tried, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
+    links = links.union(verified(written(third)))
     labels = components(links)
 
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))

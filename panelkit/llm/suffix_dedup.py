@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.common import mix64, prepare, row_blocks, utf8, written
 from panelkit.llm.rolling import Prefix
+from panelkit.operators.spread import split_join
 
 LENGTH = 400
 #: Bytes of a gram; with it, an anchor is chosen among LENGTH - GRAM + 1 places.
@@ -326,12 +327,12 @@ def suffix_dedup(docs: DataFrame, keep: list[str], text: str = "text", doc_id: s
     own = rows.select("__d", "__id", "__text").where(F.octet_length("__text") >= length)
     found = written(own.mapInArrow(_anchor_rows(length, gram), "__d long, __id long, key long, x1 long, x2 long, a long, la int, lb int"))
     twice = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    open_ = written(found.join(twice, "key", "left_semi"))
+    open_ = written(split_join(found, twice, ["key"], "left_semi"))
     context = ["key", "x1", "x2", "la", "lb"]
     contexts = written(open_.groupBy(*context).agg(F.count("*").alias("c"), F.min(F.struct("__d", "__id", "a")).alias("__one")))
     many = contexts.groupBy("key").agg(F.count("*").alias("m"))
     facts = contexts.join(many, "key").where("c > 1 or m > 1")
-    told = open_.join(facts, context).select(
+    told = split_join(open_, facts, context).select(
         "__d", "__id", F.struct("key", "a", "la", "lb", "c", "m", ((F.col("m") > 1) & F.struct("__d", "__id", "a").eqNullSafe(F.col("__one"))).alias("chosen")).alias("x"))
     per_doc = told.groupBy("__d", "__id").agg(F.collect_list("x").alias("__found"))      # bounded by the text's own length
     at = [F.col("l.__d") == F.col("r.__d"), F.col("l.__id").eqNullSafe(F.col("r.__id"))]

@@ -6,6 +6,7 @@ where library versions could differ, or with a special token's string, are encod
 """
 import os
 import re
+from array import array
 
 import numpy as np
 import regex
@@ -47,10 +48,17 @@ class WordEncoder:
         self.pieces = _Cache(self._piece)
 
     def _word(self, word: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(word.encode().decode("latin1").translate(self.letters))], "<u4").tobytes()
+        if not word.isascii():
+            word = word.encode().decode("latin1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, _WORD.findall(piece.lower())))
+        low = piece.lower()
+        if low.isalpha():
+            return self.words[low]
+        if low[:-1].isalpha() and low[-1] in ".,;:!?":
+            return self.words[low[:-1]] + self.words[low[-1]]
+        return b"".join(map(self.words.__getitem__, _WORD.findall(low)))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
