@@ -26,6 +26,8 @@ BANDS, ROWS = 32, 4
 #: Standard errors that an estimate may lie below the threshold before a candidate is ruled out.
 ERRORS = 6
 SCANNED = 2 << 20
+#: Nodes that hang together by buckets: up to SMALL are compared pair by pair, more in blocks of about BLOCK.
+SMALL, BLOCK = 32, 512
 _STEP, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xA0761D6478BD642F)
 
 
@@ -137,6 +139,51 @@ def _verified(words: int, least: float):
     return out
 
 
+def _block_links(words: int, least: float, slack: float, bound: float, registers: int, bands: int):
+    """Links between two blocks of nodes (or within one) that join components: each pair is looked at here, and only links
+    leave the task. Nodes already joined by an earlier link need no further one."""
+    def out(t: pa.Table) -> pa.Table:
+        node, label, odds, own = (t[c].to_numpy() for c in ("node", "label", "odds", "own"))
+        order = np.argsort(own, kind="stable")
+        t = t.take(pa.array(order))
+        node, label, odds, own = node[order], label[order], odds[order], own[order]
+        marks = np.frombuffer(b"".join(t["signature"].to_pylist()), np.uint16).reshape(len(node), registers)
+        held = np.array(t["bands"].to_pylist(), np.int64).reshape(len(node), bands)
+        body, offsets = utf8(t["text"])
+        known: dict[int, tuple] = {}
+
+        def set_of(i: int):
+            if i not in known:
+                _, shingle, weight = shingles(body[offsets[i] : offsets[i + 1]], np.array([0, offsets[i + 1] - offsets[i]]), words)
+                known[i] = shingle, weight
+            return known[i]
+
+        parent = {x: x for x in label.tolist()}
+
+        def root(x):
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        i, j = t["i"][0].as_py(), t["j"][0].as_py()
+        first = int((own == i).sum()) if i != j else len(node)
+        found = [], []
+        for x in range(first):
+            y = np.arange(x + 1 if i == j else first, len(node))
+            y = y[(label[y] != label[x]) & (odds[y] + odds[x] <= slack)]
+            y = y[(held[y] == held[x]).any(axis=1)]
+            y = y[(marks[y] == marks[x]).mean(axis=1) >= bound]
+            for k in y.tolist():
+                p, q = root(int(label[x])), root(int(label[k]))
+                if p != q and similarity(*set_of(x), *set_of(k)) >= least - 1e-12:
+                    parent[p] = q
+                    found[0].append(int(node[x]))
+                    found[1].append(int(node[k]))
+        return pa.table([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], ["a", "b"])
+
+    return out
+
+
 def components(edges: DataFrame) -> DataFrame:
     """id and label (the least id of its component) of all ends of edges (a, b): least labels spread along edges, and
     labels of labels are followed, until nothing changes. Only counts reach the driver."""
@@ -152,13 +199,13 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, class_id (the least doc_id of its class) and n_links, one row for each row of docs.
+def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, small: int = SMALL, block: int = BLOCK) -> DataFrame:
+    """doc_id and class_id (the least doc_id of its class), one row for each row of docs.
 
     A class is a connected component of links: pairs of texts with a probability Jaccard similarity of at least `least`
-    over weighted shingles. n_links counts the verified links of the text's node to other nodes. A text with fewer words
-    than a shingle has one shingle; a text without words (null or empty too) is linked to none. Rows of one doc_id are one
-    document. A row without doc_id has no class. Other columns are not read. An empty table gives no rows.
+    over weighted shingles. A text with fewer words than a shingle has one shingle; a text without words (null or empty
+    too) is linked to none. Rows of one doc_id are one document. A row without doc_id has no class. Other columns are not
+    read. An empty table gives no rows.
     """
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
@@ -172,6 +219,16 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = SIMILARI
     pivots = buckets.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", F.col("band") % 2)).alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
     shared = written(split_join(buckets, pivots, ["bucket"]).select("bucket", "node", "pivot"))
 
+    def classes(labels: DataFrame | None) -> DataFrame:
+        own = F.col("node").alias("label")
+        facts = member.select("id", own) if labels is None else member.join(
+            labels.withColumnRenamed("id", "node"), "node", "left").select("id", F.coalesce("label", "node").alias("label"))
+        per_id = facts.groupBy("id").agg(F.min("label").alias("label"))
+        return docs.select("id").join(per_id, "id", "left").select(F.col("id").alias("doc_id"), F.coalesce("label", "id").alias("class_id"))
+
+    if shared.isEmpty():
+        return classes(None)
+
     registers = bands * rows
     bound = max(0.0, least - ERRORS * (least * (1 - least) / registers) ** 0.5)
     slack = 1 / least - 1 + 1e-9
@@ -209,6 +266,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = SIMILARI
     # A node's odds: weight of the shingles that no other node of these buckets has, by the weight of the rest. The
     # similarity of two nodes is at most 1 / (1 + odds + odds), whatever they share, so most pairs need no look.
     open_ = mixed(labels)
+    if open_.isEmpty():
+        return classes(labels)
     several = open_.select(F.col("node").alias("id")).distinct()
     sparse = texts.join(several, "id").mapInArrow(_shingle_rows(words), "node long, shingle long, weight long")
     rare = sparse.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.sum("weight").alias("weight")).where("n = 1")
@@ -225,18 +284,26 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = SIMILARI
     links = links.union(verified(second))
     labels = components(links)
 
-    # what is left: pairs across components that the odds allow
+    # what is left: pairs across components that the odds allow, pair by pair where few nodes hang together by buckets,
+    # block by block where many do
     able = written(mixed(labels).join(odds, "node"))
-    outside = able.where("label != main").select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("odds").alias("ox"))
-    across = outside.join(able, "bucket").where((F.col("lx") != F.col("label")) & (F.col("ox") + F.col("odds") <= slack) & ((F.col("label") == F.col("main")) | (F.col("x") < F.col("node"))))
+    if able.isEmpty():
+        return classes(labels)
+    heads = able.groupBy("bucket").agg(F.min("node").alias("head"))
+    clusters = components(split_join(able.select("bucket", "node"), heads, ["bucket"]).select(F.col("head").alias("a"), F.col("node").alias("b")))
+    sizes = clusters.groupBy("label").agg(F.count("*").alias("size"))
+    clusters = written(clusters.join(sizes, "label").select(F.col("id").alias("node"), F.col("label").alias("cluster"), "size"))
+    near = able.join(clusters.where(F.col("size") <= small), "node")
+    outside = near.where("label != main").select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("odds").alias("ox"))
+    across = outside.join(near, "bucket").where((F.col("lx") != F.col("label")) & (F.col("ox") + F.col("odds") <= slack) & ((F.col("label") == F.col("main")) | (F.col("x") < F.col("node"))))
     third = pairs_of(across, "x", "node").join(tried, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
     links = links.union(verified(written(third)))
+
+    crowd = clusters.where(F.col("size") > small).withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    crowd = crowd.join(able.groupBy("node").agg(F.first("label").alias("label"), F.first("odds").alias("odds")), "node").join(nodes.select("node", "signature", "bands"), "node")
+    crowd = crowd.join(texts.withColumnRenamed("id", "node"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    crowd = crowd.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "odds", "signature", "bands", "text")
+    links = links.union(written(crowd.groupBy("cluster", "i", "j").applyInArrow(_block_links(words, least, slack, bound, registers, bands), "a long, b long")))
     labels = components(links)
 
-    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
-    degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
-    facts = member.join(labels.withColumnRenamed("id", "node"), "node", "left").join(degree, "node", "left")
-    classes = facts.select("id", F.coalesce("label", "node").alias("label"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    per_id = classes.groupBy("id").agg(F.min("label").alias("label"), F.max("n_links").alias("n_links"))
-    return docs.select("id").join(per_id, "id", "left").select(
-        F.col("id").alias("doc_id"), F.coalesce("label", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return classes(labels)
