@@ -73,7 +73,7 @@ class Suffixes:
         """The byte k steps from the anchor, or -1 beyond the context."""
         at = self.anchor[i] - 1 - k if self.left else self.anchor[i] + k
         ok = k < self.room[i]
-        return np.where(ok, self.body[np.where(ok, at, 0)], -1).astype(np.int16)
+        return np.where(ok, self.body[np.where(ok, at, 0)].astype(np.int16), np.int16(-1))
 
     def same(self, i: np.ndarray, j: np.ndarray, k: np.ndarray) -> np.ndarray:
         a, b = self.anchor[i], self.anchor[j]
