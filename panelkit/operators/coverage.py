@@ -9,6 +9,7 @@ from panelkit.functions.numbers import strict_number
 from panelkit.functions.text import Col, as_col, blank_to_null, lookup
 from panelkit.functions.years import effective_label, effective_year
 from panelkit.operators import pick
+from panelkit.operators.spread import split_join
 
 # --- fixed values ----------------------------------------------------------------------------------
 SOURCE_LABELS = {"round1": "Round 1", "round2": "Round 2", "round3": "Round 3", "gapfill": "Gap fill"}
@@ -41,7 +42,7 @@ def load_values(rows: DataFrame, ids: list[str] | None = None, keep: list[str] =
     labels = spellings.groupBy("country_key", "__norm").agg(F.sum("__n").alias("__n")).groupBy("country_key").agg(
         F.min_by("__norm", F.struct(-F.col("__n"), F.col("__norm"))).alias("country_label"))
     names = spellings.select("country", "country_key").join(labels, "country_key")
-    return df.join(names, "country").drop("year", "last_actual_year")
+    return split_join(df, names, ["country"]).drop("year", "last_actual_year")
 
 
 def universe(rows: DataFrame, key=entity_key) -> DataFrame:
@@ -164,7 +165,7 @@ def duplicate_detail(values: DataFrame, tolerance: float = 0.05) -> DataFrame:
     dup = pick.per_key_duplicates(values, keys, "value_num", tolerance)
     tag = F.when((F.col("source_round") == "gapfill") & F.col("gapfill_run").isNotNull(), F.concat(F.lit("gapfill_"), F.col("gapfill_run"))) \
         .otherwise(F.coalesce("source_round", F.lit("")))
-    return values.join(dup.select(*keys, "n_rows", "conflicting"), keys).select(*keys, "country_label", "value_num", tag.alias("source"), "n_rows", "conflicting")
+    return split_join(values, dup.select(*keys, "n_rows", "conflicting"), keys).select(*keys, "country_label", "value_num", tag.alias("source"), "n_rows", "conflicting")
 
 
 # ---- availability ---------------------------------------------------------------------------------------
@@ -288,7 +289,7 @@ def browse_panel(rows: DataFrame, order: list[str], country: str | None = None,
         out = out.filter(~F.coalesce("hierarchy_id", F.lit("")).contains("."))
     if item:
         out = out.filter(F.col("hierarchy_id") == item)
-    return out.orderBy(*order).offset(page * min(size, 500)).limit(min(size, 500))
+    return out.orderBy(*order).offset(page * size).limit(size)
 
 
 def browse_coverage(wide: DataFrame, country: str | None = None, year: int | None = None, only_reported: bool = False) -> DataFrame:

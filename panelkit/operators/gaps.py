@@ -310,10 +310,16 @@ def coverage_code(status: Col = "status", uncertain: Col = "year_uncertain") ->
     return (F.when(as_col(status) == "GAP", "GAP").when(F.coalesce(as_col(uncertain), F.lit(False)), "O?").otherwise("O"))
 
 
-def coverage_matrix(panel: DataFrame, years: list[int], entity: str = "country") -> DataFrame:
-    """Entity x year grid of codes; the year list is explicit, so the pivot is one aggregate."""
-    return (panel.groupBy(entity).pivot("year", years).agg(F.first(coverage_code()))
-            .select(entity, *[F.coalesce(F.col(str(y)), F.lit("")).alias(str(y)) for y in years]))
+def coverage_matrix(panel: DataFrame, entities: DataFrame, entity: str = "country") -> DataFrame:
+    """Entity x year grid of codes from the panel's first to its last year, a row for every entity of `entities` as well.
+
+    Only the two years reach the driver; with the list of years known, the pivot is one aggregate.
+    """
+    span = panel.agg(F.min("year").alias("first"), F.max("year").alias("last")).first()
+    years = [] if span.first is None else list(range(int(span.first), int(span.last) + 1))
+    grid = panel.groupBy(entity).pivot("year", years).agg(F.first(coverage_code())) if years else panel.select(entity).distinct()
+    every = entities.select(entity).union(panel.select(entity)).distinct()
+    return every.join(grid, entity, "left").select(entity, *[F.coalesce(F.col(str(y)), F.lit("")).alias(str(y)) for y in years])
 
 
 def children_of_kept(rows: DataFrame, kept: DataFrame) -> DataFrame:

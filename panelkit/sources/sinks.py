@@ -22,8 +22,8 @@ def write_tables(tables: dict[str, DataFrame], folder: str, stamp: str) -> dict[
 
 
 def write_report_lists(lists: DataFrame, path: str) -> None:
-    """Re-check list as JSON lines, one report per line, one folder per category: no list is gathered whole."""
-    lists.repartition("category").write.mode("errorifexists").partitionBy("category").json(path)
+    """Re-check list as JSON lines, one report per line, one folder per category: every task writes what it has."""
+    lists.write.mode("errorifexists").partitionBy("category").json(path)
 
 
 def list_counts(lists: DataFrame) -> DataFrame:

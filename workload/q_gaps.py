@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.items import CATEGORIES
 from panelkit.operators import gaps as G, pick
+from panelkit.operators.spread import number_rows
 from panelkit.plans import gap_fill as P
 from panelkit.session import materialise
 from workload import roles as R
@@ -197,16 +198,17 @@ def panel_skeleton(spark, sf):
     return G.panel_skeleton(kept, gaps).select("country", "year", "status", "source_report", "n_reports_for_year", "year_uncertain", *CATEGORIES)
 
 
-def _cell(y):
-    return f"coalesce(max(CASE WHEN y = {y} THEN code END), '') AS \"{y}\""
-
-
 @query("coverage_matrix", f"""WITH {USE}, {INSIDE}, c AS (SELECT country, obs_year AS y, CASE WHEN year_uncertain THEN 'O?' ELSE 'O' END AS code FROM kept
-  UNION ALL SELECT country, unnest(generate_series(span_start, span_end)), 'GAP' FROM spans) SELECT country, {", ".join(_cell(y) for y in range(*RANGE))} FROM c GROUP BY 1""")
+  UNION ALL SELECT country, unnest(generate_series(span_start, span_end)), 'GAP' FROM spans),
+every AS (SELECT DISTINCT country FROM rep UNION SELECT 'Customer ' || c_custkey FROM customer), years AS (SELECT unnest(generate_series(min(y), max(y))) AS y FROM c)
+SELECT every.country, CAST(years.y AS VARCHAR) AS year, coalesce(c.code, '') AS code FROM every CROSS JOIN years LEFT JOIN c ON c.country = every.country AND c.y = years.y""")
 def coverage_matrix(spark, sf):
+    """The whole grid, a row for each cell (the years that are columns follow from the data)."""
+    _, rep = report_table(spark, sf, reuse=True)
     kept = kept_years(spark, sf)
     panel = G.panel_skeleton(kept, G.gap_years(G.gap_spans(kept, "country", "year")))
-    return G.coverage_matrix(panel, list(range(*RANGE)))
+    grid = G.coverage_matrix(panel, rep.select("country").unionByName(universe(spark, sf)))
+    return grid.unpivot("country", grid.columns[1:], "year", "code")
 
 
 @query("children_of_kept", f"""WITH {USE} SELECT country, obs_year AS year, pdf_file_name, hierarchy_id, itm.label_verbatim, itm.value FROM kept JOIN itm USING (k) WHERE level = '1'""")
@@ -296,14 +298,13 @@ def streaks_by_group(spark, sf):
     return G.listed_by_group(G.streak_table(d, "user", "day", "value", 4).join(info, "user"), "grp", ["AE", "EM", "LIC"])
 
 
-@query("sorted_streak_list", f"""WITH {DAILY}, {TABLE_SQL} SELECT usr AS user, grp, coalesce(run_length, 0) AS longest_zero_run, row_number() OVER (ORDER BY coalesce(run_length, 0) DESC, CASE grp WHEN 'AE' THEN 0 WHEN 'EM' THEN 1 WHEN 'LIC' THEN 2 ELSE 3 END, usr) AS place
-  FROM tb LEFT JOIN best USING (usr) QUALIFY place <= 20""")
+@query("sorted_streak_list", f"""WITH {DAILY}, {TABLE_SQL} SELECT usr AS user, grp, coalesce(run_length, 0) AS longest_zero_run, row_number() OVER (ORDER BY CASE grp WHEN 'AE' THEN 0 WHEN 'EM' THEN 1 WHEN 'LIC' THEN 2 ELSE 3 END, coalesce(run_length, 0) DESC, usr) AS place
+  FROM tb LEFT JOIN best USING (usr)""")
 def sorted_streak_list(spark, sf):
-    """The twenty longest streaks, groups in their fixed order within equal lengths (a top-k report)."""
+    """All entities in the list's order: groups in their fixed order, longest streaks first; the place is counted over it."""
     d = daily(spark, sf)
     info = d.groupBy("user").agg(F.first("grp").alias("grp"))
     t = G.streak_table(d, "user", "day", "value", 4).join(info, "user").select("user", "grp", "longest_zero_run")
-    top = t.orderBy(F.desc("longest_zero_run"), pick.priority_rank(F.coalesce("grp", F.lit("")), ["AE", "EM", "LIC"]), "user").limit(20)
-    from pyspark.sql import Window
-    w = Window.orderBy(F.desc("longest_zero_run"), pick.priority_rank(F.coalesce("grp", F.lit("")), ["AE", "EM", "LIC"]), "user")
-    return top.withColumn("place", F.row_number().over(w).cast("long"))
+    rank = pick.priority_rank(F.coalesce("grp", F.lit("")), ["AE", "EM", "LIC"])
+    placed = number_rows(t, [rank, F.desc("longest_zero_run"), F.col("user")], "place")
+    return G.sort_by_group(placed, "grp", ["AE", "EM", "LIC"], [F.desc("longest_zero_run"), "user"]).withColumn("place", F.col("place").cast("long"))
