@@ -53,13 +53,16 @@ def trim(df: DataFrame, value: str, low: float, high: float) -> tuple[DataFrame,
 
 
 def group_stats(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """n, mean, median, sd (n - 1), percentiles, extremes and shares of zero / positive / negative per group."""
+    """n, mean, median, sd (n - 1), percentiles, extremes and shares of zero / positive / negative per group; NULL is a group."""
     v = F.col(value)
     base = df.filter(v.isNotNull()).groupBy(*by).agg(
         F.count("*").alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
         F.avg((v == 0).cast("int")).alias("share_zero"), F.avg((v > 0).cast("int")).alias("share_positive"),
         F.avg((v < 0).cast("int")).alias("share_negative"))
-    return base.join(exact_quantiles(df, by, value, QUANTILES), by)
+    # NULL groups meet too; a group of NaN alone has no quantile
+    q = exact_quantiles(df, by, value, QUANTILES).withColumnsRenamed({c: f"__{c}" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
+    return base.join(q, same, "left").select(*base.columns, *QUANTILES)
 
 
 def by_period_wide(stats: DataFrame, period: str, group: str, groups: list[str], measure: str) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Trees of labelled values -> long rows, in one pass and one explode (no join, no shuffle)."""
+"""Trees of labelled values, of any depth -> long rows, within the row (no join, no shuffle, no driver loop).
+
+A node's children stay JSON texts until their level is read, so a schema fixes no depth: `tree_rows` opens level after
+level inside one aggregate over an array, with a step for every list that the texts hold, and so never too few.
+"""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -7,69 +11,66 @@ from panelkit.functions.items import CATEGORIES, ROLES
 from panelkit.functions.numbers import any_minus_number
 from panelkit.functions.text import Col, as_col, blank_to_null
 
-DEPTH = 4     # levels below the root that are read
+NODE = T.StructType([T.StructField("label_verbatim", T.StringType()), T.StructField("value", T.StringType()),
+                     T.StructField("children", T.ArrayType(T.StringType()))])
+_ROW = T.StructType([T.StructField("place", T.ArrayType(T.IntegerType()))] + [T.StructField(n, T.StringType()) for n in ("top_category", "hierarchy_id")] + [T.StructField("level", T.IntegerType())] +
+                    [T.StructField(n, T.StringType()) for n in ("parent_label", "label_verbatim", "value")] + [NODE["children"]])
+_OPENED = T.StructType([T.StructField("rows", T.ArrayType(_ROW)), T.StructField("done", T.IntegerType())])
 
 
-def node_type(depth: int = DEPTH) -> T.StructType:
-    """Node struct with `depth` levels of children; what lies deeper stays raw JSON text in `children`."""
-    below = T.ArrayType(node_type(depth - 1)) if depth > 0 else T.StringType()
-    return T.StructType([T.StructField("label_verbatim", T.StringType()), T.StructField("value", T.StringType()),
-                         T.StructField("children", below)])
+def tree_type(roles: list[str] = ROLES) -> T.StructType:
+    return T.StructType([T.StructField(r, NODE) for r in roles])
 
 
-def tree_type(roles: list[str] = ROLES, depth: int = DEPTH) -> T.StructType:
-    return T.StructType([T.StructField(r, node_type(depth)) for r in roles])
+def _row(node: Column, place: Column, top: Column, hid: Column, level: Column, parent: Column) -> Column:
+    return F.struct(place.alias("place"), top.alias("top_category"), hid.alias("hierarchy_id"), level.alias("level"), parent.alias("parent_label"),
+                    node["label_verbatim"].alias("label_verbatim"), node["value"].alias("value"), node["children"].alias("children"))
 
 
-def _row(node: Column, top: Column, hid: Column, level: int, parent: Column) -> Column:
-    return F.struct(top.alias("top_category"), hid.alias("hierarchy_id"), F.lit(level).alias("level"),
-                    parent.cast("string").alias("parent_label"), node["label_verbatim"].alias("label_verbatim"),
-                    node["value"].alias("value"))
+def _children(row: Column) -> Column:
+    """Rows of a row's children; a child that is no object has no row but keeps its number."""
+    def child(text: Column, i: Column) -> Column:
+        node = F.when(F.ltrim(text).startswith("{"), F.from_json(text, NODE))
+        return F.when(node.isNotNull(), _row(node, F.array_append(row["place"], i), row["top_category"], F.concat_ws(".", row["hierarchy_id"], (i + 1).cast("string")),
+                                             row["level"] + 1, row["label_verbatim"]))
+    return F.filter(F.transform(F.coalesce(row["children"], F.array().cast("array<string>")), child), lambda r: r.isNotNull())
 
 
-def _walk(node: Column, top: Column, hid: Column, level: int, parent: Column, depth: int) -> Column:
-    """Array of rows of a node and everything below it, depth first; NULL for a missing node."""
-    here = F.array(_row(node, top, hid, level, parent))
-    if depth > 0:
-        below = F.transform(node["children"], lambda child, i: _walk(
-            child, top, F.concat_ws(".", hid, (i + 1).cast("string")), level + 1, node["label_verbatim"], depth - 1))
-        below = F.flatten(F.filter(below, lambda a: a.isNotNull()))
-        here = F.when(below.isNull(), here).otherwise(F.concat(here, below))
-    return F.when(node.isNotNull(), here)
+def _opened(state: Column, _step: Column) -> Column:
+    """The next level: children of the rows that the last step added."""
+    rows, done = state["rows"], state["done"]
+    new = F.flatten(F.transform(F.slice(rows, done + 1, F.size(rows) - done), _children))
+    return F.when(F.size(rows) == done, state).otherwise(F.struct(F.concat(rows, new).alias("rows"), F.size(rows).alias("done")).cast(_OPENED))
 
 
-def tree_rows(tree: Col, roles: list[str] = CATEGORIES, depth: int = DEPTH) -> Column:
-    """array of line-item structs of all roles; a missing role keeps its number."""
+def tree_rows(tree: Col, roles: list[str] = CATEGORIES) -> Column:
+    """array of line-item structs of all roles, depth first; a missing role keeps its number."""
     tree = as_col(tree)
-    parts = F.array(*[_walk(tree[r], F.lit(r), F.lit(str(n)), 0, F.lit(None), depth)
-                      for n, r in enumerate(roles, start=1)])
-    return F.flatten(F.filter(parts, lambda a: a.isNotNull()))
-
-
-def flatten_tree(df: DataFrame, tree: str, roles: list[str] = CATEGORIES, depth: int = DEPTH) -> DataFrame:
+    top = F.array(*[F.when(tree[r].isNotNull(), _row(tree[r], F.array(F.lit(n)), F.lit(r), F.lit(str(n)), F.lit(0), F.lit(None).cast("string")))
+                    for n, r in enumerate(roles, start=1)])
+    lists = F.concat_ws("", *[F.when(F.size(tree[r]["children"]) > 0, F.concat(F.lit("["), F.concat_ws("", tree[r]["children"]))) for r in roles])
+    # a deeper level needs a list of its own, so there are no more levels than opening brackets
+    steps = F.length(F.regexp_replace(lists, r"[^\[]+", ""))
+    steps = F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>"))
+    start = F.struct(F.filter(top, lambda r: r.isNotNull()).alias("rows"), F.lit(0).alias("done")).cast(_OPENED)
+    rows = F.array_sort(F.aggregate(steps, start, _opened)["rows"])
+    return F.transform(rows, lambda r: F.struct(*[r[c].alias(c) for c in _ROW.names if c not in ("place", "children")]))
+
+
+def flatten_tree(df: DataFrame, tree: str, roles: list[str] = CATEGORIES) -> DataFrame:
     """One row per line item: the other columns, then category, id, level, parent, label, value."""
     keep = [c for c in df.columns if c != tree]
-    return df.select(*keep, F.explode(tree_rows(tree, roles, depth)).alias("__r")).select(*keep, "__r.*")
+    return df.select(*keep, F.explode(tree_rows(tree, roles)).alias("__r")).select(*keep, "__r.*")
 
 
-def _deepest(node: Column, depth: int) -> Column:
-    if depth == 0:
-        return F.coalesce(~F.regexp_replace(node["children"], r"\s", "").isin("[]", "null", ""), F.lit(False))
-    return F.coalesce(F.exists(node["children"], lambda c: _deepest(c, depth - 1)), F.lit(False))
-
-
-def too_deep(tree: Col, roles: list[str] = CATEGORIES, depth: int = DEPTH) -> Column:
-    """True when some node has children below the depth that is read: nothing may be lost silently."""
-    tree = as_col(tree)
-    out = F.lit(False)
-    for r in roles:
-        out = out | _deepest(tree[r], depth)
-    return out
+def level_counts(df: DataFrame, tree: str, roles: list[str] = CATEGORIES) -> DataFrame:
+    """(level, n): how many line items lie on each level."""
+    return flatten_tree(df.select(tree), tree, roles).groupBy("level").agg(F.count("*").alias("n"))
 
 
-def node_counts(df: DataFrame, tree: str, roles: list[str] = ROLES, depth: int = DEPTH) -> DataFrame:
+def node_counts(df: DataFrame, tree: str, roles: list[str] = ROLES) -> DataFrame:
     """Adds n_labelled and n_values: labelled nodes, and those with a value (row-local, no explode)."""
-    rows = tree_rows(tree, roles, depth)
+    rows = tree_rows(tree, roles)
 
     def filled(c: Column) -> Column:
         return F.coalesce(c != "", F.lit(False))

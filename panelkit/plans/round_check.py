@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelkit.functions.text import title_case
 from panelkit.functions.years import label_agreement
 from panelkit.operators import compare
-from panelkit.operators.tree import CATEGORIES, DEPTH, tree_rows
+from panelkit.operators.tree import CATEGORIES, tree_rows
 from panelkit.schema import ROUND_LAYOUT, to_pregap
 
 
@@ -33,7 +33,7 @@ def year_audit_fields(source: Column) -> dict[str, Column]:
     }
 
 
-def compile_results(results: DataFrame, depth: int = DEPTH) -> DataFrame:
+def compile_results(results: DataFrame) -> DataFrame:
     """Result files -> the 43-column long table: one row per line item, one row for a result without a table.
 
     Everything is row-local: each file turns into its rows by one explode.
@@ -55,7 +55,7 @@ def compile_results(results: DataFrame, depth: int = DEPTH) -> DataFrame:
         **year_audit_fields(src), "extraction_method": r["extraction_method"],
         "extraction_notes": F.when(none, r["extraction_notes"]), "failure_reason": F.when(none, r["failure_reason"]),
     }
-    items = F.when(none, blank).otherwise(tree_rows(r["decomposition"], CATEGORIES, depth))
+    items = F.when(none, blank).otherwise(tree_rows(r["decomposition"], CATEGORIES))
     out = results.filter("error is null and has_tree").select(*[c.alias(n) for n, c in facts.items()], F.explode(items).alias("__i"))
     return out.select("*", "__i.*").drop("__i").select(*[F.col(c).cast("string").alias(c) for c in ROUND_LAYOUT])
 

@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from panelkit.functions.files import report_stem
 from panelkit.operators.gaps import AUDIT
-from panelkit.operators.tree import DEPTH, tree_type
+from panelkit.operators.tree import tree_type
 from panelkit.schema import string_schema
 
 RUN_REQUIRED = ["json_file", "pdf_file_name", "table_found", "last_actual_year", "top_category", "hierarchy_id",
@@ -16,7 +16,7 @@ def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(n, T.StringType()) for n in names]
 
 
-def extraction_schema(depth: int = DEPTH) -> T.StructType:
+def extraction_schema() -> T.StructType:
     """One extraction result: report facts, source facts with both header audits, the tree of values."""
     validation = T.StructType([*_strings("status", "first_selected_year", "audited_selected_year"),
                                T.StructField("issues", T.ArrayType(T.StringType()))])
@@ -31,11 +31,11 @@ def extraction_schema(depth: int = DEPTH) -> T.StructType:
                                  "country_report_number"))
     return T.StructType([
         T.StructField("report_metadata", meta), T.StructField("source", source), T.StructField("table_found", T.BooleanType()),
-        T.StructField("decomposition", tree_type(depth=depth)),
+        T.StructField("decomposition", tree_type()),
         *_strings("pdf_file_name", "extraction_method", "extraction_notes", "failure_reason")])
 
 
-def read_extractions(spark: SparkSession, folder: str | list[str], pattern: str = "*_dsa.json", depth: int = DEPTH) -> DataFrame:
+def read_extractions(spark: SparkSession, folder: str | list[str], pattern: str = "*_dsa.json") -> DataFrame:
     """One row per result file: json_file, result (struct), has_tree, error.
 
     A file that is no JSON object gets an error instead of failing the read.
@@ -43,7 +43,7 @@ def read_extractions(spark: SparkSession, folder: str | list[str], pattern: str
     raw = (spark.read.option("pathGlobFilter", pattern).option("wholetext", True).text(folder)
            .select(F.col("_metadata.file_name").alias("json_file"), F.regexp_replace("value", "^﻿", "").alias("text")))
     # the key list alone does not parse what follows it, so a cut-off file shows only in the full parse
-    schema = T.StructType([*extraction_schema(depth).fields, T.StructField("_bad", T.StringType())])
+    schema = T.StructType([*extraction_schema().fields, T.StructField("_bad", T.StringType())])
     parsed = F.from_json("text", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     keys = F.json_object_keys("text")
     bad = keys.isNull() | F.col("r._bad").isNotNull()
@@ -111,43 +111,63 @@ def read_errors(spark: SparkSession, folders: dict[int, str], pattern: str = "*_
     return out
 
 
-def report_list(texts: DataFrame, text: str, category: str | None = None, levels: int = 3) -> DataFrame:
-    """Distinct (stem, category, ord) listed in JSON texts of any nesting.
+_LISTED = T.StructType([T.StructField("rows", T.ArrayType(T.StructType([
+    T.StructField("category", T.StringType()), T.StructField("ord", T.IntegerType()), T.StructField("v", T.VariantType())]))),
+    T.StructField("done", T.IntegerType())])
 
-    A list entry is a name or an object naming its report (json_file or report). Only lists called `reports`
-    and nested objects are followed, so that descriptive fields are never taken for names. Objects are unrolled
-    `levels` deep with variants.
+
+def report_list(texts: DataFrame, text: str, category: str | None = None) -> DataFrame:
+    """Distinct (stem, category, ord) listed in JSON texts of any nesting; ord is the place in the entry's own list.
+
+    A list entry is a name, an object naming its report (json_file, else report), or a list or object of further entries.
+    Of an object without a name only the list called `reports` and nested objects are followed, so that descriptive fields
+    are never taken for names. With `category`, only that key of each text's top object is read; a text without it is an
+    error. A text that is no JSON lists nothing.
     """
-    v = texts.select(F.try_parse_json(F.col(text)).alias("v"))
+    v = F.try_parse_json(F.col(text))
     if category:
-        v = v.select(F.lit(category).alias("category"), F.expr(f"try_variant_get(v, '$.{category}', 'variant')").alias("v"))
-    else:
-        v = v.select(F.lit(None).cast("string").alias("category"), "v")
-    entries = None
-    level = v
-    for _ in range(levels + 1):
-        kind = F.schema_of_variant("v")
-        # a bare list, at the top or under a category
-        lists = level.filter(kind.startswith("ARRAY")).select("category", F.col("v").alias("list"))
-        named = level.filter(kind.startswith("OBJECT"))
-        own = named.filter(F.coalesce(_name("v"), F.lit("")) != "").select("category", _name("v").alias("name"), F.lit(0).alias("ord"))
-        rest = named.filter(F.coalesce(_name("v"), F.lit("")) == "")
-        kids = rest.select("category", F.explode(F.expr("cast(v as map<string, variant>)")).alias("key", "child"))
-        lists = lists.unionByName(kids.filter("key = 'reports'").filter(F.schema_of_variant("child").startswith("ARRAY"))
-                                  .select("category", F.col("child").alias("list")))
-        members = lists.select("category", F.posexplode(F.expr("cast(list as array<variant>)")).alias("ord", "m"))
-        text_name = F.when(F.schema_of_variant("m") == "STRING", F.expr("try_variant_get(m, '$', 'string')"))
-        found = members.select("category", F.coalesce(text_name, _name("m")).alias("name"), "ord").filter("name is not null")
-        part = own.unionByName(found)
-        entries = part if entries is None else entries.unionByName(part)
-        level = kids.filter(F.schema_of_variant("child").startswith("OBJECT")).select(
-            F.coalesce("category", "key").alias("category"), F.col("child").alias("v"))
-    return entries.select(report_stem("name").alias("stem"), "category", "ord").groupBy("stem").agg(
+        top = F.try_variant_get(v, "$", "map<string,variant>")
+        absent = F.raise_error(F.concat(F.lit(f"category {category} is no top-level key of "), F.left(F.col(text), F.lit(80))))
+        v = F.when(F.coalesce(F.map_contains_key(top, category), F.lit(False)), F.try_element_at(top, F.lit(category))).otherwise(absent.cast("variant"))
+    start = F.struct(F.array(F.struct(F.lit(category).cast("string").alias("category"), F.lit(0).alias("ord"), v.alias("v"))).alias("rows"), F.lit(0).alias("done"))
+    # every level needs a bracket of its own, so there are no more levels than opening brackets
+    steps = F.length(F.regexp_replace(text, r"[^\[{]+", ""))
+    steps = F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>"))
+    rows = F.aggregate(steps, start.cast(_LISTED), _listed)["rows"]
+    entry = texts.select(F.posexplode(rows).alias("pos", "e")).select(
+        "e.category", "e.ord", F.coalesce(F.when(F.col("pos") > 0, _text_of(F.col("e.v"))), _name(F.col("e.v"))).alias("name"))
+    return entry.filter("name is not null").select(report_stem("name").alias("stem"), "category", "ord").groupBy("stem").agg(
         F.min_by("category", F.struct("category", "ord")).alias("category"), F.min("ord").alias("ord"))
 
 
-def _name(c: str) -> Column:
-    return F.expr(f"coalesce(try_variant_get({c}, '$.json_file', 'string'), try_variant_get({c}, '$.report', 'string'))")
+def _listed(state: Column, _step: Column) -> Column:
+    """The next level: what the entries added by the last step list."""
+    rows, done = state["rows"], state["done"]
+    new = F.flatten(F.transform(F.slice(rows, done + 1, F.size(rows) - done), _below))
+    return F.when(F.size(rows) == done, state).otherwise(F.struct(F.concat(rows, new).alias("rows"), F.size(rows).alias("done")).cast(_LISTED))
+
+
+def _below(e: Column) -> Column:
+    none = F.array().cast(_LISTED["rows"].dataType)
+
+    def place(category: Column, n: Column, v: Column) -> Column:
+        return F.struct(category.alias("category"), n.alias("ord"), v.alias("v"))
+    members = F.transform(F.try_variant_get(e["v"], "$", "array<variant>"), lambda m, i: place(e["category"], i, m))
+    fields = F.filter(F.map_entries(F.try_variant_get(e["v"], "$", "map<string,variant>")), lambda f: (
+        (f["key"] == "reports") & F.try_variant_get(f["value"], "$", "array<variant>").isNotNull())
+        | F.try_variant_get(f["value"], "$", "map<string,variant>").isNotNull())
+    inner = F.transform(fields, lambda f: place(
+        F.when(F.try_variant_get(f["value"], "$", "array<variant>").isNotNull(), e["category"]).otherwise(F.coalesce(e["category"], f["key"])), F.lit(0), f["value"]))
+    return F.coalesce(members, F.when(_name(e["v"]).isNull(), inner), none)
+
+
+def _text_of(v: Column) -> Column:
+    """The text of a variant that is a text, else NULL."""
+    return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
+
+
+def _name(v: Column) -> Column:
+    return F.coalesce(*[_text_of(F.try_variant_get(v, f"$.{key}", "variant")) for key in ("json_file", "report")])
 
 
 def list_sizes(lists: DataFrame) -> DataFrame:

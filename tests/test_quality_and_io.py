@@ -17,7 +17,7 @@ AUDIT = [("2015", "actual"), ("2016", "actual"), ("2017", "actual"), ("2018", "p
 
 
 def validate(spark, cases):
-    target = "struct<target_year:int,extractable:boolean,not_extractable_reason:string,column_status:string,matched_year_label:string,column_header_verbatim:string,decomposition:" + T.tree_type(depth=1).simpleString() + ">"
+    target = "struct<target_year:int,extractable:boolean,not_extractable_reason:string,column_status:string,matched_year_label:string,column_header_verbatim:string,decomposition:" + T.tree_type().simpleString() + ">"
     out = []
     for n, (change, audit) in enumerate(cases):
         t = {**GOOD, **change}
@@ -160,6 +160,31 @@ def test_report_list(spark):
     assert {(r["stem"]) for r in RD.report_list(d.limit(1), "t", "category_b").collect()} == {"c"}
 
 
+def test_report_list_of_any_nesting(spark):
+    deep = {"reports": ["deep.pdf"]}
+    for n in range(9):
+        deep = {"reports": [{"group": n, "reports": [[deep], 7, None]}]}
+    texts = [{"reports": [{"group": "x", "reports": ["a.pdf"]}]}, [["b.pdf"], "c.pdf"], {"top": deep}, {"json_file": 5, "report": "d.pdf", "x": {"reports": ["no.pdf"]}}, "e.pdf", {"notes": ["f.pdf"]}]
+    d = spark.createDataFrame([(json.dumps(t),) for t in texts], "t string")
+    assert {(r["stem"], r["category"]) for r in RD.report_list(d, "t").collect()} == {("a", None), ("b", None), ("c", None), ("deep", "top"), ("d", None)}
+    with pytest.raises(Exception, match="no top-level key"):
+        RD.report_list(d, "t", "absent").collect()
+
+
+def test_tree_of_any_depth(spark):
+    tree = {"label_verbatim": "leaf", "value": 12.5, "children": ["text", None, {"label_verbatim": "last [", "value": "1e3"}]}
+    for n in range(20):
+        tree = {"label_verbatim": f'say "[{n}]"', "value": str(n), "children": [None, tree]}
+    text = json.dumps({"residual": tree, "primary_balance": {"label_verbatim": None, "value": None, "children": "none"}})
+    d = spark.createDataFrame([(1, text), (2, "{}"), (3, None)], "k int, t string").select("k", F.from_json("t", T.tree_type()).alias("tree"))
+    rows = {r["hierarchy_id"]: r for r in T.flatten_tree(d, "tree").collect()}
+    assert len(rows) == 23 and {r["k"] for r in rows.values()} == {1}
+    leaf = next(r for r in rows.values() if r["label_verbatim"] == "leaf")
+    last = next(r for r in rows.values() if r["label_verbatim"] == "last [")
+    assert leaf["hierarchy_id"] == "6" + 20 * ".2" and leaf["level"] == 20 and leaf["parent_label"] == 'say "[0]"' and leaf["value"] == "12.5"
+    assert last["hierarchy_id"] == leaf["hierarchy_id"] + ".3" and last["parent_label"] == "leaf" and last["value"] == "1e3"
+
+
 def test_stream_compile(spark, tmp_path):
     from panelkit.streaming.incremental import stream_compile
     src = tmp_path / "in"

@@ -72,6 +72,21 @@ def test_exact_quantiles_match_numpy(spark):
     assert all(np.isclose(pooled[n], np.quantile(everything, p)) for n, p in probs.items())
 
 
+def test_quantiles_of_odd_and_close_values(spark):
+    """NaN is missing, infinite values lie at the ends, a NULL group is a group, and a crowded cell is cut again."""
+    from panelkit.operators.quantiles import NARROWER, value_cell
+    from panelkit.operators.stats import group_stats
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([("a", v) for v in (inf, -inf, 1.0, nan, 2.0)] + [(None, 3.0), ("b", inf), ("c", nan)], "g string, v double")
+    got = {r["g"]: (r["lo"], r["mid"], r["hi"]) for r in exact_quantiles(df, ["g"], "v", {"lo": 0.0, "mid": 0.5, "hi": 1.0}).collect()}
+    assert got == {"a": (-inf, 1.5, inf), None: (3.0, 3.0, 3.0), "b": (inf, inf, inf)}
+    assert {r["g"]: r["median"] for r in group_stats(df, ["g"], "v").collect()} == {"a": 1.5, None: 3.0, "b": inf, "c": None}
+    close = spark.range(1_000_000).select((F.lit(5.0) + F.col("id") / 1e9).alias("v"))
+    q = exact_quantiles(close, [], "v", {"q": 0.25}).collect()[0]["q"]
+    assert abs(q - (5.0 + 249_999.75e-9)) < 1e-12
+    assert close.groupBy(value_cell(F.col("v"), NARROWER)).count().agg(F.max("count")).collect()[0][0] < 2_000
+
+
 def test_picks(spark):
     df = spark.createDataFrame([("k", "round2", 1.0, "b"), ("k", "round1", 2.0, "b"), ("k", "round1", 3.0, "a"), ("q", "other", 4.0, "a"), ("q", "gapfill", 5.0, "z")],
                                "k string, s string, v double, t string")

@@ -208,8 +208,8 @@ def target_tree():
     v["identified_flows"] = v["primary_balance"] + v["automatic_debt_dynamics"] + v["other_identified_flows"] + F.when(k % 5 == 0, 2).otherwise(0)
     v["residual"] = k % 4
     v["change_in_debt"] = v["identified_flows"] + v["residual"] - F.when(k % 6 == 0, 3).otherwise(0)
-    leaf = lambda c: F.struct(F.lit(c).alias("label_verbatim"), F.when(k % 7 > 0, v[c].cast("string")).alias("value"), F.lit(None).cast("string").alias("children")).alias(c)
-    return F.struct(*[leaf(c) for c, _ in TREE6]).cast(tree_type([c for c, _ in TREE6], 0))
+    leaf = lambda c: F.struct(F.lit(c).alias("label_verbatim"), F.when(k % 7 > 0, v[c].cast("string")).alias("value"), F.lit(None).cast("array<string>").alias("children")).alias(c)
+    return F.struct(*[leaf(c) for c, _ in TREE6]).cast(tree_type([c for c, _ in TREE6]))
 
 
 @query("identity_check", """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE array_to_string(list_filter([CASE WHEN o_orderkey % 6 = 0 THEN 'identity_change' END, CASE WHEN o_orderkey % 5 = 0 THEN 'identity_flows' END], lambda x : x IS NOT NULL), '|') END AS codes FROM orders""")
@@ -379,10 +379,12 @@ def report_list(spark, sf):
     from panelkit.sources.readers import report_list as read
     c, t = R.table(spark, sf, "conversations"), F.col("turn")
     name = R.text("rep ", F.col("conv_id"), "_", t)
-    entry = F.when(t % 2 == 0, F.to_json(F.struct(R.text(name, "_dsa.json").alias("json_file"), F.lit("x").alias("note")))).otherwise(F.to_json(F.struct(R.text(name, ".pdf").alias("report"))))
+    entry = F.when(t % 2 == 0, F.to_json(F.struct(R.text(name, "_dsa.json").alias("json_file"), F.lit("x").alias("note")))).otherwise(F.to_json(F.struct(F.lit(1).alias("json_file"), R.text(name, ".pdf").alias("report"))))
     group = F.when(t % 2 == 0, "cat_a").otherwise("cat_b")
-    # every third object lists its reports under a key that is not followed
-    text = R.text('{"meta":{"round":"r1"},"', group, '":{"description":"d","count":1,"', F.when(t % 3 < 2, "reports").otherwise("others"), '":[', entry, "]}}")
+    # lists in lists and groups in lists, up to seven deep; every third object lists its reports under a key that is not followed
+    deep = (F.col("conv_id") % 8).cast("int")
+    nested = R.text(F.repeat(F.lit('[{"group":"g","reports":['), deep), entry, F.repeat(F.lit("]}]"), deep))
+    text = R.text('{"meta":{"round":"r1"},"', group, '":{"description":"d","count":1,"', F.when(t % 3 < 2, "reports").otherwise("others"), '":[', nested, "]}}")
     return read(c.select(text.alias("t")), "t").select("stem", "category")
 
 

@@ -13,33 +13,42 @@ from workload.registry import query
 ROLE_COUNT = len(ROLES)
 
 
+NEST = 9    # sentences under one another
+
+
 def _json_trees(spark, sf):
     """(doc_id, tree JSON): the lines of a text under the role its number points to; whole texts, row-local.
 
-    Role r holds the lines with (line number mod 7) = r; a line has its sentences as children.
+    Role r holds the lines with (line number mod 7) = r. A line's children are its 1st, 10th, 19th ... sentence; each
+    other sentence is the child of the one before it, so that the depth varies with the text, up to ten levels.
     """
     d = R.table(spark, sf, "documents").select("doc_id", "n_chars", F.split("text", "\n").alias("lines"))
     numbered = F.transform("lines", lambda x, i: F.struct(i.alias("i"), x.alias("x")))
 
-    def node(label, value, kids):
-        return F.struct(label.alias("label_verbatim"), value.alias("value"), kids.alias("children"))
+    def text(s):
+        quoted = F.to_json(F.array(s))
+        return F.substring(quoted, F.lit(2), F.length(quoted) - 2)
 
-    def sentence(x):
-        return F.struct(F.left(x, F.lit(12)).alias("label_verbatim"), F.when(F.length(x) % 3 > 0, F.length(x).cast("string")).alias("value"))
+    def node(label, value, kids):
+        return R.text('{"label_verbatim":', label, ',"value":', F.coalesce(R.text('"', value.cast("string"), '"'), F.lit("null")), ',"children":[', kids, "]}")
 
     def line(s):
         x = s["x"]
-        return node(F.left(x, F.lit(10)), F.when(F.length(x) % 5 > 0, F.length(x).cast("string")), F.transform(F.split(x, r"\. "), sentence))
+        sentences = F.split(x, r"\. ")
+        starts = F.sequence(F.lit(1), F.size(sentences), F.lit(NEST))
+        chain = F.transform(starts, lambda a: F.aggregate(
+            F.reverse(F.slice(sentences, a, NEST)), F.lit(""), lambda kid, t: node(text(t), F.when(F.length(t) % 3 > 0, F.length(t)), kid)))
+        return node(text(x), F.when(F.length(x) % 5 > 0, F.length(x)), F.array_join(chain, ","))
     parts = []
     for n, role in enumerate(ROLES):
         mine = F.filter(numbered, lambda s: s["i"] % ROLE_COUNT == n)
         # a role without lines is absent from the tree
-        parts.append(F.when(F.size(mine) > 0, node(F.lit(role), (F.size(mine) * 10 + n).cast("string"), F.transform(mine, line))).alias(role))
-    return d.select("doc_id", "n_chars", F.to_json(F.struct(*parts)).alias("tree"))
+        parts.append(F.when(F.size(mine) > 0, R.text(f'"{role}":', node(F.lit(f'"{role}"'), F.size(mine) * 10 + n, F.array_join(F.transform(mine, line), ",")))))
+    return d.select("doc_id", "n_chars", R.text("{", F.concat_ws(",", *parts), "}").alias("tree"))
 
 
 def trees(spark, sf):
-    return _json_trees(spark, sf).select("doc_id", F.from_json("tree", T.tree_type(depth=3)).alias("tree"))
+    return _json_trees(spark, sf).select("doc_id", F.from_json("tree", T.tree_type()).alias("tree"))
 
 
 TREE_SQL = """ln AS (SELECT doc_id, CAST(u.i - 1 AS INT) AS i, u.x FROM documents, unnest(string_split(text, chr(10))) WITH ORDINALITY AS u(x, i)),
@@ -49,21 +58,22 @@ top AS (SELECT doc_id, role, count(*) AS n FROM rl GROUP BY 1, 2),
 sn AS (SELECT rl.*, v.s, v.j FROM rl, unnest(string_split(x, '. ')) WITH ORDINALITY AS v(s, j)),
 flat AS (SELECT doc_id, role, cat AS top_category, CAST(role AS VARCHAR) AS hierarchy_id, 0 AS level, NULL AS parent_label, cat AS label_verbatim, CAST(n * 10 + role AS VARCHAR) AS value
     FROM top JOIN names USING (role)
-  UNION ALL SELECT doc_id, role, cat, role || '.' || pos, 1, cat, left(x, 10), CASE WHEN length(x) % 5 > 0 THEN CAST(length(x) AS VARCHAR) END FROM rl JOIN names USING (role)
-  UNION ALL SELECT doc_id, role, cat, role || '.' || pos || '.' || j, 2, left(x, 10), left(s, 12), CASE WHEN length(s) % 3 > 0 THEN CAST(length(s) AS VARCHAR) END FROM sn JOIN names USING (role))"""
+  UNION ALL SELECT doc_id, role, cat, role || '.' || pos, 1, cat, x, CASE WHEN length(x) % 5 > 0 THEN CAST(length(x) AS VARCHAR) END FROM rl JOIN names USING (role)
+  UNION ALL SELECT doc_id, role, cat, role || '.' || pos || '.' || ((j - 1) // 9 + 1) || repeat('.1', CAST((j - 1) % 9 AS INT)), 2 + (j - 1) % 9,
+    CASE WHEN j % 9 = 1 THEN x ELSE lag(s) OVER (PARTITION BY doc_id, i ORDER BY j) END, s, CASE WHEN length(s) % 3 > 0 THEN CAST(length(s) AS VARCHAR) END FROM sn JOIN names USING (role))"""
 
 
 @query("flatten_tree", f"WITH {TREE_SQL} SELECT doc_id, top_category, hierarchy_id, CAST(level AS INT) AS level, parent_label, label_verbatim, value FROM flat WHERE role > 0")
 def flatten_tree(spark, sf):
     """Six roles in fixed order; the seventh is read but never flattened."""
-    return T.flatten_tree(trees(spark, sf), "tree", depth=3)
+    return T.flatten_tree(trees(spark, sf), "tree")
 
 
 @query("count_filled_nodes", f"""WITH {TREE_SQL}, c AS (SELECT doc_id, CAST(sum(CASE WHEN label_verbatim <> '' THEN 1 ELSE 0 END) AS INT) AS n_labelled,
   CAST(sum(CASE WHEN label_verbatim <> '' AND value <> '' THEN 1 ELSE 0 END) AS INT) AS n_values FROM flat GROUP BY 1)
 SELECT doc_id, n_labelled, n_values, n_labelled = 0 OR n_values < 3 OR n_values / n_labelled < 0.45 AS needs_retry FROM c""")
 def count_filled_nodes(spark, sf):
-    d = T.node_counts(trees(spark, sf), "tree", depth=3)
+    d = T.node_counts(trees(spark, sf), "tree")
     return d.select("doc_id", "n_labelled", "n_values", T.needs_legibility_retry(F.lit(True), F.lit(None).cast("string"), "n_values", "n_labelled").alias("needs_retry"))
 
 
@@ -73,13 +83,10 @@ def wide_role_values(spark, sf):
     return T.wide_values(trees(spark, sf), "tree")
 
 
-@query("tree_depth_check", r"""WITH s AS (SELECT doc_id, max(len(string_split(x, '. '))) AS m FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM documents) GROUP BY 1)
-SELECT too_deep, count(*) AS n FROM (SELECT len(string_split(text, chr(10))) > 1 AS too_deep FROM documents JOIN s USING (doc_id)) GROUP BY 1""")
-def tree_depth_check(spark, sf):
-    """Documents whose tree has children below the one level that is read here: nothing is lost unnoticed."""
-    d = _json_trees(spark, sf).select(F.from_json("tree", T.tree_type(depth=0)).alias("tree"))
-    # roles above the first line exist only in texts of several lines
-    return d.groupBy(T.too_deep("tree", CATEGORIES, 0).alias("too_deep")).agg(F.count("*").alias("n"))
+@query("tree_level_counts", f"WITH {TREE_SQL} SELECT CAST(level AS INT) AS level, count(*) AS n FROM flat WHERE role > 0 GROUP BY 1")
+def tree_level_counts(spark, sf):
+    """Line items on each level: as many levels as the texts have."""
+    return T.level_counts(trees(spark, sf), "tree")
 
 
 # ---- compiled results ---------------------------------------------------------------------------------------
@@ -100,7 +107,7 @@ def results(spark, sf):
     body = F.when(k % 13 > 0, R.text(",\"decomposition\":", F.col("tree"))).otherwise(F.lit(""))
     whole = R.text(F.regexp_replace(head, r"\}$", ""), body, "}")
     t = d.select(R.text("doc_", k, "_dsa.json").alias("json_file"), F.when(k % 17 == 0, F.substring(whole, 2, 2147483647)).otherwise(whole).alias("text"))
-    return t.select("json_file", F.from_json("text", extraction_schema(3)).alias("result"), F.coalesce(F.array_contains(F.json_object_keys("text"), "decomposition"), F.lit(False)).alias("has_tree"),
+    return t.select("json_file", F.from_json("text", extraction_schema()).alias("result"), F.coalesce(F.array_contains(F.json_object_keys("text"), "decomposition"), F.lit(False)).alias("has_tree"),
                     F.when(F.json_object_keys("text").isNull(), "not a readable JSON object").alias("error"))
 
 
@@ -121,7 +128,7 @@ ITEMS = ["top_category", "hierarchy_id", "level", "parent_label", "label_verbati
 UNION ALL SELECT {', '.join(COMPILED)}, NULL, NULL, NULL, NULL, NULL, NULL FROM src WHERE k % 11 = 0""")
 def compiled(spark, sf):
     """Result trees to the long table: line items, one row for a result without a table; unreadable and foreign files skipped."""
-    return compile_results(results(spark, sf), 3).select(*COMPILED, *ITEMS)
+    return compile_results(results(spark, sf)).select(*COMPILED, *ITEMS)
 
 
 @query("unreadable_results", """SELECT 'doc_' || doc_id || '_dsa.json' AS json_file, 'not a readable JSON object' AS error FROM documents WHERE doc_id % 17 = 0""")

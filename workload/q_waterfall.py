@@ -146,7 +146,7 @@ def answer_trees(spark, sf):
         kids = F.when(k % 3 == 0, F.array(F.struct(R.text("child of ", c).alias("label_verbatim"), k.cast("string").alias("value"))))
         return F.struct(F.lit(c).alias("label_verbatim"), value.alias("value"), kids.alias("children")).alias(c)
     tree = F.struct(*[node(n, c) for n, c in enumerate(CATEGORIES)])
-    return r.select(F.col("pdf_file_name").alias("report"), F.from_json(F.to_json(tree), T.tree_type(CATEGORIES, 2)).alias("decomposition"))
+    return r.select(F.col("pdf_file_name").alias("report"), F.from_json(F.to_json(tree), T.tree_type(CATEGORIES)).alias("decomposition"))
 
 
 @query("filled_panel", f"""WITH {GAPS}, {RESOLVE}, {FILL}
@@ -173,7 +173,7 @@ def gapfill_rows(spark, sf):
     resolution = cascade(spark, sf)[5].withColumn("gap_id", F.lit(None).cast("string"))
     trees = resolution.filter("source_report is not null").select(F.col("source_report").alias("report"), F.col("gap_year").alias("year")).join(answer_trees(spark, sf), "report")
     hit = resolution.filter("source_report is not null").select("country", F.col("gap_year").alias("year"), F.col("source_report").alias("report"))
-    long = T.flatten_tree(hit.join(trees, ["report", "year"]), "decomposition", depth=2).withColumn("json_file", F.regexp_replace("report", r"\.pdf$", "_dsa.json")) \
+    long = T.flatten_tree(hit.join(trees, ["report", "year"]), "decomposition").withColumn("json_file", F.regexp_replace("report", r"\.pdf$", "_dsa.json")) \
         .withColumn("pdf_file_name", F.col("report"))
     return P.final_rows(long, "r9").select("json_file", "year", "top_category", "hierarchy_id", "level", "parent_label", "label_verbatim", "value", "source_round", "gapfill_run", "update_origin")
 
