@@ -40,8 +40,13 @@ def read_extractions(spark: SparkSession, folder: str | list[str], pattern: str
 
     A file that is no JSON object gets an error instead of failing the read.
     """
-    raw = (spark.read.option("pathGlobFilter", pattern).option("wholetext", True).text(folder)
-           .select(F.col("_metadata.file_name").alias("json_file"), F.regexp_replace("value", "^﻿", "").alias("text")))
+    raw = spark.read.option("pathGlobFilter", pattern).option("wholetext", True).text(folder)
+    return parse_results(raw.select(F.col("_metadata.file_name").alias("json_file"), F.col("value").alias("text")))
+
+
+def parse_results(files: DataFrame) -> DataFrame:
+    """json_file, result, has_tree, error of whole files (json_file, text), in a batch or in a stream."""
+    raw = files.select("json_file", F.regexp_replace("text", "^﻿", "").alias("text"))
     # the key list alone does not parse what follows it, so a cut-off file shows only in the full parse
     schema = T.StructType([*extraction_schema().fields, T.StructField("_bad", T.StringType())])
     parsed = F.from_json("text", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
@@ -58,9 +63,12 @@ def bad_files(results: DataFrame) -> DataFrame:
     return results.filter("error is not null").select("json_file", "error")
 
 
-def read_run(spark: SparkSession, path: str | list[str], required: list[str] = RUN_REQUIRED, columns: list[str] | None = None) -> DataFrame:
+def read_run(spark: SparkSession, path: str | list[str], required: list[str] = RUN_REQUIRED, columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
     """A run's table: all text, multi-line fields, byte-order mark tolerated, required columns checked.
 
+    A file with line breaks inside fields is read by one task. Without such fields, `multi_line=False` lets a large file
+    be split.
+
     Only the header line is read to learn the columns; nothing is inferred from the data. Files of a list are
     combined by column name.
     """
@@ -71,7 +79,7 @@ def read_run(spark: SparkSession, path: str | list[str], required: list[str] = R
         missing = [c for c in required if c not in cols]
         if missing:
             raise ValueError(f"{p} lacks the columns {missing}")
-        df = spark.read.schema(string_schema(cols)).csv(p, header=True, multiLine=True, quote='"', escape='"', enforceSchema=True)
+        df = spark.read.schema(string_schema(cols)).csv(p, header=True, multiLine=multi_line, quote='"', escape='"', enforceSchema=True)
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
 
@@ -82,9 +90,9 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return [n.lstrip("﻿") for n in names]
 
 
-def read_sparse(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """CSV whose text 'NA' is a value and only an empty field is missing."""
-    df = spark.read.schema(string_schema(columns)).csv(path, header=True, multiLine=True, escape='"', nullValue="", emptyValue="")
+def read_sparse(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True) -> DataFrame:
+    """CSV whose text 'NA' is a value and only an empty field is missing; `multi_line` as in `read_run`."""
+    df = spark.read.schema(string_schema(columns)).csv(path, header=True, multiLine=multi_line, escape='"', nullValue="", emptyValue="")
     return df.select(*[F.nullif(c, F.lit("")).alias(c) for c in columns])
 
 

@@ -12,7 +12,7 @@ from panelkit.functions.files import report_stem
 from panelkit.operators import pick
 from panelkit.operators.waterfall import RESOLVED, RETRY, TARGET
 from panelkit.plans.round_check import compile_results
-from panelkit.sources.readers import extraction_schema
+from panelkit.sources.readers import bad_files, parse_results
 
 
 def remaining_targets(targets: DataFrame, resolution: DataFrame) -> DataFrame:
@@ -35,9 +35,9 @@ def listed_reports(reports: DataFrame, wanted: DataFrame, name: str = "pdf_file_
         stems.join(have.select("__stem").distinct(), "__stem", "left_anti").withColumnRenamed("__stem", "stem")
 
 
-def merge_answers(answers: DataFrame, own: Column, run_time: str) -> DataFrame:
-    """One answer per (report, year): this run's own beats all, else the newest run's."""
-    order = [own.cast("int"), F.col(run_time)]
+def merge_answers(answers: DataFrame, own: Column, run_time: str, run: str | None = None) -> DataFrame:
+    """One answer per (report, year): this run's own beats all, else the newest run's, of equal times the last run name."""
+    order = [own.cast("int"), F.col(run_time), *([F.col(run)] if run else [])]
     return pick.largest(answers, ["report", "year"], order)
 
 
@@ -68,19 +68,17 @@ def append_run(panel: DataFrame, new_rows: DataFrame, stamp: str, prior_stamp: s
         (F.col(c) if c in have.columns else F.lit(None)).cast(panel.schema[c].dataType).alias(c) for c in panel.columns]))
 
 
-def stream_compile(spark: SparkSession, folder: str, out: str, checkpoint: str, pattern: str = "*_dsa.json"):
+def stream_compile(spark: SparkSession, folder: str, out: str, checkpoint: str, pattern: str = "*_dsa.json", errors: str | None = None):
     """Compile new result files as they arrive: a file stream into the batch operator, appended as Parquet.
 
-    Each micro-batch is written under its own id, so a repeated batch replaces itself.
+    Files that cannot be read go to `errors` (default: `out` with "_errors" added). Each micro-batch is written under its
+    own id, so a repeated batch replaces itself.
     """
     files = (spark.readStream.option("pathGlobFilter", pattern).option("wholetext", True).text(folder)
              .select(F.col("_metadata.file_name").alias("json_file"), F.col("value").alias("text")))
-    schema = extraction_schema()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        keys = F.json_object_keys("text")
-        results = batch.select("json_file", F.from_json("text", schema).alias("result"),
-                               F.coalesce(F.array_contains(keys, "decomposition"), F.lit(False)).alias("has_tree"),
-                               F.when(keys.isNull(), "not a readable JSON object").alias("error"))
+        results = parse_results(batch)
         compile_results(results).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        bad_files(results).write.mode("overwrite").parquet(f"{errors or out + '_errors'}/batch={batch_id}")
     return files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -194,7 +194,9 @@ def test_stream_compile(spark, tmp_path):
     args = (spark, str(src), str(tmp_path / "out"), str(tmp_path / "cp"))
     stream_compile(*args).awaitTermination()
     (src / "b_dsa.json").write_text(body)
+    (src / "c_dsa.json").write_text(body[:-5])
     stream_compile(*args).awaitTermination()
     assert {r["json_file"] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {"a_dsa.json", "b_dsa.json"}
+    assert [r["json_file"] for r in spark.read.parquet(str(tmp_path / "out_errors")).collect()] == ["c_dsa.json"]
 
 
