@@ -21,16 +21,19 @@ def split_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inne
 def number_rows(df: DataFrame, order: list[str | Column], name: str = "position") -> DataFrame:
     """Exact 1, 2, 3, ... over the whole table in the given order, without one task seeing all rows.
 
-    Rows are range-partitioned by the order columns and numbered inside their partition; the partition
-    offsets come from one row per partition. The partitioned rows are materialised once, because range
+    Rows are range-partitioned by the order columns, sorted and numbered inside their partition; the partition
+    offsets come from one row per partition. The numbered rows are materialised once, because range
     boundaries are sampled and must not differ between the two uses.
     """
     by = [F.col(c) if isinstance(c, str) else c for c in order]
-    parts = materialise(df.repartitionByRange(*by).withColumn("__part", F.spark_partition_id()))
+    # the id grows by one along a partition's rows; its upper bits are the partition
+    place = F.monotonically_increasing_id()
+    parts = materialise(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__place", place))
+    part = F.shiftright("__place", 33)
+    parts = parts.withColumns({"__part": part, "__in": F.col("__place") - F.shiftleft(part, 33) + 1}).drop("__place")
     sizes = parts.groupBy("__part").agg(F.count("*").alias("__n"))      # one row per partition
     before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
-    inside = F.row_number().over(Window.partitionBy("__part").orderBy(*by))
-    return (parts.withColumn("__in", inside).join(F.broadcast(before), "__part")
+    return (parts.join(F.broadcast(before), "__part")
             .withColumn(name, F.col("__before") + F.col("__in"))
             .drop("__part", "__in", "__before"))
 

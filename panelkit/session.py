@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +59,7 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and read it back: one evaluation, reused by every consumer."""
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` as Parquet to the checkpoint folder and read it back: one evaluation, of which every consumer reads its own columns."""
+    path = f"{use_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -63,23 +63,29 @@ def bad_files(results: DataFrame) -> DataFrame:
     return results.filter("error is not null").select("json_file", "error")
 
 
-def read_run(spark: SparkSession, path: str | list[str], required: list[str] = RUN_REQUIRED, columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
+def read_run(spark: SparkSession, path: str | list[str], required: list[str] = RUN_REQUIRED, columns: list[str] | None = None, multi_line: bool = True,
+             numbered: bool = False) -> DataFrame:
     """A run's table: all text, multi-line fields, byte-order mark tolerated, required columns checked.
 
     A file with line breaks inside fields is read by one task. Without such fields, `multi_line=False` lets a large file
-    be split.
+    be split. `numbered` adds row_no, which sorts rows by file of the list, then by place in the file, however files were
+    cut and packed into tasks.
 
     Only the header line is read to learn the columns; nothing is inferred from the data. Files of a list are
     combined by column name.
     """
     paths = [path] if isinstance(path, str) else list(path)
     out = None
-    for p in paths:
+    for n, p in enumerate(paths):
         cols = columns or csv_header(spark, p)
         missing = [c for c in required if c not in cols]
         if missing:
             raise ValueError(f"{p} lacks the columns {missing}")
         df = spark.read.schema(string_schema(cols)).csv(p, header=True, multiLine=multi_line, quote='"', escape='"', enforceSchema=True)
+        if numbered:
+            # within one piece of a file the id grows along the rows
+            df = df.withColumn("row_no", F.struct(F.lit(n).alias("file"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+                                                  F.monotonically_increasing_id().alias("id")))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
 
@@ -97,11 +103,14 @@ def read_sparse(spark: SparkSession, path: str, columns: list[str], multi_line:
 
 
 def stack_runs(frames: list[DataFrame]) -> DataFrame:
-    """Runs under one another with run_no and the row's place in its own run (row_no)."""
+    """Runs under one another with run_no and the row's place in its own run (row_no).
+
+    Frames of `read_run(numbered=True)` bring a row_no in file order; rows of others are numbered as they come.
+    """
     out = None
     for n, df in enumerate(frames, start=1):
-        # order inside the run's files; the id grows along the rows of a file split
-        f = df.withColumn("run_no", F.lit(n)).withColumn("row_no", F.monotonically_increasing_id())
+        f = df.withColumn("run_no", F.lit(n))
+        f = f if "row_no" in df.columns else f.withColumn("row_no", F.monotonically_increasing_id())
         out = f if out is None else out.unionByName(f, allowMissingColumns=True)
     return out
 

@@ -200,3 +200,28 @@ def test_stream_compile(spark, tmp_path):
     assert [r["json_file"] for r in spark.read.parquet(str(tmp_path / "out_errors")).collect()] == ["c_dsa.json"]
 
 
+def test_runs_are_numbered_in_file_order(spark, tmp_path):
+    from panelkit.sources import readers as RD
+    paths = []
+    for name in ("b", "a"):
+        p = tmp_path / f"{name}.csv"
+        p.write_text("json_file,value\n" + "".join(f"{name},{i}\n" for i in range(2000)), encoding="utf-8")
+        paths.append(str(p))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        run = RD.read_run(spark, paths, required=["json_file"], multi_line=False, numbered=True)
+        rows = RD.stack_runs([run, run]).orderBy("run_no", "row_no").select("run_no", "json_file", "value").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [tuple(r) for r in rows] == [(n, f, str(i)) for n in (1, 2) for f in ("b", "a") for i in range(2000)]
+
+
+def test_saved_answers_and_lookup(spark, tmp_path):
+    from panelkit.sources import readers as RD
+    (tmp_path / "r1_gapfill.json").write_text('{"per_target": {"2001": {"status": "resolved", "errors": ["e"]}, "x": {"status": "api_error"}}}')
+    (tmp_path / "bad_gapfill.json").write_text("{")
+    rows = {(r.stem, r.year, r.answer.status) for r in RD.read_answers(spark, str(tmp_path)).collect()}
+    assert rows == {("r1", 2001, "resolved"), ("r1", None, "api_error")}
+    (tmp_path / "l.csv").write_text("n,c\nA,1\nB,\n")
+    assert [tuple(r) for r in RD.read_lookup(spark, str(tmp_path / "l.csv"), {"n": "name", "c": "code"}, "n string, c int").orderBy("name").collect()] == [("A", 1), ("B", None)]

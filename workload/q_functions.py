@@ -62,15 +62,15 @@ def entity_labels(spark, sf):
 LOOSE = r"lower(replace(regexp_replace(replace(replace(replace(trim(raw), '’', ''''), '–', '-'), '—', '-'), '\s+', ' ', 'g'), ' - ', '-'))"
 
 
-@query("loose_name_classification", f"""WITH {RAW_NAME_SQL}, d AS (SELECT DISTINCT raw, {LOOSE} AS k FROM raw),
-codes AS (SELECT lower(n_name) AS k, min(n_nationkey) AS code FROM nation GROUP BY 1)
+@query("loose_name_classification", f"""WITH {RAW_NAME_SQL}, {NORM_SQL}, d AS (SELECT DISTINCT raw, {LOOSE} AS k, {LOOSE.replace('trim(raw)', 'trim(name)')} AS nk FROM nrm),
+codes AS (SELECT lower(n_name) AS k, min(n_nationkey) AS code FROM nation GROUP BY 1),
+c AS (SELECT raw, coalesce(a.code, b.code) AS code FROM d LEFT JOIN codes a ON a.k = d.k LEFT JOIN codes b ON b.k = nk)
 SELECT raw, CAST(code AS INT) AS code, r_name AS region, CASE WHEN code IS NULL THEN 'name not in the code list' END AS problem
-FROM d LEFT JOIN codes USING (k) LEFT JOIN nation ON code = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
-WHERE raw NOT LIKE 'The %' AND raw NOT LIKE 'Republic of%'""")
+FROM c LEFT JOIN nation ON code = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""")
 def loose_name_classification(spark, sf):
-    """Names -> code by loose key -> group columns; unmatched names keep NULL and a problem."""
+    """Names -> code by loose key, else by the normalised name's -> group columns; unmatched names keep NULL and a problem."""
     n, r = R.table(spark, sf, "nation"), R.table(spark, sf, "region")
-    raw = raw_names(spark, sf).filter(~F.col("raw").startswith("The ") & ~F.col("raw").startswith("Republic of"))
+    raw = raw_names(spark, sf)
     groups = n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("n_nationkey").alias("code"), F.col("r_name").alias("region"))
     cls = S.classify(raw, n.select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("code")), groups, "raw")
     issues = S.classification_issues(cls, "region", "raw").select("raw", "problem")

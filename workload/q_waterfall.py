@@ -172,9 +172,7 @@ def gapfill_rows(spark, sf):
     """Filled line items in the panel layout, ready to append."""
     resolution = cascade(spark, sf)[5].withColumn("gap_id", F.lit(None).cast("string"))
     trees = resolution.filter("source_report is not null").select(F.col("source_report").alias("report"), F.col("gap_year").alias("year")).join(answer_trees(spark, sf), "report")
-    hit = resolution.filter("source_report is not null").select("country", F.col("gap_year").alias("year"), F.col("source_report").alias("report"))
-    long = T.flatten_tree(hit.join(trees, ["report", "year"]), "decomposition").withColumn("json_file", F.regexp_replace("report", r"\.pdf$", "_dsa.json")) \
-        .withColumn("pdf_file_name", F.col("report"))
+    long = P.values_long(resolution, trees)
     return P.final_rows(long, "r9").select("json_file", "year", "top_category", "hierarchy_id", "level", "parent_label", "label_verbatim", "value", "source_round", "gapfill_run", "update_origin")
 
 
