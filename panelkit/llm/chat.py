@@ -7,6 +7,7 @@ control string gets a backslash after its first character.
 """
 import functools
 import hashlib
+import itertools
 import os
 import re
 
@@ -68,10 +69,20 @@ def token_mask(offsets: np.ndarray, spans: np.ndarray) -> np.ndarray:
 def encode(text: str, spans: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids, character offsets and mask of a rendered text."""
     e = _tokenizer(path).encode(text, add_special_tokens=False)
-    offsets = np.array(e.offsets, np.int64).reshape(-1, 2)
+    offsets = np.fromiter(itertools.chain.from_iterable(e.offsets), np.int64, 2 * len(e)).reshape(-1, 2)
     return np.array(e.ids, np.int32), offsets, token_mask(offsets, spans)
 
 
+def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0, *(len(a) for a in arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays), kind))
+
+
+def _arrays(lists: pa.Array) -> list[np.ndarray]:
+    values, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    return [values[a:b] for a, b in itertools.pairwise(ends.tolist())]
+
+
 def turns_of(rendered: str) -> list[tuple[str, str]]:
     """The turns of a rendered text, read back."""
     out = []
@@ -109,7 +120,11 @@ def format_conversations(rows: DataFrame, vocabulary: str, loss_role: str = "ass
             text, spans = render(turns, number == 0)
             own = np.array([r == loss_role for r, _ in turns], bool)
             ids, offsets, mask = encode(text, spans[own], vocabulary)
-            out.append({"conv_id": conv, "block": number, "n_turns": len(turns), "rendered": text, "ids": ids, "starts": offsets[:, 0], "ends": offsets[:, 1], "loss": mask})
+            out.append((conv, number, len(turns), text, ids, offsets[:, 0], offsets[:, 1], mask))
+
+        def batch():
+            cols = list(zip(*out, strict=True))
+            return pa.RecordBatch.from_arrays([_lists(c, f.type.value_type) if pa.types.is_list(f.type) else pa.array(c, f.type) for c, f in zip(cols, kind, strict=True)], schema=kind)
 
         for b in batches:
             for c, role, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
@@ -122,11 +137,11 @@ def format_conversations(rows: DataFrame, vocabulary: str, loss_role: str = "ass
                 turns.append((role or "", text or ""))
                 size += len(role or "") + len(text or "")
             if out:
-                yield pa.RecordBatch.from_pylist(out, kind)
-                out = []
+                yield batch()
+                out.clear()
         if turns:
             close()
-            yield pa.RecordBatch.from_pylist(out, kind)
+            yield batch()
 
     ordered = rows.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.select("conv_id", "role", "text").mapInArrow(formatted, BLOCKS)
@@ -148,7 +163,8 @@ def read_back(blocks: DataFrame) -> DataFrame:
 
         for b in batches:
             out = []
-            cols = [b.column(b.schema.get_field_index(n)).to_pylist() for n in ("conv_id", "block", "rendered", "starts", "ends", "loss")]
+            cols = [b.column(b.schema.get_field_index(n)) for n in ("conv_id", "block", "rendered", "starts", "ends", "loss")]
+            cols = [_arrays(c) if pa.types.is_list(c.type) else c.to_pylist() for c in cols]
             for c, k, text, starts, ends, loss in zip(*cols, strict=True):
                 if k == 0:
                     if state:
@@ -158,8 +174,8 @@ def read_back(blocks: DataFrame) -> DataFrame:
                 state[0] += len(turns)
                 for role, body in turns:
                     state[1].update(f"{role}\n{body}\n".encode())
-                mask = np.array(loss, bool)
-                for t in masked_texts(text, np.array([starts, ends], np.int64).T.reshape(-1, 2), mask):
+                mask = loss
+                for t in masked_texts(text, np.stack([starts, ends], axis=1), mask):
                     state[2] += len(t)
                     state[3].update(t.encode())
                 state[4] += len(text)
