@@ -14,8 +14,9 @@ import regex
 #: Space, printable ASCII, Latin-1 and Latin Extended but for U+0085, U+00A0, U+00AD and U+0130: stable under NFC.
 _UNUSUAL = re.compile("[^\t\n\x0b\x0c\r -~\xa1-\xac\xae-įı-ɏ]")
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-#: Entries of each cache; beyond that, pieces are encoded without being kept.
-CACHED = 500_000
+#: Entries of the caches; beyond that, words and pieces are encoded without being kept. A piece that is not kept costs
+#: little as long as its words are.
+CACHED_WORDS, CACHED_PIECES = 300_000, 100_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -26,12 +27,12 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Cache(dict):
-    def __init__(self, make):
-        self.make = make
+    def __init__(self, make, most: int):
+        self.make, self.most = make, most
 
     def __missing__(self, key):
         value = self.make(key)
-        if len(self) < CACHED:
+        if len(self) < self.most:
             self[key] = value
         return value
 
@@ -44,8 +45,8 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.model, self.letters = self.library.model, _byte_letters()
-        self.words = _Cache(self._word)
-        self.pieces = _Cache(self._piece)
+        self.words = _Cache(self._word, CACHED_WORDS)
+        self.pieces = _Cache(self._piece, CACHED_PIECES)
 
     def _word(self, word: str) -> bytes:
         if not word.isascii():
