@@ -161,12 +161,12 @@ def read_shards(spark, path: str, length: int = LENGTH, per_shard: int = PER_SHA
 
     def slots(batches):
         for b in batches:
-            for file, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for file, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 shard = int(file.rsplit("shard=", 1)[1].split("/", 1)[0])
-                if len(raw) % size:
+                view = memoryview(raw.as_buffer())              # no copy of the file
+                if len(view) % size:
                     raise ValueError(f"{file}: not a whole number of records")
-                view = memoryview(raw)
-                ids = [read_record(view[at : at + size]) for at in range(0, len(raw), size)]
+                ids = [read_record(view[at : at + size]) for at in range(0, len(view), size)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(len(ids)) + shard * per_shard), pa.array([len(i) for i in ids], pa.int32()), pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64())],
                     ["slot", "n_tokens", "ids_crc32"])
