@@ -5,6 +5,7 @@ network learns from it in which part a vector's neighbours lie; every row is sto
 visits as many of its most probable parts as the sample needs for the wanted recall. What it meets there is ranked by the
 exact inner product in double precision.
 """
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 from panelkit.llm.common import prepare, written
 
 K = 20
-#: Rows that a part is to hold, most parts, sampled vectors for each part and at most, neighbours in the graph.
+#: Distinct vectors from which partitions are learned (fewer are searched exactly).
+FEW = 256
+#: Most rows that a part is to hold, most parts, sampled vectors for each part and at most, neighbours in the graph.
 PART, MOST_PARTS, PER_PART, SAMPLE, DEGREE = 4096, 256, 512, 16384, 10
 #: Recall that the sample must reach with the parts visited.
 RECALL = 0.97
@@ -170,14 +173,20 @@ def usable(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & v.isNotNull() & ~F.coalesce(odd, F.lit(True)) & F.exists(v, lambda x: x != 0))
 
 
-def nearest(rows: DataFrame, every: int, k: int = K, part: int = PART, recall: float = RECALL) -> DataFrame:
+def part_size(n: int) -> int:
+    """Rows that a part of n distinct vectors is to hold: eight times their root, so that several parts come of a few hundred."""
+    return min(PART, 8 * math.isqrt(n)) if n >= FEW else FEW
+
+
+def nearest(rows: DataFrame, every: int, k: int = K, part: int | None = None, recall: float = RECALL) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose id is divisible by `every`, its k nearest other rows found.
 
     rows: vec_id and embedding (an array of numbers); other columns are not read. Vectors that are null, empty, zero or
     hold null or non-finite components take no part, and if lengths differ only those of the commonest length do. Equal
     vectors are one entry with the k + 1 least of their ids, which is all that an answer can name of them; scores are
     computed for each pair in the same way, so equal vectors tie and the smaller id goes first. Rows repeated with the same
-    id count once. With one part the search is exact. An empty table gives no rows.
+    id count once. `part` is the rows a part is to hold; without it, it follows from the number of vectors. Only with fewer
+    than FEW distinct vectors, or one part, the search is exact. An empty table gives no rows.
     """
     spark = prepare(rows.sparkSession)
     flat = usable(rows.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("v")))
@@ -187,6 +196,7 @@ def nearest(rows: DataFrame, every: int, k: int = K, part: int = PART, recall: f
     first = flat.withColumn("__n", F.dense_rank().over(few)).where(F.col("__n") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_set("id")).alias("ids"))
     entries = written(first)
     n = entries.count()
+    part = part or part_size(n)
     parts = 1
     while parts < MOST_PARTS and parts * part < n:
         parts *= 2

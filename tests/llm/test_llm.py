@@ -299,6 +299,35 @@ def test_nearest(s):
     assert (parts[near] == parts[:, None]).mean() > 0.4             # chance is 0.25
 
 
+def recall_of(got, ids, x, every, k):
+    """Share of the exact nearest rows (ties by id) that were found."""
+    hit = asked = 0
+    for q in np.flatnonzero(ids % every == 0):
+        dots = (x * x[q]).sum(1)
+        dots[q] = -np.inf
+        want = set(ids[np.lexsort((ids, -dots))[:k]])
+        hit += len(want & set(got[got.query_id == ids[q]].vec_id))
+        asked += len(want)
+    return hit / asked
+
+
+def test_partitions_are_learned(s, monkeypatch):
+    """Several parts from a few hundred vectors on, in the registered query as well; recall against brute force."""
+    made, build = [], ann.build
+    monkeypatch.setattr(ann, "build", lambda *a: made.append(build(*a)) or made[-1])
+    for folder in (DATA, "/root/testdata/sf0.1"):
+        given = s.read.parquet(f"{folder}/embeddings.parquet").toPandas()
+        got = QUERIES["op8_learned_partitions"](s, folder).toPandas()
+        assert made and made[-1].router is not None and made[-1].parts > 1
+        assert recall_of(got, given.vec_id.to_numpy(), np.array(given.embedding.tolist(), float), 20, ann.K) >= 0.95
+        made.clear()
+    rng = np.random.default_rng(3)                                 # vectors in clusters: not all parts are visited
+    x = 3 * rng.standard_normal((40, 16))[rng.integers(0, 40, 2000)] + rng.standard_normal((2000, 16))
+    got = ann.nearest(s.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), 20, 10).toPandas()
+    assert 1 < made[-1].visited < made[-1].parts
+    assert recall_of(got, np.arange(2000), x, 20, 10) >= 0.9
+
+
 def test_byte_bpe(s, odd, none):
     rng = random.Random(8)
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(BYTE, "rb"))}
