@@ -2,8 +2,8 @@
 
 Documents become pieces of at most `size` tokens. Pieces are dealt at random into blocks of bounded size; each block is
 packed best-fit decreasing, then a local search exchanges pieces between underfull sequences (a move, one for one, two
-for one, one for two), always raising the sum of squared fills, until sequences run empty. What is still underfull in a
-block is dealt anew with that of other blocks. Only (id, length, checksum) rows are shuffled, never texts.
+for one, one for two), always raising the sum of squared fills, until no sequence has one left or no fewer sequences are
+possible. What is still underfull in a block is dealt anew with that of other blocks. Only (id, length, checksum) rows are shuffled, never texts.
 """
 import bisect
 import zlib
@@ -20,8 +20,6 @@ from panelkit.llm.word_tokens import encoder
 SIZE = 2048
 #: Pieces that one task packs, rounds of dealing leftovers anew, and the fill from which a sequence is left as it is.
 BLOCK, ROUNDS, FULL = 1 << 15, 4, 0.995
-#: Emptiest sequences that the search tries to empty in a block, and the largest sequence (in pieces) whose pairs it looks at.
-TRIES, PAIRS = 256, 48
 
 
 def best_fit(lengths, size: int) -> list[list[int]]:
@@ -47,102 +45,161 @@ def best_fit(lengths, size: int) -> list[list[int]]:
     return bins
 
 
+class _Rooms:
+    """For strings of pieces (by their summed length) in underfull sequences: the least sufficient room beside them.
+
+    near[g, s] is the least room, g - s or more, of a sequence that holds pieces of length s, so what g could be given for
+    is one row. It is kept up to date in place.
+    """
+
+    def __init__(self, size: int):
+        kind = np.int32 if size < 1 << 14 else np.int64
+        self.none = 4 * size
+        self.near = np.full((size + 1, size + 1), self.none, kind)
+        self.down = np.arange(size, 0, -1, dtype=kind)
+        self.held: dict[tuple[int, int], dict[int, None]] = {}
+        self.mask = [0] * (size + 1)                       # the rooms beside each length, as bits
+
+    def put(self, s: int, room: int, k: int) -> None:
+        held = self.held.setdefault((s, room), {})
+        if not held:
+            before = max((self.mask[s] & ((1 << room) - 1)).bit_length() - 1, 0)
+            self.near[s + before + 1 : s + room + 1, s] = room
+            self.mask[s] |= 1 << room
+        held[k] = None
+
+    def drop(self, s: int, room: int, k: int) -> None:
+        held = self.held[s, room]
+        del held[k]
+        if not held:
+            del self.held[s, room]
+            self.mask[s] ^= 1 << room
+            before = max((self.mask[s] & ((1 << room) - 1)).bit_length() - 1, 0)
+            after = self.mask[s] >> room
+            self.near[s + before + 1 : s + room + 1, s] = room + (after & -after).bit_length() - 1 if after else self.none
+
+    def best(self, g: int, lacking: int) -> tuple[int, int, int]:
+        """The gain, length and room of the best exchange for pieces of length g out of a sequence that lacks so much."""
+        if g < 2:
+            return 0, 0, 0
+        moved = self.down[-(g - 1) :]
+        row = self.near[g, 1:g]
+        gain = moved * (lacking + moved - row)
+        at = int(gain.argmax())
+        return int(gain[at]), at + 1, int(row[at])
+
+
 class _Search:
-    """Underfull sequences and their pieces; every accepted step raises the sum of squared fills."""
-
-    def __init__(self, lengths, bins: list[list[int]], size: int):
-        self.n, self.size = lengths, size
-        self.bins = {k: list(b) for k, b in enumerate(bins)}
-        self.fill = {k: sum(lengths[i] for i in b) for k, b in self.bins.items()}
-
-    def arrays(self, but: int):
-        """Pieces of the other underfull sequences: length, place, and their sequence's room."""
-        own = [(self.n[i], k, i, self.size - self.fill[k]) for k, b in self.bins.items() if k != but and self.fill[k] < self.size for i in b]
-        return (np.array(c, np.int64) for c in zip(*own, strict=True)) if own else None
-
-    def swap(self, a: int, give: list[int], b: int, take: list[int]) -> None:
-        """Sequence a hands `give` to b and gets `take`."""
-        moved = sum(self.n[i] for i in give) - sum(self.n[i] for i in take)
-        for i in give:
-            self.bins[a].remove(i)
-            self.bins[b].append(i)
-        for i in take:
-            self.bins[b].remove(i)
-            self.bins[a].append(i)
-        self.fill[a] -= moved
-        self.fill[b] += moved
-        if not self.bins[a]:
-            del self.bins[a], self.fill[a]
+    """Underfull sequences by the lengths in them; every accepted step raises the sum of squared fills."""
+
+    def __init__(self, bins: list[list[int]], size: int):
+        self.size = size
+        self.bins = {k: sorted(b) for k, b in enumerate(bins)}
+        self.fill = {k: sum(b) for k, b in self.bins.items()}
+        self.one, self.two = _Rooms(size), _Rooms(size)
+        self.rooms: dict[int, dict[int, None]] = {}
+        self.mask = 0
+        for k in self.bins:
+            self.enter(k)
+
+    def enter(self, k: int) -> None:
+        """Sequence k may receive pieces from now on; a full one can't."""
+        room = self.size - self.fill[k]
+        if not room:
+            return
+        for n in set(self.bins[k]):
+            self.one.put(n, room, k)
+        for s in {x + y for x, y in combinations(self.bins[k], 2)}:
+            self.two.put(s, room, k)
+        self.rooms.setdefault(room, {})[k] = None
+        self.mask |= 1 << room
+
+    def leave(self, k: int) -> None:
+        room = self.size - self.fill[k]
+        if not room:
+            return
+        for n in set(self.bins[k]):
+            self.one.drop(n, room, k)
+        for s in {x + y for x, y in combinations(self.bins[k], 2)}:
+            self.two.drop(s, room, k)
+        del self.rooms[room][k]
+        if not self.rooms[room]:
+            del self.rooms[room]
+            self.mask ^= 1 << room
+
+    def swap(self, a: int, give: tuple, b: int, take: tuple) -> None:
+        """Sequence a, which has left, hands `give` to b and gets `take`."""
+        self.leave(b)
+        for x, y, moved in ((a, b, give), (b, a, take)):
+            for n in moved:
+                self.bins[x].remove(n)
+                bisect.insort(self.bins[y], n)
+            self.fill[x] -= sum(moved)
+            self.fill[y] += sum(moved)
+        self.enter(b)
 
     def step(self, a: int) -> bool:
-        """The exchange out of sequence a that gains most, if there is one."""
-        mine = sorted(self.bins[a], key=lambda i: -self.n[i])
-        fills = np.array([(f, k) for k, f in self.fill.items() if k != a and f < self.size], np.int64).reshape(-1, 2)
-        if not len(fills):
-            return False
-        room = self.size - fills[:, 0]
-        for i in mine:                                     # a move into the tightest room
-            fits = np.flatnonzero(room >= self.n[i])
-            if len(fits):
-                self.swap(a, [i], int(fills[fits[np.argmin(room[fits])], 1]), [])
-                return True
-        got = self.arrays(a)
-        if got is None:
-            return False
-        length, where, piece, left = got
-        best = (0, None)
-        fill_a = self.fill[a]
-
-        def consider(given: int, give: list[int]):         # one or two of mine for one of theirs
-            nonlocal best
-            moved = given - length
-            ok = (moved > 0) & (moved <= left)
-            if ok.any():
-                gain = np.where(ok, moved * (self.size - left - fill_a + moved), 0)
-                at = int(np.argmax(gain))
-                if gain[at] > best[0]:
-                    best = (int(gain[at]), (give, int(where[at]), [int(piece[at])]))
-
-        for n in {self.n[i]: i for i in mine}.items():
-            consider(n[0], [n[1]])
-        if len(mine) <= PAIRS:
-            for i, j in {(self.n[i], self.n[j]): (i, j) for i, j in combinations(mine, 2)}.values():
-                consider(self.n[i] + self.n[j], [i, j])
-        if best[1] is None and mine:                       # one of mine for two of one of theirs
-            for k in fills[np.argsort(room)[::-1][:TRIES], 1].tolist():
-                free = self.size - self.fill[k]
-                theirs = sorted((self.n[i], i) for i in self.bins[k])
-                if len(theirs) > PAIRS:
+        """A move out of sequence a, or the exchange that gains most, if there is one."""
+        mine, lacking = self.bins[a], self.size - self.fill[a]
+        single = dict.fromkeys(reversed(mine))
+        for n in single:                                   # a move into the tightest room
+            fits = self.mask >> n
+            if fits:
+                room = n + (fits & -fits).bit_length() - 1
+                if lacking + n > room:
+                    self.swap(a, (n,), next(iter(self.rooms[room])), ())
+                    return True
+        best = (0, 0, 0)
+        for g, give in {**{x + y: (x, y) for x, y in combinations(mine, 2)}, **{n: (n,) for n in single}}.items():
+            found = self.one.best(g, lacking)              # one or two of mine for one of theirs
+            if found[0] > best[0]:
+                best, given = found, give
+        if best[0]:
+            self.swap(a, given, next(iter(self.one.held[best[1:]])), best[1:2])
+            return True
+        for n in single:                                   # one of mine for two of one of theirs
+            found = self.two.best(n, lacking)
+            if found[0] > best[0]:
+                best, given = found, (n,)
+        if best[0]:
+            b = next(iter(self.two.held[best[1:]]))
+            self.swap(a, given, b, next(two for two in combinations(self.bins[b], 2) if sum(two) == best[1]))
+        return best[0] > 0
+
+    def run(self, least: int) -> list[list[int]]:
+        """Pass over all underfull sequences, emptiest first, until a pass changes nothing or only `least` are left."""
+        changed = True
+        while changed and len(self.bins) > least:
+            changed = False
+            for a in sorted(self.fill, key=self.fill.get):
+                if a not in self.bins or self.fill[a] == self.size:
                     continue
-                sizes = [s for s, _ in theirs]
-                for i in mine:
-                    for x, (s, one) in enumerate(theirs):  # the smaller two for which the larger still fits
-                        y = max(bisect.bisect_left(sizes, self.n[i] - free - s), x + 1)
-                        if y < len(theirs) and 0 < self.n[i] - s - sizes[y] <= free:
-                            moved = self.n[i] - s - sizes[y]
-                            gain = moved * (self.fill[k] - fill_a + moved)
-                            if gain > best[0]:
-                                best = (gain, ([i], k, [one, theirs[y][1]]))
-        if best[1] is None:
-            return False
-        self.swap(a, best[1][0], best[1][1], best[1][2])
-        return True
-
-    def run(self) -> list[list[int]]:
-        for a in sorted(self.fill, key=self.fill.get)[:TRIES]:
-            while a in self.bins and self.fill[a] < self.size and self.step(a):
-                pass
+                self.leave(a)
+                while self.bins[a] and self.step(a):
+                    changed = True
+                if self.bins[a]:
+                    self.enter(a)
+                else:
+                    del self.bins[a], self.fill[a]
+                    if len(self.bins) <= least:
+                        break
         return list(self.bins.values())
 
 
 def pack_block(lengths, size: int = SIZE) -> list[list[int]]:
-    """Sequences of a bounded list of lengths, each a list of indexes."""
+    """Sequences of a bounded list of lengths, each a list of indexes. Memory grows with the square of `size`."""
     bins = best_fit(lengths, size)
-    if len(bins) <= -(-sum(lengths) // size):
+    least = -(-sum(lengths) // size)
+    if len(bins) <= least:
         return bins
     full = [b for b in bins if sum(lengths[i] for i in b) == size]
     rest = [b for b in bins if sum(lengths[i] for i in b) < size]
-    return full + _Search(lengths, rest, size).run()
+    pool: dict[int, list[int]] = {}                        # pieces of a length stand for one another
+    for b in rest:
+        for i in b:
+            pool.setdefault(lengths[i], []).append(i)
+    found = _Search([[lengths[i] for i in b] for b in rest], size).run(least - len(full))
+    return full + [[pool[n].pop() for n in b] for b in found]
 
 
 def pieces_of(docs: DataFrame, vocabulary: str, size: int = SIZE, end: int = 0) -> DataFrame:
