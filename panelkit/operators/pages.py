@@ -47,7 +47,6 @@ CONTEXT_PHRASES = [
     "automatic debt dynamics", "public sector debt sustainability framework", "drivers of debt dynamics",
 ]
 MIN_SCORE, TITLE_BONUS, ROW_BONUS = 18, 12, 10
-CONTEXT_CHARS = 300_000
 # ----------------------------------------------------------------------------------------------------
 NUMBER = r"(?<!\d)-?\d+(?:\.\d+)?"
 
@@ -125,21 +124,33 @@ def context_pages(pages: DataFrame, doc: str, phrases: list[str] = CONTEXT_PHRAS
             .select(doc, "page_no", "text"))
 
 
-def context_text(pages: DataFrame, doc: str, limit: int = CONTEXT_CHARS, **options) -> DataFrame:
-    """The context pages of every document as one text, cut at `limit` characters (a feature of the reader).
+def _heading(doc: str) -> Column:
+    return F.concat(F.lit("PDF file: "), F.col(doc).cast("string"), F.lit("\n"))
 
-    Where each page starts is a running sum of lengths, so pages past the limit are dropped before anything is
-    gathered: the text of one document never exceeds the limit.
+
+def context_long(pages: DataFrame, doc: str, **options) -> DataFrame:
+    """The whole context of every document, one row per page (doc, page_no, start, text): the page's text under its own
+    heading, and where it starts in the document's context, whose first characters are "PDF file: ", the document and a
+    line feed. Nothing is cut, and no document is gathered in one row; a page without text is an empty place.
     """
     piece = F.concat(F.lit("\n\n--- PAGE "), F.col("page_no").cast("string"), F.lit(" ---\n"), F.col("text"))
-    head = F.concat(F.lit("PDF file: "), F.col(doc).cast("string"), F.lit("\n"))
-    kept = context_pages(pages, doc, **options)
-    ends = running_sum(kept.select(doc, "page_no", F.length(piece).alias("len")), doc, "page_no", "len", "upto")
-    ends = ends.withColumn("start", F.length(head) + F.col("upto") - F.col("len")).filter(F.col("start") < limit)
-    parts = kept.join(ends.select(doc, "page_no", "start"), [doc, "page_no"]) \
-        .select(doc, "page_no", F.left(piece, F.lit(limit) - F.col("start").cast("int")).alias("piece"))
+    kept = context_pages(pages, doc, **options).select(doc, "page_no", piece.alias("text"))
+    length = F.coalesce(F.length("text"), F.lit(0)).cast("long")
+    ends = running_sum(kept.select(doc, "page_no", length.alias("len")), doc, "page_no", "len", "upto")
+    starts = ends.select(doc, "page_no", (F.length(_heading(doc)) + F.col("upto") - F.col("len")).alias("start"))
+    return split_join(kept, starts, [doc, "page_no"]).select(doc, "page_no", "start", "text")
+
+
+def context_text(pages: DataFrame, doc: str, limit: int, **options) -> DataFrame:
+    """The context pages of every document as one text, cut at the caller's `limit` of characters (a feature of the reader).
+
+    Pages past the limit are dropped before anything is gathered: the text of one document never exceeds the limit.
+    `context_long` has the whole.
+    """
+    parts = context_long(pages, doc, **options).filter((F.col("start") < limit) & F.col("text").isNotNull()) \
+        .select(doc, "page_no", F.left("text", F.lit(limit) - F.col("start").cast("int")).alias("piece"))
     body = parts.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("page_no", "piece"))).alias("p"))
-    return body.select(doc, F.left(F.concat(head, F.array_join(F.transform("p", lambda s: s["piece"]), "")), F.lit(limit)).alias("context"))
+    return body.select(doc, F.left(F.concat(_heading(doc), F.array_join(F.transform("p", lambda s: s["piece"]), "")), F.lit(limit)).alias("context"))
 
 
 def clamp_range(start: Col, end: Col, primary: Col, total: Col) -> Column:

@@ -100,6 +100,19 @@ def test_pages(spark):
     assert PG.context_text(p, "doc", 40, first=1, last=1, around=0).collect()[0]["context"] == c[:40]
 
 
+def test_context_is_whole(spark):
+    """Every page of the context, past any length that a reader may cut at, and a cut only where the caller asks for one."""
+    p = spark.createDataFrame([("d", n, f"page {n} " + "x" * 3000) for n in range(1, 301)] + [("e", 1, None), ("e", 2, "b")], "doc string, page_no int, text string")
+    rows = PG.context_long(p, "doc", first=300, last=1, around=0).collect()
+    d = sorted((r for r in rows if r["doc"] == "d"), key=lambda r: r["page_no"])
+    whole = "PDF file: d\n" + "".join(f"\n\n--- PAGE {n} ---\npage {n} " + "x" * 3000 for n in range(1, 301))
+    assert len(whole) > 900_000 and "PDF file: d\n" + "".join(r["text"] for r in d) == whole
+    assert all(whole[r["start"] :].startswith(r["text"]) for r in d)
+    assert sorted((r["page_no"], r["text"]) for r in rows if r["doc"] == "e") == [(1, None), (2, "\n\n--- PAGE 2 ---\nb")]
+    with pytest.raises(TypeError):
+        PG.context_text(p, "doc", first=300)
+
+
 def node(label, value, *children):
     return {"label_verbatim": label, "value": value, "children": list(children)}
 

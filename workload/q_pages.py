@@ -81,6 +81,13 @@ def context_text(spark, sf):
     return P.context_text(lines(spark, sf), "doc", 900, phrases=NEAR, first=2, last=3)
 
 
+@query("context_long", f"""WITH {LINES}, {CTX}, pc AS (SELECT doc, page_no, chr(10) || chr(10) || '--- PAGE ' || page_no || ' ---' || chr(10) || text AS text FROM cx)
+SELECT doc, page_no, CAST(length('PDF file: ' || doc || chr(10)) + sum(length(text)) OVER (PARTITION BY doc ORDER BY page_no) - length(text) AS BIGINT) AS start, text FROM pc""")
+def context_long(spark, sf):
+    """The whole context of a document, page by page, with each page's place in it."""
+    return P.context_long(lines(spark, sf), "doc", phrases=NEAR, first=2, last=3)
+
+
 @query("next_candidate_page", f"""WITH {PAGES}, {RANK}, loc AS (SELECT conv_id AS doc, CASE WHEN turn % 4 = 3 THEN NULL ELSE CAST(turn % 4 + 1 AS INT) END AS rank, CAST(turn AS INT) AS ord, CAST(turn AS INT) AS s, CAST(turn + 3 AS INT) AS e FROM conversations),
 lr AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY coalesce(rank, 99), ord) AS r FROM loc), lc AS (SELECT doc, coalesce(rank, 99) AS rank, ord, greatest(1, least(s, n_pages)) AS s, least(n_pages, greatest(greatest(1, least(s, n_pages)), e)) AS e FROM lr JOIN np USING (doc) WHERE r > 1),
 op AS (SELECT doc, 0 AS kind, rank AS place, 0 AS ord, start_page, end_page, page_no AS primary_page FROM kw WHERE hr UNION ALL SELECT doc, 1, rank, ord, s, e, CAST((s + e) // 2 AS INT) FROM lc)
