@@ -314,6 +314,12 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _of_rows(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """`rows` with the facts of their (__d, __id), where there are any; a null id meets a null id."""
+    key = F.struct("__id")
+    return split_join(rows.withColumn("__key", key), facts.withColumn("__key", key).drop("__id"), ["__d", "__key"], "left").drop("__key")
+
+
 def suffix_dedup(docs: DataFrame, keep: list[str], text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """docs' columns `keep` and a struct `removal`: n_bytes, n_removed, n_spans, spans, kept (binary), kept_sha256.
 
@@ -334,11 +340,14 @@ def suffix_dedup(docs: DataFrame, keep: list[str], text: str = "text", doc_id: s
     facts = contexts.join(many, "key").where("c > 1 or m > 1")
     told = split_join(open_, facts, context).select(
         "__d", "__id", F.struct("key", "a", "la", "lb", "c", "m", ((F.col("m") > 1) & F.struct("__d", "__id", "a").eqNullSafe(F.col("__one"))).alias("chosen")).alias("x"))
-    per_doc = told.groupBy("__d", "__id").agg(F.collect_list("x").alias("__found"))      # bounded by the text's own length
-    at = [F.col("l.__d") == F.col("r.__d"), F.col("l.__id").eqNullSafe(F.col("r.__id"))]
-    joined = written(rows.alias("l").join(per_doc.alias("r"), at, "left").select("l.*", "r.__found"))
+    # a set: repeated rows have the same contexts, so what is held is bounded by the text's own length
+    per_doc = told.groupBy("__d", "__id").agg(F.collect_set("x").alias("__found"), F.count("*").alias("__all")) \
+        .select("__d", "__id", "__found", (F.col("__all") > F.size("__found")).alias("__repeated"))
+    joined = written(_of_rows(rows, per_doc))
     hit = joined.where("__found is not null")
-    bodies = written(hit.select("__d", "__id", "__text", "__found").mapInArrow(_context_rows(length), "__d long, __id long, key long, m long, a long, la int, lb int, single boolean, body binary"))
+    # repeated rows give the body of a context once
+    again = hit.where("__repeated").where(F.exists("__found", lambda x: x["chosen"])).dropDuplicates(["__d", "__id"])
+    bodies = written(hit.where("not __repeated").unionByName(again).select("__d", "__id", "__text", "__found").mapInArrow(_context_rows(length), "__d long, __id long, key long, m long, a long, la int, lb int, single boolean, body binary"))
     normal = bodies.where(F.col("m") <= group).drop("m")
     parts = normal.repartition("key").sortWithinPartitions("key").mapInArrow(_sorted_rows(length), "__d long, __id long, low long, high long")
     windows = bodies.where(F.col("m") > group).drop("m").mapInArrow(_window_rows(length), "__d long, __id long, h1 long, h2 long, at long, single boolean")
@@ -362,7 +371,7 @@ def suffix_dedup(docs: DataFrame, keep: list[str], text: str = "text", doc_id: s
         return pa.array(out, pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("spans", pa.list_(span)), ("kept", pa.binary()), ("kept_sha256", pa.string())]))
 
     kind = "n_bytes long, n_removed long, n_spans long, spans array<struct<start: long, end: long>>, kept binary, kept_sha256 string"
-    changed = hit.alias("l").join(ranges.alias("r"), at, "left").select(*[F.col(f"l.`{c}`") for c in keep], F.arrow_udf(removed, kind)("l.__text", "l.__found", "r.__ranges").alias("removal"))
+    changed = _of_rows(hit, ranges).select(*keep, F.arrow_udf(removed, kind)("__text", "__found", "__ranges").alias("removal"))
     body = F.coalesce(F.col("__text"), F.lit("")).cast("binary")
     same = joined.where("__found is null").select(*keep, F.struct(
         F.octet_length(body).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),

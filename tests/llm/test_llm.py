@@ -160,6 +160,29 @@ def test_suffix_dedup(s, group):
     assert got == Counter((i if i % 17 else None, t, *b) for i, (t, b) in enumerate(zip(texts, repeated(texts, 40))))
 
 
+def test_suffix_dedup_repeated_rows(s, monkeypatch):
+    """Many rows with the same id and text, or no id, hold and write their contexts once."""
+    tables, write = [], suffix_dedup.written
+    monkeypatch.setattr(suffix_dedup, "written", lambda df: tables.append(write(df)) or tables[-1])
+    rng = random.Random(8)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcde") for _ in range(rng.randrange(1, 6))) for _ in range(n))
+
+    shared = [words(60) for _ in range(3)]
+    crowd, other, lone = shared[0] + words(10) + shared[1], words(40) + shared[0] + shared[2], words(15) + shared[2] + shared[1]
+    data = [(7, crowd)] * 60 + [(None, crowd)] * 60 + [(None, other)] * 60 + [(8, other), (9, lone)]
+    df = s.createDataFrame(data, "doc_id long, text string").repartition(5)
+    rows = suffix_dedup.suffix_dedup(df, ["doc_id", "text"], length=40, gram=10).collect()
+    got = Counter((r.doc_id, r.text, r.removal.n_bytes, r.removal.n_removed, r.removal.n_spans, r.removal.kept_sha256) for r in rows)
+    assert got == Counter((*row, *b) for row, b in zip(data, repeated([t for _, t in data], 40)))
+    contexts = next(t for t in tables if "c" in t.columns).count()
+    found = next(t for t in tables if "__found" in t.columns)
+    assert found.selectExpr("max(size(__found))").collect()[0][0] <= max(len(t) for _, t in data)
+    assert found.where("size(__found) > size(array_distinct(__found))").count() == 0
+    assert 0 < next(t for t in tables if "body" in t.columns).count() <= contexts
+
+
 def test_suffix_collisions_are_found():
     """With hashes that always agree, verification sends the comparison to the bytes."""
     body = np.frombuffer(b"xxabcdefgh" + b"yyabcdefgh" + b"xxabzzzzzz", np.uint8)
