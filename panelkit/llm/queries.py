@@ -5,8 +5,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import ann, byte_bpe, chat, packing, prob_minhash, qda, quality_bands, suffix_dedup, token_shards, toxicity
+from panelkit.llm import ann, byte_bpe, chat, conversation_repair, packing, prob_minhash, qda, quality_bands, suffix_dedup, token_shards, toxicity
 from panelkit.llm.common import held_out, prepare, table, written
+from panelkit.llm.repair_sql import SQL as REPAIR_SQL
 from panelkit.session import use_checkpoint_dir
 
 
@@ -76,6 +77,16 @@ def op10_chat_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(blocks).select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
+def op11_lr_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(prepare(spark), sf_dir, "conversations")
+    facts, edited = conversation_repair.repair(conversation_repair.damage(rows))
+    found = facts.join(conversation_repair.audits(edited).withColumnRenamed("conv_id", "__a"), F.col("conv_id").eqNullSafe(F.col("__a")))
+    every = rows.select(F.col("conv_id").cast("long").alias("__c")).distinct()
+    whole = every.join(found, F.col("__c").eqNullSafe(F.col("conv_id")), "left")
+    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return whole.select(F.col("__c").alias("conv_id"), *zero, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 _ESCAPED = r"regexp_replace(regexp_replace({0}, '\\', '\\\\', 'g'), '<(s>|/s>|\|endoftext\|>)|\[(INST\]|/INST\])', '<\\\1\2', 'g')"
 ORACLE_SQL = {
     "op10_chat_masks": f"""
@@ -88,8 +99,9 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
   CAST(3 + sum(17 + length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')})) AS BIGINT) AS formatted_chars
 FROM rows GROUP BY conv_id""",
+    "op11_lr_repair": REPAIR_SQL,
 }
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_bands, op2_best_fit_packing, op3_suffix_dedup, op4_toxicity, op5_token_shards, op6_prob_minhash, op7_qda_quality, op8_learned_partitions,
-    op9_byte_bpe, op10_chat_masks)}
+    op9_byte_bpe, op10_chat_masks, op11_lr_repair)}
