@@ -5,8 +5,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import ann, byte_bpe, chat, conversation_repair, packing, prob_minhash, qda, quality_bands, suffix_dedup, token_shards, toxicity
+from panelkit.llm import ann, byte_bpe, chat, conversation_repair, importance, packing, prob_minhash, qda, quality_bands, suffix_dedup, token_shards, toxicity
 from panelkit.llm.common import held_out, prepare, table, written
+from panelkit.llm.importance_sql import SQL as IMPORTANCE_SQL
 from panelkit.llm.repair_sql import SQL as REPAIR_SQL
 from panelkit.session import use_checkpoint_dir
 
@@ -87,6 +88,11 @@ def op11_lr_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select(F.col("__c").alias("conv_id"), *zero, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 _ESCAPED = r"regexp_replace(regexp_replace({0}, '\\', '\\\\', 'g'), '<(s>|/s>|\|endoftext\|>)|\[(INST\]|/INST\])', '<\\\1\2', 'g')"
 ORACLE_SQL = {
     "op10_chat_masks": f"""
@@ -100,8 +106,9 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(3 + sum(17 + length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')})) AS BIGINT) AS formatted_chars
 FROM rows GROUP BY conv_id""",
     "op11_lr_repair": REPAIR_SQL,
+    "op12_importance_resampling": IMPORTANCE_SQL,
 }
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_bands, op2_best_fit_packing, op3_suffix_dedup, op4_toxicity, op5_token_shards, op6_prob_minhash, op7_qda_quality, op8_learned_partitions,
-    op9_byte_bpe, op10_chat_masks, op11_lr_repair)}
+    op9_byte_bpe, op10_chat_masks, op11_lr_repair, op12_importance_resampling)}
