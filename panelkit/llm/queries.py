@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import ann, byte_bpe, chat, conversation_repair, importance, packing, prob_minhash, qda, quality_bands, suffix_dedup, token_shards, toxicity
+from panelkit.llm import ann, byte_bpe, chat, conversation_repair, cost_packing, importance, packing, prob_minhash, qda, quality_bands, suffix_dedup, token_shards, toxicity
 from panelkit.llm.common import held_out, prepare, table, written
 from panelkit.llm.importance_sql import SQL as IMPORTANCE_SQL
 from panelkit.llm.repair_sql import SQL as REPAIR_SQL
@@ -93,6 +93,11 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return cost_packing.cost_balanced_packing(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 _ESCAPED = r"regexp_replace(regexp_replace({0}, '\\', '\\\\', 'g'), '<(s>|/s>|\|endoftext\|>)|\[(INST\]|/INST\])', '<\\\1\2', 'g')"
 ORACLE_SQL = {
     "op10_chat_masks": f"""
@@ -111,4 +116,4 @@ FROM rows GROUP BY conv_id""",
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_bands, op2_best_fit_packing, op3_suffix_dedup, op4_toxicity, op5_token_shards, op6_prob_minhash, op7_qda_quality, op8_learned_partitions,
-    op9_byte_bpe, op10_chat_masks, op11_lr_repair, op12_importance_resampling)}
+    op9_byte_bpe, op10_chat_masks, op11_lr_repair, op12_importance_resampling, op13_cost_packing)}
