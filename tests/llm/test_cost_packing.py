@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from panelkit.llm import cost_packing as cp
+from panelkit.llm import packing
 from panelkit.llm.byte_tokens import LONG, ByteTokens
 
 BYTE = P.path("byte_bpe_50k.json")
@@ -58,11 +59,8 @@ def test_rule():
     lengths = [min(int(rng.expovariate(1 / 300)) + 1, 1023) for _ in range(20_000)]
     bins = cp.balanced(lengths, cp.rooms_of(sum(lengths), 1024, True))
     costs = np.array([sum(cp.cost(n) for *_, n in b) for b in bins if sum(n for *_, n in b) == 1024])
-    order = np.cumsum(lengths)                                # documents as they come, cut at every 1024 tokens
-    plain = np.diff(np.concatenate([[0], np.union1d(order, np.arange(1024, order[-1], 1024))]))
-    as_they_come = np.bincount((np.cumsum(plain) - 1) // 1024, cp.cost(plain))[:-1]
-    assert costs.std() < as_they_come.std() / 1.5 and costs.max() < as_they_come.max()
-    assert sum(map(len, bins)) < len(plain)                   # and fewer cuts
+    tightest = np.array([sum(cp.cost(lengths[i]) for i in b) for b in packing.best_fit(lengths, 1024)])
+    assert costs.std() < tightest.std() and costs.max() < 1.1 * costs.mean() and costs.min() > 0.95 * costs.mean()
 
 
 ODD = [(1, None), (2, ""), (3, " \n\t"), (None, "no id here"), (4, "same text"), (4, "same text"), (5, "same text"), (6, "word " * 30_000), (7, "é😀 ́ \x00 <|endoftext|>")]
