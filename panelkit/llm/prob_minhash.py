@@ -258,9 +258,18 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = SIMILARI
         main = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1").drop("labels")
         return written(split_join(placed, main, ["bucket"]))
 
-    # every member with its bucket's pivot
-    tried = written(pairs_of(shared.where("node != pivot"), "node", "pivot"))
+    # every member with its bucket's pivot: first with one pivot for each node, one that many nodes share, then with those
+    # that are still in another component
+    members = shared.where("node != pivot")
+    tried = written(pairs_of(members.groupBy("node").agg(F.min_by("pivot", F.xxhash64("pivot")).alias("pivot")), "node", "pivot"))
     links = verified(tried)
+    placed = components(links)
+    apart = pairs_of(members, "node", "pivot").join(tried, ["a", "b"], "left_anti")
+    for end in ("a", "b"):
+        apart = apart.join(placed.select(F.col("id").alias(end), F.col("label").alias(f"label_{end}")), end, "left")
+    apart = written(apart.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b"))
+    links = links.union(verified(apart))
+    tried = tried.union(apart)
     labels = components(links)
 
     # A node's odds: weight of the shingles that no other node of these buckets has, by the weight of the rest. The
