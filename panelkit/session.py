@@ -58,8 +58,40 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write `df` as Parquet to the checkpoint folder and read it back: one evaluation, of which every consumer reads its own columns."""
+#: Folders of the intermediate tables that this process has written and not cleared.
+_TABLES: list[str] = []
+
+
+def materialise(df: DataFrame, compression: str = "snappy") -> DataFrame:
+    """Write `df` as Parquet to the checkpoint folder and read it back: one evaluation, of which every consumer reads its own columns.
+
+    The table stays until `discard` is called with what this returns, or `clear_tables` at the end of a job.
+    """
     path = f"{use_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", compression).parquet(path)
+    _TABLES.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.table_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    if path in _TABLES:
+        _TABLES.remove(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `materialise` returned, once nothing that is still to run reads them: what was computed from them
+    has been written itself, so a lost executor doesn't need them either."""
+    for t in tables:
+        _delete(t.sparkSession, t.table_path)
+
+
+def clear_tables(spark: SparkSession) -> int:
+    """Delete all intermediate tables of this process; frames that read them can't be run any more. How many there were."""
+    found = list(_TABLES)
+    for path in found:
+        _delete(spark, path)
+    return len(found)

@@ -238,3 +238,16 @@ def test_saved_answers_and_lookup(spark, tmp_path):
     assert rows == {("r1", 2001, "resolved"), ("r1", None, "api_error")}
     (tmp_path / "l.csv").write_text("n,c\nA,1\nB,\n")
     assert [tuple(r) for r in RD.read_lookup(spark, str(tmp_path / "l.csv"), {"n": "name", "c": "code"}, "n string, c int").orderBy("name").collect()] == [("A", 1), ("B", None)]
+
+
+def test_intermediate_tables_are_cleared(spark):
+    import os
+
+    from panelkit.session import clear_tables, discard, materialise
+
+    clear_tables(spark)
+    one, two = materialise(spark.range(5)), materialise(spark.range(7))
+    path = lambda t: t.table_path.removeprefix("file:")
+    discard(one)
+    assert not os.path.exists(path(one)) and two.count() == 7
+    assert clear_tables(spark) == 1 and not os.path.exists(path(two)) and clear_tables(spark) == 0
