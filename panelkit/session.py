@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,6 +90,15 @@ def discard(*tables: DataFrame) -> None:
         _delete(t.sparkSession, t.table_path)
 
 
+def alone(make: Callable[[], DataFrame]) -> DataFrame:
+    """What `make` returns, written, without the tables that were written on the way (by this thread alone)."""
+    before = len(_TABLES)
+    out = materialise(make())
+    for path in _TABLES[before:-1]:
+        _delete(out.sparkSession, path)
+    return out
+
+
 def clear_tables(spark: SparkSession) -> int:
     """Delete all intermediate tables of this process; frames that read them can't be run any more. How many there were."""
     found = list(_TABLES)

@@ -243,11 +243,12 @@ def test_saved_answers_and_lookup(spark, tmp_path):
 def test_intermediate_tables_are_cleared(spark):
     import os
 
-    from panelkit.session import clear_tables, discard, materialise
+    from panelkit.session import alone, clear_tables, discard, materialise
 
     clear_tables(spark)
     one, two = materialise(spark.range(5)), materialise(spark.range(7))
     path = lambda t: t.table_path.removeprefix("file:")
     discard(one)
     assert not os.path.exists(path(one)) and two.count() == 7
-    assert clear_tables(spark) == 1 and not os.path.exists(path(two)) and clear_tables(spark) == 0
+    three = alone(lambda: materialise(two.where("id > 2")).where("id > 3"))
+    assert three.count() == 3 and clear_tables(spark) == 2 and not os.path.exists(path(two)) and clear_tables(spark) == 0
