@@ -5,6 +5,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelkit.session import materialise
 
+#: Session setting: tasks over which `dealt` deals the rows of a scan. Unset: the files' own splits.
+SCAN_TASKS = "panelkit.scan.tasks"
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows dealt out evenly over as many tasks as the session names, for files that can't be split as finely as the
+    work on their rows needs; unchanged where it names none."""
+    tasks = df.sparkSession.conf.get(SCAN_TASKS, None)
+    return df.repartition(int(tasks)) if tasks else df
+
+
 def split_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Equi join whose hot keys adaptive execution can split, whatever the inputs were computed from.
 

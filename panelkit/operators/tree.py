@@ -1,7 +1,8 @@
 """Trees of labelled values, of any depth -> long rows, within the row (no join, no shuffle, no driver loop).
 
-A node's children stay JSON texts until their level is read, so a schema fixes no depth: `tree_rows` opens level after
-level inside one aggregate over an array, with a step for every list that the texts hold, and so never too few.
+A node's children are VARIANT values, parsed once with the text that holds them, so a schema fixes no depth: `tree_rows` opens
+level after level inside one aggregate over an array, with as many steps as lists are nested, and slices values without
+parsing them again.
 """
 from __future__ import annotations
 
@@ -9,10 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from panelkit.functions.items import CATEGORIES, ROLES
 from panelkit.functions.numbers import any_minus_number
-from panelkit.functions.text import Col, as_col, blank_to_null
+from panelkit.functions.text import Col, as_col, blank_to_null, let
 
 NODE = T.StructType([T.StructField("label_verbatim", T.StringType()), T.StructField("value", T.StringType()),
-                     T.StructField("children", T.ArrayType(T.StringType()))])
+                     T.StructField("children", T.ArrayType(T.VariantType()))])
 _ROW = T.StructType([T.StructField("place", T.ArrayType(T.IntegerType()))] + [T.StructField(n, T.StringType()) for n in ("top_category", "hierarchy_id")] + [T.StructField("level", T.IntegerType())] +
                     [T.StructField(n, T.StringType()) for n in ("parent_label", "label_verbatim", "value")] + [NODE["children"]])
 _OPENED = T.StructType([T.StructField("rows", T.ArrayType(_ROW)), T.StructField("done", T.IntegerType())])
@@ -29,32 +30,44 @@ def _row(node: Column, place: Column, top: Column, hid: Column, level: Column, p
 
 def _children(row: Column) -> Column:
     """Rows of a row's children; a child that is no object has no row but keeps its number."""
-    def child(text: Column, i: Column) -> Column:
-        node = F.when(F.ltrim(text).startswith("{"), F.from_json(text, NODE))
+    def child(node: Column, i: Column) -> Column:
         return F.when(node.isNotNull(), _row(node, F.array_append(row["place"], i), row["top_category"], F.concat_ws(".", row["hierarchy_id"], (i + 1).cast("string")),
                                              row["level"] + 1, row["label_verbatim"]))
-    return F.filter(F.transform(F.coalesce(row["children"], F.array().cast("array<string>")), child), lambda r: r.isNotNull())
+    # read once each: a lambda's argument is a value, an expression used four times in one would be read four times
+    nodes = F.transform(row["children"], lambda v: F.try_variant_get(v, "$", NODE.simpleString()))
+    return F.filter(F.transform(nodes, child), lambda r: r.isNotNull())
 
 
 def _opened(state: Column, _step: Column) -> Column:
     """The next level: children of the rows that the last step added."""
     rows, done = state["rows"], state["done"]
-    new = F.flatten(F.transform(F.slice(rows, done + 1, F.size(rows) - done), _children))
+    new = F.flatten(F.transform(F.filter(F.slice(rows, done + 1, F.size(rows) - done), lambda r: r["children"].isNotNull()), _children))
     return F.when(F.size(rows) == done, state).otherwise(F.struct(F.concat(rows, new).alias("rows"), F.size(rows).alias("done")).cast(_OPENED))
 
 
+def list_depth(json: Column) -> Column:
+    """How deep lists are nested in JSON texts: strings go, then all but brackets, then the highest balance is counted."""
+    bare = F.regexp_replace(F.regexp_replace(json, r"\\.", ""), '"[^"]*"', "")
+    brackets = F.regexp_replace(bare, r"[^\[\]]+", "")
+    state = "struct<now:int,most:int>"
+
+    def count(s: Column, c: Column) -> Column:
+        now = s["now"] + F.when(c == "[", 1).when(c == "]", -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(s["most"], now).alias("most")).cast(state)
+    return F.aggregate(F.split(brackets, ""), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")).cast(state), count)["most"]
+
+
 def tree_rows(tree: Col, roles: list[str] = CATEGORIES) -> Column:
     """array of line-item structs of all roles, depth first; a missing role keeps its number."""
     tree = as_col(tree)
     top = F.array(*[F.when(tree[r].isNotNull(), _row(tree[r], F.array(F.lit(n)), F.lit(r), F.lit(str(n)), F.lit(0), F.lit(None).cast("string")))
                     for n, r in enumerate(roles, start=1)])
-    lists = F.concat_ws("", *[F.when(F.size(tree[r]["children"]) > 0, F.concat(F.lit("["), F.concat_ws("", tree[r]["children"]))) for r in roles])
-    # a deeper level needs a list of its own, so there are no more levels than opening brackets
-    steps = F.length(F.regexp_replace(lists, r"[^\[]+", ""))
-    steps = F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>"))
+    lists = F.concat_ws(",", *[F.when(F.size(tree[r]["children"]) > 0, F.to_json(F.struct(tree[r]["children"]))) for r in roles])
+    steps = let(list_depth(lists), lambda n: F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")))
     start = F.struct(F.filter(top, lambda r: r.isNotNull()).alias("rows"), F.lit(0).alias("done")).cast(_OPENED)
-    rows = F.array_sort(F.aggregate(steps, start, _opened)["rows"])
-    return F.transform(rows, lambda r: F.struct(*[r[c].alias(c) for c in _ROW.names if c not in ("place", "children")]))
+    named = [c for c in _ROW.names if c not in ("place", "children")]
+    rows = F.transform(F.aggregate(steps, start, _opened)["rows"], lambda r: F.struct(r["place"].alias("place"), F.struct(*[r[c].alias(c) for c in named]).alias("row")))
+    return F.array_sort(rows)["row"]
 
 
 def flatten_tree(df: DataFrame, tree: str, roles: list[str] = CATEGORIES) -> DataFrame:

@@ -31,6 +31,7 @@ def local_session(app: str = "panelkit", cores: str = "8", shuffle_partitions: i
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
+        .config("panelkit.scan.tasks", cores if cores.isdigit() else "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         # no call-site capture for every column expression: large plans are built several times faster

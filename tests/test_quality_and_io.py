@@ -1,5 +1,6 @@
 """Answer validation, coverage counts, sources, pages and readers on small inputs."""
 import json
+import sys
 
 import numpy as np
 import pytest
@@ -198,6 +199,27 @@ def test_tree_of_any_depth(spark):
     assert last["hierarchy_id"] == leaf["hierarchy_id"] + ".3" and last["parent_label"] == "leaf" and last["value"] == "1e3"
 
 
+@pytest.mark.parametrize("depth", [1, 2, 17, 200])
+def test_tree_walk_beside_recursion(spark, depth):
+    """Rows of a bushy tree and of a chain as plain recursion gives them, with lists and quotes in labels and foreign lists in nodes."""
+    def grown(n, wide):
+        kids = [grown(n - 1, wide - 1), "x", {"children": [], "label_verbatim": f'\\\\" [[ {n}', "value": None}] if n else []
+        return {"label_verbatim": f"[{n}\\n\\u00e9", "value": str(n) if n % 2 else n, "notes": [[[n]]], "children": kids * (2 if wide > 0 and n else 1)}
+
+    def walked(node, hid, level, parent):
+        value = node.get("value")
+        out = [(hid, level, parent, node["label_verbatim"], None if value is None else str(value))]
+        for i, kid in enumerate(node["children"], 1):
+            if isinstance(kid, dict):
+                out += walked(kid, f"{hid}.{i}", level + 1, node["label_verbatim"])
+        return out
+    sys.setrecursionlimit(5000)
+    tree = {"primary_balance": grown(min(depth, 6), 3), "residual": grown(depth, 0)}
+    d = spark.createDataFrame([(json.dumps(tree),)], "t string").select(F.from_json("t", T.tree_type()).alias("tree"))
+    got = d.select(F.explode(T.tree_rows("tree")).alias("r")).select("r.hierarchy_id", "r.level", "r.parent_label", "r.label_verbatim", "r.value").collect()
+    assert list(map(tuple, got)) == walked(tree["primary_balance"], "3", 0, None) + walked(tree["residual"], "6", 0, None)
+
+
 def test_stream_compile(spark, tmp_path):
     from panelkit.streaming.incremental import stream_compile
     src = tmp_path / "in"

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelkit.operators import pages as P
+from panelkit.operators.spread import dealt
 from workload import roles as R
 from workload.registry import query
 
@@ -20,7 +21,7 @@ def pages(spark, sf):
 
 def lines(spark, sf):
     """Every line of every document as a page of it."""
-    return R.table(spark, sf, "documents").select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n")).alias("pos", "text")) \
+    return dealt(R.table(spark, sf, "documents").select("doc_id", "text")).select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n")).alias("pos", "text")) \
         .select("doc", (F.col("pos") + 1).cast("int").alias("page_no"), "text")
 
 

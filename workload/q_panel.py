@@ -208,7 +208,7 @@ def target_tree():
     v["identified_flows"] = v["primary_balance"] + v["automatic_debt_dynamics"] + v["other_identified_flows"] + F.when(k % 5 == 0, 2).otherwise(0)
     v["residual"] = k % 4
     v["change_in_debt"] = v["identified_flows"] + v["residual"] - F.when(k % 6 == 0, 3).otherwise(0)
-    leaf = lambda c: F.struct(F.lit(c).alias("label_verbatim"), F.when(k % 7 > 0, v[c].cast("string")).alias("value"), F.lit(None).cast("array<string>").alias("children")).alias(c)
+    leaf = lambda c: F.struct(F.lit(c).alias("label_verbatim"), F.when(k % 7 > 0, v[c].cast("string")).alias("value"), F.lit(None).cast("array<variant>").alias("children")).alias(c)
     return F.struct(*[leaf(c) for c, _ in TREE6]).cast(tree_type([c for c, _ in TREE6]))
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.items import CATEGORIES, ROLES
 from panelkit.operators import tree as T
+from panelkit.operators.spread import dealt
 from panelkit.plans.round_check import compile_results
 from panelkit.sources.readers import ANSWER, extraction_schema
 from workload import roles as R
@@ -22,7 +23,7 @@ def _json_trees(spark, sf):
     Role r holds the lines with (line number mod 7) = r. A line's children are its 1st, 10th, 19th ... sentence; each
     other sentence is the child of the one before it, so that the depth varies with the text, up to ten levels.
     """
-    d = R.table(spark, sf, "documents").select("doc_id", "n_chars", F.split("text", "\n").alias("lines"))
+    d = dealt(R.table(spark, sf, "documents").select("doc_id", "n_chars", "text")).select("doc_id", "n_chars", F.split("text", "\n").alias("lines"))
     numbered = F.transform("lines", lambda x, i: F.struct(i.alias("i"), x.alias("x")))
 
     def text(s):
