@@ -15,7 +15,7 @@ from panelkit.functions.numbers import comma_number
 from panelkit.functions.text import Col, as_col, found
 from panelkit.functions.years import effective_label, parse_year_label
 from panelkit.operators import pick
-from panelkit.operators.spread import number_rows, split_join
+from panelkit.operators.spread import number_rows, running_totals, split_join
 from panelkit.operators.waterfall import OFFSETS, candidate_reports
 
 MULTI_ENTITY = "Multi-Country Report"
@@ -189,6 +189,28 @@ def span_label(start: str = "span_start", end: str = "span_end") -> Column:
         F.concat_ws("-", F.col(start).cast("string"), F.col(end).cast("string")))
 
 
+def sums_between(spans: DataFrame, days: DataFrame, sums: list[str]) -> DataFrame:
+    """(country, span_start) with, for each column of `sums`, two running totals over the days (country, report_date, sums) of
+    all countries: c_from up to the span's prev_date and c_to before its next_date; open where null. Their difference is the sum
+    over the days strictly between; where no day can lie between, it may be below 0.
+
+    Spans and days are laid in one order, in which a date that closes a span comes before the day itself and one that opens
+    it after; rows are as many as spans and days, whatever lies inside a span.
+    """
+    nothing = [F.lit(0).cast("long").alias(c) for c in sums]
+    date_type = days.schema["report_date"].dataType
+
+    def side(name: str, date: str, open_: int, rank: int) -> Column:
+        return F.struct(F.lit(name).alias("side"), F.when(F.col(date).isNull(), open_).otherwise(0).alias("beyond"), F.col(date).cast(date_type).alias("report_date"), F.lit(rank).alias("rank"))
+    asked = spans.select("country", "span_start", F.explode(F.array(side("from", "prev_date", -1, 2), side("to", "next_date", 1, 0))).alias("s")) \
+        .select("country", "span_start", "s.*", *nothing)
+    given = days.select("country", F.lit(None).cast(spans.schema["span_start"].dataType).alias("span_start"), F.lit(None).cast("string").alias("side"),
+                        F.lit(0).alias("beyond"), "report_date", F.lit(1).alias("rank"), *[F.col(c).cast("long").alias(c) for c in sums])
+    total = running_totals(given.unionByName(asked), ["country", "beyond", "report_date", "rank"], sums)
+    return total.filter("side is not null").groupBy("country", "span_start").agg(
+        *[F.max(F.when(F.col("side") == end, F.col(c))).alias(f"{c}_{end}") for c in sums for end in ("from", "to")])
+
+
 def span_causes(spans: DataFrame, reports: DataFrame) -> DataFrame:
     """Adds the bounding reports, months between them, reports in between, and every cause in order.
 
@@ -204,16 +226,16 @@ def span_causes(spans: DataFrame, reports: DataFrame) -> DataFrame:
                     ["country", "prev_year"], "left")
          .join(bounds.select("country", F.col("year").alias("next_year"), F.col("earliest").alias("next")),
                ["country", "next_year"], "left"))
-    per_day = reports.filter("report_date is not null").groupBy("country", "report_date").agg(
+    per_day = reports.filter("report_date is not null and country is not null").groupBy("country", "report_date").agg(
         F.count("*").alias("n"),
         F.count_if(~F.col("table_found") & (F.col("report_status") != "excluded_non_country")).alias("n_no_table"),
         F.count_if(F.col("report_status") == "table_but_year_unusable").alias("n_unusable"))
-    after, before = F.col("report_date") > F.col("prev.report_date"), F.col("report_date") < F.col("next.report_date")
-    inside = F.when(F.col("prev").isNotNull() & F.col("next").isNotNull(), after & before) \
-        .when(F.col("prev").isNotNull(), after).when(F.col("next").isNotNull(), before).otherwise(F.lit(False))
-    between = (s.select("country", "span_start", "prev", "next").join(per_day, "country").filter(inside)
-               .groupBy("country", "span_start").agg(F.sum("n").alias("n"), F.sum("n_no_table").alias("n_no_table"),
-                                                     F.sum("n_unusable").alias("n_unusable")))
+    # a bounding report without a date has nothing after or before it
+    dated = (F.col("prev").isNull() | F.col("prev.report_date").isNotNull()) & (F.col("next").isNull() | F.col("next.report_date").isNotNull())
+    bounded = s.filter((F.col("prev").isNotNull() | F.col("next").isNotNull()) & dated).select(
+        "country", "span_start", F.col("prev.report_date").alias("prev_date"), F.col("next.report_date").alias("next_date"))
+    sums = ["n", "n_no_table", "n_unusable"]
+    between = sums_between(bounded, per_day, sums).select("country", "span_start", *[F.greatest(F.col(f"{c}_to") - F.col(f"{c}_from"), F.lit(0)).alias(c) for c in sums])
     s = s.join(between, ["country", "span_start"], "left")
     n, no_table, unusable = (F.coalesce(F.col(c), F.lit(0)) for c in ("n", "n_no_table", "n_unusable"))
     has_prev, has_next = F.col("prev").isNotNull(), F.col("next").isNotNull()
@@ -239,13 +261,14 @@ def span_causes(spans: DataFrame, reports: DataFrame) -> DataFrame:
 
 def reports_in_between(spans: DataFrame, reports: DataFrame) -> DataFrame:
     """The reports themselves, one row each (country, span_start, pdf_file_name, report_date); spans carry the
-    bounding reports' dates as prev_date / next_date. Days are matched first, then reports by equi join."""
-    days = reports.filter("report_date is not null").select("country", "report_date").distinct()
-    open_left, open_right = F.col("prev_date").isNull(), F.col("next_date").isNull()
-    hit = spans.join(days, "country").filter(
-        (open_left | (F.col("report_date") > F.col("prev_date"))) & (open_right | (F.col("report_date") < F.col("next_date")))
-        & ~(open_left & open_right))
-    return hit.select("country", "span_start", "report_date").join(
+    bounding reports' dates as prev_date / next_date. A span's days are a run of all days in order, found by its two ends;
+    reports follow by equi join."""
+    days = reports.filter("report_date is not null and country is not null").select("country", "report_date").distinct().withColumn("day", F.lit(1))
+    bounded = spans.filter("prev_date is not null or next_date is not null").select("country", "span_start", "prev_date", "next_date")
+    hit = sums_between(bounded, days, ["day"]).filter("day_to > day_from") \
+        .select("span_start", F.explode(F.sequence(F.col("day_from") + 1, F.col("day_to"))).alias("day"))
+    ordered = running_totals(days, ["country", "report_date"], ["day"])           # the same days in the same order
+    return hit.join(ordered, "day").select("country", "span_start", "report_date").join(
         reports.select("country", "report_date", "pdf_file_name"), ["country", "report_date"])
 
 

@@ -69,3 +69,21 @@ def running_sum(df: DataFrame, key: str, position: str, value: str, name: str, b
     inside = F.sum(value).over(Window.partitionBy(key, "__block").orderBy(position))
     return (rows.withColumn("__in", inside).join(before, [key, "__block"])
             .withColumn(name, F.col("__before") + F.col("__in")).drop("__block", "__in", "__before"))
+
+
+def running_totals(df: DataFrame, order: list[str | Column], sums: list[str]) -> DataFrame:
+    """Each of the columns `sums` as its running total over the whole table in the given order.
+
+    As in `number_rows`, no task sees more than its range of the order: totals run inside a range partition, and what lies
+    before it comes from one row per partition.
+    """
+    by = [F.col(c) if isinstance(c, str) else c for c in order]
+    parts = materialise(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__place", F.monotonically_increasing_id()))
+    parts = parts.withColumn("__part", F.shiftright("__place", 33))
+    whole = parts.groupBy("__part").agg(*[F.sum(c).alias(c) for c in sums])        # one row per partition
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = whole.select("__part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__before_{c}") for c in sums])
+    inside = Window.partitionBy("__part").orderBy("__place")
+    return (parts.withColumns({c: F.sum(c).over(inside) for c in sums}).join(F.broadcast(before), "__part")
+            .withColumns({c: F.col(c) + F.col(f"__before_{c}") for c in sums})
+            .drop("__part", "__place", *[f"__before_{c}" for c in sums]))

@@ -426,9 +426,9 @@ def test_queries_run(s):
 
 def test_pipeline(s):
     """Each stage beside its operator's own verdicts, and columns kept whatever their names."""
-    docs = s.read.parquet(f"{DATA}/documents.parquet").withColumn("kept", F.lit(1)).withColumn("removal", F.lit("x"))
+    docs = s.read.parquet(f"{DATA}/documents.parquet").withColumn("kept", F.lit(1)).withColumns({c: F.lit("x") for c in ("removal", "score", "features", "__d", "sequence_id", "class_id")})
     dup = docs.union(docs.where("doc_id = 3"))
-    now = dup.drop("removal")
+    now = dup
     for name, stage in corpus_pipeline.STAGES[:-1]:
         before = now
         now = stage(s, before, DATA)
@@ -436,8 +436,44 @@ def test_pipeline(s):
         if name != "repeated_passages":
             assert now.join(before, "doc_id", "left_anti").count() == 0
         now = s.createDataFrame(now.collect(), now.schema)
+    assert corpus_pipeline.packed(s, now, DATA).count() >= now.count()
     measured = {r.doc_id: quality_bands.measure(r.text or "")[-1] for r in docs.collect()}
     kept = {r.doc_id for r in corpus_pipeline.quality_rules(s, docs, DATA).collect()}
     assert kept == {d for d, k in measured.items() if k}
     for name, stage in corpus_pipeline.STAGES:
-        assert stage(s, docs.drop("removal").where("false"), DATA).count() == 0, name
+        assert stage(s, docs.where("false"), DATA).count() == 0, name
+
+
+def without_repeats(texts, length):
+    """Texts without the characters that lose a byte to a string of `length` bytes that starts twice."""
+    starts = Counter(raw[i : i + length] for t in texts if t for raw in [t.encode()] for i in range(len(raw) - length + 1))
+    out = []
+    for t in texts:
+        raw = (t or "").encode()
+        gone = np.zeros(len(raw) + 1, bool)
+        for i in range(len(raw) - length + 1):
+            gone[i : i + length] |= starts[raw[i : i + length]] > 1
+        at, kept = 0, []
+        for c in t or "":
+            n = len(c.encode())
+            kept.append("" if gone[at : at + n].any() else c)
+            at += n
+        out.append(None if t is None else "".join(kept))
+    return out
+
+
+def test_pipeline_rows(s):
+    """Stages 3 and 4 beside brute force on null texts and ids, clashing ids, long texts, replacement characters and cut characters."""
+    rng = random.Random(9)
+    prose = lambda n: " ".join("".join(rng.choice("abcdeéü中") for _ in range(rng.randrange(2, 8))) for _ in range(n))
+    passage, alike = prose(60), prose(150)
+    copies = [(1, alike), (2, alike), (None, alike), (None, prose(100)), (5, prose(120)), (5, prose(120)), (6, None), (None, None), (7, ""), (3, alike + " one more")]
+    df = s.createDataFrame([(i, t, len(t or "")) for i, t in copies], "doc_id long, text string, n_chars long")
+    kept = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(s, df, DATA).collect())
+    assert kept == Counter((i, t) for i, t in copies if t is None or not t.startswith(alike) or i == 1)
+    tail = passage.encode()[1:].decode(errors="ignore")
+    texts = [prose(80) + passage + prose(80), "\ufffd" + prose(20) + passage, passage + "\ufffd é", "é" + tail + "中", None, "", "short \ufffd", prose(30_000) + passage]
+    df = s.createDataFrame([(k % 3 or None, t, len(t or "")) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    got = Counter((r.doc_id, r.text, r.n_chars) for r in corpus_pipeline.repeated_passages(s, df, DATA).collect())
+    want = [(k % 3 or None, t, len(t or "")) for k, t in enumerate(without_repeats(texts, corpus_pipeline.PASSAGE))]
+    assert got == Counter(want) and sum(t != w for t, (_, w, _) in zip(texts, want)) == 5

@@ -101,3 +101,34 @@ def test_picks(spark):
     assert [r[0] for r in wide.select(pick.majority_of([F.col("x"), F.col("y"), F.col("z")])).collect()] == ["b", "a", None, "a"]
     runs = spark.createDataFrame([("c", "gapfill", "r2"), ("c", "gapfill", "r1"), ("d", "round3", None), ("d", "gapfill", "r1"), ("e", "odd", None)], "k string, source_round string, gapfill_run string")
     assert {r["k"]: r["source_tag"] for r in pick.source_by_run(runs, ["k"]).collect()} == {"c": "gapfill:r1", "d": "round3", "e": "unknown"}
+
+
+def test_intervals_by_running_totals(spark):
+    """Counts and lists of the days strictly inside spans, open ones and empty ones too, beside a scan of all days; one entity
+    with 10,000 spans and 10,000 days yields no more rows than both on the way."""
+    import datetime
+    import random
+
+    from panelkit.operators import gaps as G
+
+    rng = random.Random(3)
+    day = lambda n: datetime.date(1990, 1, 1) + datetime.timedelta(n)
+    days = [(c, day(n), rng.randrange(4)) for c in "abcd" for n in rng.sample(range(400), 60)] + [("d", None, 1)]
+    spans = [(c, k, rng.choice([None, day(rng.randrange(400))]), rng.choice([None, day(rng.randrange(400))])) for c in "abcde" for k in range(40)]
+    spans = [x for x in spans if x[2] or x[3]]
+    d = spark.createDataFrame(days, "country string, report_date date, n long").filter("report_date is not null")
+    s = spark.createDataFrame(spans, "country string, span_start int, prev_date date, next_date date")
+    got = {(r.country, r.span_start): max(r.n_to - r.n_from, 0) for r in G.sums_between(s, d, ["n"]).collect()}
+    inside = lambda x: [(t, n) for c, t, n in days if t and c == x[0] and (not x[2] or t > x[2]) and (not x[3] or t < x[3])]
+    assert got == {x[:2]: sum(n for _, n in inside(x)) for x in spans}
+    reports = d.withColumn("pdf_file_name", F.concat("country", F.col("report_date").cast("string")))
+    listed = G.reports_in_between(s, reports).select("country", "span_start", "report_date").collect()
+    assert sorted(map(tuple, listed)) == sorted((*x[:2], t) for x in spans for t, _ in inside(x))
+
+    n = 10_000
+    many = spark.range(n).select(F.lit("x").alias("country"), F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).alias("report_date"), F.lit(1).cast("long").alias("n"))
+    wide = spark.range(n).select(F.lit("x").alias("country"), F.col("id").cast("int").alias("span_start"), F.date_add(F.lit("1900-01-01").cast("date"), (F.col("id") / 2).cast("int")).alias("prev_date"),
+                                 F.date_add(F.lit("1900-01-01").cast("date"), (F.lit(n) - F.col("id") / 2).cast("int")).alias("next_date"))
+    out = G.sums_between(wide, many, ["n"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and out.agg(F.sum(F.col("n_to") - F.col("n_from"))).first()[0] == sum(n - i // 2 - 1 - (i + 1) // 2 if i else n - 1 for i in range(n))
