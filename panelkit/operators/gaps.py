@@ -17,6 +17,7 @@ from panelkit.functions.years import effective_label, parse_year_label
 from panelkit.operators import pick
 from panelkit.operators.spread import number_rows, running_totals, split_join
 from panelkit.operators.waterfall import OFFSETS, candidate_reports
+from panelkit.session import materialise
 
 MULTI_ENTITY = "Multi-Country Report"
 MAX_LAG = 4
@@ -390,24 +391,48 @@ def gap_statistics(reports: DataFrame, kept: DataFrame, gaps: DataFrame) -> Data
 
 # ---- streaks -----------------------------------------------------------------------------------------
 
-def zero_runs(df: DataFrame, entity: str, period: str, value: str, tolerance: float = 0.0,
-              allow_missing: bool = False) -> DataFrame:
+def run_pieces(df: DataFrame, entity: str, period: str, hit: Column, gaps_allowed: bool) -> DataFrame:
+    """(entity, __part, run_start, run_end, run_length, __opens, __ends): the runs of rows with `hit` in each range of the
+    order (entity, period), and whether a run begins with its range's first row or ends with its last.
+
+    A long series lies in several ranges, none of which holds more than any other. The ranges are written once.
+    """
+    rows = df.select(entity, period, hit.alias("__hit")).repartitionByRange(entity, period).sortWithinPartitions(entity, period)
+    rows = materialise(rows.withColumn("__place", F.monotonically_increasing_id()))
+    rows = rows.withColumn("__part", F.shiftright("__place", 33))
+    inside = Window.partitionBy("__part").orderBy("__place")
+    goes_on = F.lag("__hit").over(inside) & F.col(entity).eqNullSafe(F.lag(entity).over(inside))
+    if not gaps_allowed:
+        goes_on &= F.col(period) == F.lag(period).over(inside) + 1
+    begins = F.when(F.col("__hit") & ~F.coalesce(goes_on, F.lit(False)), 1).otherwise(0)
+    runs = rows.withColumn("__run", F.sum(begins).over(inside)).filter("__hit").groupBy(entity, "__part", "__run").agg(
+        F.min(period).alias("run_start"), F.max(period).alias("run_end"), F.count("*").alias("run_length"),
+        F.min("__place").alias("__first"), F.max("__place").alias("__last"))
+    sizes = rows.groupBy("__part").agg(F.max("__place").alias("__size"))          # one row per range
+    sizes = sizes.withColumn("__nth", F.row_number().over(Window.orderBy("__part")))
+    return runs.join(F.broadcast(sizes), "__part").select(
+        entity, F.col("__nth").alias("__part"), "run_start", "run_end", "run_length",
+        (F.col("__first") == F.shiftleft("__part", 33)).alias("__opens"), (F.col("__last") == F.col("__size")).alias("__ends"))
+
+
+def zero_runs(df: DataFrame, entity: str, period: str, value: str, tolerance: float = 0.0, allow_missing: bool = False) -> DataFrame:
     """(entity, run_start, run_end, run_length) of consecutive periods whose value is zero.
 
     One row per (entity, period) is expected; `period` is an integer. With allow_missing a period without a
-    row does not break a run.
+    row does not break a run. Series of any length are read range by range; runs that touch an edge of their range, two
+    for each range at most, are joined to those across it.
     """
-    by = Window.partitionBy(entity).orderBy(period)
-    d = df.select(entity, period, (F.abs(value) <= tolerance).alias("z"))
-    if allow_missing:
-        place = F.row_number().over(by)
-        zeros = d.withColumn("__i", place).filter("z")
-        island = F.col("__i") - F.row_number().over(by)
-    else:
-        zeros = d.filter("z")
-        island = F.col(period) - F.row_number().over(by)
-    return (zeros.withColumn("__g", island).groupBy(entity, "__g")
-            .agg(F.min(period).alias("run_start"), F.max(period).alias("run_end"), F.count("*").alias("run_length")).drop("__g"))
+    pieces = materialise(run_pieces(df, entity, period, F.abs(value) <= tolerance, allow_missing))
+    edge = F.col("__opens") | F.col("__ends")
+    order = Window.orderBy("__part", F.col("__ends").cast("int"), "run_start")
+    meets = F.col("__opens") & F.lag("__ends").over(order) & (F.col("__part") == F.lag("__part").over(order) + 1) & F.col(entity).eqNullSafe(F.lag(entity).over(order))
+    if not allow_missing:
+        meets &= F.col("run_start") == F.lag("run_end").over(order) + 1
+    chain = F.sum(F.when(F.coalesce(meets, F.lit(False)), 0).otherwise(1)).over(order)
+    out = [entity, "run_start", "run_end", "run_length"]
+    joined = pieces.filter(edge).withColumn("__chain", chain).groupBy(entity, "__chain").agg(
+        F.min("run_start").alias("run_start"), F.max("run_end").alias("run_end"), F.sum("run_length").alias("run_length"))
+    return pieces.filter(~edge).select(*out).unionByName(joined.select(*out))
 
 
 def streak_table(df: DataFrame, entity: str, period: str, value: str, min_run: int, tolerance: float = 0.0,

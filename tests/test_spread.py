@@ -132,3 +132,42 @@ def test_intervals_by_running_totals(spark):
     out = G.sums_between(wide, many, ["n"])
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1 and out.agg(F.sum(F.col("n_to") - F.col("n_from"))).first()[0] == sum(n - i // 2 - 1 - (i + 1) // 2 if i else n - 1 for i in range(n))
+
+
+def test_runs_across_ranges(spark):
+    """Zero runs of series cut into many ranges beside a walk over each series: one entity with most of the rows, missing
+    periods, null values, an entity without a name, runs longer than a range and series that end at an edge."""
+    from panelkit.operators import gaps as G
+
+    rng = random.Random(7)
+    series = {"hot": [(p, 0.0 if 100 < p < 900 or rng.random() < 0.7 else 1.0) for p in range(2000) if rng.random() < 0.97], "zero": [(p, 0.0) for p in range(700)],
+              None: [(p, rng.choice([0.0, None, 2.0])) for p in range(50)], "one": [(5, 0.0)], "last": [(p, float(p < 90)) for p in range(100)]}
+    df = spark.createDataFrame([(e, p, v) for e, rows in series.items() for p, v in rows], "e string, p int, v double")
+
+    def walked(allow):
+        out = []
+        for e, rows in series.items():
+            run = []
+            for p, v in sorted(rows):
+                if run and (v != 0 or not allow and p != run[-1] + 1):
+                    out.append((e, run[0], run[-1], len(run)))
+                    run = []
+                if v == 0:
+                    run.append(p)
+            if run:
+                out.append((e, run[0], run[-1], len(run)))
+        return sorted(out, key=str)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for ranges in (1, 3, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", ranges)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            for allow in (False, True):
+                assert sorted(map(tuple, G.zero_runs(df, "e", "p", "v", 0.0, allow).collect()), key=str) == walked(allow), (ranges, allow)
+        pieces = G.run_pieces(df, "e", "p", F.col("v") == 0, True)
+        per_range = [r["n"] for r in pieces.groupBy("__part").agg(F.sum("run_length").alias("n")).collect()]
+        assert len(per_range) >= 12 and max(per_range) < df.count() / 8
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert G.zero_runs(df.where("false"), "e", "p", "v").count() == 0
