@@ -9,7 +9,7 @@ from panelkit.functions.numbers import strict_number
 from panelkit.functions.text import Col, as_col, blank_to_null, lookup
 from panelkit.functions.years import effective_label, effective_year
 from panelkit.operators import pick
-from panelkit.operators.spread import split_join
+from panelkit.operators.spread import number_rows, split_join
 
 # --- fixed values ----------------------------------------------------------------------------------
 SOURCE_LABELS = {"round1": "Round 1", "round2": "Round 2", "round3": "Round 3", "gapfill": "Gap fill"}
@@ -273,9 +273,9 @@ def source_by_year(rows: DataFrame, year: str = "year", ties: list[Column] = ())
     return first.groupBy(F.col("y").alias("year"), "source_round").agg(F.count("*").alias("n"))
 
 
-def browse_panel(rows: DataFrame, order: list[str], country: str | None = None, year: str | None = None, source: str | None = None,
-                 origin: str | None = None, top_only: bool = False, item: str | None = None, page: int = 0, size: int = 100) -> DataFrame:
-    """Filtered rows of the panel, one page of them in a stable order."""
+def panel_subset(rows: DataFrame, country: str | None = None, year: str | None = None, source: str | None = None,
+                 origin: str | None = None, top_only: bool = False, item: str | None = None) -> DataFrame:
+    """The rows of the panel that a reader asks for."""
     out = rows
     if country:
         out = out.filter(F.lower(F.coalesce("country", F.lit(""))).contains(country.strip().lower()))
@@ -289,7 +289,32 @@ def browse_panel(rows: DataFrame, order: list[str], country: str | None = None,
         out = out.filter(~F.coalesce("hierarchy_id", F.lit("")).contains("."))
     if item:
         out = out.filter(F.col("hierarchy_id") == item)
-    return out.orderBy(*order).offset(page * size).limit(size)
+    return out
+
+
+def browse_panel(rows: DataFrame, order: list[str], page: int = 0, size: int = 100, after: tuple | None = None, **wanted) -> DataFrame:
+    """Rows of `panel_subset`, one page of them in a stable order: by its number, or, for readers who turn pages one by one,
+    the rows `after` the last key (values of `order`) they have seen, which sorts and skips nothing before it."""
+    out = panel_subset(rows, **wanted)
+    if after is None:
+        return out.orderBy(*order).offset(page * size).limit(size)
+    key = F.struct(*order)
+    last = F.struct(*[F.lit(v).cast(rows.schema[c].dataType).alias(c) for c, v in zip(order, after, strict=True)])
+    if after[0] is not None:
+        out = out.filter(F.col(order[0]) >= F.lit(after[0]))           # this part reaches the scan
+    return out.filter(key > last).orderBy(*order).limit(size)
+
+
+def write_positions(rows: DataFrame, order: list[str], path: str) -> None:
+    """The rows with their `position` from 1 in the given order, written in that order: any page of them is a range of
+    positions, of which file statistics name the few row groups."""
+    numbered = number_rows(rows, order)
+    numbered.repartitionByRange("position").sortWithinPartitions("position").write.mode("overwrite").parquet(path)
+
+
+def page_at(positions: DataFrame, page: int, size: int = 100) -> DataFrame:
+    """Page number `page` (from 0) of a table written by `write_positions`; any page costs the same."""
+    return positions.filter((F.col("position") > page * size) & (F.col("position") <= (page + 1) * size)).orderBy("position")
 
 
 def browse_coverage(wide: DataFrame, country: str | None = None, year: int | None = None, only_reported: bool = False) -> DataFrame:

@@ -1,12 +1,14 @@
 """Coverage database, availability, conflicts, browsing."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelkit.operators import coverage as C, pick
 from panelkit.operators.waterfall import target_subset
 from panelkit.plans.analysis import country_year_panel
-from panelkit.session import materialise
+from panelkit.session import materialise, use_checkpoint_dir
 from workload import roles as R
 from workload.registry import query
 
@@ -221,6 +223,21 @@ def browse_panel(spark, sf):
     return C.browse_panel(R.long_rows(spark, sf), ["row_no"], country="Customer 1", source="round1", top_only=True, page=2, size=50).select("json_file", "hierarchy_id", "value")
 
 
+@query("panel_page", f"""WITH {R.LONG}, n AS (SELECT json_file, hierarchy_id, value, row_number() OVER (ORDER BY country, row_no) AS position FROM rws WHERE source_round = 'round1')
+SELECT * FROM n WHERE position > 1200 AND position <= 1250""")
+def panel_page(spark, sf):
+    """A late page out of the panel's rows written by position."""
+    path = f"{use_checkpoint_dir(spark)}/pages-{uuid.uuid4().hex}"
+    C.write_positions(C.panel_subset(R.long_rows(spark, sf), source="round1"), ["country", "row_no"], path)
+    return C.page_at(spark.read.parquet(path), 24, 50).select("json_file", "hierarchy_id", "value", "position")
+
+
+@query("panel_next_page", f"""WITH {R.LONG} SELECT json_file, hierarchy_id, value FROM rws WHERE source_round = 'round1' AND row_no > 4000 ORDER BY row_no LIMIT 50""")
+def panel_next_page(spark, sf):
+    """The page after the last row that a reader has seen."""
+    return C.browse_panel(R.long_rows(spark, sf), ["row_no"], size=50, after=(4000,), source="round1").select("json_file", "hierarchy_id", "value")
+
+
 @query("target_subset", f"WITH {R.REPORTS}, t AS (SELECT DISTINCT country, obs AS gap_year FROM rpt WHERE country IN ('Customer 1', 'Customer 2', 'Customer 30')) SELECT * FROM t ORDER BY country, gap_year LIMIT 12")
 def subset(spark, sf):
     """A pilot run: some entities, the first targets in order."""
