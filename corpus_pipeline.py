@@ -9,14 +9,18 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import public_tokenizers  # noqa: E402
+import pyarrow as pa  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from panelkit.llm import packing, prob_minhash, qda, quality_bands, suffix_dedup  # noqa: E402
 from panelkit.llm.common import held_out, prepare, table, written  # noqa: E402
+from panelkit.session import alone  # noqa: E402
 
 #: Documents with a lower quality score go.
 LEAST_QUALITY = 0.3
+#: Bytes from which a repeated passage goes: 50 words of this corpus take 270 and more, and a match needs the whole length.
+PASSAGE = 250
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,24 +39,48 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class: the one with the least id. Documents without an id stay."""
+    """One document of each class: the one with the least id (ids before none), then the first in its input. Every row is a
+    document of its own here, so unlike texts under one id both stay, and copies without an id meet."""
     prepare(spark)
-    classes = prob_minhash.near_duplicates(docs).where("doc_id = class_id").select("doc_id").distinct()
-    one = docs.join(classes, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    rows = docs.select(F.struct(*docs.columns).alias("document"), "doc_id", "text")
+    clashes = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null")
+    # distinct ids number the rows themselves; others are numbered in a table, so that a row keeps its number
+    rows = rows.withColumn("row", F.col("doc_id").cast("long")) if clashes.isEmpty() else written(rows.withColumn("row", F.monotonically_increasing_id()))
+    classes = alone(lambda: prob_minhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"))).select(F.col("doc_id").alias("row"), "class_id")
+    ids = rows.select("row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("place"))
+    first = classes.join(ids, "row").groupBy("class_id").agg(F.min("place").alias("place")).select("place.row")
+    return rows.join(first, "row", "left_semi").select("document.*")
+
+
+def _whole_characters(text: pa.Array, removal: pa.Array) -> pa.Array:
+    """What is left of texts without the spans (of UTF-8 bytes); a character that loses a byte goes whole."""
+    out = []
+    for t, spans in zip(text.to_pylist(), removal.to_pylist(), strict=True):
+        raw, kept, at = t.encode(), [], 0
+        for span in spans:
+            a, b = span["start"], span["end"]
+            while raw[a] & 0xC0 == 0x80:
+                a -= 1
+            while b < len(raw) and raw[b] & 0xC0 == 0x80:
+                b += 1
+            kept.append(raw[at:max(a, at)])
+            at = b
+        out.append(b"".join([*kept, raw[at:]]).decode())
+    return pa.array(out, pa.string())
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes of long repeated passages; a character that loses a byte goes whole, n_chars follows."""
+    """Documents without the bytes of passages of PASSAGE bytes or more that occur again; a character that loses a byte goes
+    whole, n_chars follows the text."""
     prepare(spark)
-    done = suffix_dedup.suffix_dedup(docs, docs.columns)
-    # invalid bytes that a cut may leave become U+FFFD, as do none others; characters of the text itself are kept
-    text = F.when(F.col("removal.n_removed") == 0, F.col("text")).otherwise(F.try_validate_utf8(F.col("removal.kept").cast("string")))
-    whole = F.coalesce(text, F.regexp_replace(F.make_valid_utf8(F.col("removal.kept").cast("string")), "�", ""))
-    changed = {"text": F.when(F.col("text").isNotNull(), whole)}
+    rows = docs.select(F.struct(*docs.columns).alias("document"), "doc_id", "text")
+    done = suffix_dedup.suffix_dedup(rows, ["document"], length=PASSAGE, gram=PASSAGE // 4)
+    cut = F.col("removal.n_removed") > 0
+    left = done.withColumn("left", F.when(cut, F.arrow_udf(_whole_characters, "string")(F.when(cut, F.col("document.text")).otherwise(""), F.when(cut, F.col("removal.spans")).otherwise(F.array()))))
+    changed = {"text": F.coalesce("left", "document.text")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("removal.n_removed") == 0, F.col("n_chars")).otherwise(F.length(whole).cast(docs.schema["n_chars"].dataType))
-    return done.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+        changed["n_chars"] = F.when(cut, F.length("left").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("document.n_chars"))
+    return left.select(*[changed.get(c, F.col("document").getField(c)).alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
