@@ -1,6 +1,5 @@
 """Shared helpers: reading tables, writing an intermediate table once, Arrow text buffers."""
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
@@ -9,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.session import tune, use_checkpoint_dir
+from panelkit.session import materialise, tune
 
 #: Rows and bytes of one Arrow batch: what a Python worker holds at once beside one text.
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
@@ -41,10 +40,7 @@ def prepare(spark: SparkSession | None = None) -> SparkSession:
 
 def written(df: DataFrame, compression: str = "zstd") -> DataFrame:
     """Write a table to the shared checkpoint folder and read it back; lineage ends there."""
-    spark = df.sparkSession
-    path = f"{use_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return materialise(df, compression)
 
 
 def texts_of(column: pa.Array) -> list[str]:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from panelkit.llm.common import mix64, prepare, row_blocks, utf8, written
 from panelkit.llm.rolling import Prefix
 from panelkit.operators.spread import split_join
+from panelkit.session import discard
 
 LENGTH = 400
 #: Bytes of a gram; with it, an anchor is chosen among LENGTH - GRAM + 1 places.
@@ -334,16 +335,18 @@ def suffix_dedup(docs: DataFrame, keep: list[str], text: str = "text", doc_id: s
     found = written(own.mapInArrow(_anchor_rows(length, gram), "__d long, __id long, key long, x1 long, x2 long, a long, la int, lb int"))
     twice = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     open_ = written(split_join(found, twice, ["key"], "left_semi"))
+    discard(found)
     context = ["key", "x1", "x2", "la", "lb"]
     contexts = written(open_.groupBy(*context).agg(F.count("*").alias("c"), F.min(F.struct("__d", "__id", "a")).alias("__one")))
     many = contexts.groupBy("key").agg(F.count("*").alias("m"))
-    facts = contexts.join(many, "key").where("c > 1 or m > 1")
+    facts = split_join(contexts, many, ["key"]).where("c > 1 or m > 1")
     told = split_join(open_, facts, context).select(
         "__d", "__id", F.struct("key", "a", "la", "lb", "c", "m", ((F.col("m") > 1) & F.struct("__d", "__id", "a").eqNullSafe(F.col("__one"))).alias("chosen")).alias("x"))
     # a set: repeated rows have the same contexts, so what is held is bounded by the text's own length
     per_doc = told.groupBy("__d", "__id").agg(F.collect_set("x").alias("__found"), F.count("*").alias("__all")) \
         .select("__d", "__id", "__found", (F.col("__all") > F.size("__found")).alias("__repeated"))
     joined = written(_of_rows(rows, per_doc))
+    discard(open_)
     hit = joined.where("__found is not null")
     # repeated rows give the body of a context once
     again = hit.where("__repeated").where(F.exists("__found", lambda x: x["chosen"])).dropDuplicates(["__d", "__id"])
