@@ -29,7 +29,7 @@ GRAM = 100
 #: Differing contexts of one anchor that a task sorts.
 GROUP = 20_000
 #: Bytes scanned, and bytes of contexts sorted, at once.
-SCANNED, SORTED = 4 << 20, 8 << 20
+SCANNED, SORTED = 1 << 20, 4 << 20
 
 
 def anchors(body: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
