@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -82,14 +83,47 @@ def check_round(rows: DataFrame, n_runs: int, errors: DataFrame | None = None, s
                       compare.group_counts(summary), compare.diff_type_counts(c.diffs))
 
 
-def check_totals(n_reports: int, counts: dict[str, int], recheck_counts: dict[str, int]) -> None:
-    """The report counts of a written check must add up; the inputs are the few numbers of the small tables."""
-    if sum(counts.values()) != n_reports:
-        raise ValueError(f"{sum(counts.values())} reports are grouped, {n_reports} were compared")
-    rest = n_reports - counts.get("fully_match", 0) - counts.get("no_table_in_all_runs", 0) - counts.get("extraction_failed_in_all_runs", 0)
-    listed = recheck_counts.get("category_a_disagreement", 0)
-    if listed != rest:
-        raise ValueError(f"{listed} reports are listed as disagreeing, the groups leave {rest}")
+def round_totals(summary: DataFrame, matched: DataFrame, diffs: DataFrame, recheck: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    """Totals that must agree between the tables of a round, as written or as just made: (check, left, right, ok).
+
+    One aggregate per table, put together as rows of one small table, so that nothing is joined. `items` are the aligned lines
+    of the comparison, where they are still at hand. A total that a table leaves null counts as 0.
+    """
+    group, category = F.col("group"), F.col("category")
+    parts = [
+        summary.agg(F.count("*").alias("reports"), F.count_distinct("json_file").alias("report_keys"), F.sum("rows_compared").alias("compared"),
+                    F.sum("rows_matching").alias("matching"), F.sum("rows_differing").alias("differing"),
+                    *[F.count_if(group == g).alias(g) for g in compare.GROUPS]),
+        matched.agg(F.count("*").alias("matched_rows")),
+        diffs.agg(F.count("*").alias("diff_rows"), F.count("diff_type").alias("typed_diffs")),
+        recheck.agg(*[F.count_if(category == c).alias(c) for c in sorted(set(compare.RECHECK.values()))])]
+    if items is not None:
+        parts.append(items.agg(F.count("*").alias("items")))
+    one = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    one = one.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in one.columns])
+    c = {n: F.col(n) for n in one.columns}
+    left_over = c["reports"] - c["fully_match"] - c["no_table_in_all_runs"] - c["extraction_failed_in_all_runs"]
+    checks = {
+        "every report has one row": (c["report_keys"], c["reports"]),
+        "the groups hold every report": (reduce(lambda a, b: a + b, [c[g] for g in compare.GROUPS]), c["reports"]),
+        "disagreeing reports are listed": (c["category_a_disagreement"], left_over),
+        "reports without a table are listed": (c["category_b_no_table_in_all_runs"], c["no_table_in_all_runs"]),
+        "matching lines of the reports are the matched rows": (c["matching"], c["matched_rows"]),
+        "differing lines of the reports are the differences": (c["differing"], c["diff_rows"]),
+        "every compared line matches or differs": (c["compared"], c["matched_rows"] + c["diff_rows"]),
+        "every difference has a cause": (c["typed_diffs"], c["diff_rows"]),
+    }
+    if items is not None:
+        checks["every aligned line is compared"] = (c["items"], c["compared"])
+    rows = [F.struct(F.lit(n).alias("check"), a.alias("left"), b.alias("right"), (a == b).alias("ok")) for n, (a, b) in checks.items()]
+    return one.select(F.inline(F.array(*rows)))
+
+
+def check_totals(totals: DataFrame) -> None:
+    """Refuse a round whose totals disagree, with all that fail (`totals` has a row per check)."""
+    failed = [f"{r['check']}: {r['left']} against {r['right']}" for r in totals.filter("not ok").collect()]
+    if failed:
+        raise ValueError("; ".join(failed))
 
 
 def round_summary(check: RoundCheck) -> DataFrame:

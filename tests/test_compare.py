@@ -98,11 +98,18 @@ def test_failed_everywhere_and_totals(spark, rows):
     s = {r["pdf_file_name"]: r for r in check.summary.collect()}
     assert len(s) == 10 and s["Z_2016-01-01.pdf"]["country"] == "Z" and s["W.pdf"]["country"] is None
     assert s["Z_2016-01-01.pdf"]["error_by_run"] == "run1: boom | run2: (no _ERROR.json or _dsa.json found) | run3: (no error message)"
-    counts = {r["group"]: r["n_reports"] for r in check.counts.collect()}
-    recheck = {r["category"]: r["n"] for r in check.recheck.groupBy("category").agg(F.count("*").alias("n")).collect()}
-    R.check_totals(10, counts, recheck)
-    with pytest.raises(ValueError):
-        R.check_totals(10, counts, {**recheck, "category_a_disagreement": 1})
+    totals = R.round_totals(check.summary, check.matched, check.diffs, check.recheck, check.comparison.items)
+    assert all(r["ok"] for r in totals.collect()) and totals.count() == 9
+    R.check_totals(totals)
+    # tables of different states: a list without one report, differences without one line, a report twice
+    stale = R.round_totals(check.summary.unionByName(check.summary.limit(1)), check.matched, check.diffs.limit(1), check.recheck.filter("group <> 'partial_match'"))
+    failed = {r["check"] for r in stale.filter("not ok").collect()}
+    assert {"every report has one row", "disagreeing reports are listed", "differing lines of the reports are the differences"} <= failed
+    assert "reports without a table are listed" not in failed or check.summary.first()["group"] == "no_table_in_all_runs"
+    with pytest.raises(ValueError, match="every report has one row: 10 against 11"):
+        R.check_totals(stale)
+    empty = R.round_totals(*[t.limit(0) for t in (check.summary, check.matched, check.diffs, check.recheck)]).collect()
+    assert {(r["left"], r["right"], r["ok"]) for r in empty} == {(0, 0, True)}
     h = R.round_summary(check).collect()[0]
     assert (h["reports"], h["fully_match"], h["disagreement"], h["no_table"], h["failed"]) == (10, 2, 5, 1, 2)
     assert h["points_matched"] == check.comparison.matched.count() and h["points_differing"] == check.diffs.count()

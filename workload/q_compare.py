@@ -1,10 +1,15 @@
 """Three readings of the same reports, compared line by line."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from panelkit.operators import compare as C
 from panelkit.plans import round_check as RC
+from panelkit.session import materialise, use_checkpoint_dir
+from panelkit.sources import sinks as SK
 from workload import roles as R
 from workload.registry import query
 
@@ -193,3 +198,41 @@ def review_prefill(spark, sf):
 def ready_rows(spark, sf):
     check = RC.check_round(R.runs(spark, sf), 3)
     return RC.ready_rows(check.matched, check.summary, "round1").select("json_file", "hierarchy_id", "last_actual_year", "value", "source_round")
+
+
+# ---- totals and written rounds -------------------------------------------------------------------------------------
+BY_GROUP = ", ".join(f"count(*) FILTER (WHERE grp = '{g}') AS {g}" for g in C.GROUPS)
+TOTALS = f"""{CMP}, sm AS (SELECT count(*) AS reports, count(DISTINCT json_file) AS report_keys, sum(rows_compared) AS compared, sum(rows_matching) AS matching, sum(rows_differing) AS differing, {BY_GROUP} FROM smr),
+pts AS (SELECT count(*) FILTER (WHERE rg IS NULL AND rt IS NULL) AS m, count(*) FILTER (WHERE rg IS NOT NULL OR rt IS NOT NULL) AS d,
+  count(*) FILTER (WHERE (rg IS NOT NULL OR rt IS NOT NULL) AND coalesce(rg, rt) <> 'value') AS stale_d, count(*) AS items FROM al),
+st AS (SELECT 'sound' AS state, m, d, items, (SELECT count(*) FROM smr WHERE grp NOT IN ('fully_match', 'no_table_in_all_runs')) AS listed FROM pts
+  UNION ALL SELECT 'stale', m, stale_d, NULL, (SELECT count(*) FROM smr WHERE grp NOT IN ('fully_match', 'no_table_in_all_runs', 'partial_match')) FROM pts),
+ck AS (SELECT state, unnest([{{'check': 'every report has one row', 'l': report_keys, 'r': reports}}, {{'check': 'the groups hold every report', 'l': {" + ".join(C.GROUPS)}, 'r': reports}},
+  {{'check': 'disagreeing reports are listed', 'l': listed, 'r': reports - fully_match - no_table_in_all_runs - extraction_failed_in_all_runs}},
+  {{'check': 'reports without a table are listed', 'l': no_table_in_all_runs, 'r': no_table_in_all_runs}},
+  {{'check': 'matching lines of the reports are the matched rows', 'l': CAST(matching AS BIGINT), 'r': m}}, {{'check': 'differing lines of the reports are the differences', 'l': CAST(differing AS BIGINT), 'r': d}},
+  {{'check': 'every compared line matches or differs', 'l': CAST(compared AS BIGINT), 'r': m + d}}, {{'check': 'every difference has a cause', 'l': d, 'r': d}},
+  {{'check': 'every aligned line is compared', 'l': items, 'r': CAST(compared AS BIGINT)}}]) AS c FROM sm, st)"""
+
+
+@query("round_totals", f"""WITH {TOTALS} SELECT state, c."check", c.l AS "left", c.r AS "right", c.l = c.r AS ok FROM ck WHERE c.l IS NOT NULL""")
+def round_totals(spark, sf):
+    """The totals of a round that must agree; beside them those of tables written in different states: a list without the partly
+    matching reports, differences without those in value."""
+    check = RC.check_round(R.runs(spark, sf), 3)
+    summary, matched, diffs, recheck, items = map(materialise, (check.summary, check.matched.select("json_file"), check.diffs.select("diff_type"), check.recheck, check.comparison.items.select("json_file")))
+    sound = RC.round_totals(summary, matched, diffs, recheck, items)
+    stale = RC.round_totals(summary, matched, diffs.filter("diff_type <> 'value'"), recheck.filter("group <> 'partial_match'"))
+    return sound.select(F.lit("sound").alias("state"), "*").unionByName(stale.select(F.lit("stale").alias("state"), "*"))
+
+
+@query("committed_round", f"""WITH {CMP} SELECT 'summary' AS name, 'round 1' AS round, count(*) AS n_rows, count(*) AS n_read FROM smr
+UNION ALL SELECT 'diffs', 'round 1', count(*), count(*) FROM al WHERE rg IS NOT NULL OR rt IS NOT NULL UNION ALL SELECT 'matched', 'round 1', count(*), count(*) FROM al WHERE rg IS NULL AND rt IS NULL""")
+def committed_round(spark, sf):
+    """The tables of a round, written all or none, as their manifest and a reader that goes by it see them."""
+    check = RC.check_round(R.runs(spark, sf), 3)
+    folder = f"{use_checkpoint_dir(spark)}/round-{uuid.uuid4().hex}"
+    tables = {"summary": check.summary, "diffs": check.diffs, "matched": check.matched}
+    SK.commit_tables(tables, folder, "s1", {"round": "round 1"})
+    read = reduce(DataFrame.unionByName, [SK.read_committed(spark, folder, n).agg(F.lit(n).alias("name"), F.count("*").alias("n_read")) for n in tables])
+    return SK.committed(spark, folder).select("name", F.col("facts")["round"].alias("round"), "n_rows").join(read, "name")

@@ -1,6 +1,8 @@
 """Panel building, layout and review checks, answers and second readings, file inventories."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelkit import schema as L
@@ -8,7 +10,8 @@ from panelkit.functions.files import base_name
 from panelkit.operators import coverage as C, quality as Q
 from panelkit.operators.gaps import AUDIT
 from panelkit.operators.tree import tree_type
-from panelkit.plans import panel_build as B
+from panelkit.plans import gap_fill as P, panel_build as B, panel_store as PS
+from panelkit.session import use_checkpoint_dir
 from panelkit.sources import inventory as V
 from workload import roles as R
 from workload.registry import query
@@ -44,6 +47,32 @@ def build_panel_keep_previous(spark, sf):
     return B.build_panel(old, new, dropped, replace=False).rows.select("json_file", "hierarchy_id", "last_actual_year", "value", "source_round", "update_origin")
 
 
+def bucketed(spark, panel, buckets=16):
+    """The panel laid out in buckets, in a folder of its own."""
+    folder = f"{use_checkpoint_dir(spark)}/panel-{uuid.uuid4().hex}"
+    PS.create(panel, folder, buckets)
+    return folder
+
+
+@query("panel_update_in_buckets", f"""WITH {MERGE} SELECT {M_COLS.format(v='value', o='new')} FROM nw UNION ALL SELECT {M_COLS.format(v="'old ' || value", o='previous')} FROM od WHERE json_file NOT IN (SELECT json_file FROM nw)""")
+def panel_update_in_buckets(spark, sf):
+    """The merge of `build_panel_merge` on a panel in buckets: laid out without its gap fill, then updated where the reports are."""
+    old, new, dropped = parts(spark, sf)
+    folder = bucketed(spark, B.build_panel(old, [new[0].limit(0)]).rows)
+    PS.update(spark, folder, new, dropped, stamp="u1")
+    return PS.read(spark, folder).select("json_file", "hierarchy_id", "last_actual_year", "value", "source_round", "update_origin")
+
+
+@query("panel_append_in_buckets", f"""WITH {R.LONG} SELECT json_file, hierarchy_id, value, source_round, gapfill_run FROM rws WHERE framework <> 'MAC_DSA'
+UNION ALL SELECT json_file, hierarchy_id, value, 'gapfill', 'r9' FROM rws WHERE framework = 'MAC_DSA'""")
+def panel_append_in_buckets(spark, sf):
+    """Lines of one framework appended as a gap-fill run, read with the panel they were appended to."""
+    rows = R.long_rows(spark, sf)
+    folder = bucketed(spark, L.to_panel(rows.filter("framework <> 'MAC_DSA'")))
+    PS.append(spark, folder, P.final_rows(rows.filter("framework = 'MAC_DSA'"), "r9"), "r9")
+    return PS.read(spark, folder).select("json_file", "hierarchy_id", "value", "source_round", "gapfill_run")
+
+
 @query("duplicate_reports", f"""WITH {MERGE.replace(" AND NOT (framework = 'SRDSF' AND source_round = 'round2')", '')} SELECT json_file FROM nw INTERSECT SELECT json_file FROM od""")
 def duplicate_reports(spark, sf):
     """Reports that are in the previous panel and among the new rows."""
