@@ -1,6 +1,9 @@
 """What is in the panel, where it came from, and why the rest is missing."""
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelkit.functions import items as I
@@ -9,6 +12,7 @@ from panelkit.functions.numbers import strict_number
 from panelkit.functions.text import Col, as_col, blank_to_null, lookup
 from panelkit.functions.years import effective_label, effective_year
 from panelkit.operators import pick
+from panelkit.operators.measures import set_counts
 from panelkit.operators.spread import number_rows, split_join
 
 # --- fixed values ----------------------------------------------------------------------------------
@@ -89,31 +93,94 @@ def value_sources(values: DataFrame) -> DataFrame:
     return best.select("hierarchy_id", "country_key", "year", F.coalesce(lookup(SOURCE_LABELS, F.col("s")), F.col("s")).alias("source"))
 
 
-def coverage_long(grid: DataFrame, report_years: DataFrame, table_years: DataFrame, sources: DataFrame) -> DataFrame:
-    """Grid + has_staff_report, has_dsa_table, one source column per hierarchy_id of `sources` in a map."""
-    flag = F.lit(True)
-    keys = ["country_key", "year"]
-    src = sources.groupBy(*keys).agg(F.map_from_entries(F.collect_set(F.struct("hierarchy_id", "source"))).alias("sources"))
-    return (grid.join(report_years.select(*keys).distinct().withColumn("__r", flag), keys, "left")
-            .join(table_years.select(*keys).distinct().withColumn("__t", flag), keys, "left")
-            .join(src, keys, "left")
-            .select(*grid.columns, yes_no("__r").alias("has_staff_report"), yes_no("__t").alias("has_dsa_table"), "sources"))
+@dataclass(frozen=True)
+class CoverageMap:
+    """One row per entity and year of a calendar: `flags` (bits IN_FILE, REPORT, TABLE) and the words `w0`, `w1`, ... that hold,
+    for every item, one bit per source that has a value, best source lowest, and one for all sources that are not listed."""
+    rows: DataFrame
+    items: tuple[str, ...]
+    sources: tuple[str, ...]
+
+    def field(self, item: str) -> Column:
+        """The source bits of an item; 0 without a value."""
+        width, per = _field_layout(self.sources)
+        at = self.items.index(item)
+        return F.shiftright(F.col(f"w{at // per}"), width * (at % per)).bitwiseAND(F.lit((1 << width) - 1))
 
+    def flag(self, bit: int) -> Column:
+        return F.col("flags").bitwiseAND(F.lit(bit)) != 0
 
-def coverage_wide(long: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
-    """Yes/No column per (column name, hierarchy_id); the list is explicit, so no pivot scan is needed."""
-    keep = [c for c in long.columns if c != "sources"]
-    return long.select(*keep, *[yes_no(F.try_element_at("sources", F.lit(h))).alias(c) for c, h in columns])
 
+IN_FILE, REPORT, TABLE = 1, 2, 4
 
-def sources_wide(long: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
-    """The source label instead of Yes/No; blank without a value."""
-    return long.select("country_key", "year", *[F.coalesce(F.try_element_at("sources", F.lit(h)), F.lit("")).alias(c)
-                                                for c, h in columns])
 
+def _field_layout(sources: tuple[str, ...]) -> tuple[int, int]:
+    """(bits of an item, items of a word)."""
+    width = len(sources) + 1
+    return width, 62 // width
 
-def yes_no(c: Col) -> Column:
-    return F.when(as_col(c).isNotNull(), "Yes").otherwise("No")
+
+def coverage_map(rows: DataFrame, first: int, last: int, report_years: DataFrame, items: list[str], table_year: Column | None = None,
+                 sources: list[str] = PRIORITY, key=entity_key) -> CoverageMap:
+    """Coverage of every entity of the file in every year, as bits.
+
+    Line items meet once, as bits of their report's label, before they leave their task; labels and names are read after that,
+    once per report; the calendar of an entity is one row of at most last - first + 1 entries, so that no grid is joined.
+    report_years: (country_key, year) with a report; table_year: the year that a row's report has a table for (null: none).
+    """
+    items, sources = tuple(dict.fromkeys(items)), tuple(sources)
+    width, per = _field_layout(sources)
+    words = [f"w{i}" for i in range(max(1, -(-len(items) // per)))]
+    place = F.array_position(F.array(*[F.lit(i) for i in items]).cast("array<string>"), F.col("hierarchy_id")).cast("int") - 1
+    has = (F.col("__at") >= 0) & strict_number("value").isNotNull()
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__at") % per * width + pick.priority_rank("source_round", list(sources)))
+    r = rows.filter("country is not null").select("country", effective_label(rows.columns).alias("__label"), "value", "source_round", place.alias("__at"),
+                                                  (F.lit(None) if table_year is None else table_year).cast("int").alias("__table"))
+    of_reports = r.withColumn("__bit", F.when(has, bit)).groupBy("country", "__label", "__table").agg(
+        *[F.bit_or(F.when(F.floor(F.col("__at") / per) == i, F.col("__bit"))).alias(w) for i, w in enumerate(words)])
+
+    def entry(year: Column, flags: int, *bits: Column) -> Column:
+        return F.struct(year.cast("int").alias("year"), F.lit(flags).alias("flags"), *[b.alias(w) for b, w in zip(bits, words, strict=True)])
+    none = [F.lit(None).cast("long")] * len(words)
+    seen = of_reports.select(key("country").alias("country_key"), F.inline(F.array(
+        entry(effective_year("__label"), IN_FILE, *map(F.col, words)), entry(F.when(F.col("__table").isNotNull(), F.col("__table")), IN_FILE | TABLE, *none))))
+    # a report without a table year has told of itself by its first entry
+    seen = seen.filter((F.col("flags") == IN_FILE) | F.col("year").isNotNull())
+    reported = report_years.select("country_key", F.inline(F.array(entry(F.col("year"), REPORT, *none))))
+    years = seen.unionByName(reported).groupBy("country_key", "year").agg(F.bit_or("flags").alias("flags"), *[F.bit_or(w).alias(w) for w in words])
+    cell = F.struct("flags", *words)
+    entities = years.groupBy("country_key").agg(F.bit_or("flags").alias("__all"), F.collect_list(F.when(
+        F.col("year").between(first, last), F.struct("year", cell.alias("cell")))).alias("__cells"))
+    grid = entities.filter(F.col("__all").bitwiseAND(F.lit(IN_FILE)) != 0).select(
+        "country_key", F.map_from_entries("__cells").alias("__map"), F.explode(F.sequence(F.lit(first), F.lit(last))).alias("year"))
+    got = F.try_element_at("__map", F.col("year"))
+    return CoverageMap(grid.select("country_key", "year", *[F.coalesce(got[c], F.lit(0)).alias(c) for c in ("flags", *words)]), items, sources)
+
+
+def coverage_wide(cover: CoverageMap, columns: list[tuple[str, str]]) -> DataFrame:
+    """Yes/No for a report, a table and every (column name, hierarchy_id)."""
+    def shown(c: Column) -> Column:
+        return F.when(c, "Yes").otherwise("No")
+    return cover.rows.select("country_key", "year", shown(cover.flag(REPORT)).alias("has_staff_report"), shown(cover.flag(TABLE)).alias("has_dsa_table"),
+                             *[shown(cover.field(h) != 0).alias(c) for c, h in columns])
+
+
+def sources_wide(cover: CoverageMap, columns: list[tuple[str, str]], labels: dict[str, str] = SOURCE_LABELS) -> DataFrame:
+    """The label of the best source instead of Yes/No; blank without a value, "Other" for a source that is not listed."""
+    names = [labels.get(s, s) for s in cover.sources] + ["Other"]
+
+    def best(f: Column) -> Column:
+        # the lowest bit set is the best source
+        return F.coalesce(*[F.when(f.bitwiseAND(F.lit(1 << i)) != 0, n) for i, n in enumerate(names)], F.lit(""))
+    return cover.rows.select("country_key", "year", *[best(cover.field(h)).alias(c) for c, h in columns])
+
+
+def item_totals(cover: CoverageMap, columns: list[tuple[str, str]]) -> DataFrame:
+    """(column, hierarchy_id, country_years_with_value, by source best first) of the listed items, from one aggregate."""
+    n = F.count_if
+    totals = [F.struct(F.lit(c).alias("column"), F.lit(h).alias("hierarchy_id"), n(cover.field(h) != 0).alias("country_years_with_value"),
+                       *[n(cover.field(h).bitwiseAND(F.lit((2 << i) - 1)) == 1 << i).alias(f"n_{s}") for i, s in enumerate(cover.sources)]) for c, h in columns]
+    return cover.rows.agg(F.array(*totals).alias("t")).select(F.inline("t"))
 
 
 def yes_by_year(wide: DataFrame, columns: list[str]) -> DataFrame:
@@ -247,20 +314,18 @@ def later_report_by_year(cells: DataFrame, report_years: DataFrame, k: int) -> D
 # ---- panel statistics and browsing ------------------------------------------------------------------------
 
 def panel_stats(rows: DataFrame, year: str = "year") -> DataFrame:
-    """(measure, item, n): rows, reports, entities, country-years, rows by source and by origin."""
+    """(measure, item, n): rows, reports, entities, country-years, rows by source and by origin; the panel is read once."""
     from panelkit.functions.names import report_entity
-    cy = rows.select("pdf_file_name", "country", F.coalesce(year, F.lit("")).alias("y")).distinct() \
-        .select(report_entity("pdf_file_name", "country").alias("c"), "y").distinct()
-
-    def count(df: DataFrame, measure: str) -> DataFrame:
-        return df.agg(F.count("*").alias("n")).select(F.lit(measure).alias("measure"), F.lit(None).cast("string").alias("item"), "n")
-
-    def by(col: str, measure: str) -> DataFrame:
-        return rows.groupBy(F.coalesce(col, F.lit("")).alias("item")).agg(F.count("*").alias("n")).select(F.lit(measure).alias("measure"), "item", "n")
-    out = (count(rows, "rows").unionByName(count(rows.select("json_file").filter("json_file is not null").distinct(), "reports"))
-           .unionByName(count(cy.select("c").filter("c is not null").distinct(), "countries")).unionByName(count(cy, "country_years"))
-           .unionByName(by("source_round", "source")))
-    return out.unionByName(by("update_origin", "origin")) if "update_origin" in rows.columns else out
+    origin = ["update_origin"] if "update_origin" in rows.columns else []
+    r = rows.select("json_file", report_entity("pdf_file_name", "country").alias("entity"), F.coalesce(year, F.lit("")).alias("year"),
+                    *[F.coalesce(c, F.lit("")).alias(c) for c in ("source_round", *origin)])
+    n, one = F.col("n"), F.lit(1)
+    sets = {(): [("rows", None, n)], ("json_file",): [("reports", None, F.when(F.col("json_file").isNotNull(), one))],
+            ("entity",): [("countries", None, F.when(F.col("entity").isNotNull(), one))], ("entity", "year"): [("country_years", None, one)],
+            ("source_round",): [("source", F.col("source_round"), n)]}
+    if origin:
+        sets["update_origin",] = [("origin", F.col("update_origin"), n)]
+    return set_counts(r, sets)
 
 
 def source_by_year(rows: DataFrame, year: str = "year", ties: list[Column] = ()) -> DataFrame:
@@ -328,14 +393,22 @@ def browse_coverage(wide: DataFrame, country: str | None = None, year: int | Non
     return out.filter(F.col("country_key").contains(country.strip().lower())) if country else out
 
 
-def overview(parts: dict[str, DataFrame]) -> DataFrame:
-    """(source, rows, reports) of the rows that are ready, one row per part."""
-    frames = []
-    for name, df in parts.items():
-        per = df.groupBy("json_file").agg(F.count("*").alias("n"))
-        frames.append(per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("json_file").alias("reports"))
-                      .select(F.lit(name).alias("source"), "rows", "reports"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def overview(parts: dict[str, DataFrame], review: DataFrame | None = None, review_source: str = "round3") -> DataFrame:
+    """(source, rows, reports, reviewed, total) of the rows that are ready, one row per part.
+
+    With `review` (the queue of reports a person looks at, by status) its part says how many are done of how many; rows and
+    reports of a part that has none are 0.
+    """
+    tagged = [df.select(F.lit(name).alias("source"), "json_file", F.lit(None).cast("string").alias("status"), F.lit(True).alias("ready")) for name, df in parts.items()]
+    if review is not None:
+        tagged.append(review.select(F.lit(review_source).alias("source"), F.lit(None).cast("string").alias("json_file"), F.col("status"), F.lit(False).alias("ready")))
+    rows = reduce(DataFrame.unionByName, tagged)
+    # one row per report first: the lines of a report meet in their tasks
+    per = rows.groupBy("source", "json_file").agg(F.count_if("ready").alias("rows"), F.count_if(~F.col("ready")).alias("total"),
+                                                  F.count_if(~F.col("ready") & (F.col("status") != "todo")).alias("reviewed"))
+    names = rows.sparkSession.createDataFrame([(n, None, 0, 0, 0) for n in dict.fromkeys([*parts, *([review_source] if review is not None else [])])], per.schema)
+    waits = F.col("source") == review_source if review is not None else F.lit(False)
+    return per.unionByName(names).groupBy("source").agg(
+        F.sum("rows").alias("rows"), F.count_if((F.col("rows") > 0) & F.col("json_file").isNotNull()).alias("reports"),
+        F.sum("reviewed").alias("reviewed"), F.sum("total").alias("total")) \
+        .withColumns({c: F.when(waits, F.col(c)) for c in ("reviewed", "total")})

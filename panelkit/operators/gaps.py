@@ -15,6 +15,7 @@ from panelkit.functions.numbers import comma_number
 from panelkit.functions.text import Col, as_col, found
 from panelkit.functions.years import effective_label, parse_year_label
 from panelkit.operators import pick
+from panelkit.operators.measures import Measure, set_counts
 from panelkit.operators.spread import number_rows, running_totals, split_join
 from panelkit.operators.waterfall import OFFSETS, candidate_reports
 from panelkit.session import materialise
@@ -364,29 +365,22 @@ def drop_identified(gaps: DataFrame, prior: DataFrame, entity: str = "country",
 
 
 def gap_statistics(reports: DataFrame, kept: DataFrame, gaps: DataFrame) -> DataFrame:
-    """(measure, item, n): the counts that describe a gap run, as one long table."""
-    def one(df: DataFrame, measure: str, col: Column, item: Column | None = None) -> DataFrame:
-        if item is not None:
-            return df.groupBy(item.cast("string").alias("item")).agg(col.alias("n")).select(F.lit(measure).alias("measure"), "item", "n")
-        return df.agg(col.alias("n")).select(F.lit(measure).alias("measure"), F.lit(None).cast("string").alias("item"), "n")
-    spans = gaps.groupBy("country", "span_start").agg(F.first("span_length").alias("span_length"),
-                                                      F.first("primary_cause").alias("primary_cause"))
-    count = F.count("*")
-    parts = [
-        one(reports, "n_reports", count), one(reports, "status", count, F.col("report_status")),
-        one(kept, "n_observed_country_years", count), one(kept, "n_dup_country_years", F.count_if(F.col("n_reports") > 1)),
-        one(kept, "n_dup_values_disagree", F.count_if(F.coalesce(F.col("values_agree") == "No", F.lit(False)))),
-        one(kept, "n_uncertain_obs", F.count_if(F.col("year_uncertain"))),
-        one(reports, "n_year_after_report_year", F.count_if(F.col("year_after_report_year"))),
-        one(gaps, "n_gap_years", count), one(spans, "n_gap_spans", count),
-        one(gaps.select("country").distinct(), "n_countries_with_gap", count),
-        one(spans, "span_length", count, F.col("span_length")), one(spans, "cause_by_span", count, F.col("primary_cause"))]
+    """(measure, item, n): the counts that describe a gap run, as one long table; each input is read once."""
+    one, n = F.lit(1), F.col("n")
+
+    def total(name: str) -> Measure:
+        return name, None, F.col(name)
+    of_reports = set_counts(reports, {(): [("n_reports", None, n), total("n_year_after_report_year")], ("report_status",): [("status", F.col("report_status"), n)]},
+                            {"n_year_after_report_year": F.count_if("year_after_report_year")})
+    of_kept = set_counts(kept, {(): [("n_observed_country_years", None, n), *map(total, ("n_dup_country_years", "n_dup_values_disagree", "n_uncertain_obs"))]}, {
+        "n_dup_country_years": F.count_if(F.col("n_reports") > 1), "n_dup_values_disagree": F.count_if(F.col("values_agree") == "No"),
+        "n_uncertain_obs": F.count_if("year_uncertain")})
+    spans = [("n_gap_spans", None, one), ("span_length", F.col("length"), one), ("cause_by_span", F.col("cause"), one)]
+    sets = {(): [("n_gap_years", None, n)], ("country", "span_start"): spans, ("country",): [("n_countries_with_gap", None, one)]}
     if "fill_status" in gaps.columns:
-        parts.append(one(gaps, "fill_status", count, F.col("fill_status")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        sets["fill_status",] = [("fill_status", F.col("fill_status"), n)]
+    of_gaps = set_counts(gaps, sets, {"length": F.first("span_length"), "cause": F.first("primary_cause")})
+    return of_reports.unionByName(of_kept).unionByName(of_gaps)
 
 
 # ---- streaks -----------------------------------------------------------------------------------------

@@ -80,12 +80,10 @@ GRID = f"grd AS (SELECT DISTINCT lower(country) AS country_key, CAST(y AS INT) A
 DB = f"""{VALS}, {GRID}, ry AS (SELECT DISTINCT lower(country) AS country_key, pub_year AS year FROM rpt), ty AS (SELECT DISTINCT lower(country) AS country_key, pub_year AS year FROM rws WHERE source_round <> 'gapfill')"""
 
 
-def coverage(spark, sf):
+def coverage(spark, sf, items=IDS):
     rows = R.long_rows(spark, sf)
-    reports = R.reports(spark, sf).select(F.lower("country").alias("country_key"), F.col("pub_year").alias("year"), "source_round")
-    tables = rows.filter("source_round <> 'gapfill'").select(F.lower("country").alias("country_key"), F.col("pub_year").alias("year")).distinct()
-    return C.coverage_long(C.year_grid(C.universe(rows), *YEARS), reports, tables, C.value_sources(C.load_values(rows)))
-
+    reports = R.reports(spark, sf).select(F.lower("country").alias("country_key"), F.col("pub_year").alias("year"))
+    return C.coverage_map(rows, *YEARS, reports, items, F.when(F.col("source_round") != "gapfill", F.col("pub_year")))
 
 
 COLUMNS = [("h" + h.replace(".", "_"), h) for h in IDS]
@@ -99,25 +97,33 @@ def coverage_db(spark, sf):
     return C.coverage_wide(coverage(spark, sf), COLUMNS)
 
 
+@query("coverage_item_totals", f"""WITH {VALS}, {BEST}, b AS (SELECT * FROM best WHERE ey BETWEEN {YEARS[0]} AND {YEARS[1]}), i(h) AS (VALUES {", ".join(f"('{h}')" for h in IDS)})
+SELECT 'h' || replace(h, '.', '_') AS "column", h AS hierarchy_id, count(hierarchy_id) AS country_years_with_value, {", ".join(f"count(*) FILTER (WHERE source_round = '{r}') AS n_{r}" for r in C.PRIORITY)}
+FROM i LEFT JOIN b ON hierarchy_id = h GROUP BY h""")
+def coverage_item_totals(spark, sf):
+    """Country-years with a value of every item, and from which source."""
+    return C.item_totals(coverage(spark, sf), COLUMNS)
+
+
 WIDE_SQL = f"""p AS (SELECT country_key, ey, bool_or(hierarchy_id = '5') AS h5 FROM val GROUP BY 1, 2), cov AS (SELECT grd.*, CASE WHEN ry.year IS NULL THEN 'No' ELSE 'Yes' END AS rep, CASE WHEN h5 THEN 'Yes' ELSE 'No' END AS h5
   FROM grd LEFT JOIN ry USING (country_key, year) LEFT JOIN p ON p.country_key = grd.country_key AND p.ey = grd.year)"""
 
 
 @query("coverage_by_year_counts", f"""WITH {DB}, {WIDE_SQL} SELECT year, count(*) AS n_entities, count(*) FILTER (WHERE rep = 'Yes') AS n_has_staff_report, count(*) FILTER (WHERE h5 = 'Yes') AS n_h5 FROM cov GROUP BY 1""")
 def coverage_by_year_counts(spark, sf):
-    return C.yes_by_year(C.coverage_wide(coverage(spark, sf), [("h5", "5")]), ["has_staff_report", "h5"])
+    return C.yes_by_year(C.coverage_wide(coverage(spark, sf, ["5"]), [("h5", "5")]), ["has_staff_report", "h5"])
 
 
 @query("coverage_strings", f"""WITH {DB}, {BEST}, p AS (SELECT country_key, ey, CASE source_round WHEN 'round1' THEN '1' WHEN 'round2' THEN '2' WHEN 'round3' THEN '3' ELSE 'g' END AS c FROM best WHERE hierarchy_id = '5')
 SELECT grd.country_key, string_agg(coalesce(c, '0'), '' ORDER BY year) AS h5 FROM grd LEFT JOIN p ON p.country_key = grd.country_key AND p.ey = grd.year GROUP BY 1""")
 def coverage_strings(spark, sf):
     """A character per year: which source a line item's value came from."""
-    return C.compact_strings(C.sources_wide(coverage(spark, sf), [("h5", "5")]), ["h5"], C.SOURCE_CODES)
+    return C.compact_strings(C.sources_wide(coverage(spark, sf, ["5"]), [("h5", "5")]), ["h5"], C.SOURCE_CODES)
 
 
 @query("browse_coverage", f"WITH {DB}, {WIDE_SQL} SELECT country_key, year, rep AS has_staff_report, h5 FROM cov WHERE contains(country_key, '7') AND year = 1997 AND country_key IN (SELECT country_key FROM cov WHERE rep = 'Yes')")
 def browse_coverage(spark, sf):
-    return C.browse_coverage(C.coverage_wide(coverage(spark, sf), [("h5", "5")]), " 7", 1997, True).select("country_key", "year", "has_staff_report", "h5")
+    return C.browse_coverage(C.coverage_wide(coverage(spark, sf, ["5"]), [("h5", "5")]), " 7", 1997, True).select("country_key", "year", "has_staff_report", "h5")
 
 
 @query("reports_per_year", f"WITH {R.REPORTS} SELECT pub_year AS year, count(*) AS n_reports, count(DISTINCT country) AS n_entities FROM rpt GROUP BY 1")

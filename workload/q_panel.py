@@ -83,7 +83,18 @@ def duplicate_reports(spark, sf):
 @query("ready_overview", f"""WITH {R.LONG} SELECT source_round AS source, count(*) AS rows, count(DISTINCT json_file) AS reports FROM rws WHERE source_round IN ('round1', 'round2', 'round3') GROUP BY 1""")
 def ready_overview(spark, sf):
     rows = R.long_rows(spark, sf)
-    return C.overview({s: rows.filter(F.col("source_round") == s) for s in ("round1", "round2", "round3")})
+    return C.overview({s: rows.filter(F.col("source_round") == s) for s in ("round1", "round2", "round3")}).select("source", "rows", "reports")
+
+
+@query("ready_overview_with_review", f"""WITH {R.LONG}, st AS (SELECT count(*) AS total, count(*) FILTER (WHERE k % 6 IN (0, 1, 2, 3, 4)) AS reviewed FROM rpt WHERE source_round = 'round3'),
+r(source) AS (VALUES ('round1'), ('round2'), ('round3'), ('round4'))
+SELECT source, count(json_file) AS rows, count(DISTINCT json_file) AS reports, CASE WHEN source = 'round3' THEN any_value(st.reviewed) END AS reviewed, CASE WHEN source = 'round3' THEN any_value(st.total) END AS total
+FROM r LEFT JOIN rws ON source_round = source, st GROUP BY source""")
+def ready_overview_with_review(spark, sf):
+    """Rows and reports that are ready per source, also of one that has none, and how far the review is."""
+    rows = R.long_rows(spark, sf)
+    queue = R.reports(spark, sf).filter("source_round = 'round3'").select(F.coalesce(review_state(), F.lit("todo")).alias("status"))
+    return C.overview({s: rows.filter(F.col("source_round") == s) for s in ("round1", "round2", "round3", "round4")}, queue)
 
 
 RAW = """raw AS (SELECT l_orderkey AS k, 'r' || l_orderkey AS json_file, CASE WHEN l_orderkey % 31 = 0 THEN NULL WHEN l_orderkey % 29 = 0 THEN '7.' || l_linenumber WHEN l_suppkey % 3 = 0 THEN l_linenumber || '.' || (l_suppkey % 4 + 1)
