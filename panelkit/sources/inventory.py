@@ -7,6 +7,7 @@ from panelkit.functions.files import base_name, report_file, selected_name
 from panelkit.functions.names import entity_key
 from panelkit.functions.text import found
 from panelkit.operators import pick
+from panelkit.operators.spread import number_rows
 
 
 def list_files(spark: SparkSession, folder: str | list[str], pattern: str = "*", recursive: bool = True) -> DataFrame:
@@ -69,18 +70,13 @@ def index_selected(files: DataFrame, root: str, folders: DataFrame) -> tuple[Dat
     """(indexed, ignored) files of the chosen folders: stem, method and folder rank; names without a stem apart."""
     rel = below(root)
     f = files.withColumn("dir", F.regexp_replace(rel, r"/[^/]*$", "")).filter(F.lower("name").endswith(".pdf"))
-    # one folder per batch: as many rows as there are batches
-    ranked = folders.select("dir", (F.rank().over(_by("batch")) - 1).alias("dir_rank"))
+    # one folder per batch
+    ranked = number_rows(folders.select("batch", "dir"), ["batch", "dir"]).select("dir", (F.col("position") - 1).alias("dir_rank"))
     f = f.join(ranked, "dir").withColumn("s", selected_name("name"))
     return (f.filter("s is not null").select("s.stem", "s.method", "s.method_rank", "dir", "dir_rank", "name", "size"),
             f.filter("s is null").select("dir", "name"))
 
 
-def _by(col: str):
-    from pyspark.sql import Window
-    return Window.orderBy(col)
-
-
 def batch_counts(files: DataFrame, root: str) -> DataFrame:
     """Files per batch folder; files directly under the root count as outside any batch (NULL)."""
     rel = below(root)

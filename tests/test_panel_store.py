@@ -112,3 +112,39 @@ def test_a_run_is_written_whole_or_not_at_all(spark, tmp_path):
     for path in SK.uncommitted(spark, folder, ["a", "b"]):
         SK.remove(spark, path)
     assert SK.uncommitted(spark, folder, ["a", "b"]) == [] and SK.read_committed(spark, folder, "a", "s1").count() == 3
+
+
+def test_lists_records_and_exports_are_read_back(spark, tmp_path):
+    from panelkit.sources import readers as RD
+    lists = spark.createDataFrame([("category_a_disagreement", "a_dsa.json", 'x "q", y'), ("category_a_disagreement", "b_dsa.json", None), ("category_b_no_table_in_all_runs", "c_dsa.json", "z")],
+                                  "category string, json_file string, country string")
+    SK.write_report_lists(lists, str(tmp_path / "lists"))
+    assert sorted(map(tuple, spark.read.json(str(tmp_path / "lists")).select("category", "json_file", "country").collect())) == sorted(map(tuple, lists.collect()))
+    texts = spark.read.text(str(tmp_path / "lists"))
+    assert {r["stem"] for r in RD.report_list(texts, "value").collect()} <= {"a", "b", "c"}
+    with pytest.raises(Exception):
+        SK.write_report_lists(lists, str(tmp_path / "lists"))
+    rows = [("a", 'two\nlines, "q"', "1.50"), ("b", None, ""), ("c", "\\", " x ")]
+    SK.write_csv(spark.createDataFrame(rows, "json_file string, label string, value string"), str(tmp_path / "csv"))
+    back = spark.read.csv(str(tmp_path / "csv"), header=True, multiLine=True, escape='"', quote='"').orderBy("json_file").collect()
+    assert [(r["json_file"], r["label"]) for r in back] == [(a, b) for a, b, _ in rows] and back[0]["value"] == "1.50"
+    record = SK.run_record("s1", spark.range(3).agg(F.count("*").alias("n_rows")), round="1").collect()
+    assert len(record) == 1 and (record[0]["stamp"], record[0]["round"], record[0]["n_rows"]) == ("s1", "1", 3)
+
+
+def test_folders_are_ranked_in_batch_order(spark):
+    from panelkit.sources import inventory as V
+    files = spark.createDataFrame([(f"/o/{b}/d/{n}", n, 1) for b in ("b2", "b10", "b1") for n in ("notes.txt", "odd.pdf")], "path string, name string, size bigint")
+    folders = spark.createDataFrame([(b, f"{b}/d") for b in ("b2", "b10", "b1")], "batch string, dir string")
+    indexed, ignored = V.index_selected(files, "/o", folders)
+    found = indexed.select("dir", "name").unionByName(ignored.select("dir", "name")).collect()
+    assert sorted((r["dir"], r["name"]) for r in found) == [(f"{b}/d", "odd.pdf") for b in ("b1", "b10", "b2")]
+
+
+def test_report_inventory_and_list_sizes(spark):
+    from panelkit.sources import inventory as V, readers as RD
+    files = spark.createDataFrame([("/b2/Chad_2016-01-02_CR1.pdf", "Chad_2016-01-02_CR1.pdf"), ("/b1/x/Chad_2016-01-02_CR1.pdf", "Chad_2016-01-02_CR1.pdf"), ("/b1/notes.pdf", "notes.pdf")], "path string, name string")
+    got = V.report_inventory(files).collect()
+    assert [(r["pdf_file_name"], r["path"], r["country"], r["pub_year"]) for r in got] == [("Chad_2016-01-02_CR1.pdf", "/b1/x/Chad_2016-01-02_CR1.pdf", "Chad", 2016)]
+    lists = spark.createDataFrame([("a", ["x", "y"]), ("a", []), ("b", ["z"])], "category string, reports array<string>")
+    assert {r["category"]: r["n_reports"] for r in RD.list_sizes(lists).collect()} == {"a": 2, "b": 1}
