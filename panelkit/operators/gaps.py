@@ -22,6 +22,9 @@ from panelkit.session import materialise
 
 MULTI_ENTITY = "Multi-Country Report"
 MAX_LAG = 4
+#: What a report's lines say of the report.
+REPORT_FACTS = ["pdf_file_name", "table_found", "manual_review_required", "actual_column_validation_status", "source_round",
+                "confidence", "framework", "column_header_audit_json"]
 
 AUDIT_COLUMNS = T.ArrayType(T.StructType([
     T.StructField("position", T.StringType()), T.StructField("year_label", T.StringType()),
@@ -64,18 +67,22 @@ def report_table(rows: DataFrame, order: str, with_values: bool = False) -> Data
     def text(c: str, default: str | None = None) -> Column:
         return F.col(c) if c in have else F.lit(default).cast("string")
 
-    base = rows.withColumn("year_label", effective_label(rows.columns, year_first=False))
     keys = ["json_file", "year_label"]
-    if with_values:
-        base = base.withColumn("__v", F.when(_is_top(), comma_number("value")))
     tops = {c: F.col("top_category") == c for c in CATEGORIES} if with_values else {}
-    facts = base.groupBy(*keys).agg(F.min_by(F.struct(
+    base = rows.withColumn("__v", F.when(_is_top(), comma_number("value"))) if with_values else rows
+    # the lines of a report agree in its facts, so they meet by them first, in hash tables of numbers alone: labels are read
+    # and whole facts are sorted once per report, not once per line
+    told = [c for c in dict.fromkeys(["json_file", "last_actual_year", "year", *REPORT_FACTS]) if c in have]
+    place = {c: F.when(mine & F.col("__v").isNotNull(), F.col(order)) for c, mine in tops.items()}
+    once = base.groupBy(*told).agg(F.min(order).alias("__at"), *[F.min_by("__v", p).alias(c) for c, p in place.items()],
+                                   *[F.min(p).alias(f"__at_{c}") for c, p in place.items()])
+    facts = once.withColumn("year_label", effective_label(rows.columns, year_first=False)).groupBy(*keys).agg(F.min_by(F.struct(
         F.col("pdf_file_name"), text("table_found", "TRUE").alias("table_found"),
         text("manual_review_required", "").alias("manual_review_required"),
         text("actual_column_validation_status", "").alias("actual_column_validation_status"),
         text("source_round").alias("source_round"), text("confidence").alias("confidence"),
-        text("framework").alias("framework"), text("column_header_audit_json").alias("column_header_audit_json")), order).alias("f"),
-        *[F.min_by("__v", F.when(mine & F.col("__v").isNotNull(), F.col(order))).alias(c) for c, mine in tops.items()])
+        text("framework").alias("framework"), text("column_header_audit_json").alias("column_header_audit_json")), "__at").alias("f"),
+        *[F.min_by(c, f"__at_{c}").alias(c) for c in tops])
     r = facts.select(*keys, "f.*", *tops).withColumn("file", report_file("pdf_file_name")).withColumn("y", parse_year_label("year_label"))
     return r.select(
         *keys, "pdf_file_name", normalize_entity(found("pdf_file_name", r"^(.*?)_(\d{4}-\d{2}-\d{2})", 1)).alias("country"),

@@ -183,7 +183,7 @@ prv AS (SELECT gy.country, CAST(gy.gap_year AS INT) AS gap_year, CASE WHEN na >
 def gap_preview(spark, sf):
     """What the audited columns of the reports published 2 to 4 years later promise for every gap year."""
     _, rep = report_table(spark, sf, audit=True, reuse=True)
-    kept = G.kept_observations(rep)
+    kept = materialise(G.kept_observations(rep).select("country", "year"))
     uni = rep.select("country").unionByName(universe(spark, sf)).distinct()
     gaps = G.gap_years(G.gap_spans(kept, "country", "year", RANGE, uni))
     return G.fill_preview(materialise(gaps), rep).withColumn("gap_year", F.col("gap_year").cast("int"))
@@ -193,7 +193,7 @@ def gap_preview(spark, sf):
 SELECT country, obs_year AS year, 'observed' AS status, pdf_file_name AS source_report, c AS n_reports_for_year, year_uncertain, {", ".join(CATEGORIES)} FROM kept JOIN n USING (country, obs_year)
 UNION ALL SELECT country, CAST(unnest(generate_series(span_start, span_end)) AS INT), 'GAP', NULL, 0, NULL, {", ".join("NULL" for _ in CATEGORIES)} FROM spans""")
 def panel_skeleton(spark, sf):
-    kept = kept_years(spark, sf)
+    kept = materialise(kept_years(spark, sf))
     gaps = G.gap_years(G.gap_spans(kept, "country", "year")).withColumn("gap_year", F.col("gap_year").cast("int"))
     return G.panel_skeleton(kept, gaps).select("country", "year", "status", "source_report", "n_reports_for_year", "year_uncertain", *CATEGORIES)
 
@@ -205,7 +205,7 @@ SELECT every.country, CAST(years.y AS VARCHAR) AS year, coalesce(c.code, '') AS
 def coverage_matrix(spark, sf):
     """The whole grid, a row for each cell (the years that are columns follow from the data)."""
     _, rep = report_table(spark, sf, reuse=True)
-    kept = kept_years(spark, sf)
+    kept = materialise(G.kept_observations(rep))
     panel = G.panel_skeleton(kept, G.gap_years(G.gap_spans(kept, "country", "year")))
     grid = G.coverage_matrix(panel, rep.select("country").unionByName(universe(spark, sf)))
     return grid.unpivot("country", grid.columns[1:], "year", "code")
