@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from panelkit.session import materialise
+
 CELLS_PER_E = 64      # cells per factor e; each cell spans about 1.6 % of a value
 NARROWER = 1 << 16    # narrow cells per cell
 
@@ -44,7 +46,8 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, f
     keys = [F.struct(F.col(c)).alias(c) for c in by] or [F.struct(F.lit(0)).alias("__all")]      # a struct joins NULL groups too
     key = by or ["__all"]
     base = df.select(*keys, (v + F.lit(0.0)).alias("__v")).filter("__v is not null and not isnan(__v)")
-    counted = base.groupBy(*key, "__v").agg(F.count("*").alias("__n")).withColumn("__cell", value_cell(F.col("__v")))
+    # written once: three steps read the counts, whatever they were computed from
+    counted = materialise(base.groupBy(*key, "__v").agg(F.count("*").alias("__n")).withColumn("__cell", value_cell(F.col("__v"))))
 
     cells = counted.groupBy(*key, "__cell").agg(F.sum("__n").alias("__c")).withColumn("__total", F.sum("__c").over(Window.partitionBy(*key)))
     # the two neighbouring order statistics of every quantile, each in exactly one cell
