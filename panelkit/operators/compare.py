@@ -17,6 +17,7 @@ from panelkit.functions.text import percent_text, strip
 from panelkit.functions.years import year_for_comparison
 from panelkit.operators.pick import majority_of
 from panelkit.operators.spread import split_join
+from panelkit.session import materialise
 
 # --- fixed values: the groups of reports and the categories of the re-check list --------------------
 GROUPS = ["fully_match", "partial_match", "table_found_differs", "last_actual_year_differs",
@@ -50,9 +51,11 @@ def _all(conditions: list[Column]) -> Column:
 
 def align_reports(rows: DataFrame, n: int, run: str, order: str) -> DataFrame:
     """One row per report: its facts in every run (first row of the run) and the report-level group."""
-    fact = F.struct("pdf_file_name", "country", "table_found", "last_actual_year")
-    facts = rows.groupBy("json_file").agg(*[
-        F.min_by(fact, F.when(F.col(run) == r, F.col(order))).alias(f"f{r}") for r in range(1, n + 1)])
+    told = ["pdf_file_name", "country", "table_found", "last_actual_year"]
+    fact = F.struct(*told)
+    # the lines of a report agree in its facts, mostly in all runs, so they meet by them first, in hash tables of numbers alone
+    once = rows.groupBy("json_file", *told).agg(*[F.min(F.when(F.col(run) == r, F.col(order))).alias(f"__at{r}") for r in range(1, n + 1)])
+    facts = once.groupBy("json_file").agg(*[F.min_by(fact, f"__at{r}").alias(f"f{r}") for r in range(1, n + 1)])
     # normalised once per report and run, after the rows were reduced
     facts = facts.withColumns({f"f{r}": F.when(F.col(f"f{r}").isNotNull(), F.struct(
         F.col(f"f{r}.pdf_file_name").alias("pdf"), F.col(f"f{r}.country").alias("country"), tri_state(f"f{r}.table_found").alias("found"),
@@ -83,8 +86,9 @@ def align_items(rows: DataFrame, n: int, run: str, order: str) -> DataFrame:
     return items.withColumn("row_type", F.when(~present, "missing_row").when(~one_top, "category").when(~one_value, "value"))
 
 
-def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str = "row_no") -> RunComparison:
-    """Compare `n_runs` (>= 2) stacked runs; `order` is the row's place in its run."""
+def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str = "row_no", reuse: bool = False) -> RunComparison:
+    """Compare `n_runs` (>= 2) stacked runs; `order` is the row's place in its run. reuse: facts and lined-up items are written
+    once, for callers that write several of the tables."""
     if n_runs < 2:
         raise ValueError("at least two runs are needed")
     cols = ["json_file", "pdf_file_name", "country", "table_found", "last_actual_year", "top_category",
@@ -92,6 +96,8 @@ def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str =
     rows = rows.select(*cols)
     facts = align_reports(rows, n_runs, run, order)
     items = align_items(rows, n_runs, run, order)
+    if reuse:
+        facts, items = materialise(facts), materialise(items)
     aligned = split_join(items, facts, ["json_file"]).filter(
         ~F.col("report_group").eqNullSafe(F.lit("no_table_in_all_runs")))
     is_match = F.col("row_type").isNull() & F.col("report_group").isNull()
@@ -183,14 +189,14 @@ def diff_type_counts(diffs: DataFrame) -> DataFrame:
     return by.withColumn("total", total).select("diff_type", "n_rows", percent_text("n_rows", "total").alias("share"))
 
 
-def headline(summary: DataFrame, n_matched: Column, n_diff: Column) -> DataFrame:
+def headline(summary: DataFrame) -> DataFrame:
     """One row of totals: reports by outcome, data points matched and differing."""
     c = {g: F.count_if(F.col("group") == g) for g in GROUPS}
     disagree = F.count("*") - c["fully_match"] - c["no_table_in_all_runs"] - c["extraction_failed_in_all_runs"]
     return summary.agg(
         F.count("*").alias("reports"), c["fully_match"].alias("fully_match"), disagree.alias("disagreement"),
-        c["no_table_in_all_runs"].alias("no_table"), c["extraction_failed_in_all_runs"].alias("failed")) \
-        .withColumn("points_matched", n_matched).withColumn("points_differing", n_diff) \
+        c["no_table_in_all_runs"].alias("no_table"), c["extraction_failed_in_all_runs"].alias("failed"),
+        *[F.coalesce(F.sum(f"rows_{n}"), F.lit(0)).alias(f"points_{name}") for n, name in (("matching", "matched"), ("differing", "differing"))]) \
         .withColumn("points", F.col("points_matched") + F.col("points_differing"))
 
 
