@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from panelkit.operators import compare as C, gaps as G
 from panelkit.operators.quantiles import exact_quantiles
 from panelkit.plans import round_check as R
+from panelkit.session import INITIAL_PARTITIONS, tune
 from test_compare import COLUMNS, run_rows
 
 LINES = "json_file string, pdf_file_name string, last_actual_year string, top_category string, level string, value string, row_no long"
@@ -58,3 +59,16 @@ def test_quantiles_compute_their_input_once(spark):
     q = exact_quantiles(df, [], "v", {"m": 0.5, "top": 1.0})
     assert "Range (" not in plan(q)
     assert tuple(q.first()) == (49.0, 99.0)
+
+
+def test_shuffles_of_panel_queries_start_fine(spark):
+    few = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        fine = tune(spark, fine=True)
+        df = fine.range(100000).groupBy((F.col("id") % 1000).alias("k")).count()
+        assert df.count() == 1000
+        assert int(fine.conf.get(INITIAL_PARTITIONS)) > 100 > int(few)
+        assert f", {fine.conf.get(INITIAL_PARTITIONS)})" in plan(df)
+    finally:
+        tune(spark)
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
