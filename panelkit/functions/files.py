@@ -16,6 +16,11 @@ def base_name(path: Col) -> Column:
     return F.regexp_extract(as_col(path), r"([^/\\]*)$", 1)
 
 
+def report_date(name: Col) -> Column:
+    """The date alone of `<entity>_<yyyy-mm-dd>...`."""
+    return F.try_to_date(found(name, DATED, 2), "yyyy-MM-dd")
+
+
 def report_file(name: Col) -> Column:
     """struct(entity, date, year) of `<entity>_<yyyy-mm-dd>...`; NULL when the name has no date."""
     # a name may hold eight digits that are no calendar day; such a date is NULL, not an error

@@ -57,10 +57,13 @@ REGIONAL = (r"(?i)cluster|multi-country|central and eastern europe|euro area|"
 UNIONS = ["Euro Area", "Central African Economic and Monetary Community",
           "Eastern Caribbean Currency Union", "West African Economic and Monetary Union"]
 # ---------------------------------------------------------------------------------------------------
+# names that no rule but the table concerns: words of letters and digits, none of the titles below in front
+PLAIN = r"^(?!(?i:the|republic|kingdom|people) )[A-Za-z0-9]+(?: [A-Za-z0-9]+)*\z"
 
 
 def normalize_entity(c: Col, aliases: dict[str, str] | None = None) -> Column:
     table = ALIASES if aliases is None else aliases
+    c = as_col(c)
     s = F.translate(strip(c), "’İ̇", "'I")
     s = F.regexp_replace(s, r"\bSt\.(?=\S)", "St. ")
     s = F.regexp_replace(F.regexp_replace(s, "[–—]+", "-"), r"\s*-\s*", "-")
@@ -78,7 +81,8 @@ def normalize_entity(c: Col, aliases: dict[str, str] | None = None) -> Column:
                   .when(p == "aruba", "Aruba").otherwise("Curaçao and Sint Maarten")))
             .otherwise(F.coalesce(lookup(table, low), F.when(low.startswith("republic of "), let(
                 F.trim(F.substring(n["s"], 13, 2147483647)), lambda r: F.when(r != "", F.coalesce(lookup(table, F.lower(r)), r)))), n["s"])))
-    return let(s, lambda t: let(F.struct(t.alias("s"), F.lower(t).alias("low")), named))
+    return F.when(c.rlike(PLAIN), F.coalesce(lookup(table, F.lower(c)), c)).otherwise(
+        let(s, lambda t: let(F.struct(t.alias("s"), F.lower(t).alias("low")), named)))
 
 
 def entity_key(c: Col) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, functions as F
 
 Col = str | Column
 SPACES = r"(?U)\s+"
+# visible characters at both ends: nothing to trim
+TRIMMED = r"^[!-~](?:[ -~]*[!-~])?\z"
 
 
 def as_col(c: Col) -> Column:
@@ -34,7 +36,8 @@ def squeeze(c: Col) -> Column:
 
 
 def blank_to_null(c: Col) -> Column:
-    return F.nullif(strip(c), F.lit(""))
+    s = as_col(c).cast("string")
+    return F.when(s.rlike(TRIMMED), s).otherwise(F.nullif(strip(s), F.lit("")))
 
 
 def missing_to_null(c: Col) -> Column:

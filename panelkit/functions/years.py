@@ -7,6 +7,9 @@ from panelkit.functions.text import Col, as_col, blank_to_null, found, let, sque
 
 TWO_PART = r"(?i)^(?:FY\s?)?(\d{4})\s*[/-]\s*(\d{2}|\d{4})$"
 ONE_PART = r"(?i)^(?:FY\s?)?(\d{4})$"
+# labels as most are written: read without binding a value, so inside generated code
+PLAIN = r"^(?:FY)?\d{4}\z"
+PLAIN_TWO = r"^\d{4}[/-](?:\d{2}|\d{4})\z"
 
 
 def _label_parts(t: Column) -> Column:
@@ -21,6 +24,12 @@ def _label_parts(t: Column) -> Column:
         F.when(p["a"].isNull(), found(t, ONE_PART, 1)).alias("one")))
 
 
+def _plain_parts(s: Column) -> tuple[Column, Column, Column]:
+    """(year, first, second) of a plain label: its last four digits, and both years of a plain label of two parts."""
+    second = F.when(F.length(s) == 9, F.substring(s, 6, 4)).otherwise(F.concat(F.substring(s, 1, 2), F.substring(s, 6, 2)))
+    return F.substring(s, -4, 4).cast("int"), F.substring(s, 1, 4).cast("int"), second.cast("int")
+
+
 def _cleaned(c: Col) -> Column:
     return let(squeeze(as_col(c).cast("string")), lambda s: F.when((s != "") & (F.lower(s) != "nan"), s))
 
@@ -52,13 +61,24 @@ def parse_year_label(c: Col) -> Column:
             .when(a.isNotNull(), out("invalid", none, none, noted("unparsed_", t)))
             .when(p["one"].isNotNull(), out("single", one, one, F.when(F.upper(t).startswith("FY"), "fy_label").otherwise("")))
             .otherwise(inside(t)))
-    return let(_cleaned(c), lambda t: let(_label_parts(t), of))
+    s = as_col(c).cast("string")
+    year, first, second = _plain_parts(s)
+    return (
+        F.when(s.rlike(PLAIN), out("single", year, year, F.when(s.startswith("FY"), "fy_label").otherwise("")))
+        .when(s.rlike(PLAIN_TWO), F.when(second - first == 1, out("single", second, second, noted("fiscal_year_end_of_", s)))
+              .when(second > first, out("range", first, second, noted("multi_year_range_", s))).otherwise(out("invalid", none, none, noted("unparsed_", s))))
+        .otherwise(let(_cleaned(s), lambda t: let(_label_parts(t), of))))
 
 
 def year_for_comparison(c: Col) -> Column:
     """Text two runs are compared on: the fiscal end year, the plain year, or the lower-case label."""
-    return let(_cleaned(c), lambda t: let(_label_parts(t), lambda p: F.when(p["b"] - p["a"] == 1, p["b"].cast("string"))
-                                          .when(p["a"].isNotNull(), F.lower(p["t"])).otherwise(F.coalesce(p["one"], F.lower(p["t"])))))
+    s = as_col(c).cast("string")
+    _, first, second = _plain_parts(s)
+    return (
+        F.when(s.rlike(PLAIN), F.substring(s, -4, 4))
+        .when(s.rlike(PLAIN_TWO), F.when(second - first == 1, second.cast("string")).otherwise(s))
+        .otherwise(let(_cleaned(s), lambda t: let(_label_parts(t), lambda p: F.when(p["b"] - p["a"] == 1, p["b"].cast("string"))
+                                                  .when(p["a"].isNotNull(), F.lower(p["t"])).otherwise(F.coalesce(p["one"], F.lower(p["t"])))))))
 
 
 def year_token(c: Col) -> Column:
