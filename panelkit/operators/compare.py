@@ -36,15 +36,22 @@ SUMMARY_COLUMNS = ["json_file", "pdf_file_name", "country", "group", "needs_chec
 
 @dataclass
 class RunComparison:
-    """Lazy results: one row per report, differing rows, matched keys, and every aligned row."""
+    """Lazy results: one row per report, its lined-up lines, those beside their report's facts (`items`, without reports that
+    have no table in any run), one summary row per report, differing rows, and matched keys."""
     n_runs: int
     facts: DataFrame
+    lines: DataFrame
     items: DataFrame
     summary: DataFrame
     diffs: DataFrame
     matched: DataFrame
 
 
+def key_hash(*keys: str) -> Column:
+    """An integer that leads a grouping by long texts: sorts compare it, not texts that begin alike."""
+    return F.hash(*keys).alias("__h")
+
+
 def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
@@ -52,14 +59,13 @@ def _all(conditions: list[Column]) -> Column:
 def align_reports(rows: DataFrame, n: int, run: str, order: str) -> DataFrame:
     """One row per report: its facts in every run (first row of the run) and the report-level group."""
     told = ["pdf_file_name", "country", "table_found", "last_actual_year"]
-    fact = F.struct(*told)
     # the lines of a report agree in its facts, mostly in all runs, so they meet by them first, in hash tables of numbers alone
     once = rows.groupBy("json_file", *told).agg(*[F.min(F.when(F.col(run) == r, F.col(order))).alias(f"__at{r}") for r in range(1, n + 1)])
-    facts = once.groupBy("json_file").agg(*[F.min_by(fact, f"__at{r}").alias(f"f{r}") for r in range(1, n + 1)])
-    # normalised once per report and run, after the rows were reduced
-    facts = facts.withColumns({f"f{r}": F.when(F.col(f"f{r}").isNotNull(), F.struct(
-        F.col(f"f{r}.pdf_file_name").alias("pdf"), F.col(f"f{r}.country").alias("country"), tri_state(f"f{r}.table_found").alias("found"),
-        year_for_comparison(f"f{r}.last_actual_year").alias("year"))) for r in range(1, n + 1)})
+    # normalised once for all runs that agree, and before the last aggregate: a filter on the group would otherwise be pushed below
+    # the normalised columns, with a copy of them for each mention
+    fact = F.struct(F.col("pdf_file_name").alias("pdf"), "country", tri_state("table_found").alias("found"), year_for_comparison("last_actual_year").alias("year"))
+    once = once.select("json_file", key_hash("json_file"), fact.alias("fact"), *[f"__at{r}" for r in range(1, n + 1)])
+    facts = once.groupBy("__h", "json_file").agg(*[F.min_by("fact", f"__at{r}").alias(f"f{r}") for r in range(1, n + 1)]).drop("__h")
     f = [F.col(f"f{r}") for r in range(1, n + 1)]
     present = _all([x.isNotNull() for x in f])
     found_same = _all([x["found"].isNotNull() & (x["found"] == f[0]["found"]) for x in f])
@@ -72,17 +78,20 @@ def align_reports(rows: DataFrame, n: int, run: str, order: str) -> DataFrame:
 
 
 def align_items(rows: DataFrame, n: int, run: str, order: str) -> DataFrame:
-    """One row per (report, line item): the item in every run (the last row of a run wins)."""
-    item = F.struct("top_category", "label_verbatim", "value")
-    items = rows.filter(F.col("top_category").isNotNull()).groupBy("json_file", "hierarchy_id").agg(*[
-        F.max_by(item, F.when(F.col(run) == r, F.col(order))).alias(f"r{r}") for r in range(1, n + 1)])
-    items = items.withColumns({f"r{r}": F.when(F.col(f"r{r}").isNotNull(), F.struct(
-        F.col(f"r{r}.top_category").alias("top"), F.col(f"r{r}.label_verbatim").alias("label"), F.col(f"r{r}.value").alias("raw"),
-        comparable(f"r{r}.value").alias("val"))) for r in range(1, n + 1)})
-    x = [F.col(f"r{r}") for r in range(1, n + 1)]
-    present = _all([c.isNotNull() for c in x])
-    one_top = _all([c["top"] == x[0]["top"] for c in x[1:]])
-    one_value = _all([same(x[0]["val"], c["val"]) for c in x[1:]])
+    """One row per (report, line item): the item in every run (the last row of a run wins), as val<r> (null: not in the run),
+    top<r> and told<r>.
+
+    Values are read before they meet, once per row; what a caller doesn't ask for (categories, texts) is left out of the
+    exchange, as each has an aggregate of its own.
+    """
+    kept = {"val": comparable("value"), "top": F.col("top_category"), "told": F.struct(F.col("label_verbatim").alias("label"), F.col("value").alias("raw"))}
+    rows = rows.filter(F.col("top_category").isNotNull()).select("json_file", "hierarchy_id", run, order, key_hash("json_file", "hierarchy_id"), *[c.alias(k) for k, c in kept.items()])
+    items = rows.groupBy("__h", "json_file", "hierarchy_id").agg(*[
+        F.max_by(k, F.when(F.col(run) == r, F.col(order))).alias(f"{k}{r}") for r in range(1, n + 1) for k in kept]).drop("__h")
+    runs = range(1, n + 1)
+    present = _all([F.col(f"val{r}").isNotNull() for r in runs])
+    one_top = _all([F.col(f"top{r}") == F.col("top1") for r in runs[1:]])
+    one_value = _all([same(F.col("val1"), F.col(f"val{r}")) for r in runs[1:]])
     return items.withColumn("row_type", F.when(~present, "missing_row").when(~one_top, "category").when(~one_value, "value"))
 
 
@@ -122,26 +131,26 @@ def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str =
         F.lit("").alias("error_by_run"))
 
     matched = aligned.filter(is_match).select("json_file", "hierarchy_id")
-    return RunComparison(n_runs, facts, aligned, summary, _diff_rows(aligned.filter(~is_match), n_runs), matched)
+    return RunComparison(n_runs, facts, items, aligned, summary, _diff_rows(aligned.filter(~is_match), n_runs), matched)
 
 
 def _pair_ok(a: Column, b: Column) -> Column:
     """Both present and equal, or both absent."""
-    return (a.isNotNull() == b.isNotNull()) & (a.isNull() | same(a["val"], b["val"]))
+    return (a.isNotNull() == b.isNotNull()) & (a.isNull() | same(a, b))
 
 
 def _diff_rows(aligned: DataFrame, n: int) -> DataFrame:
-    x = {r: F.col(f"r{r}") for r in range(1, n + 1)}
+    x = {r: F.col(f"val{r}") for r in range(1, n + 1)}
     f = [F.col(f"f{r}") for r in range(1, n + 1)]
     pairs = {(a, b): _pair_ok(x[a], x[b]) for a, b in combinations(x, 2)}
-    nums = F.filter(F.array(*[x[r]["val"]["num"] for r in x]), lambda v: v.isNotNull())
+    nums = F.filter(F.array(*[x[r]["num"] for r in x]), lambda v: v.isNotNull())
     return aligned.select(
         F.concat_ws("||", "json_file", "hierarchy_id").alias("key"), "json_file", "hierarchy_id",
         F.coalesce(*[c["pdf"] for c in f]).alias("pdf_file_name"), F.coalesce(*[c["country"] for c in f]).alias("country"),
-        F.coalesce(*[x[r]["top"] for r in x]).alias("top_category"),
-        *[x[r]["label"].alias(f"label_run{r}") for r in x],
-        *[x[r]["val"]["num"].alias(f"value_run{r}") for r in x],
-        *[F.when(x[r]["val"]["txt"].isNotNull(), strip(x[r]["raw"])).alias(f"text_run{r}") for r in x],
+        F.coalesce(*[F.col(f"top{r}") for r in x]).alias("top_category"),
+        *[F.col(f"told{r}.label").alias(f"label_run{r}") for r in x],
+        *[x[r]["num"].alias(f"value_run{r}") for r in x],
+        *[F.when(x[r]["txt"].isNotNull(), strip(F.col(f"told{r}.raw"))).alias(f"text_run{r}") for r in x],
         *[ok.alias(f"run{a}_run{b}_match") for (a, b), ok in pairs.items()],
         _all(list(pairs.values())).alias("all_match"),
         F.when(F.size(nums) >= 2, F.array_max(nums) - F.array_min(nums)).alias("max_abs_diff"),
@@ -209,22 +218,32 @@ def recheck_list(summary: DataFrame) -> DataFrame:
 
 # ---- agreement statistics over several runs ---------------------------------------------------------
 
+def _found_everywhere(n: int) -> Column:
+    return _all([F.coalesce(F.col(f"f{r}")["found"], F.lit(False)) for r in range(1, n + 1)])
+
+
+def _filled_everywhere(n: int) -> Column:
+    """The line is in every run, not blank on all sides."""
+    x = [F.col(f"val{r}") for r in range(1, n + 1)]
+    some = reduce(lambda a, b: a | b, [c["num"].isNotNull() | c["txt"].isNotNull() for c in x])
+    return _all([c.isNotNull() for c in x]) & some
+
+
 def comparable_items(comparison: RunComparison) -> DataFrame:
     """Aligned items of reports whose table every run found, not blank on all sides."""
     n = comparison.n_runs
-    found = _all([F.coalesce(F.col(f"f{r}")["found"], F.lit(False)) for r in range(1, n + 1)])
-    some = reduce(lambda a, b: a | b, [F.col(f"r{r}")["val"]["num"].isNotNull() | F.col(f"r{r}")["val"]["txt"].isNotNull()
-                                       for r in range(1, n + 1)])
-    return comparison.items.filter(found & _all([F.col(f"r{r}").isNotNull() for r in range(1, n + 1)]) & some)
+    return comparison.items.filter(_found_everywhere(n) & _filled_everywhere(n))
 
 
 def pair_match_rates(comparison: RunComparison) -> DataFrame:
-    """Per pair of runs: rows compared, rows equal, rate; plus the pair `all`."""
+    """Per pair of runs: rows compared, rows equal, rate; plus the pair `all`. Lines are counted per report before they meet its facts."""
     n = comparison.n_runs
-    x = {r: F.col(f"r{r}") for r in range(1, n + 1)}
-    tests = {f"run{a}_run{b}": same(x[a]["val"], x[b]["val"]) for a, b in combinations(x, 2)}
-    tests["all"] = _all([same(x[1]["val"], x[r]["val"]) for r in list(x)[1:]])
-    agg = comparable_items(comparison).agg(F.count("*").alias("n"), *[F.count_if(t).alias(k) for k, t in tests.items()])
+    x = {r: F.col(f"val{r}") for r in range(1, n + 1)}
+    tests = {f"run{a}_run{b}": same(x[a], x[b]) for a, b in combinations(x, 2)}
+    tests["all"] = _all([same(x[1], x[r]) for r in list(x)[1:]])
+    per = comparison.lines.filter(_filled_everywhere(n)).groupBy("json_file").agg(F.count("*").alias("n"), *[F.count_if(t).alias(k) for k, t in tests.items()])
+    found = comparison.facts.filter(_found_everywhere(n)).select("json_file")
+    agg = per.join(found, "json_file").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", *tests)])
     rows = F.array(*[F.struct(F.lit(k).alias("pair"), F.col(k).alias("n_equal")) for k in tests])
     return (agg.select("n", F.explode(rows).alias("p"))
             .select("p.pair", F.col("n").alias("n_compared"), "p.n_equal", F.try_divide("p.n_equal", "n").alias("match_rate")))
@@ -233,11 +252,11 @@ def pair_match_rates(comparison: RunComparison) -> DataFrame:
 def item_spread(comparison: RunComparison) -> DataFrame:
     """Differing comparable items with the spread (max - min) of their numbers."""
     n = comparison.n_runs
-    x = [F.col(f"r{r}") for r in range(1, n + 1)]
-    differ = ~_all([same(x[0]["val"], c["val"]) for c in x[1:]])
-    nums = F.filter(F.array(*[c["val"]["num"] for c in x]), lambda v: v.isNotNull())
+    x = [F.col(f"val{r}") for r in range(1, n + 1)]
+    differ = ~_all([same(x[0], c) for c in x[1:]])
+    nums = F.filter(F.array(*[c["num"] for c in x]), lambda v: v.isNotNull())
     return (comparable_items(comparison).filter(differ & (F.size(nums) >= 2))
-            .select("json_file", "hierarchy_id", x[0]["top"].alias("top_category"),
+            .select("json_file", "hierarchy_id", F.col("top1").alias("top_category"),
                     (F.array_max(nums) - F.array_min(nums)).alias("spread")))
 
 
@@ -257,19 +276,21 @@ def confusion(facts: DataFrame, a: int = 1, b: int = 2) -> DataFrame:
 
 
 def two_of_n(comparison: RunComparison) -> DataFrame:
-    """Per report with a disagreement: which pairs agree completely, and the single outlier run if there is one."""
+    """Per report with a disagreement: which pairs agree completely, and the single outlier run if there is one. Lines are reduced
+    to one row per report before they meet its facts."""
     n = comparison.n_runs
-    x = {r: F.col(f"r{r}") for r in range(1, n + 1)}
+    x = {r: F.col(f"val{r}") for r in range(1, n + 1)}
     pairs = list(combinations(range(1, n + 1), 2))
-    rows = comparison.items.groupBy("json_file").agg(*[
+    rows = comparison.lines.groupBy("json_file").agg(*[
         F.bool_and(_pair_ok(x[a], x[b])).alias(f"v{a}_{b}") for a, b in pairs])
     full = _all([F.col(f"f{r}").isNotNull() for r in range(1, n + 1)])
     out = comparison.facts.filter(full).join(rows, "json_file", "left")
+    no_table = F.col("report_group").eqNullSafe(F.lit("no_table_in_all_runs"))
     flags = {}
     for a, b in pairs:
         fa, fb = F.col(f"f{a}"), F.col(f"f{b}")
         year = fa["year"].eqNullSafe(fb["year"]) | ~F.coalesce(fa["found"], F.lit(False))
-        flags[(a, b)] = fa["found"].eqNullSafe(fb["found"]) & year & F.coalesce(F.col(f"v{a}_{b}"), F.lit(True))
+        flags[(a, b)] = fa["found"].eqNullSafe(fb["found"]) & year & (no_table | F.coalesce(F.col(f"v{a}_{b}"), F.lit(True)))
     n_ok = reduce(lambda p, q: p + q, [c.cast("int") for c in flags.values()])
     # with exactly one agreeing pair out of three runs, the run outside the pair is the outlier
     outlier = F.coalesce(*[F.when((n_ok == 1) & flags[(a, b)], F.lit(next(r for r in range(1, n + 1) if r not in (a, b))))
@@ -289,21 +310,19 @@ def before_after(before: RunComparison, after: RunComparison) -> DataFrame:
 def run_details(comparison: RunComparison) -> DataFrame:
     """Every report's line items with each run's label and value, and whether they are all the same."""
     n = comparison.n_runs
-    x = [F.col(f"r{r}") for r in range(1, n + 1)]
+    runs = range(1, n + 1)
     return comparison.items.select(
-        "json_file", "hierarchy_id", F.coalesce(*[c["top"] for c in x]).alias("top_category"),
-        F.array(*[c["label"] for c in x]).alias("labels"), F.array(*[c["raw"] for c in x]).alias("values"),
-        _all([same(F.struct(x[0]["val"]["num"].alias("num"), x[0]["val"]["txt"].alias("txt")),
-                   F.struct(c["val"]["num"].alias("num"), c["val"]["txt"].alias("txt"))) for c in x[1:]]).alias("same"),
+        "json_file", "hierarchy_id", F.coalesce(*[F.col(f"top{r}") for r in runs]).alias("top_category"),
+        F.array(*[F.col(f"told{r}.label") for r in runs]).alias("labels"), F.array(*[F.col(f"told{r}.raw") for r in runs]).alias("values"),
+        _all([same(F.col("val1"), F.col(f"val{r}")) for r in runs[1:]]).alias("same"),
         (F.size(F.split("hierarchy_id", "[.]")) - 1).alias("level"))
 
 
 def review_prefill(comparison: RunComparison) -> DataFrame:
     """Starting rows for a person: the majority label, and the value only where all runs agree."""
     n = comparison.n_runs
-    x = [F.col(f"r{r}") for r in range(1, n + 1)]
-    equal = _all([same(F.struct(x[0]["val"]["num"].alias("num"), x[0]["val"]["txt"].alias("txt")),
-                       F.struct(c["val"]["num"].alias("num"), c["val"]["txt"].alias("txt"))) for c in x[1:]])
+    runs = range(1, n + 1)
+    equal = _all([same(F.col("val1"), F.col(f"val{r}")) for r in runs[1:]])
     return comparison.items.select(
-        "json_file", "hierarchy_id", F.coalesce(majority_of([c["label"] for c in x]), F.lit("")).alias("label_verbatim"),
-        F.when(equal, F.coalesce(x[0]["raw"], F.lit(""))).otherwise(F.lit("")).alias("value"), (~equal).alias("differs"))
+        "json_file", "hierarchy_id", F.coalesce(majority_of([F.col(f"told{r}.label") for r in runs]), F.lit("")).alias("label_verbatim"),
+        F.when(equal, F.coalesce("told1.raw", F.lit(""))).otherwise(F.lit("")).alias("value"), (~equal).alias("differs"))
