@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from panelkit.functions.files import report_file
+from panelkit.functions.files import DATED, report_date
 from panelkit.functions.headers import ELIGIBLE
 from panelkit.functions.items import CATEGORIES
 from panelkit.functions.names import normalize_entity
@@ -17,7 +17,7 @@ from panelkit.functions.years import effective_label, parse_year_label
 from panelkit.operators import pick
 from panelkit.operators.measures import Measure, set_counts
 from panelkit.operators.spread import number_rows, running_totals, split_join
-from panelkit.operators.waterfall import OFFSETS, candidate_reports
+from panelkit.operators.waterfall import OFFSETS
 from panelkit.session import materialise
 
 MULTI_ENTITY = "Multi-Country Report"
@@ -34,15 +34,18 @@ AUDIT = T.StructType([T.StructField("columns", AUDIT_COLUMNS), T.StructField("se
                       T.StructField("selection_reason", T.StringType())])
 
 
+def audit_cell(c: Column) -> Column:
+    """struct(kind, y0, y1, label, status, header) of one audited column."""
+    y = parse_year_label(c["year_label"])
+    return F.struct(y["kind"].alias("kind"), y["y0"].alias("y0"), y["y1"].alias("y1"), c["year_label"].alias("label"),
+                    F.lower(F.trim(F.coalesce(F.nullif(c["status"], F.lit("")), F.lit("unknown")))).alias("status"),
+                    c["group_label"].alias("header"))
+
+
 def audit_years(columns: Column) -> Column:
     """array<struct(kind, y0, y1, label, status, header)> of an audited column list; never NULL."""
-    def one(c: Column) -> Column:
-        y = parse_year_label(c["year_label"])
-        return F.struct(y["kind"].alias("kind"), y["y0"].alias("y0"), y["y1"].alias("y1"), c["year_label"].alias("label"),
-                        F.lower(F.trim(F.coalesce(F.nullif(c["status"], F.lit("")), F.lit("unknown")))).alias("status"),
-                        c["group_label"].alias("header"))
     kept = F.filter(columns, lambda c: c.isNotNull())
-    return F.coalesce(F.transform(kept, one), F.array().cast(
+    return F.coalesce(F.transform(kept, audit_cell), F.array().cast(
         "array<struct<kind:string,y0:int,y1:int,label:string,status:string,header:string>>"))
 
 
@@ -83,15 +86,15 @@ def report_table(rows: DataFrame, order: str, with_values: bool = False) -> Data
         text("source_round").alias("source_round"), text("confidence").alias("confidence"),
         text("framework").alias("framework"), text("column_header_audit_json").alias("column_header_audit_json")), "__at").alias("f"),
         *[F.min_by(c, f"__at_{c}").alias(c) for c in tops])
-    r = facts.select(*keys, "f.*", *tops).withColumn("file", report_file("pdf_file_name")).withColumn("y", parse_year_label("year_label"))
+    r = facts.select(*keys, "f.*", *tops).withColumns({"report_date": report_date("pdf_file_name"), "named": found("pdf_file_name", DATED, 1)}) \
+        .withColumn("y", parse_year_label("year_label"))
     return r.select(
-        *keys, "pdf_file_name", normalize_entity(found("pdf_file_name", r"^(.*?)_(\d{4}-\d{2}-\d{2})", 1)).alias("country"),
-        F.col("file.date").alias("report_date"), F.col("y.kind").alias("year_kind"), F.col("y.y0").alias("obs_year"),
+        *keys, "pdf_file_name", normalize_entity("named").alias("country"), "report_date", F.col("y.kind").alias("year_kind"), F.col("y.y0").alias("obs_year"),
         F.col("y.note").alias("year_parse_note"),
         (F.upper(F.coalesce("table_found", F.lit("TRUE"))) == "TRUE").alias("table_found"),
         F.coalesce((F.col("manual_review_required") == "Yes") | (F.col("actual_column_validation_status") == "manual_review"),
                    F.lit(False)).alias("year_uncertain"),
-        F.coalesce(F.col("y.y0") > F.year("file.date"), F.lit(False)).alias("year_after_report_year"),
+        F.coalesce(F.col("y.y0") > F.year("report_date"), F.lit(False)).alias("year_after_report_year"),
         "source_round", "confidence", "framework", "column_header_audit_json", *tops)
 
 
@@ -298,8 +301,13 @@ def fill_preview(gaps: DataFrame, reports: DataFrame, has_audit: bool = True, of
     first = pick.smallest(reports.select("country", "pdf_file_name", F.year("report_date").alias("pub_year"), "report_date",
                                          "table_found", "json_file", "year_label", "column_header_audit_json"),
                           ["country", "pdf_file_name"], [F.col("report_date"), F.col("json_file"), F.col("year_label")])
-    cands = candidate_reports(gaps.select("country", "gap_year").distinct(), first, skip, offsets).filter("table_found")
-    cells = (cands.withColumn("c", F.explode(audit_from_json("column_header_audit_json")))
+    # a report is a candidate of one year per offset at most: they come as one row, so that its audit is read once, and of candidates alone
+    due = gaps.select("country", "gap_year").distinct().select("country", "gap_year", F.explode(F.array(*[F.lit(o) for o in offsets])).alias("offset"))
+    due = due.groupBy("country", (F.col("gap_year") + F.col("offset")).alias("pub_year")).agg(F.collect_list(F.struct("gap_year", "offset")).alias("due"))
+    cands = split_join(first.filter("table_found").drop("table_found").join(skip, "pdf_file_name", "left_anti"), due, ["country", "pub_year"])
+    # cells are read as rows of their own, not inside the array, where expressions are interpreted
+    cells = (cands.select("country", "pdf_file_name", "report_date", "due", F.explode(F.from_json("column_header_audit_json", AUDIT)["columns"]).alias("raw"))
+             .withColumn("c", audit_cell(F.col("raw"))).drop("raw").withColumn("d", F.explode("due")).select("*", "d.*").drop("due", "d")
              .withColumn("single", (F.col("c.kind") == "single") & (F.col("c.y0") == F.col("gap_year")))
              .withColumn("merged", (F.col("c.kind") == "range") & F.col("gap_year").between(F.col("c.y0"), F.col("c.y1")))
              .filter("single or merged"))
