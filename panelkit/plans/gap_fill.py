@@ -1,7 +1,7 @@
 """Find gaps, choose their sources, and write the filled panel."""
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -15,16 +15,51 @@ from panelkit.schema import PANEL_LAYOUT, to_panel, to_pregap, union_layout
 FACTS = ["publication_date", "consultation_type", "report_title", "country_report_number"]
 
 
-@dataclass
 class GapCheck:
-    """The tables of a gap search."""
-    reports: DataFrame
-    kept: DataFrame
-    gaps: DataFrame
-    panel: DataFrame
-    children: DataFrame
-    to_fill: DataFrame
-
+    """The tables of a gap search, each made when it is first asked for: a caller that needs the reports alone doesn't wait for
+    spans and previews."""
+
+    def __init__(self, rows: DataFrame, order: str, full_range: tuple[int, int] | None, panel_countries: DataFrame | None, already: DataFrame | None):
+        self._rows, self._order, self._range, self._countries, self._already = rows, order, full_range, panel_countries, already
+
+    @cached_property
+    def usage(self) -> DataFrame:
+        """What every report can be used for, before any is superseded: all that spans, causes, previews and sources ask for."""
+        # one row per report feeds seven consumers: written once to the checkpoint folder, not computed seven times
+        return materialise(G.report_table(self._rows, self._order, with_values=True).withColumn("report_status", G.usage_status()))
+
+    @cached_property
+    def kept(self) -> DataFrame:
+        return materialise(G.kept_observations(self.usage))
+
+    @cached_property
+    def reports(self) -> DataFrame:
+        return materialise(G.mark_superseded(self.usage, self.kept))
+
+    @cached_property
+    def gaps(self) -> DataFrame:
+        rep, universe = self.usage, None
+        if self._range is not None:
+            universe = rep.select("country").filter(F.col("country").isNotNull() & (F.col("country") != G.MULTI_ENTITY))
+            if self._countries is not None:
+                universe = universe.unionByName(self._countries.select("country"))
+            universe = universe.distinct()
+        spans = G.span_ids(G.gap_spans(self.kept, "country", "year", self._range, universe), "country")
+        spans = G.span_causes(spans, rep).withColumn("gap_span", G.span_label())
+        years = materialise(G.gap_years(spans))
+        return years.join(G.fill_preview(years, rep, "column_header_audit_json" in self._rows.columns), ["country", "gap_year"], "left")
+
+    @cached_property
+    def panel(self) -> DataFrame:
+        return G.panel_skeleton(self.kept, self.gaps)
+
+    @cached_property
+    def children(self) -> DataFrame:
+        return G.children_of_kept(self._rows, self.kept)
+
+    @cached_property
+    def to_fill(self) -> DataFrame:
+        return G.drop_identified(self.gaps, self._already) if self._already is not None else self.gaps
 
 def find_gaps(rows: DataFrame, order: str, full_range: tuple[int, int] | None = None, panel_countries: DataFrame | None = None,
               already: DataFrame | None = None) -> GapCheck:
@@ -32,24 +67,7 @@ def find_gaps(rows: DataFrame, order: str, full_range: tuple[int, int] | None =
 
     `order` is the row's place in its file; `panel_countries` (country) adds entities without any report.
     """
-    rep = G.report_table(rows, order, with_values=True).withColumn("report_status", G.usage_status())
-    # one row per report feeds seven consumers: written once to the checkpoint folder, not computed seven times
-    rep = materialise(rep)
-    kept = materialise(G.kept_observations(rep))
-    rep = materialise(G.mark_superseded(rep, kept))
-    universe = None
-    if full_range is not None:
-        universe = rep.select("country").filter(F.col("country").isNotNull() & (F.col("country") != G.MULTI_ENTITY))
-        if panel_countries is not None:
-            universe = universe.unionByName(panel_countries.select("country"))
-        universe = universe.distinct()
-    spans = G.span_ids(G.gap_spans(kept, "country", "year", full_range, universe), "country")
-    spans = G.span_causes(spans, rep).withColumn("gap_span", G.span_label())
-    years = materialise(G.gap_years(spans))
-    has_audit = "column_header_audit_json" in rows.columns
-    years = years.join(G.fill_preview(years, rep, has_audit), ["country", "gap_year"], "left")
-    to_fill = G.drop_identified(years, already) if already is not None else years
-    return GapCheck(rep, kept, years, G.panel_skeleton(kept, years), G.children_of_kept(rows, kept), to_fill)
+    return GapCheck(rows, order, full_range, panel_countries, already)
 
 
 def build_targets(gaps: DataFrame, inventory: DataFrame, documents: DataFrame, selected: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:

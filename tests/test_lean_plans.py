@@ -1,9 +1,14 @@
 """What a step reads, normalises and sends: each value once, and nothing that its result doesn't need."""
+import datetime
 import re
 
-from panelkit.operators import compare as C
+from panelkit.operators import compare as C, gaps, waterfall
+from panelkit.plans import gap_fill
 from test_compare import COLUMNS, run_rows
-from test_scale import plan
+from test_scale import LINES, plan
+from workload import roles
+
+DATA = "/root/testdata/sf0.001"
 
 
 def test_runs_meet_without_texts_that_are_not_asked_for(spark):
@@ -24,3 +29,32 @@ def test_values_are_normalised_once(spark):
     c = C.compare_runs(spark.createDataFrame(run_rows(), COLUMNS), 3)
     # one cleaning of values, one of years and one of found, however often a filter mentions them: a copy for each mention made 116
     assert plan(c.matched).count("transform(") <= 6
+
+
+def test_a_search_makes_what_is_asked_for(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(gap_fill, "materialise", lambda df: made.append(df.columns) or df)
+    rows = spark.createDataFrame([("x_dsa.json", "X_2001-05-01.pdf", "2000", "residual", "0", "1", 1, "FALSE"),
+                                  ("y_dsa.json", "Y_2001-05-01.pdf", "2000", "residual", "0", "1", 2, "TRUE")], LINES + ", table_found string")
+    check = gap_fill.find_gaps(rows, "row_no")
+    assert made == []
+    assert [r["pdf_file_name"] for r in waterfall.skip_list(check.usage).collect()] == ["X_2001-05-01.pdf"] and len(made) == 1
+    assert {r["json_file"]: r["report_status"] for r in check.reports.collect()} == {"x_dsa.json": "no_table", "y_dsa.json": "observation"}
+
+
+def test_audits_are_read_once_per_candidate(spark):
+    audit = '{"columns": [{"year_label": "2000", "status": "actual"}, {"year_label": "1998-2001", "status": ""}, null]}'
+    reports = spark.createDataFrame([("C", "C_2003-01-01.pdf", datetime.date(2003, 1, 1), True, "c", "2002", audit, "observation")],
+                                    "country string, pdf_file_name string, report_date date, table_found boolean, json_file string, year_label string, column_header_audit_json string, report_status string")
+    gaps_ = spark.createDataFrame([("C", y) for y in (1999, 2000, 2001, 2002)], "country string, gap_year int")
+    preview = gaps.fill_preview(gaps_, reports)
+    got = {r["gap_year"]: (r["fill_status"], r["preferred_source_report"], r["n_reports_actual_column_visible"]) for r in preview.collect()}
+    assert got == {1999: ("only_in_merged_range_column", None, 0), 2000: ("fillable_actual_column_visible", "C_2003-01-01.pdf", 1),
+                   2001: ("only_in_merged_range_column", None, 0), 2002: ("not_visible_in_any_report", None, 0)}
+    # the audit is opened before a report's years are told apart: the years' explosion lies above the audit's
+    p = plan(preview)
+    assert p.index("explode(due") < p.index("explode(from_json")
+
+
+def test_reports_need_no_names_of_parts(spark):
+    assert "p_partkey" in plan(roles.long_rows(spark, DATA)) and "p_partkey" not in plan(gaps.report_table(roles.long_rows(spark, DATA), "row_no", with_values=True))
