@@ -159,7 +159,7 @@ a AS (SELECT json_file, {", ".join(f"{AGREE[p]} AS a{p[0]}{p[1]}" for p in PAIRS
 b AS (SELECT *, a12::INT + a13::INT + a23::INT AS n FROM a)
 SELECT json_file, a12 AS run1_run2_agree, a13 AS run1_run3_agree, a23 AS run2_run3_agree, n AS n_pairs_agree, CAST(CASE WHEN n = 1 THEN CASE WHEN a12 THEN 3 WHEN a13 THEN 2 ELSE 1 END END AS INT) AS outlier_run FROM b WHERE n < 3""")
 def two_of_three(spark, sf):
-    return C.two_of_n(comparison(spark, sf))
+    return C.two_of_n(C.compare_runs(R.runs(spark, sf, labels=False), 3))
 
 
 @query("rerun_before_after", f"""WITH {CMP}, c AS (SELECT * FROM al WHERE tf1 = 'True' AND tf2 = 'True' AND i1 IS NOT NULL AND i2 IS NOT NULL),
@@ -170,7 +170,7 @@ e(stage, s) AS (SELECT 'before', coalesce(CASE WHEN n1 IS NOT NULL AND n3 IS NOT
 SELECT stage, count(*) AS n_compared, count(*) FILTER (WHERE NOT s) AS n_differ, count(*) FILTER (WHERE s) / count(*) AS match_rate FROM e GROUP BY 1""")
 def rerun_before_after(spark, sf):
     """Agreement of run 1 with run 3 (an earlier attempt) against its agreement with run 2 (the rerun)."""
-    rows = R.runs(spark, sf)
+    rows = R.runs(spark, sf, labels=False)
     before = C.compare_runs(rows.filter("run_no in (1, 3)").withColumn("run_no", F.when(F.col("run_no") == 3, 2).otherwise(1)), 2)
     return C.before_after(before, C.compare_runs(rows.filter("run_no < 3"), 2))
 

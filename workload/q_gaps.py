@@ -15,9 +15,9 @@ RANGE = (1992, 2001)
 VALUE_ID = {1: "change_in_debt", 2: "identified_flows", 3: "primary_balance", 4: "automatic_debt_dynamics", 5: "other_identified_flows", 6: "residual"}
 
 
-def report_table(spark, sf, audit=False, reuse=False):
+def report_table(spark, sf, audit=False, reuse=False, labels=True):
     """(long rows, one row per report with its values and usage); reuse: written once for several consumers."""
-    rows = R.long_rows(spark, sf, audit)
+    rows = R.long_rows(spark, sf, audit, labels)
     rep = G.report_table(rows, "row_no", with_values=True).withColumn("report_status", G.usage_status())
     return rows, materialise(rep) if reuse else rep
 

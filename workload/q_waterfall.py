@@ -20,7 +20,7 @@ cmap AS (SELECT t.*, rank, candidate_report, offset_years, CAST(report_date AS V
 
 def gap_targets(spark, sf):
     """(targets, documents, reports without table, report table)."""
-    _, rep = report_table(spark, sf, reuse=True)
+    _, rep = report_table(spark, sf, reuse=True, labels=False)
     targets = materialise(G.gap_years(G.gap_spans(G.kept_observations(rep), "country", "year")).select("country", F.col("gap_year").cast("int").alias("gap_year")))
     docs = R.reports(spark, sf).select("country", "pdf_file_name", "pub_year", "report_date", "k")
     return targets, docs, W.skip_list(rep), rep

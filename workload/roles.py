@@ -70,18 +70,19 @@ rpt AS (SELECT k, ck, country, report_date, pub_year, obs, country || '_' || rep
 
 # ---- line items ---------------------------------------------------------------------------------------
 
-def items(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per order and line number: hierarchy id, category, label (a part's name), value text."""
+def items(spark: SparkSession, sf: str, labels: bool = True) -> DataFrame:
+    """One row per order and line number: hierarchy id, category, label (a part's name), value text. labels=False leaves labels null, for
+    what is told per report alone and doesn't ask for them."""
     li = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("ln")).agg(
         F.round(F.sum("l_extendedprice") * 100).cast("long").alias("cents"), F.min("l_partkey").alias("p_partkey"))
-    # one name per part, said by a grouping: where no label is asked for, the planner leaves this join out
-    part = table(spark, sf, "part").groupBy("p_partkey").agg(F.min("p_name").alias("label_verbatim"))
+    part = table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("label_verbatim"))
     m, n = F.col("k") + F.col("ln"), F.col("cents")
     value = case(n.cast("string"), (m % 37 == 0, F.lit("n.a.")), (m % 11 == 0, F.lit("0.0")), (m % 5 == 0, text("-", n)),
                  (m % 13 == 0, text(F.floor(n / 1000), ",", F.lpad((n % 1000).cast("string"), 3, "0"))))
     hid = F.when(F.col("ln") == 7, "5.1").otherwise(F.col("ln").cast("string"))
     top = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), F.when(F.col("ln") == 7, 5).otherwise(F.col("ln")))
-    return li.join(part, "p_partkey", "left").select(
+    named = li.join(part, "p_partkey", "left") if labels else li.withColumn("label_verbatim", F.lit(None).cast("string"))
+    return named.select(
         "k", "ln", "cents", hid.alias("hierarchy_id"), top.alias("top_category"), F.when(F.col("ln") == 7, "1").otherwise("0").alias("level"),
         "label_verbatim", value.alias("value"), (F.col("k") * 10 + F.col("ln")).alias("row_no"))
 
@@ -100,12 +101,12 @@ itm AS (SELECT k, ln, cents, CASE WHEN ln = 7 THEN '5.1' ELSE CAST(ln AS VARCHAR
 ITEM_COLUMNS = ["hierarchy_id", "top_category", "level", "label_verbatim", "value", "row_no"]
 
 
-def long_rows(spark: SparkSession, sf: str, audit: bool = False) -> DataFrame:
+def long_rows(spark: SparkSession, sf: str, audit: bool = False, labels: bool = True) -> DataFrame:
     """Reports with their line items; a report without a table keeps one row."""
     r = reports(spark, sf)
     if audit:
         r = r.withColumn("column_header_audit_json", audit_json())
-    i = items(spark, sf).select("k", *ITEM_COLUMNS)
+    i = items(spark, sf, labels).select("k", *ITEM_COLUMNS)
     found = r.filter("table_found = 'True'").join(i, "k")
     none = r.filter("table_found = 'False'").select("*", *[F.lit(None).cast(i.schema[c].dataType).alias(c) for c in ITEM_COLUMNS[:-1]],
                                                      (F.col("k") * 10).alias("row_no"))
@@ -131,10 +132,10 @@ def audit_json() -> Column:
 
 # ---- runs ---------------------------------------------------------------------------------------------
 
-def runs(spark: SparkSession, sf: str) -> DataFrame:
+def runs(spark: SparkSession, sf: str, labels: bool = True) -> DataFrame:
     """Three readings of the same reports: run 3 lacks some reports and misreads some years and values, run 2
     drops some line items and misses some tables."""
-    rows = long_rows(spark, sf).select("k", "json_file", "pdf_file_name", "country", "obs", "table_found", "last_actual_year", "top_category",
+    rows = long_rows(spark, sf, labels=labels).select("k", "json_file", "pdf_file_name", "country", "obs", "table_found", "last_actual_year", "top_category",
                                        "hierarchy_id", "label_verbatim", "value", "row_no")
     r = rows.withColumn("run_no", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
     run, k, ln = F.col("run_no"), F.col("k"), F.col("row_no") % 10
