@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -24,9 +25,10 @@ def build_panel(base: DataFrame | None, new_parts: list[DataFrame], dropped: Dat
     """Previous rows (without gap fill) + new rows; a report in both is kept from one side only.
 
     replace=True keeps the new rows of such a report, else the previous ones. Reports dropped in review leave
-    both sides. Everything is keyed on json_file by semi and anti joins.
+    both sides. Everything is keyed on json_file by semi and anti joins; each side is joined once, with all that it loses. Without
+    new parts the previous rows are only laid out.
     """
-    new = union_layout(new_parts)
+    new = union_layout(new_parts) if new_parts else to_pregap(base).limit(0)
     old = to_pregap(base) if base is not None else new.limit(0)
     if remove_gapfill:
         old = old.filter(~F.col("source_round").eqNullSafe(F.lit("gapfill")))
@@ -34,13 +36,12 @@ def build_panel(base: DataFrame | None, new_parts: list[DataFrame], dropped: Dat
     # one grouping over the reports of both sides instead of intersecting two distinct lists
     both = (old.select("json_file", F.lit(0).alias("w")).unionByName(new.select("json_file", F.lit(1).alias("w")))
             .groupBy("json_file").agg(F.min("w").alias("lo"), F.max("w").alias("hi")).filter("lo <> hi").select("json_file"))
-    if replace:
-        old = old.join(both, "json_file", "left_anti")
-    else:
-        new = new.join(both, "json_file", "left_anti")
-    if dropped is not None:
-        gone = dropped.select("json_file").distinct()
-        old, new = old.join(gone, "json_file", "left_anti"), new.join(gone, "json_file", "left_anti")
+    gone = [dropped.select("json_file")] if dropped is not None else []
+
+    def without(rows: DataFrame, lists: list[DataFrame]) -> DataFrame:
+        return rows.join(reduce(DataFrame.unionByName, lists).distinct(), "json_file", "left_anti") if lists else rows
+    other = [(new if replace else old).select("json_file")] if new_parts else []
+    old, new = without(old, gone + other if replace else gone), without(new, gone if replace else gone + other)
     several = new.select("json_file", "source_round").distinct().groupBy("json_file").agg(F.count("*").alias("n_sources")).filter("n_sources > 1")
     rows = union_layout([old.withColumn("update_origin", F.lit("previous")), new.withColumn("update_origin", F.lit("new"))])
     return PanelBuild(rows, problems, both, several)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from panelkit.plans.panel_build import PanelBuild, build_panel
+from panelkit.schema import union_layout
 from panelkit.session import discard, materialise
 from panelkit.sources.sinks import exists, remove
 from panelkit.streaming.incremental import append_run
@@ -75,8 +76,10 @@ def update(spark: SparkSession, folder: str, new_parts: list[DataFrame], dropped
     """
     _refuse_known(spark, folder, stamp)
     buckets, schema = layout(spark, folder)
-    touched = _touched([*new_parts, *([dropped] if dropped is not None else [])], buckets)
-    built = build_panel(read(spark, folder, touched), new_parts, dropped, remove_gapfill=False, replace=replace)
+    # the new rows are read for their buckets, for reports on both sides and as rows: they are made once
+    new, dropped = materialise(union_layout(new_parts)), materialise(dropped.select("json_file").distinct()) if dropped is not None else None
+    touched = _touched([new, *([dropped] if dropped is not None else [])], buckets)
+    built = build_panel(read(spark, folder, touched), [new], dropped, remove_gapfill=False, replace=replace)
     # found before the panel changes: afterwards every new report is in it
     built.duplicates = materialise(built.duplicates)
     _replace(spark, folder, built.rows.select(*[F.col(f.name).cast(f.dataType) for f in schema]), touched, buckets)

@@ -3,7 +3,7 @@ import datetime
 import re
 
 from panelkit.operators import compare as C, gaps, waterfall
-from panelkit.plans import gap_fill
+from panelkit.plans import gap_fill, panel_build
 from test_compare import COLUMNS, run_rows
 from test_scale import LINES, plan
 from workload import roles
@@ -57,4 +57,21 @@ def test_audits_are_read_once_per_candidate(spark):
 
 
 def test_reports_need_no_names_of_parts(spark):
-    assert "p_partkey" in plan(roles.long_rows(spark, DATA)) and "p_partkey" not in plan(gaps.report_table(roles.long_rows(spark, DATA), "row_no", with_values=True))
+    rows, bare = roles.long_rows(spark, DATA), roles.long_rows(spark, DATA, labels=False)
+    assert rows.columns == bare.columns and "p_partkey" in plan(rows) and "p_partkey" not in plan(bare)
+    assert gaps.report_table(rows, "row_no", with_values=True).exceptAll(gaps.report_table(bare, "row_no", with_values=True)).isEmpty()
+
+
+def test_a_panel_side_is_joined_once(spark):
+    row = "json_file string, hierarchy_id string, value string, source_round string"
+    old = spark.createDataFrame([("a", "1", "o", "round1"), ("b", "1", "o", "round1"), ("c", "1", "o", "gapfill"), (None, "1", "o", "round1"), ("d", "1", "o", "round1")], row)
+    new = spark.createDataFrame([("b", "1", "n", "round2"), ("d", "1", "n", "round2"), ("e", "1", "n", "round2"), (None, "1", "n", "round2")], row)
+    gone = spark.createDataFrame([("d",), ("d",)], "json_file string")
+
+    def kept(build):
+        return sorted((str(r["json_file"]), r["value"]) for r in build.rows.collect())
+    both = panel_build.build_panel(old, [new], gone)
+    assert kept(both) == [("None", "n"), ("None", "o"), ("a", "o"), ("b", "n"), ("e", "n")]
+    assert kept(panel_build.build_panel(old, [new], gone, replace=False)) == [("None", "n"), ("None", "o"), ("a", "o"), ("b", "o"), ("e", "n")]
+    assert kept(panel_build.build_panel(old, [])) == [("None", "o"), ("a", "o"), ("b", "o"), ("d", "o")]
+    assert plan(both.rows).count("LeftAnti") == 2 and "LeftAnti" not in plan(panel_build.build_panel(old, []).rows)

@@ -58,7 +58,7 @@ def bucketed(spark, panel, buckets=16):
 def panel_update_in_buckets(spark, sf):
     """The merge of `build_panel_merge` on a panel in buckets: laid out without its gap fill, then updated where the reports are."""
     old, new, dropped = parts(spark, sf)
-    folder = bucketed(spark, B.build_panel(old, [new[0].limit(0)]).rows)
+    folder = bucketed(spark, B.build_panel(old, []).rows)
     PS.update(spark, folder, new, dropped, stamp="u1")
     return PS.read(spark, folder).select("json_file", "hierarchy_id", "last_actual_year", "value", "source_round", "update_origin")
 
