@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelkit.functions.numbers import comparable, same, tri_state
 from panelkit.functions.text import percent_text, strip
@@ -36,10 +36,11 @@ SUMMARY_COLUMNS = ["json_file", "pdf_file_name", "country", "group", "needs_chec
 
 @dataclass
 class RunComparison:
-    """Lazy results: one row per report, its lined-up lines, those beside their report's facts (`items`, without reports that
-    have no table in any run), one summary row per report, differing rows, and matched keys."""
+    """Lazy results: one row per report, the reports on which all runs agree, the lined-up lines, those beside their report's facts
+    (`items`, without reports that have no table in any run), one summary row per report, differing rows, and matched keys."""
     n_runs: int
     facts: DataFrame
+    agreed: DataFrame
     lines: DataFrame
     items: DataFrame
     summary: DataFrame
@@ -56,14 +57,16 @@ def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
 
-def align_reports(rows: DataFrame, n: int, run: str, order: str) -> DataFrame:
-    """One row per report: its facts in every run (first row of the run) and the report-level group."""
-    told = ["pdf_file_name", "country", "table_found", "last_actual_year"]
+def align_reports(rows: DataFrame, n: int, run: str, order: str, names: bool = True) -> DataFrame:
+    """One row per report: its facts in every run (first row of the run) and the report-level group. names=False leaves out file
+    and country, which decide nothing."""
+    named = ["pdf_file_name", "country"] if names else []
+    told = [*named, "table_found", "last_actual_year"]
     # the lines of a report agree in its facts, mostly in all runs, so they meet by them first, in hash tables of numbers alone
     once = rows.groupBy("json_file", *told).agg(*[F.min(F.when(F.col(run) == r, F.col(order))).alias(f"__at{r}") for r in range(1, n + 1)])
     # normalised once for all runs that agree, and before the last aggregate: a filter on the group would otherwise be pushed below
     # the normalised columns, with a copy of them for each mention
-    fact = F.struct(F.col("pdf_file_name").alias("pdf"), "country", tri_state("table_found").alias("found"), year_for_comparison("last_actual_year").alias("year"))
+    fact = F.struct(*[F.col(c).alias(c.replace("_file_name", "")) for c in named], tri_state("table_found").alias("found"), year_for_comparison("last_actual_year").alias("year"))
     once = once.select("json_file", key_hash("json_file"), fact.alias("fact"), *[f"__at{r}" for r in range(1, n + 1)])
     facts = once.groupBy("__h", "json_file").agg(*[F.min_by("fact", f"__at{r}").alias(f"f{r}") for r in range(1, n + 1)]).drop("__h")
     f = [F.col(f"f{r}") for r in range(1, n + 1)]
@@ -107,6 +110,8 @@ def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str =
     items = align_items(rows, n_runs, run, order)
     if reuse:
         facts, items = materialise(facts), materialise(items)
+    decided = facts if reuse else align_reports(rows, n_runs, run, order, names=False)
+    agreed = decided.filter(F.col("report_group").isNull()).select("json_file")
     aligned = split_join(items, facts, ["json_file"]).filter(
         ~F.col("report_group").eqNullSafe(F.lit("no_table_in_all_runs")))
     is_match = F.col("row_type").isNull() & F.col("report_group").isNull()
@@ -131,7 +136,7 @@ def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str =
         F.lit("").alias("error_by_run"))
 
     matched = aligned.filter(is_match).select("json_file", "hierarchy_id")
-    return RunComparison(n_runs, facts, items, aligned, summary, _diff_rows(aligned.filter(~is_match), n_runs), matched)
+    return RunComparison(n_runs, facts, agreed, items, aligned, summary, _diff_rows(aligned.filter(~is_match), n_runs), matched)
 
 
 def _pair_ok(a: Column, b: Column) -> Column:
@@ -157,10 +162,31 @@ def _diff_rows(aligned: DataFrame, n: int) -> DataFrame:
         F.coalesce(F.col("report_group"), F.col("row_type")).alias("diff_type"))
 
 
-def matched_rows(rows: DataFrame, comparison: RunComparison, source_run: int = 1, run: str = "run_no") -> DataFrame:
-    """Full rows of the source run whose key matched in every run (semi join, hot reports spread)."""
-    source = rows.filter(F.col(run) == source_run)
-    return split_join(source, comparison.matched, ["json_file", "hierarchy_id"], "left_semi")
+def matched_rows(rows: DataFrame, comparison: RunComparison, source_run: int = 1, run: str = "run_no", order: str = "row_no") -> DataFrame:
+    """Full rows of the source run whose key matched in every run; `rows` are those of all compared runs.
+
+    Rows move once: they meet the reports on which the runs agree (semi join, hot reports spread), and the lines of a report are
+    lined up by windows where they then are. Only where a hot report was cut, adaptive execution deals its rows anew, by line.
+    Of the other runs only what is compared goes along.
+    """
+    runs = range(1, comparison.n_runs + 1)
+    is_source = F.col(run) == source_run
+    compared = ["json_file", "hierarchy_id", "top_category", order, run, "value"]
+    told = [F.when(is_source, F.col(c)).alias(c) for c in rows.columns if c not in compared]
+    lines = rows.filter(F.col("hierarchy_id").isNotNull() & (is_source | F.col(run).isin(*runs))).select(*compared[:-2], *told, *compared[-2:])
+    key = F.xxhash64("json_file")
+    # one short row per report: held in a hash table, it spares the lines a sort
+    agreed = comparison.agreed.withColumn("__h", key).hint("shuffle_hash")
+    lines = lines.withColumn("__h", key).join(agreed, ["__h", "json_file"], "left_semi")
+    val = comparable("value")
+    lines = lines.withColumn("__val", val).withColumns({"__num": F.col("__val.num"), "__txt": F.col("__val.txt"), "value": F.when(is_source, F.col("value"))}).drop("__val")
+    line = Window.partitionBy("__h", "json_file", "hierarchy_id")
+    last = {f"__{c}{r}": F.max_by(source, F.when(F.col("top_category").isNotNull() & (F.col(run) == r), F.col(order))).over(line)
+            for r in runs for c, source in (("top", "top_category"), ("n", "__num"), ("t", "__txt"))}
+    tops = [F.col(f"__top{r}") for r in runs]
+    vals = [{"num": F.col(f"__n{r}"), "txt": F.col(f"__t{r}")} for r in runs]
+    equal = _all([t == tops[0] for t in tops[1:]]) & _all([same(vals[0], v) for v in vals[1:]])
+    return lines.withColumns(last).filter(is_source & equal).select(*rows.columns)
 
 
 def failed_everywhere(errors: DataFrame, known: DataFrame, n_runs: int) -> DataFrame:

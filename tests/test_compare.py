@@ -92,6 +92,50 @@ def test_matched_rows_come_from_the_source_run(rows, three):
     assert m.filter("run_no <> 1").count() == 0 and m.count() == three.matched.count()
 
 
+def test_matched_rows_are_all_rows_of_a_matched_key(spark):
+    """A repeated id gives all its rows, one without a category too; rows without a key and of other runs give none."""
+    twice = [*BASE, ("1", "change_in_debt", "7"), ("2", None, "4"), (None, "residual", "1"), ("9", None, "1")]
+    stacked = [(*r, i) for i, r in enumerate(report("T", 1, [x for x in twice if x[0]]) + report("T", 2, change(BASE, v1="7.0")) + report("T", 9, [("5", "other", "1")]))]
+    keyless = [(*r[:7], None, *r[8:]) for r in stacked[:1]] + [(None, *r[1:]) for r in stacked[:1]]
+    df = spark.createDataFrame(stacked + keyless, COLUMNS)
+    for reuse in (False, True):
+        c = C.compare_runs(df, 2, reuse=reuse)
+        got = C.matched_rows(df, c)
+        assert got.columns == df.columns
+        assert sorted((r["hierarchy_id"], str(r["top_category"]), r["value"], r["label_verbatim"], r["row_no"]) for r in got.collect()) == [
+            ("1", "change_in_debt", "1.5", "label 1", 0), ("1", "change_in_debt", "7", "label 1", 5), ("2", "None", "4", "label 2", 6),
+            ("2", "identified_flows", "0.5", "label 2", 1), ("3", "primary_balance", "-0.3", "label 3", 2),
+            ("3.1", "primary_balance", "20.1", "label 3.1", 3), ("6", "residual", "1.0", "label 6", 4)]
+        # the plain way: a join with the matched keys
+        plain = df.filter("run_no = 1").join(c.matched, ["json_file", "hierarchy_id"], "left_semi").select(df.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+        second = C.matched_rows(df, c, source_run=2).collect()
+        assert {(r["hierarchy_id"], r["value"]) for r in second} == {("1", "7.0"), ("2", "0.5"), ("3", "-0.3"), ("3.1", "20.1"), ("6", "1.0")}
+
+
+def test_matched_rows_of_a_hot_report_are_spread(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "60KB"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        i = F.col("id") % 20000
+        rows = spark.range(0, 60000, 1, 8).select(
+            F.when(i % 3 == 0, i.cast("string")).otherwise("hot").alias("json_file"), F.lit("p").alias("pdf_file_name"), F.lit("c").alias("country"), F.lit("True").alias("table_found"),
+            F.lit("2016").alias("last_actual_year"), F.lit("residual").alias("top_category"), i.cast("string").alias("hierarchy_id"), F.sha2(i.cast("string"), 256).alias("label_verbatim"),
+            F.when((F.col("id") >= 40000) & (i % 100 == 1), "8").otherwise("7").alias("value"), (F.col("id") / 20000).cast("int").alias("run_at"), F.col("id").alias("row_no"))
+        rows = rows.withColumn("run_no", F.col("run_at") + 1).drop("run_at")
+        out = C.matched_rows(rows, C.compare_runs(rows, 3))
+        got = out.collect()
+        assert len(got) == 19800 and {r["row_no"] for r in got} == {i for i in range(20000) if i % 100 != 1}
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_failed_everywhere_and_totals(spark, rows):
     errors = spark.createDataFrame([(1, "Z_2016-01-01", "boom"), (3, "Z_2016-01-01", " "), (1, "A", "late"), (2, "W", "x")], "run_no int, stem string, message string")
     check = R.check_round(rows, 3, errors)

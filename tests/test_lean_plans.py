@@ -75,3 +75,13 @@ def test_a_panel_side_is_joined_once(spark):
     assert kept(panel_build.build_panel(old, [new], gone, replace=False)) == [("None", "n"), ("None", "o"), ("a", "o"), ("b", "o"), ("e", "n")]
     assert kept(panel_build.build_panel(old, [])) == [("None", "o"), ("a", "o"), ("b", "o"), ("d", "o")]
     assert plan(both.rows).count("LeftAnti") == 2 and "LeftAnti" not in plan(panel_build.build_panel(old, []).rows)
+
+
+def test_matched_rows_move_once(spark):
+    rows = spark.createDataFrame(run_rows(), COLUMNS)
+    sent = [x for x in plan(C.matched_rows(rows, C.compare_runs(rows, 3)).select("json_file", "value")).splitlines() if "Exchange hashpartitioning" in x]
+    # lines once, reports on which the runs agree three times: by facts, by name, beside the lines
+    assert len(sent) == 4 and not any("hierarchy_id" in x for x in sent)
+    wide = plan(roles.long_rows(spark, DATA))
+    join = wide[wide.index("SortMergeJoin [k#"):] if "SortMergeJoin [k#" in wide else wide[wide.index("HashJoin [k#"):]
+    assert "other_identified_flows" not in join

@@ -64,8 +64,9 @@ def compare_runs_diffs(spark, sf):
 
 @query("compare_runs_matched", f"""WITH {CMP} SELECT run.json_file, run.hierarchy_id, run.label_verbatim, run.value FROM run JOIN al USING (json_file, hierarchy_id) WHERE run_no = 1 AND rg IS NULL AND rt IS NULL""")
 def compare_runs_matched(spark, sf):
-    rows = R.runs(spark, sf)
-    return C.matched_rows(rows, C.compare_runs(rows, 3)).select("json_file", "hierarchy_id", "label_verbatim", "value")
+    # reports agree or not without the labels of their lines
+    agree = C.compare_runs(R.runs(spark, sf, labels=False), 3)
+    return C.matched_rows(R.runs(spark, sf), agree).select("json_file", "hierarchy_id", "label_verbatim", "value")
 
 
 GROUP_VALUES = ", ".join(f"('{g}')" for g in C.GROUPS)

@@ -70,21 +70,26 @@ rpt AS (SELECT k, ck, country, report_date, pub_year, obs, country || '_' || rep
 
 # ---- line items ---------------------------------------------------------------------------------------
 
-def items(spark: SparkSession, sf: str, labels: bool = True) -> DataFrame:
-    """One row per order and line number: hierarchy id, category, label (a part's name), value text. labels=False leaves labels null, for
-    what is told per report alone and doesn't ask for them."""
+def lines(spark: SparkSession, sf: str, labels: bool = True) -> DataFrame:
+    """One row per order and line number, with what `item_columns` are told from: cents and label (a part's name). labels=False leaves
+    labels null, for what is told per report alone and doesn't ask for them."""
     li = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("ln")).agg(
         F.round(F.sum("l_extendedprice") * 100).cast("long").alias("cents"), F.min("l_partkey").alias("p_partkey"))
     part = table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("label_verbatim"))
-    m, n = F.col("k") + F.col("ln"), F.col("cents")
+    named = li.join(part, "p_partkey", "left") if labels else li.withColumn("label_verbatim", F.lit(None).cast("string"))
+    return named.select("k", "ln", "cents", "label_verbatim")
+
+
+def item_columns() -> list[Column]:
+    """Hierarchy id, category, level, label, value text and place of a line."""
+    k, ln, n = F.col("k"), F.col("ln"), F.col("cents")
+    m = k + ln
     value = case(n.cast("string"), (m % 37 == 0, F.lit("n.a.")), (m % 11 == 0, F.lit("0.0")), (m % 5 == 0, text("-", n)),
                  (m % 13 == 0, text(F.floor(n / 1000), ",", F.lpad((n % 1000).cast("string"), 3, "0"))))
-    hid = F.when(F.col("ln") == 7, "5.1").otherwise(F.col("ln").cast("string"))
-    top = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), F.when(F.col("ln") == 7, 5).otherwise(F.col("ln")))
-    named = li.join(part, "p_partkey", "left") if labels else li.withColumn("label_verbatim", F.lit(None).cast("string"))
-    return named.select(
-        "k", "ln", "cents", hid.alias("hierarchy_id"), top.alias("top_category"), F.when(F.col("ln") == 7, "1").otherwise("0").alias("level"),
-        "label_verbatim", value.alias("value"), (F.col("k") * 10 + F.col("ln")).alias("row_no"))
+    hid = F.when(ln == 7, "5.1").otherwise(ln.cast("string"))
+    top = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), F.when(ln == 7, 5).otherwise(ln))
+    return [hid.alias("hierarchy_id"), top.alias("top_category"), F.when(ln == 7, "1").otherwise("0").alias("level"),
+            F.col("label_verbatim"), value.alias("value"), (k * 10 + ln).alias("row_no")]
 
 
 ITEMS = r"""
@@ -106,9 +111,9 @@ def long_rows(spark: SparkSession, sf: str, audit: bool = False, labels: bool =
     r = reports(spark, sf)
     if audit:
         r = r.withColumn("column_header_audit_json", audit_json())
-    i = items(spark, sf, labels).select("k", *ITEM_COLUMNS)
-    found = r.filter("table_found = 'True'").join(i, "k")
-    none = r.filter("table_found = 'False'").select("*", *[F.lit(None).cast(i.schema[c].dataType).alias(c) for c in ITEM_COLUMNS[:-1]],
+    # numbers meet their report before texts are made of them
+    found = r.filter("table_found = 'True'").join(lines(spark, sf, labels), "k").select(*r.columns, *item_columns())
+    none = r.filter("table_found = 'False'").select("*", *[F.lit(None).cast(found.schema[c].dataType).alias(c) for c in ITEM_COLUMNS[:-1]],
                                                      (F.col("k") * 10).alias("row_no"))
     return found.unionByName(none)
 
