@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import mix64, prepare, texts_of, written
-from panelkit.llm.word_tokens import encoder
+from panelkit.llm.word_tokens import encoder, forget
 
 LENGTH, PER_SHARD, ROUNDS = 2048, 4096, 6
 
@@ -78,6 +78,13 @@ def read_record(raw: bytes) -> np.ndarray:
     return ids
 
 
+def texts_by_row(batch: pa.RecordBatch, rows: int = 100):
+    """(id, text) of every row; the texts of some rows at a time are made, not those of the batch."""
+    for at in range(0, batch.num_rows, rows):
+        part = batch.slice(at, rows)
+        yield from zip(part.column(0).to_pylist(), texts_of(part.column(1)), strict=True)
+
+
 def write_shards(docs: DataFrame, vocabulary: str, path: str, key: int, end: int, length: int = LENGTH, per_shard: int = PER_SHARD) -> DataFrame:
     """Write the shards under path (shard=N folders of one file each) and return slot, shard, position (in the shard),
     n_tokens and pieces (doc_id, start: the document's tokens before, length) of every sequence.
@@ -89,23 +96,23 @@ def write_shards(docs: DataFrame, vocabulary: str, path: str, key: int, end: int
     """
     prepare(docs.sparkSession)
     piece = pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32())])
-    names = ["__part", "__at", "n_tokens", "pieces", "__body"]
+    names = ["__part", "__at", "n_tokens", "pieces", "z"]
 
     def cut(batches):
         from pyspark import TaskContext
 
         part, at = TaskContext.get().partitionId(), 0
-        encode = encoder(vocabulary).encode
+        encode, squeeze = encoder(vocabulary).encode, zstandard.ZstdCompressor(level=3).compress
         held, size, pieces = [], 0, []
 
         def take(rows):
             nonlocal held, size, pieces, at
-            rows.append((part, at, size, pieces, np.concatenate(held).tobytes()))
+            rows.append((part, at, size, pieces, squeeze(np.concatenate(held).tobytes())))
             at, held, size, pieces = at + 1, [], 0, []
 
         for b in batches:
             rows: list[tuple] = []
-            for doc, t in zip(b.column(0).to_pylist(), texts_of(b.column(1)), strict=True):
+            for doc, t in texts_by_row(b):
                 ids = np.append(np.frombuffer(encode(t), "<u4"), end).astype("<u2")
                 start = 0
                 while start < len(ids):
@@ -124,7 +131,7 @@ def write_shards(docs: DataFrame, vocabulary: str, path: str, key: int, end: int
 
     kinds = [pa.int32(), pa.int64(), pa.int32(), pa.list_(piece), pa.binary()]
     cuts = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        cut, "__part int, __at long, n_tokens int, pieces array<struct<doc_id: long, start: long, length: int>>, __body binary"))
+        cut, "__part int, __at long, n_tokens int, pieces array<struct<doc_id: long, start: long, length: int>>, z binary"))
     counts = sorted((r["__part"], r.n) for r in cuts.groupBy("__part").agg(F.count("*").alias("n")).collect())
     total = sum(n for _, n in counts)
     before, starts = 0, []
@@ -137,18 +144,15 @@ def write_shards(docs: DataFrame, vocabulary: str, path: str, key: int, end: int
     def slots(index: pa.Array) -> pa.Array:
         return pa.array(slot_of(index.to_numpy(), total, key))
 
-    def squeezed(body: pa.Array) -> pa.Array:
-        z = zstandard.ZstdCompressor(level=3)
-        return pa.array([z.compress(b) for b in body.to_pylist()], pa.binary())
-
     def records(body: pa.Array) -> pa.Array:
+        forget()
         z = zstandard.ZstdDecompressor()
         return pa.array([record(np.frombuffer(z.decompress(b), "<u2"), length) for b in body.to_pylist()], pa.binary())
 
     slotted = numbered.withColumn("slot", F.arrow_udf(slots, "long")(F.col("__before") + F.col("__at")))
     shards = max(1, -(-total // per_shard))
     shard = F.floor(F.col("slot") / per_shard).cast("int")
-    dealt = slotted.select("slot", shard.alias("shard"), F.arrow_udf(squeezed, "binary")("__body").alias("z")).repartitionById(shards, F.col("shard"))
+    dealt = slotted.select("slot", shard.alias("shard"), "z").repartitionById(shards, F.col("shard"))
     ordered = dealt.sortWithinPartitions("shard", "slot").select("shard", F.arrow_udf(records, "binary")("z").cast("string").alias("value"))
     ordered.write.partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(path)
     return slotted.select("slot", shard.alias("shard"), (F.col("slot") % per_shard).cast("int").alias("position"), "n_tokens", "pieces")
@@ -159,17 +163,22 @@ def read_shards(spark, path: str, length: int = LENGTH, per_shard: int = PER_SHA
     prepare(spark)
     size = stride(length)
 
+    def told(file: str, raw: pa.Scalar) -> pa.RecordBatch:
+        shard = int(file.rsplit("shard=", 1)[1].split("/", 1)[0])
+        view = memoryview(raw.as_buffer())              # no copy of the file
+        if len(view) % size:
+            raise ValueError(f"{file}: not a whole number of records")
+        ids = [read_record(view[at : at + size]) for at in range(0, len(view), size)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(ids)) + shard * per_shard), pa.array([len(i) for i in ids], pa.int32()), pa.array([zlib.crc32(i) for i in ids], pa.int64())],
+            ["slot", "n_tokens", "ids_crc32"])
+
     def slots(batches):
+        forget()
         for b in batches:
-            for file, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                shard = int(file.rsplit("shard=", 1)[1].split("/", 1)[0])
-                view = memoryview(raw.as_buffer())              # no copy of the file
-                if len(view) % size:
-                    raise ValueError(f"{file}: not a whole number of records")
-                ids = [read_record(view[at : at + size]) for at in range(0, len(view), size)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(ids)) + shard * per_shard), pa.array([len(i) for i in ids], pa.int32()), pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64())],
-                    ["slot", "n_tokens", "ids_crc32"])
+            found = [told(file, raw) for file, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True)]
+            del b                                       # a file isn't held while the next one comes
+            yield from found
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
     return files.select("path", "content").mapInArrow(slots, "slot long, n_tokens int, ids_crc32 long")

@@ -26,15 +26,31 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class _Cache(dict):
-    def __init__(self, make, most: int):
-        self.make, self.most = make, most
+class _Known(dict):
+    """Ids of words and of space-free pieces: a piece that is one lower-case word is found under that word, at the first look."""
 
-    def __missing__(self, key):
-        value = self.make(key)
-        if len(self) < self.most:
-            self[key] = value
-        return value
+    def __init__(self, word):
+        self.word, self.words, self.pieces = word, CACHED_WORDS, CACHED_PIECES
+
+    def __missing__(self, piece: str) -> bytes:
+        low = piece.lower()
+        if low.isalpha():
+            parts = (low,)
+        elif low[:-1].isalpha() and low[-1] in ".,;:!?":
+            parts = (low[:-1], low[-1])
+        else:
+            parts = _WORD.findall(low)
+        if len(parts) == 1 and parts[0] == piece:
+            ids = self.word(piece)
+            if self.words:
+                self.words -= 1
+                self[piece] = ids
+            return ids
+        ids = b"".join([self[p] for p in parts])
+        if self.pieces:
+            self.pieces -= 1
+            self[piece] = ids
+        return ids
 
 
 class WordEncoder:
@@ -45,27 +61,18 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.model, self.letters = self.library.model, _byte_letters()
-        self.words = _Cache(self._word, CACHED_WORDS)
-        self.pieces = _Cache(self._piece, CACHED_PIECES)
+        self.known = _Known(self._word)
 
     def _word(self, word: str) -> bytes:
         if not word.isascii():
             word = word.encode().decode("latin1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        low = piece.lower()
-        if low.isalpha():
-            return self.words[low]
-        if low[:-1].isalpha() and low[-1] in ".,;:!?":
-            return self.words[low[:-1]] + self.words[low[-1]]
-        return b"".join(map(self.words.__getitem__, _WORD.findall(low)))
-
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
         if _UNUSUAL.search(text) or any(s in text for s in self.special):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.pieces.__getitem__, text.split()))
+        return b"".join(map(self.known.__getitem__, text.split()))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -76,3 +83,9 @@ def encoder(path: str) -> WordEncoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
+
+
+def forget() -> None:
+    """Let go of what this worker's encoders remember, for a step that needs the memory."""
+    for e in _ENCODERS.values():
+        e.known = _Known(e._word)

@@ -83,6 +83,25 @@ def test_words_as_the_library(s):
         assert np.frombuffer(own.encode(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+def test_a_lower_case_piece_is_one_entry():
+    own = WordEncoder(WORD)
+    made = []
+    plain, own.known.word = own.known.word, lambda w: made.append(w) or plain(w)
+    text = "grow Grow grow, it's GROW! grow 12.5% grow"
+    assert own.encode(text) == own.encode(text)
+    assert made == ["grow", ",", "it", "'s", "!", "1", "2", ".", "5", "%"]
+    assert set(own.known) == {*made, "Grow", "grow,", "it's", "GROW!", "12.5%"}
+    own.known.words = own.known.pieces = 0
+    assert own.encode("Unknown words, too") == np.array(own.library.encode("Unknown words, too", add_special_tokens=False).ids, "<u4").tobytes()
+    assert len(own.known) == 15
+
+
+def test_texts_of_a_batch_come_in_order():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(250)), pa.array([None if i % 7 == 0 else str(i) for i in range(250)])], ["doc_id", "text"])
+    assert list(token_shards.texts_by_row(batch)) == [(i, "" if i % 7 == 0 else str(i)) for i in range(250)]
+    assert list(token_shards.texts_by_row(batch.slice(0, 0))) == []
+
+
 def test_packing(s, odd, none):
     library = Tokenizer.from_file(WORD)
     rows = packing.best_fit_packing(odd, WORD, 64).collect()
