@@ -7,6 +7,7 @@ possible. What is still underfull in a block is dealt anew with that of other bl
 """
 import bisect
 import zlib
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -14,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import prepare, texts_of, written
-from panelkit.llm.word_tokens import encoder
+from panelkit.llm.common import lean, prepare, texts_of, written
+from panelkit.llm.word_tokens import encoder, forget
 
 SIZE = 2048
 #: Pieces that one task packs, rounds of dealing leftovers anew, and the fill from which a sequence is left as it is.
@@ -207,9 +208,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, size: int = SIZE, end: int = 0)
     prepare(docs.sparkSession)
     stop = np.array([end], "<u4").tobytes()
 
-    @F.arrow_udf("array<struct<piece: int, start: long, length: long, ids_crc32: long>>")
-    def cut(texts: pa.Array) -> pa.Array:
-        encode = encoder(vocabulary).encode
+    def pieces(texts: pa.Array, encode) -> pa.Array:
         out = []
         for t in texts_of(texts):
             ids = encode(t) + stop
@@ -220,6 +219,13 @@ def pieces_of(docs: DataFrame, vocabulary: str, size: int = SIZE, end: int = 0)
         kind = pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
         return pa.array(out, pa.list_(kind))
 
+    @F.arrow_udf("array<struct<piece: int, start: long, length: long, ids_crc32: long>>")
+    @lean
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pieces(texts, encoder(vocabulary).encode)
+        forget()
+
     return docs.select("doc_id", F.explode(cut(F.col("text"))).alias("p")).select("doc_id", "p.*")
 
 
@@ -260,7 +266,7 @@ def pack(pieces: DataFrame, size: int = SIZE, block: int = BLOCK, rounds: int =
             break
         blocks = -(-n // block)
         dealt = open_.withColumn("__block", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(round_no)), F.lit(blocks)))
-        got = written(dealt.groupBy("__block").applyInArrow(packer(round_no, blocks), out_schema))
+        got = written(dealt.groupBy("__block").applyInArrow(lean(packer(round_no, blocks)), out_schema))
         done.append(got.where("not __left").drop("__left"))
         open_ = got.where("__left").select(columns)
     out = done[0]

@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import mix64, prepare, texts_of, written
+from panelkit.llm.common import lean, mix64, prepare, texts_of, written
 from panelkit.llm.word_tokens import encoder, forget
 
 LENGTH, PER_SHARD, ROUNDS = 2048, 4096, 6
@@ -128,10 +128,11 @@ def write_shards(docs: DataFrame, vocabulary: str, path: str, key: int, end: int
             rows = []
             take(rows)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+        forget()
 
     kinds = [pa.int32(), pa.int64(), pa.int32(), pa.list_(piece), pa.binary()]
     cuts = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        cut, "__part int, __at long, n_tokens int, pieces array<struct<doc_id: long, start: long, length: int>>, z binary"))
+        lean(cut), "__part int, __at long, n_tokens int, pieces array<struct<doc_id: long, start: long, length: int>>, z binary"))
     counts = sorted((r["__part"], r.n) for r in cuts.groupBy("__part").agg(F.count("*").alias("n")).collect())
     total = sum(n for _, n in counts)
     before, starts = 0, []
@@ -149,11 +150,11 @@ def write_shards(docs: DataFrame, vocabulary: str, path: str, key: int, end: int
         z = zstandard.ZstdDecompressor()
         return pa.array([record(np.frombuffer(z.decompress(b), "<u2"), length) for b in body.to_pylist()], pa.binary())
 
-    slotted = numbered.withColumn("slot", F.arrow_udf(slots, "long")(F.col("__before") + F.col("__at")))
+    slotted = numbered.withColumn("slot", F.arrow_udf(lean(slots), "long")(F.col("__before") + F.col("__at")))
     shards = max(1, -(-total // per_shard))
     shard = F.floor(F.col("slot") / per_shard).cast("int")
     dealt = slotted.select("slot", shard.alias("shard"), "z").repartitionById(shards, F.col("shard"))
-    ordered = dealt.sortWithinPartitions("shard", "slot").select("shard", F.arrow_udf(records, "binary")("z").cast("string").alias("value"))
+    ordered = dealt.sortWithinPartitions("shard", "slot").select("shard", F.arrow_udf(lean(records), "binary")("z").cast("string").alias("value"))
     ordered.write.partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(path)
     return slotted.select("slot", shard.alias("shard"), (F.col("slot") % per_shard).cast("int").alias("position"), "n_tokens", "pieces")
 
@@ -181,4 +182,4 @@ def read_shards(spark, path: str, length: int = LENGTH, per_shard: int = PER_SHA
             yield from found
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
-    return files.select("path", "content").mapInArrow(slots, "slot long, n_tokens int, ids_crc32 long")
+    return files.select("path", "content").mapInArrow(lean(slots), "slot long, n_tokens int, ids_crc32 long")

@@ -86,6 +86,6 @@ def encoder(path: str) -> WordEncoder:
 
 
 def forget() -> None:
-    """Let go of what this worker's encoders remember, for a step that needs the memory."""
+    """Let go of what this worker's encoders remember: at the end of a task, or for a step that needs the memory."""
     for e in _ENCODERS.values():
         e.known = _Known(e._word)

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from panelkit.llm import ann, byte_bpe, chat, packing, prob_minhash, qda, quality_bands, suffix_dedup, token_shards, toxicity
-from panelkit.llm.common import held_out, prepare, utf8
+from panelkit.llm.common import held_out, lean, prepare, utf8
 from panelkit.llm.queries import ORACLE_SQL, QUERIES
 from panelkit.llm.shingles import shingles
 from panelkit.llm.word_tokens import WordEncoder
@@ -269,6 +269,27 @@ def test_discriminant_as_the_formula():
     assert np.allclose(m.log_odds(x), want)
 
 
+def test_workers_let_go(s, odd, tmp_path, monkeypatch):
+    def remembered(batches):
+        from panelkit.llm import word_tokens
+
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(len(e.known) for e in word_tokens._ENCODERS.values())])], ["n"])
+
+    def left():
+        return s.range(0, 64, 1, 64).mapInArrow(remembered, "n long").agg(F.max("n")).first()[0]
+
+    assert packing.pieces_of(odd, WORD).where("length > 0").count() > len(ODD)
+    assert left() == 0                                            # an idle worker remembers no words
+    token_shards.write_shards(odd, WORD, str(tmp_path / "shards"), key=3, end=49407, length=64, per_shard=5)
+    assert left() == 0
+    gone = []
+    monkeypatch.setattr("panelkit.llm.common.let_go", lambda: gone.append(1))
+    rows = lean(lambda x: (yield from x))([1, 2])
+    assert next(rows) == 1 and not gone and list(rows) == [2] and gone == [1]
+    assert lean(lambda x, y: x + y)(1, 2) == 3 and gone == [1, 1]
+
+
 def test_feistel_and_shards(s, odd, none, tmp_path):
     for n in (1, 2, 5, 17, 1000):
         slot = token_shards.slot_of(np.arange(n), n, 9)
