@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from panelkit.llm import packing, prob_minhash, qda, quality_bands, suffix_dedup  # noqa: E402
-from panelkit.llm.common import held_out, prepare, table, written  # noqa: E402
+from panelkit.llm.common import held_out, lean, prepare, table, written  # noqa: E402
 from panelkit.session import alone  # noqa: E402
 
 #: Documents with a lower quality score go.
@@ -76,7 +76,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     rows = docs.select(F.struct(*docs.columns).alias("document"), "doc_id", "text")
     done = suffix_dedup.suffix_dedup(rows, ["document"], length=PASSAGE, gram=PASSAGE // 4)
     cut = F.col("removal.n_removed") > 0
-    left = done.withColumn("left", F.when(cut, F.arrow_udf(_whole_characters, "string")(F.when(cut, F.col("document.text")).otherwise(""), F.when(cut, F.col("removal.spans")).otherwise(F.array()))))
+    left = done.withColumn("left", F.when(cut, F.arrow_udf(lean(_whole_characters), "string")(F.when(cut, F.col("document.text")).otherwise(""), F.when(cut, F.col("removal.spans")).otherwise(F.array()))))
     changed = {"text": F.coalesce("left", "document.text")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(cut, F.length("left").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("document.n_chars"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import mix64, prepare, row_blocks, utf8, written
+from panelkit.llm.common import lean, mix64, prepare, row_blocks, utf8, written
 from panelkit.llm.shingles import WORDS, shingles
 from panelkit.operators.spread import split_join
 
@@ -210,7 +210,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = SIMILARI
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     known = docs.where("id is not null")
-    signed = written(known.mapInArrow(_signed(words, bands, rows), "id long, key1 long, key2 long, signature binary, bands array<long>, total long"))
+    signed = written(known.mapInArrow(lean(_signed(words, bands, rows)), "id long, key1 long, key2 long, signature binary, bands array<long>, total long"))
     nodes = written(signed.groupBy("key1", "key2").agg(F.min("id").alias("node"), F.first("signature").alias("signature"), F.first("bands").alias("bands"), F.first("total").alias("total")))
     member = signed.select("id", "key1", "key2").join(nodes.select("key1", "key2", "node"), ["key1", "key2"]).select("id", "node")
     marks = nodes.select("node", "signature")
@@ -243,10 +243,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = SIMILARI
     def verified(pairs: DataFrame) -> DataFrame:
         """Those of the candidate pairs (a, b) that are links."""
         close = pairs.join(marks.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a").join(
-            marks.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b").where(F.arrow_udf(alike, "boolean")("sa", "sb"))
+            marks.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b").where(F.arrow_udf(lean(alike), "boolean")("sa", "sb"))
         both = close.select("a", "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(
             texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-        return written(both.mapInArrow(_verified(words, least), "a long, b long"))
+        return written(both.mapInArrow(lean(_verified(words, least)), "a long, b long"))
 
     def pairs_of(frame: DataFrame, x: str, y: str) -> DataFrame:
         return frame.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
@@ -278,7 +278,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = SIMILARI
     if open_.isEmpty():
         return classes(labels)
     several = open_.select(F.col("node").alias("id")).distinct()
-    sparse = texts.join(several, "id").mapInArrow(_shingle_rows(words), "node long, shingle long, weight long")
+    sparse = texts.join(several, "id").mapInArrow(lean(_shingle_rows(words)), "node long, shingle long, weight long")
     rare = sparse.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.sum("weight").alias("weight")).where("n = 1")
     own = rare.groupBy("node").agg(F.sum("weight").alias("own"))
     total = nodes.select("node", "total")
@@ -312,7 +312,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = SIMILARI
     crowd = crowd.join(able.groupBy("node").agg(F.first("label").alias("label"), F.first("odds").alias("odds")), "node").join(nodes.select("node", "signature", "bands"), "node")
     crowd = crowd.join(texts.withColumnRenamed("id", "node"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     crowd = crowd.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "odds", "signature", "bands", "text")
-    links = links.union(written(crowd.groupBy("cluster", "i", "j").applyInArrow(_block_links(words, least, slack, bound, registers, bands), "a long, b long")))
+    links = links.union(written(crowd.groupBy("cluster", "i", "j").applyInArrow(lean(_block_links(words, least, slack, bound, registers, bands)), "a long, b long")))
     labels = components(links)
 
     return classes(labels)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import prepare, texts_of, written
+from panelkit.llm.common import lean, prepare, texts_of, written
 
 #: Least shrinkage, and what is added to every variance.
 LEAST_SHRINK, RIDGE = 0.01, 1e-3
@@ -54,7 +54,7 @@ def _statistics(texts: pa.Array) -> pa.Array:
 def document_statistics(text: Column) -> Column:
     """The statistics of a text column; null counts as the empty text."""
     prepare()
-    return F.arrow_udf(_statistics, "array<double>")(text)
+    return F.arrow_udf(lean(_statistics), "array<double>")(text)
 
 
 @dataclass
@@ -108,7 +108,7 @@ def fit(rows: DataFrame, features: str = "features", label: str = "label") -> Mo
                  pa.array(np.concatenate([total[c].ravel() for c in total]), pa.float64())], ["c", "at", "v"])
 
     used = rows.select(features, F.col(label).cast("int").alias("y")).where("y in (0, 1)")
-    got = used.mapInArrow(sums, "c int, at int, v double").groupBy("c", "at").agg(F.sum("v").alias("v")).collect()
+    got = used.mapInArrow(lean(sums), "c int, at int, v double").groupBy("c", "at").agg(F.sum("v").alias("v")).collect()
     m = np.zeros((2, (d + 1) ** 2))
     for r in got:
         m[r.c, r.at] = r.v
@@ -130,6 +130,7 @@ def score(model: Model, features: Column) -> Column:
     """The quality score of a feature column, by a model that holds a few matrices."""
 
     @F.arrow_udf("double")
+    @lean
     def scored(x: pa.Array) -> pa.Array:
         return pa.array(model.score(np.array(x.to_pylist(), float).reshape(-1, N_STATISTICS)))
 

@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import prepare, texts_of
+from panelkit.llm.common import lean, prepare, texts_of
 
 #: log2 of the bytes, least and greatest ratio of ordinary text there; linear in between, constant outside.
 BANDS = [
@@ -117,4 +117,4 @@ def quality_bands(text: Column) -> Column:
     length is compressed whole, chunk by chunk.
     """
     prepare()
-    return F.arrow_udf(_measured, SCHEMA)(text)
+    return F.arrow_udf(lean(_measured), SCHEMA)(text)

@@ -290,6 +290,38 @@ def test_workers_let_go(s, odd, tmp_path, monkeypatch):
     assert lean(lambda x, y: x + y)(1, 2) == 3 and gone == [1, 1]
 
 
+def test_crowded_anchor_takes_bounded_memory(monkeypatch):
+    """4,000 differing contexts of one anchor; counted and verified in small parts, the windows stay the same."""
+    import tracemalloc
+
+    rng, n, length = np.random.default_rng(1), 4000, 250
+    core, bodies, anchor = rng.integers(97, 101, 2 * length, dtype=np.uint8), [], []
+    for left, right in zip(rng.integers(0, 190, n), rng.integers(60, length, n), strict=True):
+        before = rng.integers(97, 100, max(0, 188 - left), dtype=np.uint8)
+        bodies.append(np.concatenate([before, core[length - left : length + right], rng.integers(97, 100, length, dtype=np.uint8)]))
+        anchor.append(len(before) + left)
+    end = np.cumsum([len(b) for b in bodies])
+    start = np.concatenate([[0], end[:-1]])
+    at = start + np.array(anchor)
+    given = np.concatenate(bodies), start, end, at, start, np.minimum(at, end - length), np.zeros(n, np.int64), length
+
+    def peak():
+        tracemalloc.start()
+        found = suffix_dedup.repeated_windows(*given)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return found, most
+
+    peak()                                                        # tables that are kept by size
+    found, most = peak()
+    monkeypatch.setattr(suffix_dedup, "VERIFIED", 1 << 40)
+    monkeypatch.setattr(suffix_dedup, "COUNTED", 1 << 40)
+    whole, more = peak()
+    print(f"{most / 1e6:.0f} MB in parts, {more / 1e6:.0f} MB at once")
+    assert len(found[0]) and all((x == y).all() for x, y in zip(found, whole, strict=True))
+    assert most < 0.8 * more
+
+
 def test_feistel_and_shards(s, odd, none, tmp_path):
     for n in (1, 2, 5, 17, 1000):
         slot = token_shards.slot_of(np.arange(n), n, 9)
