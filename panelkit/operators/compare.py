@@ -1,8 +1,7 @@
 """Line-by-line comparison of repeated runs.
 
-Runs arrive stacked in one table with a run number. Two aggregates replace the N-way outer join: one per
-(report, line item) that lines the runs up in columns, one per report for its facts. Their join is the only
-other shuffle.
+Runs arrive stacked in one table with a run number. One aggregate per report makes its facts; the rows meet them in the one
+shuffle that carries lines, and the lines of all runs are lined up in columns where they then are.
 """
 from __future__ import annotations
 
@@ -16,7 +15,6 @@ from panelkit.functions.numbers import comparable, same, tri_state
 from panelkit.functions.text import percent_text, strip
 from panelkit.functions.years import year_for_comparison
 from panelkit.operators.pick import majority_of
-from panelkit.operators.spread import split_join
 from panelkit.session import materialise
 
 # --- fixed values: the groups of reports and the categories of the re-check list --------------------
@@ -37,7 +35,8 @@ SUMMARY_COLUMNS = ["json_file", "pdf_file_name", "country", "group", "needs_chec
 @dataclass
 class RunComparison:
     """Lazy results: one row per report, the reports on which all runs agree, the lined-up lines, those beside their report's facts
-    (`items`, without reports that have no table in any run), one summary row per report, differing rows, and matched keys."""
+    (`items`, without reports that have no table in any run), one summary row per report, differing rows, and matched keys; `source`: full
+    rows of the matched keys, where a written comparison was asked to keep them."""
     n_runs: int
     facts: DataFrame
     agreed: DataFrame
@@ -46,6 +45,7 @@ class RunComparison:
     summary: DataFrame
     diffs: DataFrame
     matched: DataFrame
+    source: DataFrame | None = None
 
 
 def key_hash(*keys: str) -> Column:
@@ -58,17 +58,21 @@ def _all(conditions: list[Column]) -> Column:
 
 
 def align_reports(rows: DataFrame, n: int, run: str, order: str, names: bool = True) -> DataFrame:
-    """One row per report: its facts in every run (first row of the run) and the report-level group. names=False leaves out file
-    and country, which decide nothing."""
+    """One row per report: file and country, its facts in every run (f<r>, of the first row of the run) and the report-level group.
+    names=False leaves out file and country, which decide nothing."""
     named = ["pdf_file_name", "country"] if names else []
     told = [*named, "table_found", "last_actual_year"]
-    # the lines of a report agree in its facts, mostly in all runs, so they meet by them first, in hash tables of numbers alone
-    once = rows.groupBy("json_file", *told).agg(*[F.min(F.when(F.col(run) == r, F.col(order))).alias(f"__at{r}") for r in range(1, n + 1)])
+    runs = range(1, n + 1)
+    # the lines of a report agree in its facts, mostly in all runs, so they meet by them first, in hash tables of numbers alone; what
+    # is left moves as it is: partial results, with the facts of every run, would be wider than the rows they are made of
+    once = rows.groupBy("json_file", *told).agg(*[F.min(F.when(F.col(run) == r, F.col(order))).alias(f"__at{r}") for r in runs])
     # normalised once for all runs that agree, and before the last aggregate: a filter on the group would otherwise be pushed below
     # the normalised columns, with a copy of them for each mention
-    fact = F.struct(*[F.col(c).alias(c.replace("_file_name", "")) for c in named], tri_state("table_found").alias("found"), year_for_comparison("last_actual_year").alias("year"))
-    once = once.select("json_file", key_hash("json_file"), fact.alias("fact"), *[f"__at{r}" for r in range(1, n + 1)])
-    facts = once.groupBy("__h", "json_file").agg(*[F.min_by("fact", f"__at{r}").alias(f"f{r}") for r in range(1, n + 1)]).drop("__h")
+    once = once.select("json_file", *named, tri_state("table_found").alias("found"), year_for_comparison("last_actual_year").alias("year"), *[f"__at{r}" for r in runs])
+    once = once.repartition("json_file").select("json_file", key_hash("json_file"), F.struct(*named, "found", "year").alias("fact"), *[f"__at{r}" for r in runs])
+    first = once.groupBy("__h", "json_file").agg(*[F.min_by("fact", f"__at{r}").alias(f"f{r}") for r in runs])
+    facts = first.select("json_file", *[F.coalesce(*[F.col(f"f{r}")[c] for r in runs]).alias(c) for c in named], *[
+        F.when(F.col(f"f{r}").isNotNull(), F.struct(F.col(f"f{r}.found").alias("found"), F.col(f"f{r}.year").alias("year"))).alias(f"f{r}") for r in runs])
     f = [F.col(f"f{r}") for r in range(1, n + 1)]
     present = _all([x.isNotNull() for x in f])
     found_same = _all([x["found"].isNotNull() & (x["found"] == f[0]["found"]) for x in f])
@@ -91,52 +95,107 @@ def align_items(rows: DataFrame, n: int, run: str, order: str) -> DataFrame:
     rows = rows.filter(F.col("top_category").isNotNull()).select("json_file", "hierarchy_id", run, order, key_hash("json_file", "hierarchy_id"), *[c.alias(k) for k, c in kept.items()])
     items = rows.groupBy("__h", "json_file", "hierarchy_id").agg(*[
         F.max_by(k, F.when(F.col(run) == r, F.col(order))).alias(f"{k}{r}") for r in range(1, n + 1) for k in kept]).drop("__h")
+    return items.withColumn("row_type", _row_type(n))
+
+
+def _row_type(n: int) -> Column:
+    """Why the runs differ in a line: missing_row, category or value; null where they agree."""
     runs = range(1, n + 1)
     present = _all([F.col(f"val{r}").isNotNull() for r in runs])
     one_top = _all([F.col(f"top{r}") == F.col("top1") for r in runs[1:]])
     one_value = _all([same(F.col("val1"), F.col(f"val{r}")) for r in runs[1:]])
-    return items.withColumn("row_type", F.when(~present, "missing_row").when(~one_top, "category").when(~one_value, "value"))
+    return F.when(~present, "missing_row").when(~one_top, "category").when(~one_value, "value")
+
 
+def line_up(rows: DataFrame, facts: DataFrame, n: int, run: str, order: str, source_run: int | None = None) -> DataFrame:
+    """Rows beside their report's facts with the line of every run (top<r>, val<r>, told<r>, row_type as in `align_items`): one row
+    per line (`is_line`), one for a report without lines, and with source_run every row of that run (`is_source`), whose other columns
+    are under `own`.
 
-def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str = "row_no", reuse: bool = False) -> RunComparison:
-    """Compare `n_runs` (>= 2) stacked runs; `order` is the row's place in its run. reuse: facts and lined-up items are written
-    once, for callers that write several of the tables."""
+    Rows move once and are lined up by windows where they met their report. Hot reports are spread: where one was cut, adaptive
+    execution deals its rows anew, by line. Of other runs than the source only what is compared goes along.
+    """
+    runs = range(1, n + 1)
+    line = ["hierarchy_id", "top_category", order, run, "label_verbatim", "value"]
+    from_source = F.lit(False) if source_run is None else F.col(run) == source_run
+    rest = [c for c in rows.columns if c not in ("json_file", *line)]
+    # a struct meets reports without a name too
+    key = [F.xxhash64("json_file").alias("__h"), F.struct("json_file").alias("__k")]
+    # what only the source has comes last, in one piece: the rows of a report then begin alike and take few bytes
+    moved = rows.select(*key, *line, *([F.when(from_source, F.struct(*rest)).alias("__rest")] if source_run is not None and rest else []))
+    # one short row per report: held in a hash table, it spares the lines a sort
+    met = moved.join(facts.select(*key, *facts.columns[1:]).hint("shuffle_hash"), ["__h", "__k"])
+    met = met.withColumns({"__val": comparable("value"), "__told": F.struct(F.col("label_verbatim").alias("label"), F.col("value").alias("raw"))})
+    place = Window.partitionBy("__h", "__k", "hierarchy_id").orderBy(F.col("top_category").isNull(), run)
+    whole = place.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = {f"{k}{r}": F.max_by(c, F.when(F.col("top_category").isNotNull() & (F.col(run) == r), F.col(order))).over(whole)
+            for r in runs for k, c in (("val", "__val"), ("__top", "top_category"), ("told", "__told"))}
+    out = met.withColumns({**last, "__at": F.row_number().over(place)})
+    named = F.col("__k.json_file").isNotNull()
+    out = out.withColumn("is_source", F.coalesce(from_source & F.col("hierarchy_id").isNotNull() & named, F.lit(False)))
+    out = out.filter((F.col("__at") == 1) | F.col("is_source"))
+    at = {"label_verbatim": "__told.label", "value": "__told.raw", **{c: f"__rest.{c}" for c in rest}}
+    own = F.when(F.col("is_source"), F.struct(*[F.col(at.get(c, c)).alias(c) for c in rows.columns if c not in ("json_file", "hierarchy_id")])).alias("own")
+    return out.select(
+        F.col("__k.json_file").alias("json_file"), "hierarchy_id", ((F.col("__at") == 1) & F.col("top_category").isNotNull()).alias("is_line"), "is_source",
+        *[F.col(f"val{r}") for r in runs], *[F.col(f"__top{r}").alias(f"top{r}") for r in runs], *[F.col(f"told{r}") for r in runs],
+        *facts.columns[1:], *([own] if source_run is not None else [])).withColumn("row_type", _row_type(n))
+
+
+def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str = "row_no", reuse: bool = False, reports: DataFrame | None = None,
+                 source_run: int | None = None) -> RunComparison:
+    """Compare `n_runs` (>= 2) stacked runs; `order` is the row's place in its run. reuse: lines are lined up beside their report's facts and
+    written once, for callers that write several of the tables; with source_run the rows of that run go along, as `matched_rows` returns them.
+    reports: the same rows to read the facts of reports from, where they can be had without what only lines need (labels)."""
     if n_runs < 2:
         raise ValueError("at least two runs are needed")
     cols = ["json_file", "pdf_file_name", "country", "table_found", "last_actual_year", "top_category",
             "hierarchy_id", "label_verbatim", "value", run, order]
-    rows = rows.select(*cols)
-    facts = align_reports(rows, n_runs, run, order)
-    items = align_items(rows, n_runs, run, order)
-    if reuse:
-        facts, items = materialise(facts), materialise(items)
-    decided = facts if reuse else align_reports(rows, n_runs, run, order, names=False)
-    agreed = decided.filter(F.col("report_group").isNull()).select("json_file")
-    aligned = split_join(items, facts, ["json_file"]).filter(
-        ~F.col("report_group").eqNullSafe(F.lit("no_table_in_all_runs")))
+    reports, full, rows = (rows if reports is None else reports).select(*cols), rows, rows.select(*cols)
+    facts = align_reports(reports, n_runs, run, order)
+    runs = range(1, n_runs + 1)
+    no_table = F.col("report_group").eqNullSafe(F.lit("no_table_in_all_runs"))
     is_match = F.col("row_type").isNull() & F.col("report_group").isNull()
-
-    # the report's own counts need no facts, so they are reduced to one row per report before the join
-    counts = items.groupBy("json_file").agg(F.count("*").alias("n_rows"), F.count_if(F.col("row_type").isNull()).alias("n_equal"))
-    n_rows = F.when(F.col("report_group").eqNullSafe(F.lit("no_table_in_all_runs")), 0).otherwise(F.coalesce("n_rows", F.lit(0)))
+    f = [F.col(f"f{r}") for r in runs]
+    # booleans are written True / False
+    shown = [F.coalesce(F.initcap(x["found"].cast("string")), F.lit("")) for x in f]
+    told = {"runs_present": F.concat_ws("|", *[F.when(x.isNotNull(), "yes").otherwise("no") for x in f]),
+            "table_found_by_run": F.concat_ws("|", *shown), "last_actual_year_by_run": F.concat_ws("|", *[F.coalesce(x["year"], F.lit("")) for x in f])}
+    source = None
+    if reuse:
+        # values are read from the texts again: they would be written twice
+        lined = materialise(line_up(full, facts, n_runs, run, order, source_run).drop(*[f"val{r}" for r in runs]), "zstd")
+        read = lined.withColumns({f"val{r}": F.when(F.col(f"told{r}").isNotNull(), comparable(F.col(f"told{r}.raw"))) for r in runs})
+        facts = lined.select(*facts.columns).distinct()
+        agreed = lined.filter(F.col("report_group").isNull() & F.col("json_file").isNotNull()).select("json_file").distinct()
+        items = read.filter("is_line").select("json_file", "hierarchy_id", *[f"{k}{r}" for r in runs for k in ("val", "top", "told")], "row_type")
+        aligned = read.filter("is_line and json_file is not null")
+        a_line = F.col("is_line") & F.col("json_file").isNotNull()
+        # one row per report: grouped by what is shown of it, in hash tables of numbers alone
+        per = lined.withColumns(told).groupBy("json_file", "pdf_file_name", "country", "report_group", *told).agg(
+            F.count_if(a_line).alias("n_rows"), F.count_if(a_line & F.col("row_type").isNull()).alias("n_equal"))
+        if source_run is not None:
+            source = lined.filter(F.col("is_source") & is_match).select(*[c if c in ("json_file", "hierarchy_id") else F.col("own")[c].alias(c) for c in full.columns])
+    else:
+        agreed = align_reports(reports, n_runs, run, order, names=False).filter(F.col("report_group").isNull()).select("json_file")
+        items = align_items(rows, n_runs, run, order)
+        aligned = line_up(rows, facts, n_runs, run, order).filter("is_line and json_file is not null")
+        # the report's own counts need no facts, so they are reduced to one row per report before the join
+        counts = items.groupBy("json_file").agg(F.count("*").alias("n_rows"), F.count_if(F.col("row_type").isNull()).alias("n_equal"))
+        per = facts.join(counts, "json_file", "left").withColumns(told)
+    aligned = aligned.filter(~no_table)
+    n_rows = F.when(no_table, 0).otherwise(F.coalesce("n_rows", F.lit(0)))
     n_match = F.when(F.col("report_group").isNull(), F.coalesce("n_equal", F.lit(0))).otherwise(0)
-    f = [F.col(f"f{r}") for r in range(1, n_runs + 1)]
     group = F.coalesce(F.col("report_group"), F.when(n_rows == n_match, "fully_match")
                        .otherwise("partial_match"))
-    # booleans are written True / False
-    shown = [F.coalesce(F.initcap(x["found"].cast("string")), F.lit("")) for x in f]
-    summary = facts.join(counts, "json_file", "left").select(
-        "json_file", F.coalesce(*[x["pdf"] for x in f]).alias("pdf_file_name"),
-        F.coalesce(*[x["country"] for x in f]).alias("country"), group.alias("group"),
-        F.when(group == "fully_match", "No").otherwise("Yes").alias("needs_check"),
-        F.concat_ws("|", *[F.when(x.isNotNull(), "yes").otherwise("no") for x in f]).alias("runs_present"),
-        F.concat_ws("|", *shown).alias("table_found_by_run"),
-        F.concat_ws("|", *[F.coalesce(x["year"], F.lit("")) for x in f]).alias("last_actual_year_by_run"),
+    summary = per.select(
+        "json_file", "pdf_file_name", "country", group.alias("group"), F.when(group == "fully_match", "No").otherwise("Yes").alias("needs_check"),
+        "runs_present", "table_found_by_run", "last_actual_year_by_run",
         n_rows.alias("rows_compared"), n_match.alias("rows_matching"), (n_rows - n_match).alias("rows_differing"),
         F.lit("").alias("error_by_run"))
 
     matched = aligned.filter(is_match).select("json_file", "hierarchy_id")
-    return RunComparison(n_runs, facts, agreed, items, aligned, summary, _diff_rows(aligned.filter(~is_match), n_runs), matched)
+    return RunComparison(n_runs, facts, agreed, items, aligned, summary, _diff_rows(aligned.filter(~is_match), n_runs), matched, source)
 
 
 def _pair_ok(a: Column, b: Column) -> Column:
@@ -146,12 +205,11 @@ def _pair_ok(a: Column, b: Column) -> Column:
 
 def _diff_rows(aligned: DataFrame, n: int) -> DataFrame:
     x = {r: F.col(f"val{r}") for r in range(1, n + 1)}
-    f = [F.col(f"f{r}") for r in range(1, n + 1)]
     pairs = {(a, b): _pair_ok(x[a], x[b]) for a, b in combinations(x, 2)}
     nums = F.filter(F.array(*[x[r]["num"] for r in x]), lambda v: v.isNotNull())
     return aligned.select(
         F.concat_ws("||", "json_file", "hierarchy_id").alias("key"), "json_file", "hierarchy_id",
-        F.coalesce(*[c["pdf"] for c in f]).alias("pdf_file_name"), F.coalesce(*[c["country"] for c in f]).alias("country"),
+        "pdf_file_name", "country",
         F.coalesce(*[F.col(f"top{r}") for r in x]).alias("top_category"),
         *[F.col(f"told{r}.label").alias(f"label_run{r}") for r in x],
         *[x[r]["num"].alias(f"value_run{r}") for r in x],

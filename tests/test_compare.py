@@ -189,3 +189,44 @@ def test_review_prefill(three):
     rows = {(r["json_file"][0], r["hierarchy_id"]): r for r in C.review_prefill(three).collect()}
     assert rows[("B", "3.1")]["value"] == "" and rows[("B", "3.1")]["differs"]
     assert rows[("B", "1")]["value"] == "1.5" and rows[("B", "1")]["label_verbatim"] == "label 1"
+
+
+def test_a_written_comparison_agrees_with_a_lazy_one(spark):
+    """Written once or computed table by table: the same rows, also of repeated ids, reports without lines or name, and other runs."""
+    more = [*report("T", 1, [*BASE, ("1", "change_in_debt", "7"), ("2", None, "4"), ("9", None, "1")]), *report("T", 2, change(BASE, v1="7.0")), *report("T", 3, change(BASE, v1="7")),
+            *report("T", 9, [("5", "other", "1")]), *report("U", 1, [("1", None, "1")]), *report("V", 2, found="False")]
+    named = [*run_rows(), *[(*r, 1000 + i) for i, r in enumerate(more)]]
+    nameless = [(None, *r[1:-1], 2000 + i) for i, r in enumerate(run_rows()[:8])] + [(*r[:7], None, *r[8:-1], 3000 + i) for i, r in enumerate(run_rows()[:3])]
+    df = spark.createDataFrame(named + nameless, COLUMNS)
+    told = df.withColumn("label_verbatim", F.lit(None).cast("string"))
+    lazy = R.check_round(df, 3)
+    tables = [("summary", lambda c: c.summary), ("diffs", lambda c: c.diffs), ("matched", lambda c: c.matched), ("keys", lambda c: c.comparison.matched),
+              ("facts", lambda c: c.comparison.facts), ("agreed", lambda c: c.comparison.agreed.filter("json_file is not null")), ("recheck", lambda c: c.recheck),
+              ("lines", lambda c: c.comparison.lines), ("items", lambda c: c.comparison.items.select(*lazy.comparison.items.drop("is_line", "is_source").columns)),
+              ("details", lambda c: C.run_details(c.comparison)), ("rates", lambda c: C.pair_match_rates(c.comparison)), ("two", lambda c: C.two_of_n(c.comparison))]
+    for kept in (R.check_round(df, 3, reuse=True), R.check_round(df, 3, reuse=True, reports=told), R.check_round(df, 3, reports=told)):
+        for name, of in tables:
+            a, b = of(lazy), of(kept)
+            assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect())), name
+    assert [r["json_file"] for r in lazy.summary.filter("json_file is null").collect()] == [None] and lazy.matched.filter("json_file is null").isEmpty()
+
+
+def test_lines_of_a_hot_report_are_spread(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+                "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "60KB"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        i = F.col("id") % 20000
+        rows = spark.range(0, 60000, 1, 8).select(
+            F.when(i % 3 == 0, i.cast("string")).otherwise("hot").alias("json_file"), F.lit("p").alias("pdf_file_name"), F.lit("c").alias("country"), F.lit("True").alias("table_found"),
+            F.lit("2016").alias("last_actual_year"), F.lit("residual").alias("top_category"), i.cast("string").alias("hierarchy_id"), F.sha2(i.cast("string"), 256).alias("label_verbatim"),
+            F.when((F.col("id") >= 40000) & (i % 100 == 1), "8").otherwise("7").alias("value"), ((F.col("id") / 20000).cast("int") + 1).alias("run_no"), F.col("id").alias("row_no"))
+        out = C.run_details(C.compare_runs(rows, 3))
+        got = out.collect()
+        assert len(got) == 20000 and sum(not r["same"] for r in got) == 200 and all(r["labels"] == [r["labels"][0]] * 3 for r in got)
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

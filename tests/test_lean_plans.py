@@ -85,3 +85,22 @@ def test_matched_rows_move_once(spark):
     wide = plan(roles.long_rows(spark, DATA))
     join = wide[wide.index("SortMergeJoin [k#"):] if "SortMergeJoin [k#" in wide else wide[wide.index("HashJoin [k#"):]
     assert "other_identified_flows" not in join
+
+
+def test_a_written_round_is_read_from_one_table(spark, monkeypatch):
+    from panelkit.plans import round_check
+    made = []
+    monkeypatch.setattr(C, "materialise", lambda df, compression="snappy", write=C.materialise: made.append((df, compression)) or write(df, compression))
+    check = round_check.check_round(spark.createDataFrame(run_rows(), COLUMNS), 3, reuse=True)
+    assert [(m[1], "own" in m[0].columns) for m in made] == [("zstd", True)]
+    # rows of the source run come from it: they aren't moved anew
+    assert "Exchange" not in plan(check.matched) and "ExistingRDD" not in plan(check.matched) and "Exchange" not in plan(check.diffs)
+
+
+def test_facts_of_reports_need_no_names_of_parts(spark):
+    rows = roles.runs(spark, DATA)
+    facts, lean = [C.compare_runs(rows, 3, reports=r).facts for r in (rows, roles.runs(spark, DATA, labels=False))]
+    assert "p_partkey" in plan(facts) and "p_partkey" not in plan(lean) and facts.exceptAll(lean).isEmpty() and lean.exceptAll(facts).isEmpty()
+    # lines without labels are dealt once, by their order
+    bare = plan(roles.long_rows(spark, DATA, labels=False))
+    assert "hashpartitioning(k#" in bare and "ln#" not in "".join(x for x in bare.splitlines() if "Exchange hashpartitioning" in x)

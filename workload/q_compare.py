@@ -15,7 +15,8 @@ from workload.registry import query
 
 
 def comparison(spark, sf):
-    return C.compare_runs(R.runs(spark, sf), 3)
+    # the facts of reports are told without the labels of their lines
+    return C.compare_runs(R.runs(spark, sf), 3, reports=R.runs(spark, sf, labels=False))
 
 
 def _f(col, r):
@@ -197,7 +198,7 @@ def review_prefill(spark, sf):
 
 @query("ready_rows", f"""WITH {CMP} SELECT run.json_file, run.hierarchy_id, last_actual_year, run.value, 'round1' AS source_round FROM run JOIN smr USING (json_file) WHERE run_no = 1 AND grp = 'fully_match' AND hierarchy_id IS NOT NULL""")
 def ready_rows(spark, sf):
-    check = RC.check_round(R.runs(spark, sf), 3, reuse=True)
+    check = RC.check_round(R.runs(spark, sf), 3, reuse=True, reports=R.runs(spark, sf, labels=False))
     return RC.ready_rows(check.matched, check.summary, "round1").select("json_file", "hierarchy_id", "last_actual_year", "value", "source_round")
 
 
@@ -220,7 +221,7 @@ ck AS (SELECT state, unnest([{{'check': 'every report has one row', 'l': report_
 def round_totals(spark, sf):
     """The totals of a round that must agree; beside them those of tables written in different states: a list without the partly
     matching reports, differences without those in value."""
-    check = RC.check_round(R.runs(spark, sf), 3, reuse=True)
+    check = RC.check_round(R.runs(spark, sf), 3, reuse=True, reports=R.runs(spark, sf, labels=False))
     summary, matched, diffs, recheck, items = map(materialise, (check.summary, check.matched.select("json_file"), check.diffs.select("diff_type"), check.recheck, check.comparison.items.select("json_file")))
     sound = RC.round_totals(summary, matched, diffs, recheck, items)
     stale = RC.round_totals(summary, matched, diffs.filter("diff_type <> 'value'"), recheck.filter("group <> 'partial_match'"))
@@ -231,7 +232,7 @@ def round_totals(spark, sf):
 UNION ALL SELECT 'diffs', 'round 1', count(*), count(*) FROM al WHERE rg IS NOT NULL OR rt IS NOT NULL UNION ALL SELECT 'matched', 'round 1', count(*), count(*) FROM al WHERE rg IS NULL AND rt IS NULL""")
 def committed_round(spark, sf):
     """The tables of a round, written all or none, as their manifest and a reader that goes by it see them."""
-    check = RC.check_round(R.runs(spark, sf), 3, reuse=True)
+    check = RC.check_round(R.runs(spark, sf), 3, reuse=True, reports=R.runs(spark, sf, labels=False))
     folder = f"{use_checkpoint_dir(spark)}/round-{uuid.uuid4().hex}"
     tables = {"summary": check.summary, "diffs": check.diffs, "matched": check.matched}
     SK.commit_tables(tables, folder, "s1", {"round": "round 1"})

@@ -28,13 +28,22 @@ def case(default, *pairs) -> Column:
 
 # ---- reports ------------------------------------------------------------------------------------------
 
+def orders(spark: SparkSession, sf: str) -> DataFrame:
+    """What a report is told from: key, customer, day, priority and status of its order."""
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("ck"), F.to_date("o_orderdate").alias("report_date"),
+                                             F.col("o_orderpriority").alias("pr"), F.col("o_orderstatus").alias("st"))
+
+
 def reports(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders")
-    k, day = F.col("o_orderkey"), F.to_date("o_orderdate")
-    year = F.year(day)
+    return tell_reports(orders(spark, sf))
+
+
+def tell_reports(rows: DataFrame) -> DataFrame:
+    """The facts of a report, from its order's columns; other columns of the rows go along."""
+    more = [c for c in rows.columns if c not in ("k", "ck", "report_date", "pr", "st")]
+    k, year = F.col("k"), F.year("report_date")
     obs = year - 1 - case(F.lit(0), (k % 41 == 0, F.lit(4)), (k % 3 == 0, F.lit(1)))
-    d = o.select(k.alias("k"), F.col("o_custkey").alias("ck"), text("Customer ", F.col("o_custkey")).alias("country"), day.alias("report_date"),
-                 year.alias("pub_year"), obs.alias("obs"), F.col("o_orderpriority").alias("pr"), F.col("o_orderstatus").alias("st"))
+    d = rows.select("k", "ck", text("Customer ", F.col("ck")).alias("country"), "report_date", year.alias("pub_year"), obs.alias("obs"), "pr", "st", *more)
     k, obs = F.col("k"), F.col("obs")
     stem = text(F.col("country"), "_", F.col("report_date"), "_", k)
     label = case(obs.cast("string"), (k % 31 == 5, text(obs - 3, "-", obs)),
@@ -48,7 +57,7 @@ def reports(spark: SparkSession, sf: str) -> DataFrame:
         F.when(source == "gapfill", text("run", k % 2 + 1)).alias("gapfill_run"),
         F.when(k % 29 == 0, "Yes").otherwise("No").alias("manual_review_required"),
         case(F.lit("LIC_DSF"), (F.col("st") == "O", "MAC_DSA"), (F.col("st") == "P", "SRDSF")).alias("framework"),
-        F.when(k % 4 != 0, text("Report ", k)).alias("report_title"))
+        F.when(k % 4 != 0, text("Report ", k)).alias("report_title"), *more)
 
 
 REPORTS = r"""
@@ -73,7 +82,9 @@ rpt AS (SELECT k, ck, country, report_date, pub_year, obs, country || '_' || rep
 def lines(spark: SparkSession, sf: str, labels: bool = True) -> DataFrame:
     """One row per order and line number, with what `item_columns` are told from: cents and label (a part's name). labels=False leaves
     labels null, for what is told per report alone and doesn't ask for them."""
-    li = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("ln")).agg(
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("ln"), "l_extendedprice", "l_partkey")
+    # without labels, lines meet their order next: they are dealt by it, once
+    li = (li if labels else li.repartition("k")).groupBy("k", "ln").agg(
         F.round(F.sum("l_extendedprice") * 100).cast("long").alias("cents"), F.min("l_partkey").alias("p_partkey"))
     part = table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("label_verbatim"))
     named = li.join(part, "p_partkey", "left") if labels else li.withColumn("label_verbatim", F.lit(None).cast("string"))
@@ -109,10 +120,15 @@ ITEM_COLUMNS = ["hierarchy_id", "top_category", "level", "label_verbatim", "valu
 def long_rows(spark: SparkSession, sf: str, audit: bool = False, labels: bool = True) -> DataFrame:
     """Reports with their line items; a report without a table keeps one row."""
     r = reports(spark, sf)
+    li = lines(spark, sf, labels)
     if audit:
+        # an audit is made once per report
         r = r.withColumn("column_header_audit_json", audit_json())
-    # numbers meet their report before texts are made of them
-    found = r.filter("table_found = 'True'").join(lines(spark, sf, labels), "k").select(*r.columns, *item_columns())
+        found = r.filter("table_found = 'True'").join(li, "k")
+    else:
+        # numbers meet before texts are made of them
+        found = tell_reports(orders(spark, sf).join(li, "k")).filter("table_found = 'True'")
+    found = found.select(*r.columns, *item_columns())
     none = r.filter("table_found = 'False'").select("*", *[F.lit(None).cast(found.schema[c].dataType).alias(c) for c in ITEM_COLUMNS[:-1]],
                                                      (F.col("k") * 10).alias("row_no"))
     return found.unionByName(none)
