@@ -107,10 +107,10 @@ def _row_type(n: int) -> Column:
     return F.when(~present, "missing_row").when(~one_top, "category").when(~one_value, "value")
 
 
-def line_up(rows: DataFrame, facts: DataFrame, n: int, run: str, order: str, source_run: int | None = None) -> DataFrame:
+def line_up(rows: DataFrame, facts: DataFrame, n: int, run: str, order: str, source_run: int | None = None, keep: list[str] = ()) -> DataFrame:
     """Rows beside their report's facts with the line of every run (top<r>, val<r>, told<r>, row_type as in `align_items`): one row
-    per line (`is_line`), one for a report without lines, and with source_run every row of that run (`is_source`), whose other columns
-    are under `own`.
+    per line (`is_line`), one for a report without lines, and with source_run every row of that run (`is_source`), whose columns `keep`
+    are under `own` unless they are the line's.
 
     Rows move once and are lined up by windows where they met their report. Hot reports are spread: where one was cut, adaptive
     execution deals its rows anew, by line. Of other runs than the source only what is compared goes along.
@@ -118,11 +118,11 @@ def line_up(rows: DataFrame, facts: DataFrame, n: int, run: str, order: str, sou
     runs = range(1, n + 1)
     line = ["hierarchy_id", "top_category", order, run, "label_verbatim", "value"]
     from_source = F.lit(False) if source_run is None else F.col(run) == source_run
-    rest = [c for c in rows.columns if c not in ("json_file", *line)]
+    rest = [c for c in keep if c not in ("json_file", *line)]
     # a struct meets reports without a name too
     key = [F.xxhash64("json_file").alias("__h"), F.struct("json_file").alias("__k")]
     # what only the source has comes last, in one piece: the rows of a report then begin alike and take few bytes
-    moved = rows.select(*key, *line, *([F.when(from_source, F.struct(*rest)).alias("__rest")] if source_run is not None and rest else []))
+    moved = rows.select(*key, *line, *([F.when(from_source, F.struct(*rest)).alias("__rest")] if rest else []))
     # one short row per report: held in a hash table, it spares the lines a sort
     met = moved.join(facts.select(*key, *facts.columns[1:]).hint("shuffle_hash"), ["__h", "__k"])
     met = met.withColumns({"__val": comparable("value"), "__told": F.struct(F.col("label_verbatim").alias("label"), F.col("value").alias("raw"))})
@@ -135,17 +135,18 @@ def line_up(rows: DataFrame, facts: DataFrame, n: int, run: str, order: str, sou
     out = out.withColumn("is_source", F.coalesce(from_source & F.col("hierarchy_id").isNotNull() & named, F.lit(False)))
     out = out.filter((F.col("__at") == 1) | F.col("is_source"))
     at = {"label_verbatim": "__told.label", "value": "__told.raw", **{c: f"__rest.{c}" for c in rest}}
-    own = F.when(F.col("is_source"), F.struct(*[F.col(at.get(c, c)).alias(c) for c in rows.columns if c not in ("json_file", "hierarchy_id")])).alias("own")
+    own = [F.col(at.get(c, c)).alias(c) for c in keep if c not in ("json_file", "hierarchy_id")]
     return out.select(
         F.col("__k.json_file").alias("json_file"), "hierarchy_id", ((F.col("__at") == 1) & F.col("top_category").isNotNull()).alias("is_line"), "is_source",
         *[F.col(f"val{r}") for r in runs], *[F.col(f"__top{r}").alias(f"top{r}") for r in runs], *[F.col(f"told{r}") for r in runs],
-        *facts.columns[1:], *([own] if source_run is not None else [])).withColumn("row_type", _row_type(n))
+        *facts.columns[1:], *([F.when(F.col("is_source"), F.struct(*own)).alias("own")] if own else [])).withColumn("row_type", _row_type(n))
 
 
 def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str = "row_no", reuse: bool = False, reports: DataFrame | None = None,
-                 source_run: int | None = None) -> RunComparison:
+                 source_run: int | None = None, keep: list[str] | None = None) -> RunComparison:
     """Compare `n_runs` (>= 2) stacked runs; `order` is the row's place in its run. reuse: lines are lined up beside their report's facts and
-    written once, for callers that write several of the tables; with source_run the rows of that run go along, as `matched_rows` returns them.
+    written once, for callers that write several of the tables; with source_run the rows of that run go along, as `matched_rows` returns them,
+    or those of their columns that a caller wants to keep.
     reports: the same rows to read the facts of reports from, where they can be had without what only lines need (labels)."""
     if n_runs < 2:
         raise ValueError("at least two runs are needed")
@@ -163,8 +164,9 @@ def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str =
             "table_found_by_run": F.concat_ws("|", *shown), "last_actual_year_by_run": F.concat_ws("|", *[F.coalesce(x["year"], F.lit("")) for x in f])}
     source = None
     if reuse:
+        keep = [] if source_run is None else full.columns if keep is None else keep
         # values are read from the texts again: they would be written twice
-        lined = materialise(line_up(full, facts, n_runs, run, order, source_run).drop(*[f"val{r}" for r in runs]), "zstd")
+        lined = materialise(line_up(full, facts, n_runs, run, order, source_run, keep).drop(*[f"val{r}" for r in runs]), "zstd")
         read = lined.withColumns({f"val{r}": F.when(F.col(f"told{r}").isNotNull(), comparable(F.col(f"told{r}.raw"))) for r in runs})
         facts = lined.select(*facts.columns).distinct()
         agreed = lined.filter(F.col("report_group").isNull() & F.col("json_file").isNotNull()).select("json_file").distinct()
@@ -175,7 +177,7 @@ def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str =
         per = lined.withColumns(told).groupBy("json_file", "pdf_file_name", "country", "report_group", *told).agg(
             F.count_if(a_line).alias("n_rows"), F.count_if(a_line & F.col("row_type").isNull()).alias("n_equal"))
         if source_run is not None:
-            source = lined.filter(F.col("is_source") & is_match).select(*[c if c in ("json_file", "hierarchy_id") else F.col("own")[c].alias(c) for c in full.columns])
+            source = lined.filter(F.col("is_source") & is_match).select(*[c if c in ("json_file", "hierarchy_id") else F.col("own")[c].alias(c) for c in keep])
     else:
         agreed = align_reports(reports, n_runs, run, order, names=False).filter(F.col("report_group").isNull()).select("json_file")
         items = align_items(rows, n_runs, run, order)

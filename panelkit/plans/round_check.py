@@ -74,14 +74,15 @@ class RoundCheck:
 
 
 def check_round(rows: DataFrame, n_runs: int, errors: DataFrame | None = None, source_run: int = 1, reuse: bool = False,
-                reports: DataFrame | None = None) -> RoundCheck:
+                reports: DataFrame | None = None, keep: list[str] | None = None) -> RoundCheck:
     """Compare the stacked runs of a round and add the reports that failed in every run. reuse: the comparison is written
-    once, with the rows of the source run, for callers that write several of the tables. reports: as in `compare_runs`."""
-    c = compare.compare_runs(rows, n_runs, reuse=reuse, reports=reports, source_run=source_run if reuse else None)
+    once, with the rows of the source run, for callers that write several of the tables; keep: the columns of matched rows
+    that they want (all). reports: as in `compare_runs`."""
+    c = compare.compare_runs(rows, n_runs, reuse=reuse, reports=reports, source_run=source_run if reuse else None, keep=keep)
     summary = c.summary
     if errors is not None:
         summary = summary.unionByName(compare.failed_everywhere(errors, c.facts, n_runs))
-    return RoundCheck(c, summary, c.source if reuse else compare.matched_rows(rows, c, source_run), c.diffs, compare.recheck_list(summary),
+    return RoundCheck(c, summary, c.source if reuse else compare.matched_rows(rows, c, source_run).select(*(keep or rows.columns)), c.diffs, compare.recheck_list(summary),
                       compare.group_counts(summary), compare.diff_type_counts(c.diffs))
 
 

@@ -230,3 +230,13 @@ def test_lines_of_a_hot_report_are_spread(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_only_wanted_columns_of_the_source_run_are_written(rows, spark):
+    shown = ["json_file", "hierarchy_id", "confidence", "value"]
+    lazy, some = R.check_round(rows, 3), R.check_round(rows, 3, reuse=True, keep=shown)
+    assert some.matched.columns == shown and "own" not in R.check_round(rows, 3, reuse=True, keep=["json_file"]).comparison.items.columns
+    assert [f.name for f in some.comparison.items.schema["own"].dataType] == ["confidence", "value"]
+    want = sorted(map(str, R.ready_rows(lazy.matched, lazy.summary, "round1").select(*shown, "source_round").collect()))
+    assert want and want == sorted(map(str, R.ready_rows(some.matched, some.summary, "round1").select(*shown, "source_round").collect()))
+    assert R.check_round(rows, 3, reuse=True, keep=["json_file"]).matched.count() == R.check_round(rows, 3, keep=["json_file"]).matched.count() == lazy.matched.count()

@@ -104,3 +104,17 @@ def test_facts_of_reports_need_no_names_of_parts(spark):
     # lines without labels are dealt once, by their order
     bare = plan(roles.long_rows(spark, DATA, labels=False))
     assert "hashpartitioning(k#" in bare and "ln#" not in "".join(x for x in bare.splitlines() if "Exchange hashpartitioning" in x)
+
+
+def test_totals_write_the_comparison_and_its_summary_alone(spark, monkeypatch):
+    from workload import q_compare
+    made = []
+
+    def note(df, *how, write=q_compare.materialise):
+        made.append(df.columns)
+        return write(df, *how)
+    monkeypatch.setattr(q_compare, "materialise", note)
+    monkeypatch.setattr(C, "materialise", note)
+    got = q_compare.round_totals(spark, DATA)
+    assert [c[:2] for c in made] == [["json_file", "hierarchy_id"], ["json_file", "pdf_file_name"]]
+    assert got.filter("state = 'sound' and not ok").isEmpty() and not got.filter("state = 'stale' and not ok").isEmpty()

@@ -198,8 +198,9 @@ def review_prefill(spark, sf):
 
 @query("ready_rows", f"""WITH {CMP} SELECT run.json_file, run.hierarchy_id, last_actual_year, run.value, 'round1' AS source_round FROM run JOIN smr USING (json_file) WHERE run_no = 1 AND grp = 'fully_match' AND hierarchy_id IS NOT NULL""")
 def ready_rows(spark, sf):
-    check = RC.check_round(R.runs(spark, sf), 3, reuse=True, reports=R.runs(spark, sf, labels=False))
-    return RC.ready_rows(check.matched, check.summary, "round1").select("json_file", "hierarchy_id", "last_actual_year", "value", "source_round")
+    shown = ["json_file", "hierarchy_id", "last_actual_year", "value"]
+    check = RC.check_round(R.runs(spark, sf), 3, reuse=True, reports=R.runs(spark, sf, labels=False), keep=shown)
+    return RC.ready_rows(check.matched, check.summary, "round1").select(*shown, "source_round")
 
 
 # ---- totals and written rounds -------------------------------------------------------------------------------------
@@ -221,8 +222,10 @@ ck AS (SELECT state, unnest([{{'check': 'every report has one row', 'l': report_
 def round_totals(spark, sf):
     """The totals of a round that must agree; beside them those of tables written in different states: a list without the partly
     matching reports, differences without those in value."""
-    check = RC.check_round(R.runs(spark, sf), 3, reuse=True, reports=R.runs(spark, sf, labels=False))
-    summary, matched, diffs, recheck, items = map(materialise, (check.summary, check.matched.select("json_file"), check.diffs.select("diff_type"), check.recheck, check.comparison.items.select("json_file")))
+    check = RC.check_round(R.runs(spark, sf), 3, reuse=True, reports=R.runs(spark, sf, labels=False), keep=["json_file"])
+    # matched rows, differences and lines are read from the written comparison; the summary is made of it once, the list of the summary
+    summary = materialise(check.summary, "zstd")
+    matched, diffs, recheck, items = check.matched, check.diffs, C.recheck_list(summary), check.comparison.items
     sound = RC.round_totals(summary, matched, diffs, recheck, items)
     stale = RC.round_totals(summary, matched, diffs.filter("diff_type <> 'value'"), recheck.filter("group <> 'partial_match'"))
     return sound.select(F.lit("sound").alias("state"), "*").unionByName(stale.select(F.lit("stale").alias("state"), "*"))
