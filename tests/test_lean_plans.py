@@ -123,7 +123,7 @@ def test_totals_write_the_comparison_and_its_summary_alone(spark, monkeypatch):
 def test_lines_move_once(spark):
     """Lines of all runs move in one exchange, as they are: not lined up on the way, nor again to meet their report's facts."""
     c = C.compare_runs(spark.createDataFrame(run_rows(), COLUMNS), 3)
-    for df in (C.run_details(c), c.diffs):
+    for df in (C.run_details(c), c.diffs, C.review_prefill(c)):
         sent = [x for x in plan(df).splitlines() if "Exchange hashpartitioning" in x]
         # lines, and the reports three times: by facts, by name, beside the lines
         assert len(sent) == 4 and not any("hierarchy_id" in x for x in sent)
