@@ -38,8 +38,11 @@ def load_values(rows: DataFrame, ids: list[str] | None = None, keep: list[str] =
             df = df.withColumn(c, F.lit(None).cast("string"))
     if ids is not None:
         df = df.filter(F.col("hierarchy_id").isin(list(ids)))
-    df = (df.withColumn("effective_year", effective_year(effective_label(df.columns)))
-          .withColumn("value_num", strict_number("value")).filter("effective_year is not null and value_num is not null"))
+    # year and number are bound to a row before it is filtered by them: a filter on the columns would be pushed down to where they come
+    # from, with a copy of the label's making for each mention of it, and plans of megabytes are kept and sent by the driver
+    read = F.struct(effective_year("__label").alias("effective_year"), strict_number("value").alias("value_num"))
+    df = df.withColumn("__label", effective_label(df.columns)).select(*df.columns, F.explode(F.array(read)).alias("__read")).select(*df.columns, "__read.*")
+    df = df.filter("effective_year is not null and value_num is not null")
     # names are normalised once per spelling, not once per row
     spellings = df.groupBy("country").agg(F.count("*").alias("__n")).withColumn("__norm", normalize_entity("country")) \
         .withColumn("country_key", F.lower("__norm"))

@@ -2,6 +2,8 @@
 import datetime
 import re
 
+from pyspark.sql import functions as F
+
 from panelkit.operators import compare as C, gaps, waterfall
 from panelkit.plans import gap_fill, panel_build
 from test_compare import COLUMNS, run_rows
@@ -127,3 +129,22 @@ def test_lines_move_once(spark):
         sent = [x for x in plan(df).splitlines() if "Exchange hashpartitioning" in x]
         # lines, and the reports three times: by facts, by name, beside the lines
         assert len(sent) == 4 and not any("hierarchy_id" in x for x in sent)
+
+
+def test_a_loaded_value_is_not_made_for_each_mention(spark):
+    """A filter on year and number stays above where they are made: the plan doesn't grow with the making of the label."""
+    from panelkit.operators import coverage
+    sizes = [len(plan(coverage.load_values(roles.long_rows(spark, DATA).withColumn("last_actual_year", label)))) for label in
+             (F.col("last_actual_year"), F.concat(F.trim("last_actual_year"), F.lit("")))]
+    assert max(sizes) < 150_000 and sizes[1] - sizes[0] < 2_000
+    odd = spark.createDataFrame([("C", "5", "1", None, "2001"), ("C", "5", "x", "2001", None), ("C", "5", "2", " ", "1999-2001"), (None, "5", "2", "2001", None), ("C", "5", "3", "n/a", "2001")],
+                                "country string, hierarchy_id string, value string, year string, last_actual_year string")
+    assert sorted((r["effective_year"], r["value_num"]) for r in coverage.load_values(odd).collect()) == [(2001, 1.0), (2001, 2.0)]
+
+
+def test_a_tail_reads_written_values(spark):
+    from workload import q_stats
+    v, five = q_stats.chosen(spark, DATA, reuse=True)
+    assert "lineitem" not in plan(v) and "lineitem" not in plan(five) and len(plan(q_stats.tail_top5(spark, DATA))) < 100_000
+    lazy = q_stats.chosen(spark, DATA)[1]
+    assert "lineitem" in plan(lazy) and lazy.exceptAll(five).isEmpty() and five.exceptAll(lazy).isEmpty() and not five.isEmpty()

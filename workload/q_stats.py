@@ -114,8 +114,13 @@ def carry_forward(spark, sf):
 CHOSEN = f"""{PNL}, thr AS (SELECT quantile_cont(value, 0.95) AS t FROM pnl), top AS (SELECT pnl.* FROM pnl, thr WHERE value >= t)"""
 
 
-def chosen(spark, sf):
-    v = C.load_values(R.long_rows(spark, sf), None, ["json_file", "row_no", "label_verbatim"])
+def chosen(spark, sf, reuse=False):
+    """(loaded values, the chosen value of line 5 per entity and year). reuse: values are written once, for callers that read them
+    beside the choice: each reader would carry the plan that loads them, with its shuffles and broadcasts, along."""
+    kept = ["json_file", "row_no", "label_verbatim"]
+    v = C.load_values(R.long_rows(spark, sf), None, kept)
+    if reuse:
+        v = materialise(v.select("country_key", "effective_year", "hierarchy_id", "value_num", "source_round", *kept), "zstd")
     five = pick.by_priority(v.filter("hierarchy_id = '5'"), ["country_key", "effective_year"], "source_round", C.PRIORITY, [F.col("json_file"), F.col("row_no")])
     c = R.table(spark, sf, "customer").select(R.text("customer ", F.col("c_custkey")).alias("country_key"), F.col("c_mktsegment").alias("grp"))
     return v, five.select("country_key", F.col("effective_year").alias("year"), F.col("value_num").alias("value"), "json_file", "source_round").join(c, "country_key")
@@ -127,7 +132,7 @@ o AS (SELECT country_key, year, grp, value, h1, h3, h4, l AS largest_subitem, sb
   FROM top LEFT JOIN cp ON cp.json_file = top.json_file AND cp.ey = year LEFT JOIN sb ON sb.json_file = top.json_file AND sb.ey = year) SELECT * EXCLUDE (share_of_change), {q4('share_of_change')} FROM o""")
 def tail_top5(spark, sf):
     """The top five percent with companions of the same report, the largest sub-item and its driver."""
-    v, five = chosen(spark, sf)
+    v, five = chosen(spark, sf, reuse=True)
     t = A.tail_anatomy(materialise(five), v, "value", "5", {"1": "h1", "3": "h3", "4": "h4"}, "row_no")
     return t.select("country_key", "year", "grp", "value", "h1", "h3", "h4", "largest_subitem", "subitem_value", "driver", *r4("share_of_change"))
 
