@@ -11,16 +11,18 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from panelkit.plans.panel_build import PanelBuild, build_panel
-from panelkit.schema import union_layout
+from panelkit.schema import to_pregap, union_layout
 from panelkit.session import discard, materialise
-from panelkit.sources.sinks import exists, remove
+from panelkit.sources.sinks import children, exists, remove, size_of
 from panelkit.streaming.incremental import append_run
 
 BUCKET = "bucket"
+#: Bytes of Parquet in a piece of a bucket, which an update sorts and writes as one file; in memory its rows take many times that.
+PIECE_BYTES = 4 << 20
 
 
 def bucket_of(report: str | Column, buckets: int) -> Column:
@@ -77,17 +79,41 @@ def update(spark: SparkSession, folder: str, new_parts: list[DataFrame], dropped
     _refuse_known(spark, folder, stamp)
     buckets, schema = layout(spark, folder)
     # the new rows are read for their buckets, for reports on both sides and as rows: they are made once
-    new, dropped = materialise(union_layout(new_parts)), materialise(dropped.select("json_file").distinct()) if dropped is not None else None
+    new, dropped = materialise(union_layout(new_parts), "zstd"), materialise(dropped.select("json_file").distinct()) if dropped is not None else None
     touched = _touched([new, *([dropped] if dropped is not None else [])], buckets)
-    built = build_panel(read(spark, folder, touched), [new], dropped, remove_gapfill=False, replace=replace)
+    old = read(spark, folder, touched)
+    built = build_panel(old, [new], dropped, remove_gapfill=False, replace=replace)
     # found before the panel changes: afterwards every new report is in it
     built.duplicates = materialise(built.duplicates)
-    _replace(spark, folder, built.rows.select(*[F.col(f.name).cast(f.dataType) for f in schema]), touched, buckets)
+    there = sum(size_of(spark, f"{folder}/rows/{BUCKET}={b}") for b in touched) + size_of(spark, new.table_path)
+    pieces = max(1, -(-there // (PIECE_BYTES * max(1, len(touched)))))
+    before = {b: _files(spark, folder, b) for b in touched}
+    # the rows come from the very folders that are replaced: an overwrite by partition leaves them alone until all tasks are done
+    _write_buckets(_merged(old, new, dropped, replace, buckets, pieces).select(*[F.col(f.name).cast(f.dataType) for f in schema], BUCKET), folder, buckets)
+    for b in touched:
+        if _files(spark, folder, b) == before[b]:       # not written anew: no row is left of it
+            remove(spark, f"{folder}/rows/{BUCKET}={b}")
+    spark.catalog.refreshByPath(f"{folder}/rows")
     _record(spark, folder, stamp, touched)
     built.rows = read(spark, folder, touched)
     return built
 
 
+def _merged(old: DataFrame, new: DataFrame, dropped: DataFrame | None, replace: bool, buckets: int, pieces: int) -> DataFrame:
+    """The rows of `build_panel` with their bucket. Rows move once, to a piece of their bucket, where those of both sides and the dropped
+    reports meet; so the pieces are written as they are, while joins would leave rows of every bucket in every task."""
+    rows = union_layout([to_pregap(old).withColumn("update_origin", F.lit("previous")), union_layout([new]).withColumn("update_origin", F.lit("new"))])
+    if dropped is not None:
+        rows = rows.unionByName(dropped.select("json_file", F.lit("dropped").alias("update_origin")), allowMissingColumns=True)
+    rows = rows.withColumns({BUCKET: bucket_of("json_file", buckets), "__piece": F.pmod(F.hash("json_file"), F.lit(pieces))}).repartition(BUCKET, "__piece")
+    report, side = Window.partitionBy(BUCKET, "__piece", "json_file"), F.col("update_origin")
+    loser, winner = ("previous", "new") if replace else ("new", "previous")
+    flags = {"__gone": F.max(side == "dropped").over(report), "__won": F.max(side == winner).over(report)}
+    # rows without a report are on no list
+    stays = F.col("json_file").isNull() | ~(F.col("__gone") | (F.col("__won") & (side == loser)))
+    return rows.withColumns(flags).filter((side != "dropped") & stays).drop("__piece", *flags)
+
+
 def append(spark: SparkSession, folder: str, new_rows: DataFrame, stamp: str) -> list[int]:
     """Append a gap-fill run to the buckets of its reports and record its stamp; a recorded stamp is refused.
 
@@ -111,6 +137,11 @@ def updates(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/updates")
 
 
+def _files(spark: SparkSession, folder: str, bucket: int) -> set[str]:
+    """The files of a bucket; every write names its own."""
+    return set(children(spark, f"{folder}/rows/{BUCKET}={bucket}/*"))
+
+
 def _touched(rows: list[DataFrame], buckets: int) -> list[int]:
     """Buckets of the rows' reports: at most the panel's number of buckets, whatever the number of rows."""
     found = [r.select(bucket_of("json_file", buckets).alias("b")).distinct() for r in rows]
@@ -118,16 +149,17 @@ def _touched(rows: list[DataFrame], buckets: int) -> list[int]:
 
 
 def _write_buckets(rows: DataFrame, folder: str, buckets: int) -> None:
-    """Replace the buckets that occur in `rows`. Rebalancing gives a bucket few files and cuts one that holds a large share."""
-    keyed = rows.withColumn(BUCKET, bucket_of("json_file", buckets))
-    (keyed.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace the buckets that occur in `rows`. Rebalancing gives a bucket few files and cuts one that holds a large share; rows that
+    come with their bucket lie by it already."""
+    keyed = rows if BUCKET in rows.columns else rows.withColumn(BUCKET, bucket_of("json_file", buckets)).hint("rebalance", BUCKET)
+    (keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET).parquet(f"{folder}/rows"))
 
 
 def _replace(spark: SparkSession, folder: str, rows: DataFrame, touched: list[int], buckets: int) -> None:
     """Write the touched buckets; those that no row is left of are deleted, as an overwrite leaves them alone."""
     # written apart first: the rows come from the very folders that are replaced, and a lost task must not read replaced ones
-    ready = materialise(rows)
+    ready = materialise(rows, "zstd")
     _write_buckets(ready, folder, buckets)
     left = {r["b"] for r in ready.select(bucket_of("json_file", buckets).alias("b")).distinct().collect()}
     for b in set(touched) - left:

@@ -69,7 +69,7 @@ def uncommitted(spark: SparkSession, folder: str, names: list[str]) -> list[str]
     kept = {f"{r['name']}/{r['stamp']}/{r['attempt']}" for r in committed(spark, folder).select("name", "stamp", "attempt").collect()}
     out = []
     for name in names:
-        for path in _children(spark, f"{folder}/{name}/stamp=*/attempt=*"):
+        for path in children(spark, f"{folder}/{name}/stamp=*/attempt=*"):
             stamp, attempt = path.split("/stamp=")[-1].split("/attempt=")
             if f"{name}/{stamp}/{attempt}" not in kept:
                 out.append(path)
@@ -91,13 +91,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(p)
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in a folder; 0 where there is none."""
+    p, files = _hadoop(spark, path)
+    return files.getContentSummary(p).getLength() if files.exists(p) else 0
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder with all it holds."""
     p, files = _hadoop(spark, path)
     files.delete(p, True)
 
 
-def _children(spark: SparkSession, pattern: str) -> list[str]:
+def children(spark: SparkSession, pattern: str) -> list[str]:
     p, files = _hadoop(spark, pattern)
     return [str(s.getPath().toString()) for s in files.globStatus(p) or []]
 

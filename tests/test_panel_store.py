@@ -148,3 +148,26 @@ def test_report_inventory_and_list_sizes(spark):
     assert [(r["pdf_file_name"], r["path"], r["country"], r["pub_year"]) for r in got] == [("Chad_2016-01-02_CR1.pdf", "/b1/x/Chad_2016-01-02_CR1.pdf", "Chad", 2016)]
     lists = spark.createDataFrame([("a", ["x", "y"]), ("a", []), ("b", ["z"])], "category string, reports array<string>")
     assert {r["category"]: r["n_reports"] for r in RD.list_sizes(lists).collect()} == {"a": 2, "b": 1}
+
+
+def test_an_update_moves_rows_once(spark, tmp_path):
+    """Merged in pieces of buckets: the rows of build_panel, without a join, laid out as they are written."""
+    old = B.build_panel(rows_of(spark, [*REPORTS, None], "old"), []).rows
+    old = old.unionByName(to_pregap(rows_of(spark, ["r5", "g1"], "fill", "gapfill", "g")))
+    new, gone = rows_of(spark, ["r7", "r8", "r8", "fresh", "r9", "late", None], "new"), spark.createDataFrame([("r9",), ("r10",), ("late",), (None,), ("none",)], "json_file string")
+
+    def shown(df):
+        return sorted(map(str, df.select(PREGAP_LAYOUT).collect()))
+    for replace in (True, False):
+        for dropped in (gone, None):
+            want = shown(B.build_panel(old, [new], dropped, remove_gapfill=False, replace=replace).rows)
+            for pieces in (1, 7):
+                got = PS._merged(old, new, dropped, replace, 16, pieces)
+                plan = got._jdf.queryExecution().executedPlan().toString()
+                assert plan.count("Exchange") == 1 and "Join" not in plan
+                assert shown(got) == want and got.filter(~F.col("bucket").eqNullSafe(PS.bucket_of("json_file", 16))).isEmpty()
+    folder = str(tmp_path / "p")
+    PS.create(old, folder, 4)
+    PS.update(spark, folder, [new], gone)
+    assert len(files(folder)) <= 4 * 4 and not [f for f in files(folder) if bucket(f) not in range(4)]
+    assert SK.size_of(spark, f"{folder}/rows") > SK.size_of(spark, f"{folder}/rows/bucket=1") > 0 == SK.size_of(spark, f"{folder}/nothing")

@@ -11,7 +11,7 @@ from panelkit.operators import coverage as C, quality as Q
 from panelkit.operators.gaps import AUDIT
 from panelkit.operators.tree import tree_type
 from panelkit.plans import gap_fill as P, panel_build as B, panel_store as PS
-from panelkit.session import use_checkpoint_dir
+from panelkit.session import materialise, use_checkpoint_dir
 from panelkit.sources import inventory as V
 from workload import roles as R
 from workload.registry import query
@@ -19,10 +19,11 @@ from workload.registry import query
 # ---- merging ---------------------------------------------------------------------------------------------------
 
 
-def parts(spark, sf):
+def parts(spark, sf, reuse=False):
     """(previous panel, new rows of rounds 1 and 2, dropped reports): the reports of rounds 1 and 2 are on both sides
-    where the previous panel has them."""
+    where the previous panel has them. reuse: both sides are read from rows that are made once."""
     rows = R.long_rows(spark, sf).filter("hierarchy_id is not null")
+    rows = materialise(L.present_columns(rows, L.PREGAP_LAYOUT), "zstd") if reuse else rows
     old = rows.filter("framework <> 'MAC_DSA'").withColumn("value", R.text("old ", F.col("value")))
     r1 = L.to_pregap(rows.filter("source_round = 'round1'"), "round1")
     r2 = L.to_pregap(rows.filter("source_round = 'round2'"), "round2")
@@ -57,7 +58,7 @@ def bucketed(spark, panel, buckets=16):
 @query("panel_update_in_buckets", f"""WITH {MERGE} SELECT {M_COLS.format(v='value', o='new')} FROM nw UNION ALL SELECT {M_COLS.format(v="'old ' || value", o='previous')} FROM od WHERE json_file NOT IN (SELECT json_file FROM nw)""")
 def panel_update_in_buckets(spark, sf):
     """The merge of `build_panel_merge` on a panel in buckets: laid out without its gap fill, then updated where the reports are."""
-    old, new, dropped = parts(spark, sf)
+    old, new, dropped = parts(spark, sf, reuse=True)
     folder = bucketed(spark, B.build_panel(old, []).rows)
     PS.update(spark, folder, new, dropped, stamp="u1")
     return PS.read(spark, folder).select("json_file", "hierarchy_id", "last_actual_year", "value", "source_round", "update_origin")
