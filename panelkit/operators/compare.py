@@ -98,6 +98,16 @@ def align_items(rows: DataFrame, n: int, run: str, order: str) -> DataFrame:
     return items.withColumn("row_type", _row_type(n))
 
 
+def _unless(c: Column, like: Column) -> Column:
+    """The value in a struct, or null where it is that of another column."""
+    return F.when(~c.eqNullSafe(like), F.struct(c.alias("v")))
+
+
+def _or_else(c: Column, like: Column) -> Column:
+    """The value that `_unless` told."""
+    return F.when(c.isNotNull(), c["v"]).otherwise(like)
+
+
 def _row_type(n: int) -> Column:
     """Why the runs differ in a line: missing_row, category or value; null where they agree."""
     runs = range(1, n + 1)
@@ -165,9 +175,18 @@ def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str =
     source = None
     if reuse:
         keep = [] if source_run is None else full.columns if keep is None else keep
-        # values are read from the texts again: they would be written twice
-        lined = materialise(line_up(full, facts, n_runs, run, order, source_run, keep).drop(*[f"val{r}" for r in runs]), "zstd")
-        read = lined.withColumns({f"val{r}": F.when(F.col(f"told{r}").isNotNull(), comparable(F.col(f"told{r}.raw"))) for r in runs})
+        # what repeats another column of its row is written once: values are read from the texts again, runs and the source's own
+        # columns tell where they differ from run 1 and from the line
+        lined = line_up(full, facts, n_runs, run, order, source_run, keep).drop(*[f"val{r}" for r in runs])
+        like = {"pdf_file_name": F.col("pdf_file_name"), "country": F.col("country")}
+        if source_run in runs:
+            like |= {"top_category": F.col(f"top{source_run}"), "label_verbatim": F.col(f"told{source_run}.label"), "value": F.col(f"told{source_run}.raw")}
+        apart = {f"told{r}": F.when(F.col(f"told{r}").isNotNull(), F.struct(*[_unless(F.col(f"told{r}")[k], F.col("told1")[k]).alias(k) for k in ("label", "raw")])) for r in runs[1:]}
+        if "own" in lined.columns:
+            apart["own"] = F.when(F.col("is_source"), F.struct(*[(_unless(F.col("own")[c], like[c]) if c in like else F.col("own")[c]).alias(c) for c in lined.schema["own"].dataType.names]))
+        lined = materialise(lined.withColumns(apart), "zstd")
+        lined = lined.withColumns({f"told{r}": F.when(F.col(f"told{r}").isNotNull(), F.struct(*[_or_else(F.col(f"told{r}")[k], F.col("told1")[k]).alias(k) for k in ("label", "raw")])) for r in runs[1:]})
+        read = lined.withColumns({f"val{r}": F.when(F.col(f"told{r}").isNotNull(), comparable(F.col(f"told{r}.raw"))) for r in runs}).drop("own")
         facts = lined.select(*facts.columns).distinct()
         agreed = lined.filter(F.col("report_group").isNull() & F.col("json_file").isNotNull()).select("json_file").distinct()
         items = read.filter("is_line").select("json_file", "hierarchy_id", *[f"{k}{r}" for r in runs for k in ("val", "top", "told")], "row_type")
@@ -177,7 +196,9 @@ def compare_runs(rows: DataFrame, n_runs: int, run: str = "run_no", order: str =
         per = lined.withColumns(told).groupBy("json_file", "pdf_file_name", "country", "report_group", *told).agg(
             F.count_if(a_line).alias("n_rows"), F.count_if(a_line & F.col("row_type").isNull()).alias("n_equal"))
         if source_run is not None:
-            source = lined.filter(F.col("is_source") & is_match).select(*[c if c in ("json_file", "hierarchy_id") else F.col("own")[c].alias(c) for c in keep])
+            def own(c: str) -> Column:
+                return F.col(c) if c in ("json_file", "hierarchy_id") else _or_else(F.col("own")[c], like[c]) if c in like else F.col("own")[c]
+            source = lined.filter(F.col("is_source") & is_match).select(*[own(c).alias(c) for c in keep])
     else:
         agreed = align_reports(reports, n_runs, run, order, names=False).filter(F.col("report_group").isNull()).select("json_file")
         items = align_items(rows, n_runs, run, order)

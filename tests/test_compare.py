@@ -232,11 +232,30 @@ def test_lines_of_a_hot_report_are_spread(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def made_of(df):
+    """The folder of the table that a frame reads."""
+    return df.inputFiles()[0].rsplit("/", 1)[0]
+
+
+def test_what_repeats_another_column_is_written_once(spark):
+    """Columns of the source and of later runs are told where they differ; every one of them is read back, from any source run."""
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate([*report("T", 1, [*BASE, ("1", "change_in_debt", "7")]), *report("T", 2, change(BASE, v1="7.0")), *report("T", 3, change(BASE, v1="7"))])], COLUMNS)
+    df = df.withColumn("label_verbatim", F.when(F.col("run_no") == 3, None).otherwise(F.col("label_verbatim"))).withColumn("country", F.when(F.col("row_no") != 2, F.col("country")))
+    for source in (1, 2, 3):
+        lazy, kept = [R.check_round(df, 3, source_run=source, reuse=reuse) for reuse in (False, True)]
+        assert lazy.matched.count() >= 5 and sorted(map(str, lazy.matched.collect())) == sorted(map(str, kept.matched.collect()))
+        assert sorted(map(str, C.run_details(lazy.comparison).collect())) == sorted(map(str, C.run_details(kept.comparison).collect()))
+    own = spark.read.parquet(made_of(R.check_round(df, 3, reuse=True).matched)).filter("is_source").select("own.*", "told3.*")
+    assert {r["value"] is None for r in own.filter("row_no <> 0").collect()} == {True} and own.filter("raw is null").count() >= 4
+
+
 def test_only_wanted_columns_of_the_source_run_are_written(rows, spark):
     shown = ["json_file", "hierarchy_id", "confidence", "value"]
     lazy, some = R.check_round(rows, 3), R.check_round(rows, 3, reuse=True, keep=shown)
-    assert some.matched.columns == shown and "own" not in R.check_round(rows, 3, reuse=True, keep=["json_file"]).comparison.items.columns
-    assert [f.name for f in some.comparison.items.schema["own"].dataType] == ["confidence", "value"]
+    assert some.matched.columns == shown
+    written = spark.read.parquet(made_of(some.matched))
+    assert [f.name for f in written.schema["own"].dataType] == ["confidence", "value"]
+    assert "own" not in spark.read.parquet(made_of(R.check_round(rows, 3, reuse=True, keep=["json_file"]).matched)).columns
     want = sorted(map(str, R.ready_rows(lazy.matched, lazy.summary, "round1").select(*shown, "source_round").collect()))
     assert want and want == sorted(map(str, R.ready_rows(some.matched, some.summary, "round1").select(*shown, "source_round").collect()))
     assert R.check_round(rows, 3, reuse=True, keep=["json_file"]).matched.count() == R.check_round(rows, 3, keep=["json_file"]).matched.count() == lazy.matched.count()
